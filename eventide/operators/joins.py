@@ -85,7 +85,7 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, l_ts: str, r_ts: str,
     first on equal times: the running ``max`` of ``(r_ts, r_id, r_cols...)`` at a left row is
     its as-of match. Output has the left columns plus ``r_cols``.
     """
-    payload_fields = [r_ts, r_id, *r_cols]
+    payload_fields = [r_ts, r_id, *[c for c in r_cols if c not in (r_ts, r_id)]]
     l_cols = left.columns
     lu = left.select(
         F.col(key).alias("__k"), micros(l_ts).alias("__t"), F.lit(1).alias("__side"),

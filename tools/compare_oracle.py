@@ -49,6 +49,7 @@ def main(argv):
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:] or list(REGISTRY)
     spark = get_session("local[8]", 8)
+    spark.sparkContext.setLogLevel("OFF")
     con = duckdb.connect()
     con.execute("SET TimeZone='UTC'")
     for t in TABLES:
