@@ -18,6 +18,9 @@ CLICK_PAGES = ["/help", "/index", "/shop", "/jobs", "/about", "/news"]
 # Replay timestamps are shifted to this zone and printed without it.
 REPLAY_ZONE = "Asia/Shanghai"
 MISSING_HEADER = "<missing>"
+# JSON text keeps event time to the microsecond (Spark's default JSON format stops at ms).
+JSON_TS_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+                   "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 CLICK_SCHEMA = T.StructType([
     T.StructField("timestamp", T.StringType()),
@@ -61,12 +64,15 @@ def header_text(headers, name: str) -> Column:
     """Text of the last header called ``name`` in an ``array<struct<key,value:binary>>``:
     ``<missing>`` when absent or null, the text when every byte is printable ASCII (32..126),
     otherwise ``0x`` plus lower-case hex of the bytes."""
-    last = F.element_at(F.filter(_c(headers), lambda h: h["key"] == F.lit(name)), -1)
+    last = F.try_element_at(F.filter(_c(headers), lambda h: h["key"] == F.lit(name)), F.lit(-1))
     raw = last["value"]
-    text = F.decode(raw, "UTF-8")
+    hexed = F.hex(raw)
+    # every byte in 0x20..0x7E <=> the UTF-8 text is printable ASCII; decode only then, so
+    # invalid UTF-8 never reaches the decoder
+    printable = hexed.rlike("^([2-6][0-9A-F]|7[0-9A-E])*$")
     return (F.when(last.isNull() | raw.isNull(), F.lit(MISSING_HEADER))
-             .when(text.rlike("^[ -~]*$"), text)
-             .otherwise(F.concat(F.lit("0x"), F.lower(F.hex(raw)))))
+             .when(printable, F.decode(raw, "UTF-8"))
+             .otherwise(F.concat(F.lit("0x"), F.lower(hexed))))
 
 
 def instant_text(ts) -> Column:
