@@ -1,0 +1,123 @@
+"""Generator queries. Each generator is driven by ids Spark derives from a test table
+(``events.event_id``), so the generated volume grows with the table."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from eventide.functions.codec import CLICK_PAGES
+from eventide.operators import aggs, windows as W
+from eventide.plans.registry import bucket_us, query, ts_of
+from eventide.plans.windowing import events
+from eventide.sources import generators as G
+
+S = 1_000_000
+
+# Fixed values (must equal the reference): order status and behaviour alternatives.
+ORDER_STATUS = ["RECEIVED", "PREPARING", "DELIVERING", "DELIVERED", "CANCELED"]
+BEHAVIORS = ["buy", "pv", "cart", "fav"]
+# Invented place names for the synthetic address fields.
+CITIES = ["Milano", "Roma", "Torino", "Napoli", "Bologna", "Firenze", "Genova", "Verona"]
+STREETS = ["Oak", "Maple", "Cedar", "Pine", "Elm", "Lake", "Hill", "Park"]
+
+
+def ride_ids(spark, d):
+    """Ride ids 1..n from the events table (one ride per event)."""
+    return events(spark, d).select((F.col("event_id") + 1).alias("id"))
+
+
+@query("gen_rides")
+def gen_rides(spark, d):
+    """Seeded out-of-order ride stream: START and END events per ride id."""
+    return G.gen_rides(ride_ids(spark, d))
+
+
+@query("gen_fares")
+def gen_fares(spark, d):
+    """Seeded fare stream, one fare per ride id."""
+    return G.gen_fares(ride_ids(spark, d))
+
+
+_PAGES_SQL = "[" + ", ".join(f"'{p}'" for p in CLICK_PAGES) + "]"
+_CLICK_TS_SQL = ts_of("(event_id // 6) * 15000")
+
+
+@query("gen_clicks", f"""
+SELECT event_id AS click_id, {_PAGES_SQL}[event_id % 6 + 1] AS page, {_CLICK_TS_SQL} AS click_ts
+FROM events""")
+def gen_clicks(spark, d):
+    """Round-robin click generator over the 6 pages, 15 ms of event time per page step."""
+    return G.clicks(events(spark, d), "event_id", CLICK_PAGES)
+
+
+@query("gen_integers", f"""
+SELECT event_id + 1 AS value, {ts_of('(event_id + 1) * 1000000')} AS ts FROM events""")
+def gen_integers(spark, d):
+    """The integer source 1, 2, 3 ... one per second of event time."""
+    return G.integers(events(spark, d), "event_id")
+
+
+@query("window_completeness", f"""
+SELECT page, {ts_of(bucket_us('click_ts', 15 * S))} AS window_start,
+       {ts_of(bucket_us('click_ts', 15 * S) + f' + {15 * S}')} AS window_end,
+       count(*) AS cnt, CAST(1000 AS BIGINT) AS expected
+FROM (SELECT {_PAGES_SQL}[event_id % 6 + 1] AS page, {_CLICK_TS_SQL} AS click_ts FROM events)
+GROUP BY 1, 2, 3 HAVING count(*) <> 1000""")
+def window_completeness(spark, d):
+    """Audit: every (page, 15 s window) of the generated clicks must hold exactly 1000 clicks;
+    rows returned are the windows that do not (the trailing, still-filling windows)."""
+    c = W.tumble(G.clicks(events(spark, d), "event_id", CLICK_PAGES), "click_ts", "15 seconds")
+    return aggs.completeness_audit(c, ["page", "window_start", "window_end"], 1000)
+
+
+def _past_sql(ts: str, seed: str, stream: int, window_ms: int) -> str:
+    back = G.int_range_sql(seed, stream, 0, window_ms - 1)
+    return f"make_timestamp(((epoch_us({ts}) // 1000) - {back}) * 1000)"
+
+
+def _past(ts: str, seed, stream: int, window_ms: int):
+    back = G.int_range(seed, stream, 0, window_ms - 1)
+    ms = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / 1000).cast("long") - back
+    return F.timestamp_millis(ms).cast("timestamp_ntz")
+
+
+@query("synth_orders", f"""
+SELECT CAST({G.int_range_sql('event_id', 1, 0, 99999998)} AS INTEGER) AS order_id,
+       {G.choice_sql('event_id', 2, CITIES)} AS city,
+       CAST({G.int_range_sql('event_id', 3, 1, 999)} AS VARCHAR) || ' '
+         || {G.choice_sql('event_id', 4, STREETS)} || ' Street' AS street_address,
+       CAST({G.int_range_sql('event_id', 5, 0, 99)} AS INTEGER) AS amount,
+       {_past_sql('ts', 'event_id', 6, 15000)} AS order_time,
+       {G.choice_sql('event_id', 7, ORDER_STATUS)} AS order_status
+FROM events""")
+def synth_orders(spark, d):
+    """Synthetic orders, one per event: id in [0, 99999999), city, street, amount in [0, 100),
+    a time within the 15 s before the event, a status out of five."""
+    e = F.col("event_id")
+    return events(spark, d).select(
+        G.int_range(e, 1, 0, 99999998).cast("int").alias("order_id"),
+        G.choice(e, 2, CITIES).alias("city"),
+        F.concat(G.int_range(e, 3, 1, 999).cast("string"), F.lit(" "),
+                 G.choice(e, 4, STREETS), F.lit(" Street")).alias("street_address"),
+        G.int_range(e, 5, 0, 99).cast("int").alias("amount"),
+        _past("ts", e, 6, 15000).alias("order_time"),
+        G.choice(e, 7, ORDER_STATUS).alias("order_status"))
+
+
+@query("synth_user_behavior", f"""
+SELECT {G.int_range_sql('event_id', 1, 1, 499)} AS user_id,
+       {G.int_range_sql('event_id', 2, 1, 1999)} AS item_id,
+       {G.int_range_sql('event_id', 3, 1, 49)} AS category_id,
+       {G.choice_sql('event_id', 4, BEHAVIORS)} AS behavior,
+       {_past_sql('ts', 'event_id', 5, 8000)} AS ts
+FROM events""")
+def synth_user_behavior(spark, d):
+    """Synthetic behaviour rows: user in [1, 500), item in [1, 2000), category in [1, 50),
+    behaviour out of four, a time within the 8 s before the driving event."""
+    e = F.col("event_id")
+    return events(spark, d).select(
+        G.int_range(e, 1, 1, 499).alias("user_id"),
+        G.int_range(e, 2, 1, 1999).alias("item_id"),
+        G.int_range(e, 3, 1, 49).alias("category_id"),
+        G.choice(e, 4, BEHAVIORS).alias("behavior"),
+        _past("ts", e, 5, 8000).alias("ts"))
