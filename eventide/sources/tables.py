@@ -30,10 +30,11 @@ def read_table_stream(spark: SparkSession, sf_dir: str, name: str,
     keeps the wall-clock value).
     """
     schema = spark.read.parquet(table_path(sf_dir, name)).schema
-    reader = spark.readStream.schema(schema)
+    # the file source watches a folder; the glob keeps it to this table's file(s)
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = reader.parquet(table_path(sf_dir, name))
+    df = reader.parquet(sf_dir)
     return as_utc(df) if utc_timestamps else df
 
 

@@ -50,6 +50,9 @@ def main(argv):
     names = argv[1:] or list(REGISTRY)
     spark = get_session("local[8]", 8)
     spark.sparkContext.setLogLevel("OFF")
+    import logging
+    logging.getLogger("DataFrameQueryContextLogger").setLevel(logging.CRITICAL + 1)
+    logging.getLogger("pyspark").setLevel(logging.CRITICAL + 1)
     con = duckdb.connect()
     con.execute("SET TimeZone='UTC'")
     for t in TABLES:
