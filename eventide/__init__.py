@@ -5,6 +5,14 @@ batch frame and, where Spark allows it, on a streaming frame, so one definition
 the table form and the stream form of a query.
 """
 
-from eventide.session import checkpoint_dir, get_session
+import sys as _sys
+
+from pyspark import cloudpickle as _cloudpickle
+
+# Functions that run inside tasks (Arrow UDFs, mapInPandas, stateful processors) are pickled
+# with their code, so executors need no installed copy of this package.
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+
+from eventide.session import checkpoint_dir, get_session  # noqa: E402
 
 __all__ = ["get_session", "checkpoint_dir"]

@@ -10,6 +10,7 @@ from eventide.operators import aggs, windows as W
 from eventide.plans.registry import bucket_us, query, ts_of
 from eventide.plans.windowing import events
 from eventide.sources import generators as G
+from eventide.sources.tables import spread
 
 S = 1_000_000
 
@@ -23,7 +24,7 @@ STREETS = ["Oak", "Maple", "Cedar", "Pine", "Elm", "Lake", "Hill", "Park"]
 
 def ride_ids(spark, d):
     """Ride ids 1..n from the events table (one ride per event)."""
-    return events(spark, d).select((F.col("event_id") + 1).alias("id"))
+    return spread(events(spark, d).select((F.col("event_id") + 1).alias("id")))
 
 
 @query("gen_rides")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from eventide.functions import geo as G
 from eventide.plans.registry import query
 from eventide.plans.windowing import events
+from eventide.sources.tables import spread
 
 # SQL text of the DOUBLE coordinates (typed literals: untyped decimals are DECIMAL in SQL).
 _DBL = "CAST({} AS DOUBLE)"
@@ -100,12 +101,10 @@ def ride_direction(spark, d):
 
 @query("route_cell_counts")
 def route_cell_counts(spark, d):
-    """Route density: every grid cell each cleansed ride passes (Arrow-batched walk), counted
-    per cell. No SQL oracle: the walk is a loop per ride."""
-    clean = ride_cleansing(spark, d)
-    cells = clean.select(F.explode(G.cells_on_way(
-        F.col("start_lon").cast("float"), F.col("start_lat").cast("float"),
-        F.col("end_lon").cast("float"), F.col("end_lat").cast("float"))).alias("cell_id"))
+    """Route density: every grid cell each cleansed ride passes (numpy walk over Arrow
+    batches), counted per cell. No SQL oracle: the walk is a loop per ride."""
+    clean = spread(ride_cleansing(spark, d))
+    cells = G.route_cells(clean, "event_id", "start_lon", "start_lat", "end_lon", "end_lat")
     return cells.groupBy("cell_id").agg(F.count(F.lit(1)).alias("cnt"))
 
 

@@ -12,16 +12,21 @@ from pyspark.sql import types as T
 from eventide.functions import codec as C
 from eventide.plans.registry import bucket_us, query, ts_of
 from eventide.plans.windowing import CENTS_SQL, cents, events
-from eventide.sources.tables import read_table
+from eventide.sources.tables import read_table, spread
 
 S = 1_000_000
 
 
+def wide_events(spark, d):
+    """Events spread over all cores before per-row codec work (a no-op on large inputs)."""
+    return spread(events(spark, d))
+
+
 # -- JSON click source / sink ------------------------------------------------------------
 
 def click_json(spark, d):
     """Events rendered as click JSON records (``timestamp`` text, ``page``)."""
-    return events(spark, d).select(
+    return wide_events(spark, d).select(
         "event_id",
         C.encode_json(C.click_ts_text("ts").alias("timestamp"),
                       F.col("event_type").alias("page")).alias("value"))
@@ -70,7 +75,7 @@ FROM events""")
 def json_coerce(spark, d):
     """Numbers in JSON: ``props.k`` is a JSON number; a producer that quotes every number
     (``{"user_id":"8"}``) is read as text and cast, since a numeric schema yields NULL."""
-    ev = events(spark, d)
+    ev = wide_events(spark, d)
     quoted = C.encode_json(F.col("user_id").cast("string").alias("user_id"))
     props = C.decode_json("props", T.StructType([T.StructField("k", T.LongType())]))
     back = C.decode_json(quoted, T.StructType([T.StructField("user_id", T.StringType())]))
@@ -88,7 +93,7 @@ BEHAVIOR_SCHEMA = T.StructType([
 
 
 def behavior_json(spark, d):
-    ev = events(spark, d)
+    ev = wide_events(spark, d)
     return ev.select(F.to_json(F.struct(
         F.col("user_id"), F.col("event_id").alias("item_id"),
         (F.col("user_id") % 50 + 1).alias("category_id"),
@@ -123,7 +128,7 @@ REPLAY_LINE = ('{"user_id": "%s", "item_id":"%s", "category_id": "%s", "behavior
 
 def behavior_csv(spark, d):
     """Events written as the CSV behaviour log ``user,item,category,behavior,epochSeconds``."""
-    ev = events(spark, d)
+    ev = wide_events(spark, d)
     beh = F.coalesce(*[F.when(F.col("event_type") == k, F.lit(v))
                        for k, v in BEHAVIOR_NAMES.items()], F.lit("pv"))
     secs = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / S).cast("long")
@@ -197,7 +202,7 @@ FROM events""")
 def header_decode(spark, d):
     """Last header by name rendered as text: ``<missing>``, printable ASCII as is, other
     bytes as ``0x`` + hex."""
-    ev = with_headers(events(spark, d))
+    ev = with_headers(wide_events(spark, d))
     return ev.select("event_id", C.header_text("headers", "trace").alias("trace"),
                      C.header_text("headers", "bin").alias("bin"))
 
@@ -216,7 +221,7 @@ SENSOR_SCHEMA = T.StructType([
 
 def sensor_records(spark, d, run_id: str | None = None):
     """Sensor readings derived from events: key + JSON value (the registry payload)."""
-    ev = events(spark, d)
+    ev = wide_events(spark, d)
     run = F.lit(run_id) if run_id else F.concat(F.lit("run-"), (F.col("event_id") % 3).cast("string"))
     return ev.select(
         F.col("event_id").alias("offset"),
@@ -279,7 +284,7 @@ OS_TYPE_DEFAULT = "UNKNOWN"
 
 def machine_records(spark, d):
     """Machine records from events, v1 for even ids and v2 (with ``os_type``) for odd ids."""
-    ev = events(spark, d)
+    ev = wide_events(spark, d)
     k = F.get_json_object("props", "$.k").cast("long")
     counters = F.array(
         F.struct(F.lit("cents").alias("name"), cents().alias("value"), F.lit("cents").alias("unit")),
@@ -319,7 +324,12 @@ SELECT epoch_us(ts) // 1000, 'host-' || CAST(user_id % 20 AS VARCHAR), 'user', u
 def explode_counters(spark, d):
     """One row per element of the nested ``counters`` array."""
     rec = machine_records(spark, d).select(C.decode_json("value", MACHINE_V2).alias("r"))
-    return rec.select("r.timestamp", "r.hostname", F.inline("r.counters"))
+    # posexplode_outer keeps the optimizer from re-deriving a size(counters) > 0 filter that
+    # would decode every record twice more; the outer row of an empty array has pos NULL
+    rows = rec.select("r.timestamp", "r.hostname",
+                      F.posexplode_outer("r.counters").alias("pos", "c"))
+    return rows.where(F.col("pos").isNotNull()).select(
+        "timestamp", "hostname", "c.name", "c.value", "c.unit")
 
 
 # -- sink-side rows, text --------------------------------------------------------------------
@@ -380,7 +390,7 @@ SELECT event_id,
 FROM events""")
 def ride_to_csv(spark, d):
     """Ride records rendered as CSV text (``START``/``END`` flag, ISO instant)."""
-    ev = events(spark, d)
+    ev = wide_events(spark, d)
     return ev.select("event_id", C.csv_line(
         F.col("event_id"), C.flag_text(F.col("event_id") % 2 == 0), C.instant_text("ts"),
         F.col("value"), F.col("user_id"), F.lit(2013000000) + F.col("user_id")).alias("line"))

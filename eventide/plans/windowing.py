@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from eventide.operators import aggs, windows as W
 from eventide.plans.registry import bucket_us, query, ts_of
-from eventide.sources.tables import read_table
+from eventide.sources.tables import read_table, spread
 
 H = 3_600_000_000
 M = 60_000_000
@@ -231,4 +231,5 @@ FROM (SELECT unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS word FROM
 WHERE word <> '' GROUP BY word""")
 def word_count(spark, d):
     """Word frequencies over every document's full text."""
-    return aggs.word_count(read_table(spark, d, "documents").select("text"), "text")
+    docs = spread(read_table(spark, d, "documents").select("text"))
+    return aggs.word_count(docs, "text")

@@ -20,6 +20,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the rows over at least ``min_partitions`` tasks (default: the cluster's
+    default parallelism) when the scan yields fewer -- e.g. one file with one row group.
+
+    Used before CPU-heavy per-row work (text splitting, JSON codecs, Arrow UDFs). On a large
+    table the scan already has far more partitions than cores and nothing is added.
+    """
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
 def read_table_stream(spark: SparkSession, sf_dir: str, name: str,
                       max_files_per_trigger: int | None = None,
                       utc_timestamps: bool = True) -> DataFrame:
