@@ -4,25 +4,64 @@
 one key holds a third of the data, that task holds a third of the data. ``prefix_scan`` splits
 the work in two levels instead:
 
-1. range-partition on ``(key, order)``: a hot key is cut into many contiguous pieces, one per
-   range partition, and each piece is tagged with its partition id;
-2. compute the running aggregate inside every ``(key, piece)`` (a window partitioned by key and
-   piece, so pieces of one key run in different tasks);
+1. cut the order axis into ``n`` pieces at global quantiles of the leading order column
+   (``approxQuantile`` + a binary-search ``Bucketizer``). Every piece holds about ``1/n`` of
+   *all* rows, so a (key, piece) group is at most ~``1/n`` of the data whatever the key;
+2. compute the running aggregate inside every ``(key, piece)`` -- a window partitioned by key
+   and piece, so the pieces of a hot key run in different tasks;
 3. aggregate each ``(key, piece)`` to one row, run the same aggregate over the earlier pieces
-   of the key (at most one row per range partition per key), and fold that carry into the
-   local values with a join on ``(key, piece)``.
+   of the key (at most ``n`` rows per key), and fold that carry into the local values with an
+   equi-join on ``(key, piece)``.
+
+Pieces are a pure function of the row (its order value), so every branch of the plan sees the
+same pieces, also when a stage is recomputed after a lost executor.
 
 Supported kinds are the associative ones: ``count``, ``sum``, ``max``, ``min`` (``max``/``min``
-also over structs, which gives arg-max / as-of lookups). Nulls are ignored, as in SQL.
+also over structs, which gives arg-max and as-of lookups). Nulls are ignored, as in SQL.
 """
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 _AGG = {"count": F.count, "sum": F.sum, "max": F.max, "min": F.min}
+MAX_PIECES = 4096
+
+
+def default_pieces(df: DataFrame) -> int:
+    return max(8, min(MAX_PIECES, 2 * df.sparkSession.sparkContext.defaultParallelism))
+
+
+def order_value(df: DataFrame, col: str) -> Column:
+    """The leading order column as DOUBLE (timestamps as epoch microseconds: exact below
+    2^53, i.e. for any date of this era)."""
+    dtype = df.schema[col].dataType.typeName()
+    c = F.col(col)
+    if dtype in ("timestamp", "timestamp_ntz"):
+        c = F.unix_micros(c.cast("timestamp"))
+    elif dtype == "date":
+        c = F.unix_date(c)
+    return c.cast("double")
+
+
+def with_pieces(df: DataFrame, order_col: str, n: int | None = None,
+                name: str = "__piece") -> DataFrame:
+    """Add ``name``: the index of the global quantile range of ``order_col`` the row falls in.
+    Nulls sort first, so they go to piece 0. The quantile job reads one column and returns
+    at most ``n - 1`` numbers to the driver."""
+    n = n or default_pieces(df)
+    tmp = df.withColumn("__ord", F.coalesce(order_value(df, order_col), F.lit(-math.inf)))
+    qs = tmp.approxQuantile("__ord", [i / n for i in range(1, n)], 1.0 / (4 * n)) if n > 1 else []
+    inner = sorted({q for q in qs if q is not None and math.isfinite(q)})
+    splits = [-math.inf] + inner + [math.inf]
+    out = Bucketizer(splits=splits, inputCol="__ord", outputCol="__bucket",
+                     handleInvalid="keep").transform(tmp)
+    return out.withColumn(name, F.col("__bucket").cast("int")).drop("__ord", "__bucket")
 
 
 def _carry_agg(kind: str, c: Column) -> Column:
@@ -41,25 +80,26 @@ def _combine(kind: str, local: Column, carry: Column) -> Column:
 
 
 def prefix_scan(df: DataFrame, keys: list[str], order_cols: list[str],
-                aggs: dict[str, tuple[str, Column]], exclusive: bool = False) -> DataFrame:
+                aggs: dict[str, tuple[str, Column]], exclusive: bool = False,
+                pieces: int | None = None) -> DataFrame:
     """Add one running-aggregate column per ``aggs`` entry ``name -> (kind, value column)``.
 
     The frame is all earlier rows of the same key in ``order_cols`` order, plus the current row
-    unless ``exclusive``. ``order_cols`` must be unique within a key.
+    unless ``exclusive``. ``order_cols`` must be unique within a key; the first one must be
+    numeric, a date or a timestamp (it defines the pieces).
     """
     names = list(aggs)
-    ordered = df.repartitionByRange(*[F.col(k) for k in keys], *[F.col(o) for o in order_cols])
-    ordered = ordered.withColumn("__piece", F.spark_partition_id())
+    cut = with_pieces(df, order_cols[0], pieces)
     for n in names:
-        ordered = ordered.withColumn(f"__v_{n}", aggs[n][1])
+        cut = cut.withColumn(f"__v_{n}", aggs[n][1])
 
     upper = -1 if exclusive else Window.currentRow
     w_local = (Window.partitionBy(*keys, "__piece").orderBy(*order_cols)
                      .rowsBetween(Window.unboundedPreceding, upper))
-    local = ordered.select(
+    local = cut.select(
         "*", *[_AGG[aggs[n][0]](f"__v_{n}").over(w_local).alias(f"__l_{n}") for n in names])
 
-    stats = ordered.groupBy(*keys, "__piece").agg(
+    stats = cut.groupBy(*keys, "__piece").agg(
         *[_AGG[aggs[n][0]](f"__v_{n}").alias(f"__s_{n}") for n in names])
     w_prev = (Window.partitionBy(*keys).orderBy("__piece")
                     .rowsBetween(Window.unboundedPreceding, -1))
@@ -73,3 +113,22 @@ def prefix_scan(df: DataFrame, keys: list[str], order_cols: list[str],
         out = out.withColumn(n, _combine(aggs[n][0], F.col(f"__l_{n}"), F.col(f"__c_{n}")))
     drop = ["__piece"] + [f"__{p}_{n}" for n in names for p in ("v", "l", "c")]
     return out.drop(*drop)
+
+
+def positions(df: DataFrame, order_col: str, name: str = "pos",
+              pieces: int | None = None) -> DataFrame:
+    """Dense 0-based position of every row in ``order_col`` order (unique values), without an
+    unpartitioned window: rows are numbered inside their quantile piece, and each piece adds
+    the row count of all earlier pieces. The counts table has one row per piece (at most
+    ``MAX_PIECES``), which bounds its broadcast."""
+    cut = with_pieces(df, order_col, pieces)
+    local = cut.withColumn(
+        "__local", F.row_number().over(Window.partitionBy("__piece").orderBy(order_col)) - 1)
+    counts = cut.groupBy("__piece").agg(F.count(F.lit(1)).alias("__n"))
+    offsets = counts.select(
+        "__piece",
+        F.coalesce(F.sum("__n").over(Window.orderBy("__piece").rowsBetween(
+            Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
+    return (local.join(F.broadcast(offsets), "__piece")
+                 .withColumn(name, F.col("__off") + F.col("__local"))
+                 .drop("__piece", "__local", "__off"))

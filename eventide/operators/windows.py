@@ -13,7 +13,8 @@ import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from eventide.operators.scan import positions
 
 _UNIT_MICROS = {
     "microsecond": 1,
@@ -117,31 +118,6 @@ def window_count_agg(df: DataFrame, keys: list[str] | None = None,
     return df.groupBy("window_start", "window_end", *keys).agg(F.count(F.lit(1)).alias(name))
 
 
-def positions(df: DataFrame, order_cols: list[str], name: str = "pos") -> DataFrame:
-    """Attach a dense 0-based position in ``order_cols`` order without a one-task window.
-
-    ``row_number()`` over an unpartitioned window moves every row to one task. Instead:
-    range-partition on the order key (a distributed sort), sort inside each partition, and
-    read (partition, index-in-partition) from ``monotonically_increasing_id``; then add the row
-    count of all earlier partitions. The per-partition counts table has one row per partition,
-    so broadcasting it is bounded by the partition count, not by the data. ``order_cols`` must
-    be unique, or the position of tied rows is not reproducible.
-    """
-    ordered = (df.repartitionByRange(*[F.col(c) for c in order_cols])
-                 .sortWithinPartitions(*order_cols)
-                 .withColumn("__mid", F.monotonically_increasing_id()))
-    ordered = (ordered.withColumn("__pid", F.shiftright("__mid", 33))
-                      .withColumn("__local", F.col("__mid").bitwiseAND((1 << 33) - 1)))
-    counts = ordered.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    offsets = counts.select(
-        "__pid",
-        F.coalesce(F.sum("__n").over(Window.orderBy("__pid").rowsBetween(
-            Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
-    return (ordered.join(F.broadcast(offsets), "__pid")
-                   .withColumn(name, F.col("__off") + F.col("__local"))
-                   .drop("__pid", "__local", "__off", "__mid"))
-
-
 def count_window_agg(df: DataFrame, order_cols: list[str], n: int, *aggs: Column,
                      name: str = "window_id") -> DataFrame:
     """Count windows of ``n`` consecutive rows in ``order_cols`` order, aggregated.
@@ -149,7 +125,9 @@ def count_window_agg(df: DataFrame, order_cols: list[str], n: int, *aggs: Column
     Returns one row per full window with ``window_id`` (0-based), ``window_rows`` and the given
     aggregates. A trailing group shorter than ``n`` never fires, so it is removed.
     """
-    pos = positions(df, order_cols, "__pos")
+    if len(order_cols) != 1:
+        raise ValueError("count windows need one unique numeric/time order column")
+    pos = positions(df, order_cols[0], "__pos")
     grouped = (pos.groupBy(F.expr(f"__pos div {int(n)}").alias(name))
                   .agg(F.count(F.lit(1)).alias("window_rows"), *aggs))
     return grouped.where(F.col("window_rows") == n)
