@@ -64,3 +64,21 @@ def processing_time_window_stream(df: DataFrame, delay: str, size: str,
     current time, and the stamp is watermarked so windows close."""
     stamped = df.withColumn("__proc_ts", F.current_timestamp())
     return window_agg_stream(stamped, "__proc_ts", delay, size, *aggs)
+
+
+def cascaded_argmax_stream(df: DataFrame, ts: str, delay: str, size: str, key: str,
+                           value: Column, total: str = "total") -> DataFrame:
+    """Two chained event-time windows on a stream: sum per key and window, then per window
+    the key with the largest sum (ties: lowest key). The second window runs over the first
+    one's ``window_time`` (its last instant), so both stages use append mode and each window
+    is emitted once."""
+    per = (df.withWatermark(ts, delay)
+             .groupBy(F.window(ts, size).alias("w1"), F.col(key))
+             .agg(F.sum(value).alias(total)))
+    per = per.select(F.window_time("w1").alias("__t"), key, total)
+    best = (per.groupBy(F.window("__t", size).alias("__w"))
+               .agg(F.max_by(F.struct(F.col(total), F.col(key)),
+                             F.struct(F.col(total), -F.col(key))).alias("__b")))
+    return best.select(F.col("__w.start").alias("window_start"),
+                       F.col("__w.end").alias("window_end"),
+                       F.col(f"__b.{key}").alias(key), F.col(f"__b.{total}").alias(total))
