@@ -55,6 +55,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster "
+                             "(a machine-local folder does not survive a lost executor)")
+        # local mode only (tests, bench): the driver's disk is the whole cluster
         conf = tempfile.mkdtemp(prefix="eventide-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf)
     sc = spark.sparkContext
