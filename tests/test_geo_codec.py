@@ -114,3 +114,12 @@ def test_replay_line_layout(spark):
     assert first["ts"] == "2017-11-26 09:00:00"     # +8 h, no fraction
     # second cycle shifted by span (1 s) + 1 s
     assert json.loads(out[2][1])["ts"] == "2017-11-26 09:00:02"
+
+
+def test_distance_to_point_uses_the_event_end(spark):
+    df = spark.createDataFrame([(True, -73.99, 40.75, -73.90, 40.70),
+                                (False, -73.99, 40.75, -73.90, 40.70)],
+                               "s boolean, a double, b double, c double, d double")
+    r = df.select(G.distance_to_point("s", "a", "b", "c", "d", F.lit(-73.99), F.lit(40.75))
+                  .alias("x")).collect()
+    assert r[0].x == 0.0 and r[1].x > 0.0
