@@ -47,6 +47,27 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Pin the per-session SQL settings the queries rely on, on a session built elsewhere:
+    UTC session time (event times are zone-less; epoch arithmetic must not shift) and a
+    checkpoint folder."""
+    if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    checkpoint_dir(spark)
+    return spark
+
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb_state(spark: SparkSession) -> None:
+    """Keyed-state processors (transformWithState) need the RocksDB state store; set it for
+    queries started from now on unless the session already chose a provider."""
+    current = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    if not current or "HDFSBackedStateStoreProvider" in current:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and materialised intermediate tables.
 

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from eventide.operators.windows import duration_micros
+from eventide.session import use_rocksdb_state
 
 ALERT_SCHEMA = T.StructType([
     T.StructField("key", T.LongType()),
@@ -107,6 +108,7 @@ def long_interval_alerts_stream(events: DataFrame, key: str, is_start: str, ts:
     if arrival:
         cols.append(F.col(arrival).cast("long").alias("arrival"))
     src = events.withWatermark(ts, delay).select(*cols)
+    use_rocksdb_state(events.sparkSession)
     return src.groupBy("key").transformWithStateInPandas(
         statefulProcessor=LongIntervalAlerts(limit_ms, retention_ms, report_missing_start),
         outputStructType=ALERT_SCHEMA, outputMode="Append", timeMode="EventTime")
@@ -161,6 +163,7 @@ def count_window_stream(df: DataFrame, seq: str, value: str, n: int,
     k = F.col(key) if key else F.lit(0)
     src = df.select(k.alias("__key"), F.col(seq).cast("long").alias("seq"),
                     F.col(value).cast("long").alias("value"))
+    use_rocksdb_state(df.sparkSession)
     return src.groupBy("__key").transformWithStateInPandas(
         statefulProcessor=CountWindowSum(n), outputStructType=COUNT_WINDOW_SCHEMA,
         outputMode="Append", timeMode="None")
