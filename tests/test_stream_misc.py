@@ -55,3 +55,32 @@ def test_processing_time_window_counts_everything(spark):
                                         F.count(F.lit(1)).alias("n"), F.sum("v").alias("s"))
     got = run_to_end(out, output_mode="update")
     assert sum(r.n for r in got) == 50 and sum(r.s for r in got) == sum(range(50))
+
+
+def test_dedup_streams_and_window_top_n(spark):
+    from eventide.streaming.dedup import (dedup_first_stream, dedup_last_stream,
+                                          window_top_n_stream)
+    rows = [{"u": u, "v": v, "ts": _iso(m)} for u, v, m in
+            [(1, 5, 0), (1, 7, 10), (2, 1, 20), (2, 9, 30), (3, 4, 40), (1, 2, 50)]]
+    rows.append({"u": 9, "v": 0, "ts": _iso(500)})
+    schema = "u long, v long, ts timestamp"
+
+    def src():
+        return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(
+            write_batches([[r] for r in rows]))
+
+    first = run_to_end(dedup_first_stream(src(), ["u"], "ts", "1 hour"))
+    assert sorted((r.u, r.v) for r in first if r.u != 9) == [(1, 5), (2, 1), (3, 4)]
+    last = run_to_end(dedup_last_stream(src(), ["u"], [F.col("ts")]), output_mode="update")
+    final = {}
+    for r in last:
+        final[r.u] = r.v          # update mode: later batches overwrite
+    assert {k: v for k, v in final.items() if k != 9} == {1: 2, 2: 9, 3: 4}
+    ranked = []
+    agg, rank = window_top_n_stream(src(), "ts", "0 seconds", "1 hour", "u", F.col("v"), 2,
+                                    lambda df, i: ranked.extend(df.collect()))
+    q = (agg.writeStream.outputMode("append").foreachBatch(rank)
+         .option("checkpointLocation", __import__("tempfile").mkdtemp())
+         .trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    assert sorted((r.u, r.total, r.rn) for r in ranked) == [(1, 14, 1), (2, 10, 2)]
