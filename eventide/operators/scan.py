@@ -81,15 +81,17 @@ def _combine(kind: str, local: Column, carry: Column) -> Column:
 
 def prefix_scan(df: DataFrame, keys: list[str], order_cols: list[str],
                 aggs: dict[str, tuple[str, Column]], exclusive: bool = False,
-                pieces: int | None = None) -> DataFrame:
+                pieces: int | None = None, piece_col: str | None = None) -> DataFrame:
     """Add one running-aggregate column per ``aggs`` entry ``name -> (kind, value column)``.
 
     The frame is all earlier rows of the same key in ``order_cols`` order, plus the current row
     unless ``exclusive``. ``order_cols`` must be unique within a key; the first one must be
-    numeric, a date or a timestamp (it defines the pieces).
+    numeric, a date or a timestamp (it defines the pieces). ``piece_col`` names a column
+    already made by ``with_pieces`` on the same order column, so chained scans share it.
     """
     names = list(aggs)
-    cut = with_pieces(df, order_cols[0], pieces)
+    cut = df.withColumnRenamed(piece_col, "__piece") if piece_col else \
+        with_pieces(df, order_cols[0], pieces)
     for n in names:
         cut = cut.withColumn(f"__v_{n}", aggs[n][1])
 
@@ -111,8 +113,9 @@ def prefix_scan(df: DataFrame, keys: list[str], order_cols: list[str],
     out = local.join(carry, [*keys, "__piece"], "inner")
     for n in names:
         out = out.withColumn(n, _combine(aggs[n][0], F.col(f"__l_{n}"), F.col(f"__c_{n}")))
-    drop = ["__piece"] + [f"__{p}_{n}" for n in names for p in ("v", "l", "c")]
-    return out.drop(*drop)
+    drop = [f"__{p}_{n}" for n in names for p in ("v", "l", "c")]
+    out = out.drop(*drop)
+    return out.withColumnRenamed("__piece", piece_col) if piece_col else out.drop("__piece")
 
 
 def positions(df: DataFrame, order_col: str, name: str = "pos",

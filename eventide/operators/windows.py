@@ -14,7 +14,9 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventide.operators.scan import positions
+from pyspark.sql.window import Window
+
+from eventide.operators.scan import positions, with_pieces
 
 _UNIT_MICROS = {
     "microsecond": 1,
@@ -102,13 +104,42 @@ def session_agg(df: DataFrame, keys: list[str], ts: str, gap: str, *aggs: Column
     """Session windows per key: rows closer than ``gap`` merge; a session ends ``gap`` after
     its last row. Returns ``keys, window_start, window_end`` and the aggregates.
 
-    Spark sorts by key and time and merges sessions inside each input partition before the
-    shuffle (MergingSessions, partial), so a hot key ships partial sessions, not raw rows.
+    Batch form without a per-key task. The time axis is cut at global quantiles (every piece
+    holds ~1/n of all rows, whatever the key). Inside each (key, piece) a row opens a session
+    when it is ``gap`` or more after the previous row (``lag``), and the openings are counted.
+    Only the first row of a piece needs outside information -- the last time of the key in
+    earlier pieces -- which comes from a per-(key, piece) summary (at most one row per piece
+    and key) joined back on ``(key, piece)``. The session number is the openings of earlier
+    pieces plus the local count, and the sessions are a partial aggregate on
+    ``(keys, session)``. Streams use ``session_window`` (``streaming.windows``).
     """
-    out = df.groupBy(*keys, F.session_window(ts, gap).alias("__w")).agg(*aggs)
-    agg_cols = [c for c in out.columns if c not in keys and c != "__w"]
-    return out.select(*keys, F.col("__w.start").alias("window_start"),
-                      F.col("__w.end").alias("window_end"), *agg_cols)
+    gap_us = duration_micros(gap)
+    t = F.unix_micros(F.col(ts).cast("timestamp"))
+    base = with_pieces(df.withColumn("__t", t), ts)
+    w = Window.partitionBy(*keys, "__piece").orderBy("__t")
+    loc = base.withColumn("__lprev", F.lag("__t").over(w))
+    loc = loc.withColumn("__lopen", (F.col("__lprev").isNotNull() &
+                                     (F.col("__t") >= F.col("__lprev") + F.lit(gap_us))).cast("int"))
+    loc = loc.withColumn("__lcum", F.sum("__lopen").over(
+        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+
+    summary = loc.groupBy(*keys, "__piece").agg(
+        F.min("__t").alias("__first"), F.max("__t").alias("__last"),
+        F.sum("__lopen").alias("__nopen"))
+    earlier = Window.partitionBy(*keys).orderBy("__piece").rowsBetween(
+        Window.unboundedPreceding, -1)
+    summary = summary.withColumn("__cprev", F.max("__last").over(earlier))
+    summary = summary.withColumn("__fopen", (F.col("__cprev").isNull() | (
+        F.col("__first") >= F.col("__cprev") + F.lit(gap_us))).cast("int"))
+    summary = summary.withColumn("__copens", F.coalesce(
+        F.sum(F.col("__nopen") + F.col("__fopen")).over(earlier), F.lit(0)))
+
+    joined = loc.join(summary.select(*keys, "__piece", "__fopen", "__copens"),
+                      [*keys, "__piece"], "inner")
+    sid = (F.col("__copens") + F.col("__fopen") + F.col("__lcum")).alias("__sid")
+    out = joined.groupBy(*keys, sid).agg(
+        F.min(ts).alias("window_start"), (F.max(ts) + interval(gap)).alias("window_end"), *aggs)
+    return out.drop("__sid")
 
 
 def window_count_agg(df: DataFrame, keys: list[str] | None = None,

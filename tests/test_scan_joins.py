@@ -112,3 +112,21 @@ def test_rides_and_fares_stream_pairs_either_order(spark):
     out = enrich_join_stream(r, f, "fare_ride", "eventTime", "startTime", "1 minute")
     got = sorted((x.fare_ride, x.tip) for x in run_to_end(out))
     assert got == [(1, 1.0), (2, 2.0), (3, 3.0), (4, 4.0)]
+
+
+def test_session_agg_matches_spark_sessions_under_skew(spark):
+    from eventide.operators import windows as W
+    base = F.to_timestamp_ntz(F.lit("2024-01-01 00:00:00"))
+    # key 0 holds most rows; gaps of 0..9 hours so sessions break often and cross pieces
+    df = spark.range(6000).select(
+        F.when(F.col("id") % 4 != 0, F.lit(0)).otherwise(F.col("id") % 7 + 1).alias("k"),
+        (base + F.make_dt_interval(hours=(F.col("id") * 37 % 10) + F.col("id") * 5))
+        .alias("ts"))
+    got = W.session_agg(df, ["k"], "ts", "6 hours", F.count(F.lit(1)).alias("n"))
+    want = (df.groupBy("k", F.session_window("ts", "6 hours").alias("w"))
+              .agg(F.count(F.lit(1)).alias("n"))
+              .select("k", F.col("w.start").alias("window_start"),
+                      F.col("w.end").alias("window_end"), "n"))
+    cols = ["k", "window_start", "window_end", "n"]
+    assert got.select(cols).exceptAll(want.select(cols)).count() == 0
+    assert want.select(cols).exceptAll(got.select(cols)).count() == 0
