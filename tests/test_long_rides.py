@@ -81,3 +81,30 @@ def test_alert_waits_for_watermark(spark):
 def test_end_after_timer_gives_one_alert(spark):
     late_end = [S(1, 0), E(5, 200), E(1, 150)]
     assert stream_alerts(spark, late_end) == [1]
+
+
+def _state_rows(spark, ck):
+    return spark.read.format("statestore").option("stateVarName", "pending").load(ck).count()
+
+
+def test_state_is_kept_then_cleared(spark):
+    import tempfile
+    folder = write_batches([[S(1, 0)]])
+    ck = tempfile.mkdtemp(prefix="eventide-lr-state-")
+
+    def run():
+        src = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).json(folder)
+        out = long_interval_alerts_stream(src, "rideId", "isStart", "eventTime", "2 hours",
+                                          "4 hours")
+        q = (out.writeStream.option("checkpointLocation", ck).format("noop")
+             .trigger(availableNow=True).start())
+        q.awaitTermination(300)
+
+    run()
+    assert _state_rows(spark, ck) == 1          # the START is remembered (timer armed)
+    import json
+    import os
+    with open(os.path.join(folder, "part-99999.json"), "w") as f:
+        f.write(json.dumps(E(1, 1)) + "\n")
+    run()                                       # the END arrives: both seen, state cleared
+    assert _state_rows(spark, ck) == 0
