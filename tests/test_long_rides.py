@@ -30,8 +30,9 @@ E = lambda r, m: ev(r, False, m)
 SENTINEL = E(-1, 100 * 60)
 
 
-def stream_alerts(spark, arrivals, delay="4 hours", sentinel=True):
-    batches = [[a] for a in arrivals] + ([[SENTINEL]] if sentinel else [])
+def stream_alerts(spark, arrivals, delay="4 hours", sentinel=True, per_batch=1):
+    batches = [arrivals[i:i + per_batch] for i in range(0, len(arrivals), per_batch)]
+    batches += [[SENTINEL]] if sentinel else []
     src = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).json(
         write_batches(batches))
     out = long_interval_alerts_stream(src, "rideId", "isStart", "eventTime", "2 hours", delay)
@@ -108,3 +109,18 @@ def test_state_is_kept_then_cleared(spark):
         f.write(json.dumps(E(1, 1)) + "\n")
     run()                                       # the END arrives: both seen, state cleared
     assert _state_rows(spark, ck) == 0
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_any_arrival_order_within_the_delay_gives_the_batch_answer(spark, seed):
+    import random
+    rnd = random.Random(seed)
+    events = []
+    for ride in range(1, 9):
+        start = rnd.randrange(0, 300)
+        if rnd.random() < 0.8:
+            events.append(E(ride, start + rnd.choice([30, 119, 120, 121, 200])))
+        events.append(S(ride, start))
+    rnd.shuffle(events)                  # all within a 24 h watermark delay: nothing is late
+    want = batch_alerts(spark, events)
+    assert stream_alerts(spark, events, delay="24 hours", per_batch=4) == want
