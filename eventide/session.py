@@ -47,6 +47,18 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def tune_for_input(spark: SparkSession, input_bytes: int,
+                   target_partition_bytes: int = 256 << 20) -> None:
+    """Size shuffles for an input of ``input_bytes``: enough initial shuffle partitions that
+    each holds ~``target_partition_bytes`` (AQE then coalesces small ones; it cannot split
+    big ones), and scan splits of the same size. E.g. 100 TB -> ~400k partitions."""
+    parts = max(spark.sparkContext.defaultParallelism, input_bytes // target_partition_bytes)
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(parts))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_partition_bytes))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(target_partition_bytes))
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin the per-session SQL settings the queries rely on, on a session built elsewhere:
     UTC session time (event times are zone-less; epoch arithmetic must not shift) and a
