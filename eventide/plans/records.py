@@ -141,12 +141,11 @@ def replay(lines, cycles: int):
     each line becomes a JSON record with quoted values and zone-shifted timestamp text."""
     rows = C.split_csv(lines, "line", ["user_id", "item_id", "category_id", "behavior", "sec"],
                        ["string", "string", "string", "string", "long"])
-    span = (rows.agg(((F.max("sec") - F.min("sec")) * 1000 + 1000).alias("shift_ms"))
-                .withColumn("__k", F.lit(0)))
-    # one-row aggregate joined on a constant key: a broadcast of exactly one row
-    shifted = (rows.withColumn("__k", F.lit(0)).join(F.broadcast(span), "__k")
-                   .withColumn("cycle", F.explode(F.sequence(F.lit(0), F.lit(cycles - 1))))
-                   .withColumn("ts_ms", F.col("sec") * 1000 + F.col("cycle") * F.col("shift_ms")))
+    # the cycle shift is one number (the log's time span): a global aggregate, read back
+    span = rows.agg(((F.max("sec") - F.min("sec")) * 1000 + 1000).alias("shift_ms")).first()
+    shift_ms = int(span["shift_ms"]) if span["shift_ms"] is not None else 0
+    shifted = (rows.withColumn("cycle", F.explode(F.sequence(F.lit(0), F.lit(cycles - 1))))
+                   .withColumn("ts_ms", F.col("sec") * 1000 + F.col("cycle") * F.lit(shift_ms)))
     return shifted.select(
         "cycle", F.col("item_id").cast("long").alias("item_id"),
         F.format_string(REPLAY_LINE, "user_id", "item_id", "category_id", "behavior",
