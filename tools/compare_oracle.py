@@ -22,6 +22,11 @@ from eventide.session import get_session  # noqa: E402
 from eventide.sources.tables import TABLES, table_path  # noqa: E402
 
 
+TYPE_MAP = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "float": "FLOAT",
+            "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
+            "smallint": "SMALLINT", "timestamp": "TIMESTAMP WITH TIME ZONE", "date": "DATE"}
+
+
 def _canon(v, approx: bool):
     if v is None:
         return "<null>"
@@ -86,6 +91,11 @@ def main(argv):
         msgs = []
         if sorted(s_cols) != sorted(o_cols):
             msgs.append(f"cols spark={s_cols} duck={o_cols}")
+        s_t = {c: TYPE_MAP.get(t, t) for c, t in zip(s_cols, s_types)}
+        o_t = dict(zip(o_cols, o_types))
+        bad_types = {c: (s_t[c], o_t.get(c)) for c in s_t if o_t.get(c) != s_t[c]}
+        if bad_types:
+            msgs.append(f"types {bad_types}")
         if len(s_rows) != len(o_rows):
             msgs.append(f"rows spark={len(s_rows)} duck={len(o_rows)}")
         exact = _rows(s_rows, s_cols, False) == _rows(o_rows, o_cols, False)
