@@ -164,6 +164,64 @@ def count_window_agg(df: DataFrame, order_cols: list[str], n: int, *aggs: Column
     return grouped.where(F.col("window_rows") == n)
 
 
+# -- pane-based window aggregates ----------------------------------------------------------
+# Hopping and cumulative windows overlap, so the row-level helpers above copy every row into
+# each window that covers it (size/slide or max/step copies) before aggregating. For
+# decomposable aggregates the rows are first reduced to panes -- slide (or step) sized
+# tumbling buckets, one partial row per key and pane -- and only those partials are fanned out
+# to the windows and combined. The row data goes through one partial aggregate; the fan-out
+# touches one row per pane.
+
+_PARTIAL = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}
+_COMBINE = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
+
+
+def _panes(df: DataFrame, ts: str, pane_us: int, keys: list[str],
+           aggs: dict[str, tuple[str, Column]]) -> DataFrame:
+    t = F.unix_micros(F.col(ts).cast("timestamp"))
+    pane = (F.floor(t / F.lit(pane_us)).cast("long") * F.lit(pane_us)).alias("__pane")
+    return df.groupBy(*keys, pane).agg(
+        *[_PARTIAL[kind](col).alias(name) for name, (kind, col) in aggs.items()])
+
+
+def _combine_windows(fanned: DataFrame, df: DataFrame, ts: str, keys: list[str],
+                     aggs: dict[str, tuple[str, Column]]) -> DataFrame:
+    out = fanned.groupBy(*keys, "__ws", "__we").agg(
+        *[_COMBINE[kind](F.col(name)).alias(name) for name, (kind, _) in aggs.items()])
+    return out.select(_as_ts_like(df, ts, F.col("__ws")).alias("window_start"),
+                      _as_ts_like(df, ts, F.col("__we")).alias("window_end"),
+                      *keys, *aggs)
+
+
+def hop_agg(df: DataFrame, ts: str, slide: str, size: str,
+            aggs: dict[str, tuple[str, Column]], keys: list[str] | None = None) -> DataFrame:
+    """Hopping-window aggregate (``name -> (count|sum|min|max, column)``) through panes."""
+    keys = list(keys or [])
+    slide_us, size_us = duration_micros(slide), duration_micros(size)
+    if size_us % slide_us:
+        raise ValueError("hop size must be a multiple of the slide")
+    panes = _panes(df, ts, slide_us, keys, aggs)
+    starts = F.sequence(F.col("__pane") - F.lit(size_us - slide_us), F.col("__pane"),
+                        F.lit(slide_us))
+    fanned = (panes.withColumn("__ws", F.explode(starts))
+                   .withColumn("__we", F.col("__ws") + F.lit(size_us)))
+    return _combine_windows(fanned, df, ts, keys, aggs)
+
+
+def cumulate_agg(df: DataFrame, ts: str, step: str, max_size: str,
+                 aggs: dict[str, tuple[str, Column]], keys: list[str] | None = None) -> DataFrame:
+    """Cumulative-window aggregate through step-sized panes."""
+    keys = list(keys or [])
+    step_us, max_us = duration_micros(step), duration_micros(max_size)
+    if max_us % step_us:
+        raise ValueError("cumulate max size must be a multiple of the step")
+    panes = _panes(df, ts, step_us, keys, aggs)
+    start = F.floor(F.col("__pane") / F.lit(max_us)).cast("long") * F.lit(max_us)
+    ends = F.sequence(F.col("__pane") + F.lit(step_us), start + F.lit(max_us), F.lit(step_us))
+    fanned = panes.withColumn("__ws", start).withColumn("__we", F.explode(ends))
+    return _combine_windows(fanned, df, ts, keys, aggs)
+
+
 def global_window(df: DataFrame, ts: str, size: str) -> DataFrame:
     """Unkeyed tumbling window over the whole stream (``windowAll``): a tumble with no key.
     The aggregation after it is still partial per task, so only one row per window and task

@@ -60,7 +60,8 @@ GROUP BY s"""
 
 def _hop(slide: str, size: str):
     def fn(spark, d):
-        return W.window_count_agg(W.hop(purchases(spark, d), "ts", slide, size), name="buy_cnt")
+        return W.hop_agg(purchases(spark, d), "ts", slide, size,
+                         {"buy_cnt": ("count", F.lit(1))})
     fn.__doc__ = f"COUNT of buy events per hopping window (slide {slide}, size {size})."
     return fn
 
@@ -82,8 +83,8 @@ GROUP BY s, e"""
 
 def _cumulate(step: str, max_size: str):
     def fn(spark, d):
-        return W.window_count_agg(W.cumulate(purchases(spark, d), "ts", step, max_size),
-                                  name="buy_cnt")
+        return W.cumulate_agg(purchases(spark, d), "ts", step, max_size,
+                              {"buy_cnt": ("count", F.lit(1))})
     fn.__doc__ = f"COUNT of buy events per cumulative window (step {step}, max {max_size})."
     return fn
 

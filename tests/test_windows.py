@@ -90,3 +90,20 @@ def test_stream_cumulate_equals_batch_for_closed_windows(spark):
     want = _closed(batch.select("window_start", "window_end", "n").collect(),
                    max_ts - dt.timedelta(hours=1))
     assert got == want and len(got) > 10
+
+
+def test_pane_aggregates_equal_row_level_windows(spark):
+    ev = read_table(spark, SF001, "events")
+    aggs = {"n": ("count", F.lit(1)), "s": ("sum", F.col("user_id")),
+            "lo": ("min", F.col("value")), "hi": ("max", F.col("value"))}
+    row_aggs = [F.count(F.lit(1)).alias("n"), F.sum("user_id").alias("s"),
+                F.min("value").alias("lo"), F.max("value").alias("hi")]
+    cols = ["window_start", "window_end", "event_type", "n", "s", "lo", "hi"]
+    pane = W.hop_agg(ev, "ts", "20 minutes", "2 hours", aggs, keys=["event_type"]).select(cols)
+    rows = (W.hop(ev, "ts", "20 minutes", "2 hours")
+            .groupBy("window_start", "window_end", "event_type").agg(*row_aggs).select(cols))
+    assert pane.exceptAll(rows).count() == 0 and rows.exceptAll(pane).count() == 0
+    pane = W.cumulate_agg(ev, "ts", "15 minutes", "2 hours", aggs, keys=["event_type"]).select(cols)
+    rows = (W.cumulate(ev, "ts", "15 minutes", "2 hours")
+            .groupBy("window_start", "window_end", "event_type").agg(*row_aggs).select(cols))
+    assert pane.exceptAll(rows).count() == 0 and rows.exceptAll(pane).count() == 0
