@@ -15,13 +15,13 @@ from pyspark.sql import types as T
 
 def read_topic(spark: SparkSession, topic: str, servers: str | None = None,
                fmt: str = "kafka", stream: bool = True, starting: str = "earliest",
-               **options) -> DataFrame:
+               schema: str | None = "key string, value string", **options) -> DataFrame:
     """A topic as a DataFrame with ``key``/``value`` as text (plus ``headers``, ``partition``,
     ``offset``, ``timestamp`` for the broker source). ``starting="earliest"`` reads from the
     beginning; consumer offsets are tracked by the query checkpoint, not by auto-commit.
 
     For ``fmt != "kafka"``, ``topic`` is a folder of files of that format holding the same
-    columns (tests)."""
+    columns, read with ``schema`` (tests)."""
     reader = spark.readStream if stream else spark.read
     if fmt == "kafka":
         r = (reader.format("kafka").option("kafka.bootstrap.servers", servers)
@@ -35,6 +35,8 @@ def read_topic(spark: SparkSession, topic: str, servers: str | None = None,
         return df.withColumn("key", F.col("key").cast("string")).withColumn(
             "value", F.col("value").cast("string"))
     r = reader.format(fmt)
+    if schema:
+        r = r.schema(schema)
     for k, v in options.items():
         r = r.option(k, v)
     return r.load(topic)
