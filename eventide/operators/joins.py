@@ -93,7 +93,8 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, l_ts: str, r_ts: str,
         F.struct(*[F.col(c) for c in l_cols]).alias("__left"),
         F.lit(None).cast(right.select(F.struct(*payload_fields)).schema[0].dataType)
          .alias("__right"))
-    ru = right.select(
+    # a NULL key never equals anything: such right rows can match no left row
+    ru = right.where(F.col(key).isNotNull()).select(
         F.col(key).alias("__k"), micros(r_ts).alias("__t"), F.lit(0).alias("__side"),
         F.col(r_id).cast("long").alias("__id"),
         F.lit(None).cast(left.select(F.struct(*l_cols)).schema[0].dataType).alias("__left"),
@@ -101,6 +102,7 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, l_ts: str, r_ts: str,
     both = lu.unionByName(ru)
     scanned = prefix_scan(both, ["__k"], ["__t", "__side", "__id"],
                           {"__match": ("max", F.col("__right"))})
+    # NULL-key left rows meet no right row (none were kept), so their match is NULL
     return (scanned.where(F.col("__side") == 1)
                    .select(*[F.col(f"__left.{c}").alias(c) for c in l_cols],
                            *[F.col(f"__match.{c}").alias(c) for c in r_cols]))

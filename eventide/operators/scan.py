@@ -68,6 +68,15 @@ def with_pieces(df: DataFrame, order_col: str, n: int | None = None,
     return out.withColumn(name, F.col("__bucket").cast("int")).drop("__ord", "__bucket")
 
 
+def join_null_safe(big: DataFrame, summary: DataFrame, cols: list[str]) -> DataFrame:
+    """Inner join on ``cols`` where NULL keys match each other (a NULL key is one group in
+    the window and in the summary, so its rows must meet their own carry)."""
+    s = summary.select(*[F.col(c).alias(f"__r_{c}") for c in cols],
+                       *[c for c in summary.columns if c not in cols])
+    cond = [F.col(c).eqNullSafe(F.col(f"__r_{c}")) for c in cols]
+    return big.join(s, cond, "inner").drop(*[f"__r_{c}" for c in cols])
+
+
 def _carry_agg(kind: str, c: Column) -> Column:
     # The carry of earlier pieces combines per-piece results: counts add up.
     return F.sum(c) if kind in ("count", "sum") else _AGG[kind](c)
@@ -114,7 +123,7 @@ def prefix_scan(df: DataFrame, keys: list[str], order_cols: list[str],
         *[_carry_agg(aggs[n][0], F.col(f"__s_{n}")).over(w_prev).alias(f"__c_{n}")
           for n in names])
 
-    out = local.join(carry, [*keys, "__piece"], "inner")
+    out = join_null_safe(local, carry, [*keys, "__piece"])
     for n in names:
         out = out.withColumn(n, _combine(aggs[n][0], F.col(f"__l_{n}"), F.col(f"__c_{n}")))
     drop = [f"__{p}_{n}" for n in names for p in ("v", "l", "c")]

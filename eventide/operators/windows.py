@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from pyspark.sql.window import Window
 
-from eventide.operators.scan import positions, with_pieces
+from eventide.operators.scan import join_null_safe, positions, with_pieces
 
 _UNIT_MICROS = {
     "microsecond": 1,
@@ -134,8 +134,8 @@ def session_agg(df: DataFrame, keys: list[str], ts: str, gap: str, *aggs: Column
     summary = summary.withColumn("__copens", F.coalesce(
         F.sum(F.col("__nopen") + F.col("__fopen")).over(earlier), F.lit(0)))
 
-    joined = loc.join(summary.select(*keys, "__piece", "__fopen", "__copens"),
-                      [*keys, "__piece"], "inner")
+    joined = join_null_safe(loc, summary.select(*keys, "__piece", "__fopen", "__copens"),
+                            [*keys, "__piece"])
     sid = (F.col("__copens") + F.col("__fopen") + F.col("__lcum")).alias("__sid")
     out = joined.groupBy(*keys, sid).agg(
         F.min(ts).alias("window_start"), (F.max(ts) + interval(gap)).alias("window_end"), *aggs)

@@ -130,3 +130,19 @@ def test_session_agg_matches_spark_sessions_under_skew(spark):
     cols = ["k", "window_start", "window_end", "n"]
     assert got.select(cols).exceptAll(want.select(cols)).count() == 0
     assert want.select(cols).exceptAll(got.select(cols)).count() == 0
+
+
+def test_null_keys_keep_their_rows(spark):
+    from eventide.operators import windows as W
+    df = spark.createDataFrame([(None, 1, 2), (None, 2, 3), (1, 1, 5)], "k int, t int, v int")
+    out = prefix_scan(df, ["k"], ["t"], {"s": ("sum", F.col("v"))})
+    assert {(r.k, r.t, r.s) for r in out.collect()} == {(None, 1, 2), (None, 2, 5), (1, 1, 5)}
+    base = dt.datetime(2024, 1, 1)
+    ev = spark.createDataFrame([(None, base), (None, base + dt.timedelta(hours=1)), (1, base)],
+                               "k int, ts timestamp_ntz")
+    ses = W.session_agg(ev, ["k"], "ts", "6 hours", F.count(F.lit(1)).alias("n"))
+    assert sorted((r.k is None, r.n) for r in ses.collect()) == [(False, 1), (True, 2)]
+    left = spark.createDataFrame([(1, None, base)], "id long, user_id long, ts timestamp_ntz")
+    right = spark.createDataFrame([(9, None, base)], "rid long, user_id long, rts timestamp_ntz")
+    got = J.asof_join(left, right, "user_id", "ts", "rts", "id", "rid", ["rid"]).collect()
+    assert [(r.id, r.rid) for r in got] == [(1, None)]
