@@ -79,7 +79,7 @@ def instant_text(ts) -> Column:
     """ISO-8601 UTC text of a timestamp, fraction printed in groups of 3 digits only when
     non-zero (``2020-01-01T12:00:00Z``, ``...:07.179575Z`` -> ``...:07.179575Z``)."""
     c = _c(ts)
-    micros = F.unix_micros(c.cast("timestamp")) % F.lit(1_000_000)
+    micros = F.pmod(F.unix_micros(c.cast("timestamp")), F.lit(1_000_000))
     base = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
     frac = (F.when(micros == 0, F.lit(""))
              .when(micros % 1000 == 0, F.format_string(".%03d", (micros / 1000).cast("int")))

@@ -123,3 +123,12 @@ def test_distance_to_point_uses_the_event_end(spark):
     r = df.select(G.distance_to_point("s", "a", "b", "c", "d", F.lit(-73.99), F.lit(40.75))
                   .alias("x")).collect()
     assert r[0].x == 0.0 and r[1].x > 0.0
+
+
+def test_instant_text_fraction_groups(spark):
+    df = spark.createDataFrame([("2020-01-01 12:00:00",), ("2020-01-01 12:00:00.25",),
+                                ("2020-01-01 12:00:00.000123",), ("1969-12-31 23:59:59.5",)],
+                               "s string").select(F.to_timestamp_ntz("s").alias("t"))
+    got = [r.x for r in df.select(C.instant_text("t").alias("x")).collect()]
+    assert got == ["2020-01-01T12:00:00Z", "2020-01-01T12:00:00.250Z",
+                   "2020-01-01T12:00:00.000123Z", "1969-12-31T23:59:59.500Z"]
