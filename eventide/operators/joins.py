@@ -30,10 +30,11 @@ def micros(ts: str | Column) -> Column:
 def checked_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """``broadcast(dim)`` if it has at most ``max_rows`` rows, else ``dim`` unchanged.
 
-    The check is a ``limit(max_rows + 1).count()`` job: it stops reading once the bound is
-    exceeded, so it costs at most ``max_rows`` rows even on a huge table.
+    The check is a ``limit(max_rows + 1).count()`` job over no columns: each task stops after
+    ``max_rows + 1`` rows and a columnar scan reads no column data for it, so even a huge
+    table is checked cheaply.
     """
-    n = dim.limit(max_rows + 1).count()
+    n = dim.select(F.lit(1).alias("__one")).limit(max_rows + 1).count()
     return F.broadcast(dim) if n <= max_rows else dim
 
 
