@@ -21,15 +21,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows over at least ``min_partitions`` tasks (default: the cluster's
-    default parallelism) when the scan yields fewer -- e.g. one file with one row group.
+    """Round-robin the rows over ``min_partitions`` tasks (default: the cluster's default
+    parallelism) when the scan yields at most a quarter of that -- e.g. one file with one row
+    group -- so CPU-heavy per-row work (text splitting, JSON codecs, Arrow UDFs) uses all cores.
 
-    Used before CPU-heavy per-row work (text splitting, JSON codecs, Arrow UDFs). On a large
-    table the scan already has far more partitions than cores and nothing is added.
+    A scan with at least a quarter as many partitions as cores is left alone: a full shuffle
+    of a large table costs more than the idle cores it would fill.
     """
     spark = df.sparkSession
     want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    if df.rdd.getNumPartitions() * 4 > want:
         return df
     return df.repartition(want)
 
