@@ -84,3 +84,19 @@ def test_dedup_streams_and_window_top_n(spark):
          .trigger(availableNow=True).start())
     q.awaitTermination(300)
     assert sorted((r.u, r.total, r.rn) for r in ranked) == [(1, 14, 1), (2, 10, 2)]
+
+
+def test_running_count_and_argmax_streams(spark):
+    from eventide.streaming.running import running_argmax_stream, running_count_stream
+    batches = [[{"d": 1, "tip": 5.0, "id": 1}, {"d": 2, "tip": 1.0, "id": 2}],
+               [{"d": 1, "tip": 7.0, "id": 3}], [{"d": 1, "tip": 7.0, "id": 4}]]
+    folder = write_batches(batches)
+
+    def src():
+        return spark.readStream.schema("d long, tip double, id long").option(
+            "maxFilesPerTrigger", 1).json(folder)
+
+    counts = run_to_end(running_count_stream(src(), ["d"]), output_mode="update")
+    assert [(r.d, r.running_count) for r in counts if r.d == 1] == [(1, 1), (1, 2), (1, 3)]
+    best = run_to_end(running_argmax_stream(src(), ["d"], "tip", "id"), output_mode="update")
+    assert [(r.best_value, r.best_id) for r in best if r.d == 1][-1] == (7.0, 3)
