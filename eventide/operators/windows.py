@@ -1,10 +1,11 @@
 """Event-time windows as DataFrame helpers.
 
-Each helper takes a DataFrame (batch or streaming) and returns it with ``window_start`` and
-``window_end`` columns, the same shape a windowing table-valued function has in SQL. A row
-belongs to ``[window_start, window_end)``. Grouping on those columns afterwards is an ordinary
-aggregation, so Catalyst plans a partial (map-side) aggregate before the single shuffle on the
-window key.
+Row-level helpers (``tumble``, ``hop``, ``cumulate``) return the rows with ``window_start`` and
+``window_end`` columns, the shape a windowing table-valued function has in SQL; a row belongs to
+``[window_start, window_end)``, and grouping on those columns is an ordinary aggregation with a
+partial (map-side) aggregate before the shuffle. Aggregating helpers (``hop_agg``,
+``cumulate_agg``, ``session_agg``, ``count_window_agg``) return one row per window and are
+written to keep every task bounded when one key or one window is huge.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
 from pyspark.sql.window import Window
 
 from eventide.operators.scan import join_null_safe, positions, with_pieces
