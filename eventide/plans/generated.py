@@ -122,3 +122,31 @@ def synth_user_behavior(spark, d):
         G.int_range(e, 3, 1, 49).alias("category_id"),
         G.choice(e, 4, BEHAVIORS).alias("behavior"),
         _past("ts", e, 5, 8000).alias("ts"))
+
+
+# -- the reference's three ride jobs on its own generator, driven by the table's ids --------
+
+@query("generated_hourly_tips")
+def generated_hourly_tips(spark, d):
+    """Hourly tips over the seeded fare stream: per hour the driver with the largest tip sum
+    (the golden-value job; no SQL oracle because the generator is not SQL-expressible)."""
+    from eventide.operators import aggs as A
+    return A.hourly_tips(G.gen_fares(ride_ids(spark, d)), "startTime", "driverId", F.col("tip"))
+
+
+@query("generated_rides_with_fares")
+def generated_rides_with_fares(spark, d):
+    """Each START ride of the seeded stream enriched with its fare (1:1 on ride id)."""
+    rides = G.gen_rides(ride_ids(spark, d)).where("isStart").select(
+        "rideId", "driverId", "eventTime", "startLon", "startLat")
+    fares = G.gen_fares(ride_ids(spark, d)).select("rideId", "tip", "tolls", "totalFare")
+    return rides.join(fares, "rideId", "inner")
+
+
+@query("generated_long_rides")
+def generated_long_rides(spark, d):
+    """Rides of the seeded stream whose END is missing or more than 2 h after the START."""
+    from eventide.operators import joins as J
+    rides = G.gen_rides(ride_ids(spark, d))
+    pairs = J.pair_start_end(rides, "rideId", F.col("isStart"), "eventTime")
+    return J.long_interval_alerts(pairs, "2 hours")

@@ -17,7 +17,9 @@ def test_oracle_keys_are_queries():
     assert set(o) <= set(q)
     assert len(q) >= 60
     # only generator / per-route-walk queries go without an oracle
-    assert set(q) - set(o) == {"gen_rides", "gen_fares", "route_cell_counts"}
+    assert set(q) - set(o) == {"gen_rides", "gen_fares", "route_cell_counts",
+                               "generated_hourly_tips", "generated_rides_with_fares",
+                               "generated_long_rides"}
 
 
 @pytest.mark.parametrize("name", sorted(E.queries()))

@@ -73,3 +73,20 @@ def test_arrival_order_shuffles_starts_within_batches(spark):
         ids = sorted(i for _, i in rows)
         assert ids == list(range(5 * b + 1, 5 * b + 6))
         assert sorted(rk for rk, _ in rows) == [(1 << 40) + p for p in range(5)]
+
+
+def test_generated_queries_on_the_tables(spark):
+    import __spark_entry__ as E
+    from tests.conftest import SF001
+    q = E.queries()
+    n_events = spark.read.parquet(f"{SF001}/events.parquet").count()
+    assert q["generated_rides_with_fares"](spark, SF001).count() == n_events
+    tips = sorted((r.window_end_ms, r.driver_id, float(r.tips))
+                  for r in q["generated_hourly_tips"](spark, SF001).collect())
+    if n_events >= 6 * 180:
+        assert tips[:6] == GOLDEN_HOURLY
+    # rides 1..1000 happen to hold no ride over 2 h (the longest is 114 min); the count over
+    # 20,000 rides is checked above
+    long_rides = q["generated_long_rides"](spark, SF001)
+    assert long_rides.columns == ["rideId", "start_ts", "end_ts"]
+    assert long_rides.count() < n_events
