@@ -8,7 +8,7 @@ from eventide.plans import registry  # noqa: F401
 from eventide.plans import windowing  # noqa: F401
 from eventide.plans.registry import REGISTRY
 
-_OPTIONAL = ["ranking", "joins", "geo", "records", "generated", "cdc"]
+_OPTIONAL = ["ranking", "joins", "geo", "records", "generated", "cdc", "streams"]
 
 for _m in _OPTIONAL:
     if importlib.util.find_spec(f"eventide.plans.{_m}") is not None:
