@@ -29,6 +29,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from eventide.session import cluster_cores
+
 _AGG = {"count": F.count, "sum": F.sum, "max": F.max, "min": F.min}
 # Upper bound on pieces: at 100 TB a piece is then ~1.5 GB, so no (key, piece) task is larger.
 MAX_PIECES = 65536
@@ -36,7 +38,7 @@ MAX_PIECES = 65536
 
 def default_pieces(df: DataFrame) -> int:
     """Four pieces per core of the cluster, at least 8, at most ``MAX_PIECES``."""
-    return max(8, min(MAX_PIECES, 4 * df.sparkSession.sparkContext.defaultParallelism))
+    return max(8, min(MAX_PIECES, 4 * cluster_cores(df.sparkSession)))
 
 
 def order_value(df: DataFrame, col: str) -> Column:

@@ -47,12 +47,21 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def cluster_cores(spark: SparkSession) -> int:
+    """Task slots of the cluster (``defaultParallelism``); where the session exposes no
+    SparkContext, the configured shuffle partitions stand in."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # sessions without a local SparkContext
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def tune_for_input(spark: SparkSession, input_bytes: int,
                    target_partition_bytes: int = 256 << 20) -> None:
     """Size shuffles for an input of ``input_bytes``: enough initial shuffle partitions that
     each holds ~``target_partition_bytes`` (AQE then coalesces small ones; it cannot split
     big ones), and scan splits of the same size. E.g. 100 TB -> ~400k partitions."""
-    parts = max(spark.sparkContext.defaultParallelism, input_bytes // target_partition_bytes)
+    parts = max(cluster_cores(spark), input_bytes // target_partition_bytes)
     spark.conf.set("spark.sql.shuffle.partitions", str(parts))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(parts))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_partition_bytes))

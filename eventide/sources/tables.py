@@ -7,6 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventide.session import cluster_cores
+
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -28,9 +30,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     A scan with at least a quarter as many partitions as cores is left alone: a full shuffle
     of a large table costs more than the idle cores it would fill.
     """
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 4 > want:
+    want = min_partitions or cluster_cores(df.sparkSession)
+    try:
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of this session: leave the plan as it is
+        return df
+    if have * 4 > want:
         return df
     return df.repartition(want)
 
