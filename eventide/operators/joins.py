@@ -88,6 +88,9 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, l_ts: str, r_ts: str,
     """
     payload_fields = [r_ts, r_id, *[c for c in r_cols if c not in (r_ts, r_id)]]
     l_cols = left.columns
+    clash = set(l_cols) & set(r_cols)
+    if clash:
+        raise ValueError(f"rename the right-side columns {sorted(clash)}: they exist on the left")
     lu = left.select(
         F.col(key).alias("__k"), micros(l_ts).alias("__t"), F.lit(1).alias("__side"),
         F.col(l_id).cast("long").alias("__id"),
