@@ -107,3 +107,16 @@ def test_pane_aggregates_equal_row_level_windows(spark):
     rows = (W.cumulate(ev, "ts", "15 minutes", "2 hours")
             .groupBy("window_start", "window_end", "event_type").agg(*row_aggs).select(cols))
     assert pane.exceptAll(rows).count() == 0 and rows.exceptAll(pane).count() == 0
+
+
+def test_stream_hop_equals_batch_for_closed_windows(spark):
+    ev = read_table(spark, SF001, "events").where("event_type = 'purchase'")
+    batch = W.hop_agg(ev, "ts", "20 minutes", "1 hour", {"n": ("count", F.lit(1))})
+    stream = window_agg_stream(
+        read_table_stream(spark, SF001, "events").where("event_type = 'purchase'"),
+        "ts", "0 seconds", "1 hour", F.count(F.lit(1)).alias("n"), slide="20 minutes")
+    got = sorted((r.window_start.replace(tzinfo=None), r.window_end.replace(tzinfo=None), r.n)
+                 for r in run_to_end(stream))
+    max_ts = ev.agg(F.max("ts")).first()[0]
+    want = _closed(batch.select("window_start", "window_end", "n").collect(), max_ts)
+    assert got == want and len(got) > 10
