@@ -33,10 +33,6 @@ def query(name: str, sql: str | None = None):
 
 # -- small SQL text helpers for the oracle (DuckDB dialect) -------------------------------
 
-def us(col: str) -> str:
-    return f"epoch_us({col})"
-
-
 def bucket_us(col: str, micros: int) -> str:
     """Start of the epoch-aligned bucket, in microseconds."""
     return f"(epoch_us({col}) // {micros}) * {micros}"

@@ -132,3 +132,37 @@ def test_instant_text_fraction_groups(spark):
     got = [r.x for r in df.select(C.instant_text("t").alias("x")).collect()]
     assert got == ["2020-01-01T12:00:00Z", "2020-01-01T12:00:00.250Z",
                    "2020-01-01T12:00:00.000123Z", "1969-12-31T23:59:59.500Z"]
+
+
+def test_cells_on_way_udf_matches_the_walk(spark):
+    import numpy as np
+    rows = [(-73.99, 40.75, -73.90, 40.70), (-73.95, 40.60, -73.95, 40.90),
+            (-73.80, 40.80, -74.00, 40.55)]
+    df = spark.createDataFrame(rows, "a float, b float, c float, d float")
+    got = [r.cells for r in df.select(G.cells_on_way("a", "b", "c", "d").alias("cells")).collect()]
+    for (a, b, c, d), cells in zip(rows, got):
+        x1, y1 = G._grid_index_np(np.array([a], np.float32), np.array([b], np.float32))
+        x2, y2 = G._grid_index_np(np.array([c], np.float32), np.array([d], np.float32))
+        assert cells == G._cells_on_way(int(x1[0]), int(y1[0]), int(x2[0]), int(y2[0]))
+
+
+def test_run_ids_are_unique():
+    ids = {R.new_run_id() for _ in range(100)}
+    assert len(ids) == 100
+
+
+def test_tune_for_input_sizes_shuffles(spark):
+    from eventide.session import tune_for_input
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes",
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        tune_for_input(spark, 100 * 2**40)
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) == 100 * 2**40 // (256 << 20)
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
