@@ -64,6 +64,8 @@ def with_pieces(df: DataFrame, order_col: str, n: int | None = None,
     err = max(1e-5, 0.5 / n)
     qs = tmp.approxQuantile("__ord", [i / n for i in range(1, n)], err) if n > 1 else []
     inner = sorted({q for q in qs if q is not None and math.isfinite(q)})
+    if not inner:  # empty input, or only NULL order values: one piece
+        return tmp.withColumn(name, F.lit(0)).drop("__ord")
     splits = [-math.inf] + inner + [math.inf]
     out = Bucketizer(splits=splits, inputCol="__ord", outputCol="__bucket",
                      handleInvalid="keep").transform(tmp)

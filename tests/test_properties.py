@@ -70,3 +70,37 @@ def test_sessions_and_running_counts(spark, rows):
         seen[rows[i][0]] = seen.get(rows[i][0], 0) + 1
         want[i] = seen[rows[i][0]]
     assert got == want
+
+
+pairs = st.lists(st.tuples(st.integers(0, 2), st.integers(0, 900)), min_size=0, max_size=40)
+
+
+@SETTINGS
+@given(left=pairs, right=pairs)
+def test_interval_and_asof_joins(spark, left, right):
+    from eventide.operators import joins as J
+    lrows = [(i, k, BASE + m * MIN) for i, (k, m) in enumerate(left)]
+    rrows = [(100 + i, k, BASE + m * MIN) for i, (k, m) in enumerate(right)]
+    ldf = spark.createDataFrame(lrows, "lid long, k long, lts timestamp_ntz")
+    rdf = spark.createDataFrame(rrows, "rid long, k long, rts timestamp_ntz")
+    got = {(r.lid, r.rid) for r in J.interval_join(
+        ldf, rdf, "k", "lts", "rts", "-90 minutes", "15 minutes").collect()}
+    want = {(li, ri) for li, lk, lt in lrows for ri, rk, rt in rrows
+            if lk == rk and lt - 90 * MIN <= rt <= lt + 15 * MIN}
+    assert got == want
+    got = {r.lid: r.rid for r in J.asof_join(ldf, rdf, "k", "lts", "rts", "lid", "rid",
+                                             ["rid"]).collect()}
+    want = {}
+    for li, lk, lt in lrows:
+        cands = [(rt, ri) for ri, rk, rt in rrows if rk == lk and rt <= lt]
+        want[li] = max(cands)[1] if cands else None
+    assert got == want
+
+
+@SETTINGS
+@given(n=st.integers(1, 7), size=st.integers(0, 300))
+def test_count_windows_keep_only_full_windows(spark, n, size):
+    df = spark.range(size).select((F.col("id") * 5 + 3).alias("v"))
+    out = W.count_window_agg(df, ["v"], n, F.min("v").alias("lo"), F.count(F.lit(1)).alias("c"))
+    got = sorted((r.window_id, r.lo) for r in out.collect())
+    assert got == [(w, w * n * 5 + 3) for w in range(size // n)]
