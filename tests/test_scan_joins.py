@@ -146,3 +146,19 @@ def test_null_keys_keep_their_rows(spark):
     right = spark.createDataFrame([(9, None, base)], "rid long, user_id long, rts timestamp_ntz")
     got = J.asof_join(left, right, "user_id", "ts", "rts", "id", "rid", ["rid"]).collect()
     assert [(r.id, r.rid) for r in got] == [(1, None)]
+
+
+def test_operators_accept_empty_input(spark):
+    from eventide.operators import aggs as A
+    from eventide.operators import ranking as R
+    from eventide.operators import windows as W
+    empty = spark.createDataFrame([], "k long, id long, ts timestamp_ntz, v double")
+    assert prefix_scan(empty, ["k"], ["ts", "id"], {"c": ("count", F.lit(1))}).count() == 0
+    assert W.session_agg(empty, ["k"], "ts", "1 hour", F.count(F.lit(1)).alias("n")).count() == 0
+    assert W.hop_agg(empty, "ts", "5 minutes", "1 hour", {"n": ("count", F.lit(1))}).count() == 0
+    assert W.cumulate_agg(empty, "ts", "5 minutes", "1 hour", {"n": ("count", F.lit(1))}).count() == 0
+    assert W.count_window_agg(empty, ["id"], 4, F.sum("v").alias("s")).count() == 0
+    assert A.running_argmax(empty, ["k"], ["ts", "id"], "v", "id").count() == 0
+    assert R.dedup_last(empty, ["k"], [F.col("ts")]).count() == 0
+    other = empty.select("k", F.col("id").alias("rid"), F.col("ts").alias("rts"))
+    assert J.asof_join(empty, other, "k", "ts", "rts", "id", "rid", ["rid"]).count() == 0
