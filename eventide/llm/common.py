@@ -44,6 +44,25 @@ def id_and_text(docs: DataFrame, id_col: str, text_col: str, *more: str) -> Data
     return spread(docs.select(*cols, *more))
 
 
+def doc_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """A name for a row by its content, for joining decisions back: id (padded, so that names
+    of ids from 0 on sort as they do; a null id sorts last), hash and length of the text. Rows
+    that repeat id and text share it."""
+    written = F.coalesce(F.lpad(F.col(id_col).cast("string"), 20, "0"), F.lit("~"))
+    text = text_or_empty(text_col)
+    return F.concat_ws(":", written, F.hex(F.xxhash64(text)), F.length(text).cast("string"))
+
+
+#: Rows that are broadcast at once: a few numbers, or a document's key and some.
+BROADCAST_ROWS = 500_000
+
+
+def bounded_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``rows`` (narrow) rows; otherwise as it is,
+    to be joined by a shuffle. Pass a materialised frame: its rows are counted."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def slots_within(df: DataFrame, group: Sequence[str], spread_on: Sequence[str],
                  order: Sequence[str], out: str, buckets: int = 1024) -> DataFrame:
     """Gapless numbers from 0 within each group, without sorting a group in one task.

@@ -107,21 +107,51 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A source supplies exactly its target, rounded down to words: whole passes over all its
     documents, then its documents in hash order until the words are met; the last one may be
     taken in part. Nothing is taken beyond ``max_repeats`` times a document's size. The order is
-    by md5 of the id, then id, size and text, so reruns agree; identical rows swap freely. Null texts
-    and texts without words have size 0 and are never taken; null sources form a source that
-    stands last; an empty table gives no rows; other columns are not read.
+    by md5 of the id (without one: of the text), then id, size and text, so reruns agree;
+    identical rows swap freely. Null texts and texts without words have size 0 and are never
+    taken; null sources form a source that stands last; an empty table gives no rows; other
+    columns are not read.
     """
-    slim = spread(docs.select(F.col(id_col).alias("doc_id"),
-                              F.col(source_col).cast("string").alias("source"),
-                              text_or_empty(text_col).alias("text")))
-    slim = materialise(slim.select(
-        "doc_id", F.col("source").isNull().alias("_none"),
-        F.coalesce("source", F.lit("")).alias("source"), word_count(F.col("text")).alias("size"),
-        F.md5(F.coalesce(F.col("doc_id").cast("string"), F.md5("text"))).alias("_h"),
-        F.crc32("text").alias("_crc")), "mix-sizes")
-    cut = slim.withColumn("_b", F.substring("_h", 1, BUCKET_DIGITS))
+    slim = materialise(_sized(docs, id_col, text_col, source_col), "mix-sizes")
+    taken = _taken(slim, slim, max_repeats)
+    return taken.select(
+        "doc_id", "size", F.when(~F.col("_none"), F.col("source")).alias("source"),
+        "source_size", "weight", "target", "before", "taken",
+        F.when(F.col("taken") > 0, _position(F.lit(0), schedules)).alias("position"))
+
+
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    source_col: str = "source", max_repeats: int = MAX_REPEATS,
+                    schedules=schedule_of) -> DataFrame:
+    """The training sequence: ``docs`` (all columns, whole texts) with a row for each occurrence
+    that ``mix`` takes, in whole or in part, range-sorted by its position. The texts are
+    shuffled twice: to their place in their source, and to their place in training."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
+    rows = _sized(docs, id_col, text_col, source_col, whole)
+    taken = _taken(rows, rows.drop("_doc"), max_repeats).where("taken > 0")
+    last = F.ceil(F.col("taken") / F.col("size")).cast("long") - 1
+    placed = (taken.withColumn("_pass", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+                   .select(_position(F.col("_pass"), schedules).alias("_at"), "_doc"))
+    return (placed.repartitionByRange("_at").sortWithinPartitions("_at").select("_doc.*"))
+
+
+def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str,
+           *more: Column) -> DataFrame:
+    """What placing a row needs: doc_id, _none and source, size, _h (hash order), _b (bucket)."""
+    text = text_or_empty(text_col)
+    rows = spread(docs).select(
+        F.col(id_col).alias("doc_id"), F.col(source_col).isNull().alias("_none"),
+        F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"),
+        word_count(text).alias("size"), F.crc32(text).alias("_crc"),
+        F.md5(F.coalesce(F.col(id_col).cast("string"), F.md5(text))).alias("_h"), *more)
+    return rows.withColumn("_b", F.substring("_h", 1, BUCKET_DIGITS))
+
+
+def _taken(rows: DataFrame, slim: DataFrame, max_repeats: int) -> DataFrame:
+    """``rows`` with source_size, weight, target, before and taken; ``slim`` are the same rows
+    with few columns."""
     key = ["_none", "source", "_b"]
-    per_bucket = cut.groupBy(*key).agg(F.sum("size").alias("_n"))
+    per_bucket = slim.groupBy(*key).agg(F.sum("size").alias("_n"))
     ahead = (Window.partitionBy("_none", "source").orderBy("_b")
                    .rowsBetween(Window.unboundedPreceding, -1))
     offsets = per_bucket.withColumn("_off", F.coalesce(F.sum("_n").over(ahead), F.lit(0)))
@@ -131,26 +161,29 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col("source").isNull().alias("_none"),
         F.coalesce("source", F.lit("")).alias("source"), "source_size", "weight", "target")
     # per bucket: what a row needs, so that rows meet it where the window has put them
-    per_bucket = offsets.join(targets, ["_none", "source"]).drop("_n")
+    per_bucket = materialise(offsets.join(targets, ["_none", "source"]).drop("_n"),
+                             "mix-buckets")
     run = (Window.partitionBy(*key).orderBy("_h", "doc_id", "size", "_crc")
                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    rows = (cut.withColumn("_run", F.sum("size").over(run)).join(per_bucket, key)
-               .withColumn("before", F.col("_off") + F.col("_run") - F.col("size")))
+    placed = (rows.withColumn("_run", F.sum("size").over(run)).join(per_bucket, key)
+                  .withColumn("before", F.col("_off") + F.col("_run") - F.col("size")))
     words = F.floor("target")
     passes = F.when(F.col("source_size") > 0, F.floor(words / F.col("source_size"))) \
               .otherwise(0).cast("long")
     rest = words - passes * F.col("source_size") - F.col("before")
     taken = passes * F.col("size") + F.least(F.greatest(rest, F.lit(0)), F.col("size"))
-    first = F.least(F.col("size"), taken)
-    share = (F.col("before") + first / 2) / F.col("target")
+    return placed.withColumn("taken", taken.cast("long"))
+
+
+def _position(nth: Column, schedules) -> Column:
+    """Training time of a row's occurrence ``nth`` (from 0), at its middle word."""
+    part = F.least(F.col("size"), F.col("taken") - nth * F.col("size"))
+    share = (F.col("before") + nth * F.col("source_size") + part / 2) / F.nullif(F.col("target"), F.lit(0.0))
     at = None
     for when, knots in schedules(F.col("weight")):
-        at = F.when(when, demand_time(share, knots)) if at is None \
-            else at.when(when, demand_time(share, knots))
-    return rows.withColumn("taken", taken.cast("long")).select(
-        "doc_id", "size", F.when(~F.col("_none"), F.col("source")).alias("source"),
-        "source_size", "weight", "target", "before", "taken",
-        F.when(F.col("taken") > 0, at).alias("position"))
+        time = demand_time(share, knots)
+        at = F.when(when, time) if at is None else at.when(when, time)
+    return at
 
 
 def training_order(mixed: DataFrame) -> DataFrame:

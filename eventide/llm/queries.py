@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import chat_format, exact_dedup, mixing, sharding
+from eventide.llm import (chat_format, decontaminate, exact_dedup, langid, license_scan, mixing,
+                          quality, sharding, simhash_dedup, toxicity)
 from eventide.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +20,21 @@ def query(fn):
     return fn
 
 
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the documents that are not held out."""
+    return langid.identify(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, with the number of offending tokens."""
+    scored = toxicity.detect(read_table(spark, sf_dir, "documents"),
+                             read_table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted",
+                         F.size("spans").alias("n_spans"))
+
+
 @query
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents mixed to their sources' targets, in training order."""
@@ -59,6 +75,27 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
 FROM p"""
 
 
+@query
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document."""
+    return quality.classify(read_table(spark, sf_dir, "documents"),
+                            read_table(spark, sf_dir, "labels"))
+
+
+@query
+def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return simhash_dedup.near_duplicate_groups(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "fingerprint", "component_id", "component_size")
+
+
+@query
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the item and the best window."""
+    return decontaminate.matches(read_table(spark, sf_dir, "documents"),
+                                 read_table(spark, sf_dir, "benchmark")).drop("doc_key")
+
+
 @query
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicate groups of all documents."""
@@ -71,6 +108,12 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))"""
 
 
+@query
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in all documents."""
+    return license_scan.scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
 PROBE = f"{chat_format.END}{chat_format.START}assistant ok"
 
 
