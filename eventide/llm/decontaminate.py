@@ -136,7 +136,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     table gives no rows; other columns are not read.
     """
     rows = id_and_text(docs, id_col, text_col).select(
-        doc_key().alias("doc_key"), "doc_id", words_of(F.col("text")).alias("words"))
+        doc_key().alias("doc_key"), "doc_id", "text")
     items = materialise(_items(benchmark, item_col, item_text), "benchmark-items")
     out = [_matches_of_width(rows, items.where(F.col("width") == w), w, threshold, radius)
            for w in sorted(r[0] for r in items.select("width").distinct().collect())]
@@ -153,10 +153,16 @@ def _anchors(rows: DataFrame, places: DataFrame, width: int) -> DataFrame:
     found = []
     for b in range(blocks):
         part = known.where(F.pmod("h", F.lit(2 * blocks)).isin(2 * b, 2 * b + 1))
-        found.append(
-            rows.select("doc_key", F.size("words").alias("n_words"),
-                        F.posexplode(shingle_hashes("words", width)).alias("pos", "h"))
-                .join(F.broadcast(part), "h", "left_semi"))
+        # The words stay behind: an exploded row carries three numbers and the key. (The outer
+        # form, as the optimizer would test the inner one's array for emptiness by making it
+        # once more, word by word.)
+        hashed = (rows.select("doc_key", words_of(F.col("text")).alias("words"))
+                      .select("doc_key", F.size("words").alias("n_words"),
+                              shingle_hashes("words", width).alias("hs")))
+        found.append(hashed.select("doc_key", "n_words",
+                                   F.posexplode_outer("hs").alias("pos", "h"))
+                           .where("pos is not null")
+                           .join(F.broadcast(part), "h", "left_semi"))
     return materialise(reduce(DataFrame.union, found), "benchmark-anchors")
 
 
@@ -174,6 +180,7 @@ def _matches_of_width(rows: DataFrame, items: DataFrame, width: int, threshold:
     laid = materialise(laid, "benchmark-windows")
     cut = F.slice("words", F.col("w.start") + 1, F.col("w.n"))
     windows = (rows.join(bounded_broadcast(laid), "doc_key")
+                   .select("doc_key", "doc_id", words_of(F.col("text")).alias("words"), "at")
                    .select("doc_key", "doc_id", "words", F.explode("at").alias("w"))
                    .select("doc_key", "doc_id", "w.start", "w.n", cut.alias("words"))
                    .dropDuplicates(["doc_key", "start", "n"])
