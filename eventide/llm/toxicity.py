@@ -18,8 +18,9 @@ toxic tokens; offending offsets are the tokens with a marginal of at least one h
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -34,10 +35,10 @@ CHAIN = 64
 TOKEN = re.compile(r"\w+")
 PREFIXES, SUFFIXES = (3, 4, 5, 6), (4, 5)
 #: The field is fitted on at most about this many labelled documents of each class.
-PER_CLASS = 2500
+PER_CLASS = 1500
 #: A feature marks tokens if it is in this many times more toxic than clean documents, in
 #: relation to their numbers, and in this share of the toxic ones (three at least).
-MARK_RATIO, MARK_SHARE, MARK_DOCS = 12.0, 0.01, 3
+MARK_RATIO, MARK_SHARE, MARK_DOCS = 20.0, 0.015, 3
 #: A token is an offending one from this marginal on.
 SPAN_CUT = 0.5
 PREDICT_CUT = 0.3
@@ -63,9 +64,9 @@ class Field:
         return {k: v for k, v in vars(self).items() if k != "_seen"}
 
     def emissions(self, tokens: list[str]) -> np.ndarray:
-        """Summed feature weights per token; most are 0. Forms met before are remembered."""
+        """Summed feature weights per token; most are 0. Forms met lately are remembered."""
         seen = self._seen
-        if len(seen) > 500_000:
+        if len(seen) > 100_000:
             seen.clear()
         out = list(map(seen.get, tokens))
         if None in out:
@@ -144,54 +145,99 @@ def document_score(p: np.ndarray, model: Field, tokens: int) -> float:
 
 # -- training -----------------------------------------------------------------------------
 
-def marking_features(docs: list[list[str]], toxic: np.ndarray) -> set[str]:
-    """Features whose presence in a document speaks strongly for label 1."""
-    with_f, without_f = Counter(), Counter()
-    for tokens, y in zip(docs, toxic, strict=True):
-        found = {f for t in set(tokens) for f in token_features(t)}
-        (with_f if y else without_f).update(found)
+def _tokens(texts: Iterable[str]) -> Iterator[list[str]]:
+    return (TOKEN.findall(t) for t in texts)
+
+
+def _found(tokens: Iterable[str]) -> set[str]:
+    return {f for t in set(map(str.lower, tokens)) for f in token_features(t)}
+
+
+def distinct_texts(texts: Sequence[str], bands: int = 6, rows: int = 2) -> list[int]:
+    """Places of the texts that are no near copy of an earlier one: copies share all their
+    words, so any word of a large group of copies would look like a mark. Near copies meet in
+    one of ``bands`` pairs of least word hashes."""
+    seeds = np.random.default_rng(11).integers(1, 2**63, bands * rows, dtype=np.uint64) | 1
+    met: set[tuple[int, ...]] = set()
+    out = []
+    for i, tokens in enumerate(_tokens(texts)):
+        h = np.array([zlib.crc32(t.lower().encode()) for t in set(tokens)] or [0], dtype=np.uint64)
+        least = [int(((h * s) >> np.uint64(20)).min()) for s in seeds]
+        keys = {(b, *least[b * rows:(b + 1) * rows]) for b in range(bands)}
+        if met.isdisjoint(keys):
+            out.append(i)
+        met |= keys
+    return out
+
+
+def marking_features(texts: Sequence[str], toxic: np.ndarray) -> set[str]:
+    """Features whose presence in a document speaks strongly for label 1. Most features are
+    rare: hashed counts over the toxic texts say which can reach the least count at all, and
+    only those are counted by name. Texts are read again for each count, not kept as tokens."""
     n1, n0 = int(toxic.sum()), int(len(toxic) - toxic.sum())
     least = max(MARK_DOCS, MARK_SHARE * n1)
+    bad = [t for t, y in zip(texts, toxic, strict=True) if y]
+    rough = np.zeros(1 << 20, dtype=np.int32)
+
+    def bucket(f: str) -> int:
+        return zlib.crc32(f.encode()) & 0xFFFFF
+
+    for tokens in _tokens(bad):
+        rough[np.unique([bucket(f) for f in _found(tokens)]).astype(np.int64)] += 1
+    with_f = Counter()
+    for tokens in _tokens(bad):
+        with_f.update(f for f in _found(tokens) if rough[bucket(f)] >= least)
+    with_f = {f: a for f, a in with_f.items() if a >= least}
+    without_f = Counter()
+    for tokens in _tokens(t for t, y in zip(texts, toxic, strict=True) if not y):
+        without_f.update(with_f.keys() & _found(tokens))
     return {f for f, a in with_f.items()
-            if a >= least and (a / n1) / ((without_f[f] + 0.5) / (n0 + 1)) >= MARK_RATIO}
-
-
-def fit_field(docs: list[list[str]], toxic: np.ndarray, rounds: int = 80, rate: float = 0.3,
+            if (a / n1) / ((without_f[f] + 0.5) / (n0 + 1)) >= MARK_RATIO}
+
+
+def weighted_features(texts: Sequence[str], toxic: np.ndarray, marks: set[str]) -> list[str]:
+    """Features that get a weight: of at least ``MARK_DOCS`` tokens labelled T, and of not ten
+    times as many labelled O. The bias speaks for all others."""
+    t_count, every = Counter(), Counter()
+    for tokens, y in zip(_tokens(texts), toxic, strict=True):
+        if y:
+            for x in tokens:
+                fs = token_features(x)
+                if not marks.isdisjoint(fs):
+                    t_count.update(fs)
+    names = {f for f, n in t_count.items() if n >= MARK_DOCS}
+    for tokens in _tokens(texts):
+        every.update(f for x in tokens for f in token_features(x) if f in names)
+    return sorted(f for f in names if every[f] <= 10 * t_count[f])
+
+
+def fit_field(texts: Sequence[str], toxic: np.ndarray, rounds: int = 80, rate: float = 0.3,
               l2: float = 1.0) -> Field:
     """Mark tokens, then climb the chains' log likelihood with per-weight adaptive steps."""
-    marks = marking_features(docs, toxic)
-    chain_tokens, tags = [], []
-    for tokens, y in zip(docs, toxic, strict=True):
-        t = np.array([bool(y) and any(f in marks for f in token_features(x)) for x in tokens],
-                     dtype=bool)
-        for lo in range(0, len(tokens), CHAIN):
-            chain_tokens.append(tokens[lo:lo + CHAIN])
-            tags.append(t[lo:lo + CHAIN])
-    # features seen with tag T get a weight; the bias speaks for all others
-    names = sorted({f for c, t in zip(chain_tokens, tags, strict=True)
-                    for x, y in zip(c, t, strict=True) if y for f in token_features(x)})
+    marks = marking_features(texts, toxic)
+    names = weighted_features(texts, toxic, marks)
     number = {f: i for i, f in enumerate(names)}
-    known: dict[str, list[int]] = {}
-    # chains without any known feature look alike but for their length: count, don't repeat
+    # chains without any weighted feature look alike but for their length: count, don't repeat
     alike: Counter = Counter()
     places, feats, rows, gold = [], [], [], []
     used = 0
-    for c, t in zip(chain_tokens, tags, strict=True):
-        found = []
-        for k, x in enumerate(c):
-            ids = known.get(x)
-            if ids is None:
-                ids = known[x] = [number[f] for f in token_features(x) if f in number]
-            found += [(k, i) for i in ids]
-        if not found:
-            alike[len(c)] += 1
-            continue
-        places += [k for k, _ in found]
-        feats += [i for _, i in found]
-        rows += [used] * len(found)
-        gold.append((len(c), t))
-        used += 1
-    for n, times in sorted(alike.items()):
+    for tokens, y in zip(_tokens(texts), toxic, strict=True):
+        for lo in range(0, len(tokens), CHAIN):
+            c = tokens[lo:lo + CHAIN]
+            found, t = [], np.zeros(len(c), dtype=bool)
+            for k, x in enumerate(c):
+                fs = token_features(x)
+                t[k] = bool(y) and not marks.isdisjoint(fs)
+                found += [(k, number[f]) for f in fs if f in number]
+            if not found:
+                alike[len(c)] += 1
+                continue
+            places += [k for k, _ in found]
+            feats += [i for _, i in found]
+            rows += [used] * len(found)
+            gold.append((len(c), t))
+            used += 1
+    for n, _ in sorted(alike.items()):
         gold.append((n, np.zeros(n, dtype=bool)))
     weight = np.concatenate([np.ones(used), [v for _, v in sorted(alike.items())]])
     m = len(gold)
@@ -265,14 +311,12 @@ def fit(docs: DataFrame, taught: DataFrame, per_class: int = PER_CLASS) -> Field
         toxic = table["label"].to_numpy().astype(bool)
         if toxic.all() or not toxic.any():
             return (float(toxic.sum()) + 0.5) / (len(toxic) + 1)
-        docs = [TOKEN.findall(t.as_py()) for t in table["text"]]
-        # exact copies would make their rare words look like marks
-        first = {}
-        for i, d in enumerate(docs):
-            first.setdefault((toxic[i], " ".join(d)), i)
-        keep = sorted(first.values())
-        model = fit_field([docs[i] for i in keep], toxic[keep])
-        x = np.array([summary(tag(d, model)[1], model, len(d)) for d in docs])
+        texts = table["text"].to_pylist()
+        bad = np.flatnonzero(toxic)
+        keep = sorted([*np.flatnonzero(~toxic),
+                       *bad[distinct_texts([texts[i] for i in bad])]])
+        model = fit_field([texts[i] for i in keep], toxic[keep])
+        x = np.array([summary(tag(d, model)[1], model, len(d)) for d in _tokens(texts)])
         model.scale = fit_scale(x, toxic.astype(float), table["_weight"].to_numpy())
         return model.state()
 
