@@ -1,0 +1,139 @@
+"""Decontamination against a scan of every window, and its parts against plain Python."""
+
+import random
+import re
+from collections import Counter
+
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from eventide.llm import decontaminate as D
+from tests.llm.data import CLASH, docs, odd_rows, prose
+
+
+def words(t):
+    return re.findall(r"[^\W_]+", (t or "").lower())
+
+
+def shingles(w, width):
+    return Counter(tuple(w[i:i + width]) for i in range(len(w) - width + 1))
+
+
+def similarity(a, b, width):
+    x, y = shingles(a, width), shingles(b, width)
+    top, bottom = sum((x & y).values()), sum((x | y).values())
+    return top / bottom if bottom else 0.0
+
+
+def brute(rows, items, threshold=0.8):
+    out = {}
+    for i, text, *_ in rows:
+        w = words(text)
+        for item, t in items:
+            want = words(t)
+            if not want:
+                continue
+            width = min(5, len(want))
+            starts = range(max(1, len(w) - len(want) + 1))
+            best = max(similarity(w[s:s + len(want)], want, width) for s in starts)
+            if best >= threshold:
+                out[i, item] = best
+    return out
+
+
+def bench(spark, items):
+    return spark.createDataFrame([(i, t, "x") for i, t in items],
+                                 "item_id long, text string, score string")
+
+
+def planted():
+    r = random.Random(2)
+    items = [(k, prose(1000 + k, 12 + 4 * k)) for k in range(10)]
+    items += [(20, prose(50, 3)), (21, ""), (22, None), (23, prose(51, 5)), (24, items[3][1]),
+              (25, " ".join(["again"] * 20))]
+    rows = odd_rows()
+    for n in range(60):
+        w = prose(n, 120).split()
+        k, at = n % 10, r.randrange(100)
+        copy = items[k][1].split()
+        if n % 3 == 1:
+            copy[r.randrange(len(copy))] = "other"
+        if n % 3 == 2:
+            copy = copy[:-2] if n % 2 else [x.upper() + "," for x in copy]
+        w[at:at] = copy
+        rows.append((100 + n, " ".join(w)))
+    rows += [(200, items[5][1]), (201, " ".join(items[6][1].split()[:-1])), (202, prose(51, 5)),
+             (203, prose(9, 30) + " " + prose(50, 3)), (204, "again " * 400)]
+    return rows, items
+
+
+def test_same_as_scanning_every_window(spark):
+    rows, items = planted()
+    got = D.matches(docs(spark, rows, CLASH), bench(spark, items)).collect()
+    want = brute(rows, items)
+    assert {(r.doc_id, r.item_id) for r in got} == set(want)
+    assert all(r.similarity == pytest.approx(want[r.doc_id, r.item_id]) for r in got)
+    assert len(got) == len(want)
+
+
+def test_clean_documents_stay(spark):
+    rows, items = planted()
+    df = docs(spark, rows, CLASH)
+    out = D.clean_documents(df, bench(spark, items))
+    hit = {i for i, _ in brute(rows, items)}
+    assert out.schema == df.schema
+    assert Counter((r.doc_id, r.text) for r in out.collect()) == Counter(
+        (i, t) for i, t, *_ in rows if i not in hit)
+
+
+def test_blocks_of_the_query_set_and_shuffled_joins(spark, monkeypatch):
+    from eventide.llm import common
+    rows, items = planted()
+    monkeypatch.setattr(D, "BROADCAST_ROWS", 40)
+    monkeypatch.setattr(D, "bounded_broadcast", lambda df: common.bounded_broadcast(df, 5))
+    got = D.matches(docs(spark, rows), bench(spark, items)).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == set(brute(rows, items))
+
+
+def test_simhash_and_index(spark):
+    r = random.Random(1)
+    hashes = [[r.getrandbits(64) - (1 << 63) for _ in range(n)] for n in (1, 2, 7, 300)]
+    df = spark.createDataFrame([(h,) for h in hashes], "h array<long>")
+    for row in df.select("h", D.simhash("h").alias("fp")).collect():
+        want = sum(1 << b for b in range(64)
+                   if 2 * sum((x % (1 << 64)) >> b & 1 for x in row.h) > len(row.h))
+        assert row.fp % (1 << 64) == want
+    fp = 0x123456789ABCDEF0
+    index = D.multi_index(spark.createDataFrame([(7, 3, fp)], "item_id long, n int, fp long"))
+    entries = {(x.block, x.value) for x in index.collect()}
+    for _ in range(50):  # whatever lies within the radius meets the item in some block
+        near = fp
+        for b in r.sample(range(64), D.RADIUS):
+            near ^= 1 << b
+        assert any((k, near >> 8 * k & 255) in entries for k in range(8))
+
+
+def test_shingle_hashes(spark):
+    df = spark.createDataFrame([(["a", "b", "c", "d", "e", "é"],), (["a"],), ([],)], "w array<string>")
+    got = [r[0] for r in df.select(D.shingle_hashes("w", 5)).collect()]
+
+    def chain(ws):
+        h = 42
+        for w in ws:
+            h = xxhash.xxh64_intdigest(w.encode(), h)
+        return h - (1 << 64) if h >= 1 << 63 else h
+    assert got == [[chain("abcde"), chain("bcdeé")], [], []]
+
+
+def test_empty_tables(spark):
+    rows, items = planted()
+    assert D.matches(docs(spark, []), bench(spark, items)).collect() == []
+    assert D.matches(docs(spark, rows), bench(spark, [])).collect() == []
+    assert D.clean_documents(docs(spark, rows), bench(spark, [])).count() == len(rows)
+
+
+def test_words(spark):
+    got = docs(spark, [(1, "It's 4G, naïve_café! é सु")]).select(
+        D.words_of(F.col("text")).alias("w")).first().w
+    assert got == ["it", "s", "4g", "naïve", "café", "é", "सु"]
