@@ -68,29 +68,35 @@ def shingle_texts(words: str, width: Column) -> Column:
 
 
 def simhash(hashes: str | Column) -> Column:
-    """64 majority bits of an array of 64-bit hashes (fewer than 32768 of them); empty: 0."""
-    def lane(k: int) -> Column:
-        return F.aggregate(hashes, F.lit(0).cast("long"), lambda acc, h: acc + (
-            F.shiftrightunsigned(h, k).bitwiseAND(F.lit(0x0001000100010001))))
-
-    lanes = [lane(k) for k in range(16)]
-    n = F.size(hashes)
-    fp = F.lit(0).cast("long")
-    for k, lane in enumerate(lanes):
-        for j in range(4):
-            bit = 16 * j + k
-            count = F.shiftrightunsigned(lane, 16 * j).bitwiseAND(F.lit(0xFFFF))
+    """64 majority bits of an array of 64-bit hashes (fewer than 32768 of them); empty: 0. Packed
+    word k counts bits k, k + 16, k + 32 and k + 48 side by side. Hashes and packed words are
+    lambda variables, so neither is made again for every bit that is read from it."""
+    one = F.lit(0x0001000100010001)
+
+    def packed(h: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(15)), lambda k: F.aggregate(
+            h, F.lit(0).cast("long"), lambda acc, x: acc + F.call_function(
+                "shiftrightunsigned", x, k).bitwiseAND(one)))
+
+    def majority(counts: Column, n: Column) -> Column:
+        fp = F.lit(0).cast("long")
+        for bit in range(64):
+            count = F.shiftrightunsigned(F.get(counts, F.lit(bit % 16)), 16 * (bit // 16)) \
+                     .bitwiseAND(F.lit(0xFFFF))
             value = (1 << bit) - (1 << 64 if bit == 63 else 0)
             fp = fp.bitwiseOR(F.when(count * 2 > n, F.lit(value).cast("long"))
                               .otherwise(F.lit(0).cast("long")))
-    return fp
+        return fp
+
+    hs = F.col(hashes) if isinstance(hashes, str) else hashes
+    both = F.transform(F.array(hs), lambda h: F.struct(packed(h).alias("c"),
+                                                       F.size(h).alias("n")))
+    return F.element_at(F.transform(both, lambda p: majority(p.c, p.n)), 1)
 
 
 def simhash_of_words(words: str, width: int) -> Column:
     """SimHash of the shingles of an array of words; fewer words than a shingle give 0."""
-    # through a lambda, so that the hashes are made once and not for every counter
-    once = F.transform(F.array(shingle_hashes(words, width)), lambda h: simhash(h))
-    return F.element_at(once, 1)
+    return simhash(shingle_hashes(words, width))
 
 
 def _block(fp: str, k: int) -> Column:
