@@ -60,8 +60,20 @@ class Field:
     scale: np.ndarray = field(default_factory=lambda: np.array([0.0, 1.0, 0.0]))
     _seen: dict[str, float] = field(default_factory=dict)  # forms met before
 
+    def __post_init__(self) -> None:
+        # a form can only have a weight if it begins or ends like one that has
+        self._heads = {f[1:4] for f in self.weights if f[0] != ">"}
+        self._tails = {f[-min(SUFFIXES):] for f in self.weights if f[0] == ">"}
+
     def state(self) -> dict:
-        return {k: v for k, v in vars(self).items() if k != "_seen"}
+        return {k: v for k, v in vars(self).items() if k[0] != "_"}
+
+    def weight(self, token: str) -> float:
+        w = token.lower()
+        if w[:3] not in self._heads and w[-min(SUFFIXES):] not in self._tails:
+            return 0.0
+        get = self.weights.get
+        return sum(get(f, 0.0) for f in token_features(w))
 
     def emissions(self, tokens: list[str]) -> np.ndarray:
         """Summed feature weights per token; most are 0. Forms met lately are remembered."""
@@ -70,11 +82,9 @@ class Field:
             seen.clear()
         out = list(map(seen.get, tokens))
         if None in out:
-            get = self.weights.get
             for i, e in enumerate(out):
                 if e is None:
-                    out[i] = seen[tokens[i]] = sum(
-                        get(f, 0.0) for f in token_features(tokens[i]))
+                    out[i] = seen[tokens[i]] = self.weight(tokens[i])
         return np.array(out, dtype=np.float64)
 
 
@@ -117,17 +127,28 @@ def chains(values: np.ndarray) -> np.ndarray:
     return out.reshape(n, CHAIN).T
 
 
-def tag(tokens: list[str], model: Field) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the tokens in chains with a weighted feature, and their marginals."""
-    e = model.emissions(tokens)
-    hit = np.unique(np.flatnonzero(e) // CHAIN)
-    if not len(hit):
-        return np.empty(0, dtype=np.int64), np.empty(0)
-    places = (hit[:, None] * CHAIN + np.arange(CHAIN)).T
-    inside = places < len(e)
-    x = np.where(inside, e[np.minimum(places, len(e) - 1)] + model.bias, -np.inf)
-    p = marginals(x, model.moves)
-    return places[inside], p[inside]
+def tag(docs: Iterable[list[str]], model: Field) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """For each document its number of tokens, the places of the tokens in chains with a weighted
+    feature, and their marginals. All chains go through one forward-backward pass."""
+    lengths, at, columns = [], [], []
+    for tokens in docs:
+        e = model.emissions(tokens)
+        hit = np.unique(np.flatnonzero(e) // CHAIN)
+        lengths.append(len(e))
+        at.append(hit)
+        for c in hit:
+            x = np.full(CHAIN, -np.inf)
+            part = e[c * CHAIN:(c + 1) * CHAIN]
+            x[:len(part)] = part + model.bias
+            columns.append(x)
+    p = marginals(np.array(columns).T, model.moves).T if columns else np.empty((0, CHAIN))
+    out, used = [], 0
+    for n, hit in zip(lengths, at, strict=True):
+        places = (hit[:, None] * CHAIN + np.arange(CHAIN)).ravel()
+        inside = places < n
+        out.append((n, places[inside], p[used:used + len(hit)].ravel()[inside]))
+        used += len(hit)
+    return out
 
 
 def summary(p: np.ndarray, model: Field, tokens: int) -> tuple[float, float]:
@@ -316,7 +337,7 @@ def fit(docs: DataFrame, taught: DataFrame, per_class: int = PER_CLASS) -> Field
         keep = sorted([*np.flatnonzero(~toxic),
                        *bad[distinct_texts([texts[i] for i in bad])]])
         model = fit_field([texts[i] for i in keep], toxic[keep])
-        x = np.array([summary(tag(d, model)[1], model, len(d)) for d in _tokens(texts)])
+        x = np.array([summary(p, model, n) for n, _, p in tag(_tokens(texts), model)])
         model.scale = fit_scale(x, toxic.astype(float), table["_weight"].to_numpy())
         return model.state()
 
@@ -331,6 +352,12 @@ def _plain(model):
     return model.state() if isinstance(model, Field) else model
 
 
+def _slices(column: pa.Array, rows: int = 256) -> Iterator[list[str]]:
+    """The texts, some at a time; null counts as empty."""
+    for lo in range(0, len(column), rows):
+        yield [t or "" for t in column.slice(lo, rows).to_pylist()]
+
+
 def _model(plain):
     return Field(**plain) if isinstance(plain, dict) else plain
 
@@ -345,22 +372,20 @@ def score(docs: DataFrame, model: Field | float | None) -> DataFrame:
     places = [docs.columns.index(c) for c in names]
     span = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("marginal", pa.float64())])
 
-    def one(text: str, m) -> tuple[float, list[dict]]:
-        if not isinstance(m, Field):
-            return (0.0 if m is None else m), []
-        tokens = TOKEN.findall(text)
-        marked, p = tag(tokens, m)
-        s = document_score(p, m, len(tokens))
-        bad = {int(i): float(v) for i, v in zip(marked, p, strict=True) if v >= SPAN_CUT}
-        if not bad:
-            return s, []
-        return s, [{"start": x.start(), "end": x.end(), "marginal": bad[i]}
-                   for i, x in enumerate(TOKEN.finditer(text)) if i in bad]
+    def some(texts: list[str], m) -> Iterator[tuple[float, list[dict]]]:
+        for text, (n, marked, p) in zip(texts, tag(_tokens(texts), m), strict=True):
+            bad = {int(i): float(v) for i, v in zip(marked, p, strict=True) if v >= SPAN_CUT}
+            yield document_score(p, m, n), [
+                {"start": x.start(), "end": x.end(), "marginal": bad[i]}
+                for i, x in enumerate(TOKEN.finditer(text)) if i in bad] if bad else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = _model(held.value)
         for b in batches:
-            found = [one(t.as_py() or "", m) for t in b.column(at)]
+            if isinstance(m, Field):
+                found = [x for texts in _slices(b.column(at)) for x in some(texts, m)]
+            else:
+                found = [(m or 0.0, [])] * b.num_rows
             scores = np.array([s for s, _ in found], dtype=np.float64)
             yield pa.RecordBatch.from_arrays(
                 [*[b.column(k) for k in places], pa.array(scores),
@@ -413,15 +438,16 @@ def keep_clean(docs: DataFrame, model, text_col: str = "text") -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(_plain(model))
     at = docs.columns.index(text_col)
 
-    def clean(text: str, m: Field) -> bool:
-        tokens = TOKEN.findall(text)
-        return document_score(tag(tokens, m)[1], m, len(tokens)) < PREDICT_CUT
+    def clean(texts: list[str], m: Field) -> list[bool]:
+        return [document_score(p, m, n) < PREDICT_CUT for n, _, p in tag(_tokens(texts), m)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = _model(held.value)
         for b in batches:
-            stay = [clean(t.as_py() or "", m) if isinstance(m, Field) else (m or 0) < PREDICT_CUT
-                    for t in b.column(at)]
+            if isinstance(m, Field):
+                stay = [x for texts in _slices(b.column(at)) for x in clean(texts, m)]
+            else:
+                stay = [(m or 0.0) < PREDICT_CUT] * b.num_rows
             yield b.filter(pa.array(stay, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

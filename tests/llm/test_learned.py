@@ -135,12 +135,13 @@ def test_forward_backward():
 def test_chains_without_features_need_no_pass():
     m = toxicity.Field({"=bad": 6.0}, -4.0, np.array([0.0, -1.0, -0.5, 0.5]))
     tokens = ["fine"] * 200 + ["BAD"] + ["fine"] * 100
-    places, p = toxicity.tag(tokens, m)
+    (n, places, p), (_, none, _), (_, again, q) = toxicity.tag([tokens, ["fine"] * 500, tokens], m)
     whole = toxicity.chains(m.emissions(tokens) + m.bias)
     want = toxicity.marginals(whole, m.moves).T.ravel()[:len(tokens)]
     assert p == pytest.approx(want[places]) and 200 in places
     assert places[p.argmax()] == 200
-    assert len(toxicity.tag(["fine"] * 500, m)[0]) == 0
+    assert n == len(tokens) and len(none) == 0
+    assert (again == places).all() and (p == q).all()
 
 
 def toxic_rows():
