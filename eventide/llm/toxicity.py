@@ -38,7 +38,7 @@ PREFIXES, SUFFIXES = (3, 4, 5, 6), (4, 5)
 PER_CLASS = 1500
 #: A feature marks tokens if it is in this many times more toxic than clean documents, in
 #: relation to their numbers, and in this share of the toxic ones (three at least).
-MARK_RATIO, MARK_SHARE, MARK_DOCS = 20.0, 0.015, 3
+MARK_RATIO, MARK_SHARE, MARK_DOCS = 20.0, 0.01, 3
 #: A token is an offending one from this marginal on.
 SPAN_CUT = 0.5
 PREDICT_CUT = 0.3
@@ -177,12 +177,14 @@ def _found(tokens: Iterable[str]) -> set[str]:
 def distinct_texts(texts: Sequence[str], bands: int = 6, rows: int = 2) -> list[int]:
     """Places of the texts that are no near copy of an earlier one: copies share all their
     words, so any word of a large group of copies would look like a mark. Near copies meet in
-    one of ``bands`` pairs of least word hashes."""
+    one of ``bands`` pairs of least hashes of three-token runs."""
     seeds = np.random.default_rng(11).integers(1, 2**63, bands * rows, dtype=np.uint64) | 1
     met: set[tuple[int, ...]] = set()
     out = []
     for i, tokens in enumerate(_tokens(texts)):
-        h = np.array([zlib.crc32(t.lower().encode()) for t in set(tokens)] or [0], dtype=np.uint64)
+        h = np.array([zlib.crc32(t.lower().encode()) for t in tokens] or [0], dtype=np.uint64)
+        for _ in range(2 if len(h) > 2 else 0):  # runs of three tokens
+            h = h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]
         least = [int(((h * s) >> np.uint64(20)).min()) for s in seeds]
         keys = {(b, *least[b * rows:(b + 1) * rows]) for b in range(bands)}
         if met.isdisjoint(keys):

@@ -22,8 +22,8 @@ def docs(spark, rows, more=()):
 
 
 #: nulls in every column, empty and blank texts, a very long one, repeats and ties
-def odd_rows():
-    long = prose(1, 60_000)
+def odd_rows(long=60_000):
+    long = prose(1, long)
     return [(1, "", "en", "a"), (2, None, "en", "a"), (None, "a text without an id", None, None),
             (None, None, None, None), (3, " \t\n ", "en", "b"), (4, long, "en", "b"),
             (5, long, "en", "b"), (6, prose(2, 40), "en", "c"), (6, prose(2, 40), "en", "c"),

@@ -52,7 +52,7 @@ def planted():
     items = [(k, prose(1000 + k, 12 + 4 * k)) for k in range(10)]
     items += [(20, prose(50, 3)), (21, ""), (22, None), (23, prose(51, 5)), (24, items[3][1]),
               (25, " ".join(["again"] * 20))]
-    rows = odd_rows()
+    rows = odd_rows(3000)
     for n in range(60):
         w = prose(n, 120).split()
         k, at = n % 10, r.randrange(100)
