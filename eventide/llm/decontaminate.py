@@ -139,7 +139,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     Null texts count as empty; documents and items without words match nothing; repeated rows
     (same id and text) share one set of rows; a null id is a document like any other; an empty
-    table gives no rows; other columns are not read.
+    table gives no rows; texts of any length are read whole; other columns are not read.
     """
     rows = id_and_text(docs, id_col, text_col).select(
         doc_key().alias("doc_key"), "doc_id", "text")
@@ -218,15 +218,17 @@ def _matches_of_width(rows: DataFrame, items: DataFrame, width: int, threshold:
 
 def weighted_similarity(a: str, b: str, width: int) -> Column:
     """Sum of the smaller over sum of the larger shingle counts of two word arrays."""
-    left, right = shingle_texts(a, F.lit(width)), shingle_texts(b, F.lit(width))
-
-    def common(x: Column, y: Column) -> Column:
-        return F.aggregate(F.array_distinct(x), F.lit(0), lambda acc, s: acc + F.least(
+    def share(x: Column, y: Column) -> Column:
+        both = F.aggregate(F.array_distinct(x), F.lit(0), lambda acc, s: acc + F.least(
             F.size(F.filter(x, lambda t: t == s)), F.size(F.filter(y, lambda t: t == s))))
-
-    total = F.size(left) + F.size(right)
-    both = common(left, right)
-    return F.when(total > both, both / (total - both)).otherwise(F.lit(0.0))
+        total = F.size(x) + F.size(y)
+        return F.transform(F.array(both), lambda n: F.when(total > n, n / (total - n))
+                           .otherwise(F.lit(0.0)))[0]
+
+    # the shingles are lambda variables: made once, not for every shingle they are compared with
+    pair = F.array(F.struct(shingle_texts(a, F.lit(width)).alias("x"),
+                            shingle_texts(b, F.lit(width)).alias("y")))
+    return F.transform(pair, lambda p: share(p.x, p.y))[0]
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
