@@ -117,5 +117,6 @@ def format_conversations(conversations: DataFrame) -> DataFrame:
     """``conversations`` (conv_id, turn, role, text) rendered: conv_id, formatted, loss_spans.
 
     Null texts and roles count as empty; null conversation ids form one conversation; repeated
-    rows are turns of their own; an empty table gives no rows; other columns are not read."""
+    rows are turns of their own; an empty table gives no rows; texts of any length are kept
+    whole; other columns are not read."""
     return render(fold_events(event_log(conversations)))

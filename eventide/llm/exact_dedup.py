@@ -43,7 +43,8 @@ def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     made = materialise(
         rows.select(F.monotonically_increasing_id().alias("row_no"), "doc_id",
                     F.sha2(F.col("text"), 256).alias("text_sha256"),
-                    F.transform(chunk_list(F.col("text")), lambda c: chunk_hash(c)).alias("recipe")),
+                    F.transform(chunk_list(F.col("text")), lambda c: chunk_hash(c))
+                     .alias("recipe")),
         "recipes")
     chunk = (rows.select(F.explode(chunk_list(F.col("text"))).alias("chunk"))
                  .select(chunk_hash(F.col("chunk")).alias("h"), "chunk"))
@@ -73,7 +74,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Texts are equal when identical; a null text counts as empty, and the empty texts form a
     group like any other. Of a group the row with the largest doc_id stays. A null id is
     smaller than any other. Of repeated rows (same id, same text) exactly one is kept. An empty
-    table gives an empty result; further columns of ``docs`` are not read.
+    table gives an empty result; texts of any length are read whole; further columns of ``docs``
+    are not read.
     """
     made = recipes(docs, id_col, text_col, chunk_hash)
     key = ["recipe", "fix"]

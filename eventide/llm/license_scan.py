@@ -191,7 +191,8 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES,
     and end (characters of the lower-cased text, of the template's best copy).
 
     Null, empty and short texts contain nothing; a repeated row gives its rows again; a null id
-    is a document like any other; an empty table gives no rows; other columns are not read.
+    is a document like any other; an empty table gives no rows; texts of any length are read
+    whole; other columns are not read.
     """
     held = docs.sparkSession.sparkContext.broadcast(dict(templates))
     rows = id_and_text(docs, id_col, text_col)

@@ -178,7 +178,8 @@ def _taken(rows: DataFrame, slim: DataFrame, max_repeats: int) -> DataFrame:
 def _position(nth: Column, schedules) -> Column:
     """Training time of a row's occurrence ``nth`` (from 0), at its middle word."""
     part = F.least(F.col("size"), F.col("taken") - nth * F.col("size"))
-    share = (F.col("before") + nth * F.col("source_size") + part / 2) / F.nullif(F.col("target"), F.lit(0.0))
+    share = (F.col("before") + nth * F.col("source_size") + part / 2) \
+        / F.nullif(F.col("target"), F.lit(0.0))
     at = None
     for when, knots in schedules(F.col("weight")):
         time = demand_time(share, knots)

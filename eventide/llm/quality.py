@@ -195,8 +195,8 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     Labels of rows whose crc32 of the id (as text; null: empty) modulo ``mod`` is ``held_out``,
     and null labels, teach nothing; of several labels of an id the largest counts. Null texts
     count as empty, and empty texts are scored like any other. Without labels every score is
-    0.5. Repeated rows are scored alike; an empty table gives no rows; other columns are not
-    read.
+    0.5. Repeated rows are scored alike; an empty table gives no rows; texts of any length are read
+    whole; other columns are not read.
     """
     stats = materialise(document_statistics(id_and_text(docs, id_col, text_col)), "doc-stats")
     taught = taught_labels(labels, id_col, label_col, mod, held_out)

@@ -97,7 +97,8 @@ def shard_rows(docs: DataFrame, layout: Sequence[Shard], id_col: str = "doc_id",
     ``size`` is the text's UTF-8 bytes plus 1 (a null text has none), ``slot`` numbers a shard's
     rows from 0 without gaps, by hash of id and text, and ``grown_shard`` is the row's shard once
     ``grow`` has added one. Repeated rows get slots of their own; null ids share one shard (the
-    law reads nothing but the id); an empty table gives no rows; other columns are not read.
+    law reads nothing but the id); an empty table gives no rows; a text of any length
+    is one row; other columns are not read.
     """
     rows = id_and_text(docs, id_col, text_col)
     slim = materialise(rows.select(

@@ -284,7 +284,8 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     Null and empty texts and texts without words have fingerprint 0, which links like any other.
     Repeated rows share a fingerprint and a component; a null id is never the smallest unless
-    all ids of the component are null; an empty table gives no rows; other columns are not read.
+    all ids of the component are null; an empty table gives no rows; texts of any length are
+    read whole; other columns are not read.
     """
     prints = materialise(fingerprints(docs, id_col, text_col, shingle), "simhash")
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("rep"),

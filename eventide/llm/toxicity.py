@@ -420,7 +420,8 @@ def detect(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     Null and empty texts have no tokens; they score what a text without a weighted feature does.
     Without labels every score is 0, with labels of one class their share. Repeated rows are
-    scored alike; an empty table gives no rows; other columns are not read.
+    scored alike; an empty table gives no rows; texts of any length are read whole; other columns
+    are not read.
     """
     model = learn_from(docs, labels, id_col, text_col, label_col, mod, held_out, per_class)
     rows = id_and_text(docs, id_col, text_col).withColumn(
