@@ -41,8 +41,7 @@ def main(argv: list[str]) -> None:
 
     names = argv or list(REGISTRY)
     # warm-up: JVM, code generation and the parquet footer cache, not timed
-    # (the Arrow UDF warm-up starts the Python workers once)
-    for warm in ("tumble_1h", "gen_fares"):
+    for warm in ("tumble_1h", "dedup_last"):
         REGISTRY[warm].fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
 
     timings: dict[str, float] = {}

@@ -18,8 +18,9 @@ def argmax(df: DataFrame, by: list[str], order: list[Column], keep: list[str]) -
     """One row per ``by`` group: the ``keep`` columns of the row with the largest ``order``.
 
     ``order`` is compared as a struct, left to right; put a unique tie-break last (for a
-    "lowest id wins" rule pass the negated id). ``max_by`` is a partial aggregate, so the
-    plan is HashAggregate(partial) -> Exchange(by) -> HashAggregate(final).
+    "lowest id wins" rule pass the negated id). ``max_by`` over structs is a partial aggregate,
+    which Spark runs sorted by group (SortAggregate): use it on rows that are already reduced,
+    and ``ranking.dedup_last`` to pick whole rows of a raw table.
     """
     best = F.max_by(F.struct(*[F.col(c) for c in keep]), F.struct(*order)).alias("__best")
     return df.groupBy(*by).agg(best).select(*by, *[F.col(f"__best.{c}").alias(c) for c in keep])
@@ -35,9 +36,12 @@ def window_sum(df: DataFrame, ts: str, size: str, key: str, value: Column,
 
 def cascaded_window_argmax(per_key: DataFrame, key: str, total: str) -> DataFrame:
     """Second, unkeyed window over the per-key window results: the key with the largest total
-    per window. Ties go to the lowest key (the stream version depends on arrival order)."""
-    return argmax(per_key, ["window_start", "window_end"],
-                  [F.col(total), -F.col(key)], [key, total])
+    per window. Ties go to the lowest key (the stream version depends on arrival order). Two
+    hash aggregates: the largest total of a window, then the lowest key that reaches it."""
+    win = ["window_start", "window_end"]
+    best = per_key.groupBy(*win).agg(F.max(total).alias("__best"))
+    reach = per_key.join(best, win).where(F.col(total) == F.col("__best"))
+    return reach.groupBy(*win, total).agg(F.min(key).alias(key)).select(*win, key, total)
 
 
 def hourly_tips(df: DataFrame, ts: str, driver: str, tip: Column,
@@ -73,12 +77,14 @@ def running_argmax(df: DataFrame, keys: list[str], order_cols: list[str], value:
                .drop("__best"))
 
 
-def word_count(df: DataFrame, text: str, pattern: str = "[^a-z]+",
+def word_count(df: DataFrame, text: str, word: str = r"[\p{L}\p{M}\p{N}_]+",
                name: str = "cnt") -> DataFrame:
-    """Lower-case, split on ``pattern``, drop empty tokens, count per word. Common words are
-    pre-counted per task by the partial aggregate before the shuffle."""
-    words = df.select(F.explode(F.split(F.lower(F.col(text)), pattern)).alias("word"))
-    return words.where(F.col("word") != "").groupBy("word").agg(F.count(F.lit(1)).alias(name))
+    """Lower-case, take the runs that match ``word`` (letters, marks, digits and underscores of
+    any script), count per word. Common words are pre-counted per task by the partial aggregate
+    before the shuffle."""
+    words = F.regexp_extract_all(F.lower(F.col(text)), F.lit(word), F.lit(0))
+    return (df.select(F.explode(words).alias("word"))
+              .groupBy("word").agg(F.count(F.lit(1)).alias(name)))
 
 
 def completeness_audit(df: DataFrame, keys: list[str], expected: int,

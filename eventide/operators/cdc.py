@@ -1,32 +1,51 @@
 """Change-data materialisation: fold row-image change events into the current table.
 
-A change event is ``(op, seq, key..., after)``: ``op`` in ``c`` (create / snapshot read),
-``u`` (update), ``d`` (delete); ``seq`` orders changes (log position); ``after`` is the full
-row image after the change (null for deletes). The current table is, per key, the ``after``
-image of the last change unless that change is a delete. ``max_by`` is a partial aggregate:
-a key with millions of changes ships one row per task.
+A change envelope is the JSON record ``{"op", "seq", "before", "after"}``: ``op`` is ``c``
+(create), ``r`` (snapshot read), ``u`` (update) or ``d`` (delete); ``seq`` orders changes (log
+position); ``before`` and ``after`` are row images, null where there is none. The current table
+is, per key, the ``after`` image of the last change unless that change is a delete.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-OPS_DELETE = "d"
-
+from eventide.functions import codec as C
+from eventide.operators.ranking import latest_per_key
 
-def materialize(changes: DataFrame, keys: list[str], seq: str, op: str = "op",
-                after: str = "after") -> DataFrame:
-    last = F.max_by(F.struct(F.col(op).alias("op"), F.col(after).alias("after"),
-                             F.col(seq).alias("seq")), F.col(seq)).alias("__last")
-    folded = changes.groupBy(*keys).agg(last)
-    live = folded.where(F.col("__last.op") != OPS_DELETE)
-    # the row image carries the key columns itself
-    return live.select("__last.after.*", F.col("__last.seq").alias(seq))
+OPS_DELETE = "d"
 
 
-def envelope(df: DataFrame, op: F.Column, seq: str, row_cols: list[str]) -> DataFrame:
-    """Wrap rows as change events ``(op, seq, after)`` (``after`` null for deletes)."""
+def envelope(df: DataFrame, op: Column, seq: str, keys: list[str],
+             row_cols: list[str]) -> DataFrame:
+    """Rows as JSON envelopes in a column ``value``; the ``before`` image of an update or delete
+    holds the key columns (the minimal replica identity)."""
     image = F.struct(*[F.col(c) for c in row_cols])
-    return df.select(op.alias("op"), F.col(seq).alias("seq"), *[F.col(c) for c in row_cols],
-                     F.when(op == OPS_DELETE, F.lit(None)).otherwise(image).alias("after"))
+    old = F.struct(*[F.col(c) for c in keys])
+    body = F.struct(op.alias("op"), F.col(seq).alias("seq"),
+                    F.when(op.isin("c", "r"), F.lit(None)).otherwise(old).alias("before"),
+                    F.when(op == OPS_DELETE, F.lit(None)).otherwise(image).alias("after"))
+    options = {**C.JSON_TS_OPTIONS, "ignoreNullFields": "false"}
+    return df.select(F.to_json(body, options).alias("value"))
+
+
+def decode(values: DataFrame, value: str, image: T.StructType) -> DataFrame:
+    """Envelopes to rows: the image's columns (of a delete, what ``before`` says), ``seq`` and
+    ``deleted``. A record that is no envelope fails the job."""
+    schema = T.StructType([
+        T.StructField("op", T.StringType()), T.StructField("seq", T.LongType()),
+        T.StructField("before", image), T.StructField("after", image)])
+    rec = values.select(F.from_json(F.col(value), schema,
+                                    {**C.JSON_TS_OPTIONS, "mode": "FAILFAST"}).alias("e"))
+    gone = F.col("e.op") == OPS_DELETE
+    cols = [F.when(gone, F.col(f"e.before.{f.name}")).otherwise(F.col(f"e.after.{f.name}"))
+             .alias(f.name) for f in image.fields]
+    return rec.select(*cols, F.col("e.seq").alias("seq"), gone.alias("deleted"))
+
+
+def materialize(changes: DataFrame, keys: list[str], seq: str = "seq",
+                deleted: str = "deleted") -> DataFrame:
+    """Batch form: decoded changes to the current table (without the removed keys)."""
+    return latest_per_key(changes, keys, seq).where(~F.col(deleted)).drop(deleted)

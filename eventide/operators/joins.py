@@ -6,7 +6,7 @@ skew splitting); none degenerates into a per-key nested loop:
 * the interval join adds a time-bucket to the equi-key, so a key only meets rows of its own
   and the neighbouring bucket;
 * the as-of join is a keyed prefix scan over the union of both sides (no pairs at all);
-* a dimension is broadcast only after its row count is checked against a bound.
+* a dimension is broadcast by Spark itself, by its size in bytes.
 """
 
 from __future__ import annotations
@@ -17,33 +17,18 @@ from pyspark.sql import functions as F
 from eventide.operators.scan import prefix_scan
 from eventide.operators.windows import duration_micros
 
-# Dimensions up to this many rows are broadcast; larger ones take a shuffled join.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
 def micros(ts: str | Column) -> Column:
     """Epoch microseconds of a TIMESTAMP or TIMESTAMP_NTZ column (session zone is UTC)."""
     c = F.col(ts) if isinstance(ts, str) else ts
     return F.unix_micros(c.cast("timestamp"))
 
 
-def checked_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(dim)`` if it has at most ``max_rows`` rows, else ``dim`` unchanged.
-
-    The check is a ``limit(max_rows + 1).count()`` job over no columns: each task stops after
-    ``max_rows + 1`` rows and a columnar scan reads no column data for it, so even a huge
-    table is checked cheaply.
-    """
-    n = dim.select(F.lit(1).alias("__one")).limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
-
 def dim_lookup_join(facts: DataFrame, dim: DataFrame, on: str | list[str],
-                    value: str, default: str, name: str,
-                    max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Left lookup of ``value`` in a dimension, ``default`` when there is no match."""
-    side = checked_broadcast(dim, max_rows)
-    return (facts.join(side, on, "left")
+                    value: str, default: str, name: str) -> DataFrame:
+    """Left lookup of ``value`` in a dimension, ``default`` when there is no match. Spark
+    broadcasts the dimension by its measured bytes (``autoBroadcastJoinThreshold``, and again at
+    run time under AQE) and shuffles a larger one."""
+    return (facts.join(dim, on, "left")
                  .withColumn(name, F.coalesce(F.col(value), F.lit(default))))
 
 

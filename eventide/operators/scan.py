@@ -4,16 +4,22 @@
 one key holds a third of the data, that task holds a third of the data. ``prefix_scan`` splits
 the work in two levels instead:
 
-1. cut the order axis into ``n`` pieces at global quantiles of the leading order column
-   (``approxQuantile`` + a binary-search ``Bucketizer``). Every piece holds about ``1/n`` of
-   *all* rows, so a (key, piece) group is at most ~``1/n`` of the data whatever the key;
-2. compute the running aggregate inside every ``(key, piece)`` -- a window partitioned by key
+1. cut the order axis into pieces at global quantiles of the leading order column
+   (``approxQuantile`` + a binary-search ``Bucketizer``). A value that fills more than one piece
+   by itself is cut again by the next order column, so equal values do not make a large piece;
+2. compute the running aggregate inside every (key, piece) -- a window partitioned by key
    and piece, so the pieces of a hot key run in different tasks;
-3. aggregate each ``(key, piece)`` to one row, run the same aggregate over the earlier pieces
-   of the key (at most ``n`` rows per key), and fold that carry into the local values with an
-   equi-join on ``(key, piece)``.
+3. aggregate each (key, piece) to one row, run the same aggregate over the earlier pieces
+   of the key (one row per piece), and fold that carry into the local values with an
+   equi-join on key and piece.
 
-Pieces are a pure function of the row (its order value), so every branch of the plan sees the
+The keys travel as one struct column: a struct is never null and its null fields equal each
+other, so windows, summary and join all hash the same two columns and the rows are shuffled once;
+the other exchanges carry one row per key and piece. The input is scanned for its row count and
+quantiles (the leading order column only), once for the rows and once more for the summary (keys,
+order and value columns only).
+
+Pieces are a pure function of the row (its order values), so every branch of the plan sees the
 same pieces, also when a stage is recomputed after a lost executor.
 
 Supported kinds are the associative ones: ``count``, ``sum``, ``max``, ``min`` (``max``/``min``
@@ -23,62 +29,81 @@ also over structs, which gives arg-max and as-of lookups). Nulls are ignored, as
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from eventide.session import cluster_cores
 
 _AGG = {"count": F.count, "sum": F.sum, "max": F.max, "min": F.min}
-# Upper bound on pieces: at 100 TB a piece is then ~1.5 GB, so no (key, piece) task is larger.
-MAX_PIECES = 65536
+# A piece is one window partition, sorted in one task: pieces are made as many as it takes to
+# keep them around this many rows.
+ROWS_PER_PIECE = 1_000_000
 
 
 def default_pieces(df: DataFrame) -> int:
-    """Four pieces per core of the cluster, at least 8, at most ``MAX_PIECES``."""
-    return max(8, min(MAX_PIECES, 4 * cluster_cores(df.sparkSession)))
+    """Pieces of about ``ROWS_PER_PIECE`` rows, at least two per core of the cluster."""
+    return max(2 * cluster_cores(df.sparkSession), -(-df.count() // ROWS_PER_PIECE))
 
 
-def order_value(df: DataFrame, col: str) -> Column:
-    """The leading order column as DOUBLE (timestamps as epoch microseconds: exact below
-    2^53, i.e. for any date of this era)."""
-    dtype = df.schema[col].dataType.typeName()
+def order_value(df: DataFrame, col: str) -> Column | None:
+    """An order column as DOUBLE (timestamps as epoch microseconds: exact below 2^53, i.e. for
+    any date of this era), nulls as minus infinity; None if it is no number, date or time."""
+    kind = df.schema[col].dataType
     c = F.col(col)
-    if dtype in ("timestamp", "timestamp_ntz"):
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         c = F.unix_micros(c.cast("timestamp"))
-    elif dtype == "date":
+    elif isinstance(kind, T.DateType):
         c = F.unix_date(c)
-    return c.cast("double")
-
-
-def with_pieces(df: DataFrame, order_col: str, n: int | None = None,
+    elif not isinstance(kind, T.NumericType):
+        return None
+    return F.coalesce(c.cast("double"), F.lit(-math.inf))
+
+
+def _cut(df: DataFrame, value: Column, only: Column, n: int, name: str):
+    """Column ``name``: which of ``n`` quantile ranges of ``value`` (over the rows where ``only``
+    holds) a row falls in; and the values that are more than one range wide."""
+    tmp = df.withColumn("__ord", value)
+    # ranges only need to be roughly equal: a relative error of half of one is enough
+    qs = tmp.where(only).approxQuantile("__ord", [i / n for i in range(1, n)],
+                                        max(1e-5, 0.5 / n)) if n > 1 else []
+    wide = sorted(q for q, times in Counter(qs).items() if times > 1)
+    inner = sorted({q for q in qs if math.isfinite(q)})
+    if not inner:
+        return tmp.withColumn(name, F.lit(0)).drop("__ord"), wide
+    out = Bucketizer(splits=[-math.inf, *inner, math.inf], inputCol="__ord",
+                     outputCol="__bucket", handleInvalid="keep").transform(tmp)
+    return out.withColumn(name, F.col("__bucket").cast("int")).drop("__ord", "__bucket"), wide
+
+
+def with_pieces(df: DataFrame, order_cols: list[str], n: int | None = None,
                 name: str = "__piece") -> DataFrame:
-    """Add ``name``: the index of the global quantile range of ``order_col`` the row falls in.
-    Nulls sort first, so they go to piece 0. The quantile job reads one column and returns
-    at most ``n - 1`` numbers to the driver."""
+    """Add ``name``: the number of the row's piece, rising with ``order_cols``. Nulls sort first.
+    The leading column is cut at ``n - 1`` global quantiles. A value that several quantiles fall
+    on is cut again at quantiles of the second column, over the rows that hold such a value; it
+    opens its range, so those rows come before the rest of the range. Quantile jobs read one or
+    two columns and return at most ``n - 1`` numbers to the driver."""
     n = n or default_pieces(df)
-    tmp = df.withColumn("__ord", F.coalesce(order_value(df, order_col), F.lit(-math.inf)))
-    # pieces only need to be roughly equal: a relative error of half a piece is enough
-    err = max(1e-5, 0.5 / n)
-    qs = tmp.approxQuantile("__ord", [i / n for i in range(1, n)], err) if n > 1 else []
-    inner = sorted({q for q in qs if q is not None and math.isfinite(q)})
-    if not inner:  # empty input, or only NULL order values: one piece
-        return tmp.withColumn(name, F.lit(0)).drop("__ord")
-    splits = [-math.inf] + inner + [math.inf]
-    out = Bucketizer(splits=splits, inputCol="__ord", outputCol="__bucket",
-                     handleInvalid="keep").transform(tmp)
-    return out.withColumn(name, F.col("__bucket").cast("int")).drop("__ord", "__bucket")
-
-
-def join_null_safe(big: DataFrame, summary: DataFrame, cols: list[str]) -> DataFrame:
-    """Inner join on ``cols`` where NULL keys match each other (a NULL key is one group in
-    the window and in the summary, so its rows must meet their own carry)."""
-    s = summary.select(*[F.col(c).alias(f"__r_{c}") for c in cols],
-                       *[c for c in summary.columns if c not in cols])
-    cond = [F.col(c).eqNullSafe(F.col(f"__r_{c}")) for c in cols]
-    return big.join(s, cond, "inner").drop(*[f"__r_{c}" for c in cols])
+    first = order_value(df, order_cols[0])
+    if first is None:
+        raise ValueError(f"{order_cols[0]}: the leading order column is a number, date or time")
+    out, wide = _cut(df, first, F.lit(True), n, name)
+    second = order_value(df, order_cols[1]) if wide and len(order_cols) > 1 else None
+    if second is None:
+        return out
+    inside = first.isin(wide)
+    out, _ = _cut(out, second, inside, n, "__sub")
+    piece = F.col(name) * F.lit(n + 1) + F.when(inside, F.col("__sub")).otherwise(F.lit(n))
+    return out.withColumn(name, piece.cast("long")).drop("__sub")
+
+
+def as_key(keys: list[str]) -> Column:
+    """The key columns as one struct (never null; null fields equal each other)."""
+    return F.struct(*[F.col(k) for k in keys])
 
 
 def _carry_agg(kind: str, c: Column) -> Column:
@@ -104,51 +129,48 @@ def prefix_scan(df: DataFrame, keys: list[str], order_cols: list[str],
     The frame is all earlier rows of the same key in ``order_cols`` order, plus the current row
     unless ``exclusive``. ``order_cols`` must be unique within a key; the first one must be
     numeric, a date or a timestamp (it defines the pieces). ``piece_col`` names a column
-    already made by ``with_pieces`` on the same order column, so chained scans share it.
+    already made by ``with_pieces`` on the same order columns, so chained scans share it.
     """
     names = list(aggs)
     cut = df.withColumnRenamed(piece_col, "__piece") if piece_col else \
-        with_pieces(df, order_cols[0], pieces)
-    for n in names:
-        cut = cut.withColumn(f"__v_{n}", aggs[n][1])
+        with_pieces(df, order_cols, pieces)
+    cut = cut.withColumns({"__key": as_key(keys), **{f"__v_{n}": aggs[n][1] for n in names}})
 
     upper = -1 if exclusive else Window.currentRow
-    w_local = (Window.partitionBy(*keys, "__piece").orderBy(*order_cols)
+    w_local = (Window.partitionBy("__key", "__piece").orderBy(*order_cols)
                      .rowsBetween(Window.unboundedPreceding, upper))
     local = cut.select(
         "*", *[_AGG[aggs[n][0]](f"__v_{n}").over(w_local).alias(f"__l_{n}") for n in names])
 
-    stats = cut.groupBy(*keys, "__piece").agg(
+    stats = cut.groupBy("__key", "__piece").agg(
         *[_AGG[aggs[n][0]](f"__v_{n}").alias(f"__s_{n}") for n in names])
-    w_prev = (Window.partitionBy(*keys).orderBy("__piece")
+    w_prev = (Window.partitionBy("__key").orderBy("__piece")
                     .rowsBetween(Window.unboundedPreceding, -1))
     carry = stats.select(
-        *keys, "__piece",
+        "__key", "__piece",
         *[_carry_agg(aggs[n][0], F.col(f"__s_{n}")).over(w_prev).alias(f"__c_{n}")
           for n in names])
 
-    out = join_null_safe(local, carry, [*keys, "__piece"])
+    out = local.join(carry, ["__key", "__piece"])
     for n in names:
         out = out.withColumn(n, _combine(aggs[n][0], F.col(f"__l_{n}"), F.col(f"__c_{n}")))
-    drop = [f"__{p}_{n}" for n in names for p in ("v", "l", "c")]
-    out = out.drop(*drop)
+    out = out.drop("__key", *[f"__{p}_{n}" for n in names for p in ("v", "l", "c")])
     return out.withColumnRenamed("__piece", piece_col) if piece_col else out.drop("__piece")
 
 
-def positions(df: DataFrame, order_col: str, name: str = "pos",
+def positions(df: DataFrame, order_cols: list[str], name: str = "pos",
               pieces: int | None = None) -> DataFrame:
-    """Dense 0-based position of every row in ``order_col`` order (unique values), without an
-    unpartitioned window: rows are numbered inside their quantile piece, and each piece adds
-    the row count of all earlier pieces. The counts table has one row per piece (at most
-    ``MAX_PIECES``), which bounds its broadcast."""
-    cut = with_pieces(df, order_col, pieces)
-    local = cut.withColumn(
-        "__local", F.row_number().over(Window.partitionBy("__piece").orderBy(order_col)) - 1)
+    """Dense 0-based position of every row in ``order_cols`` order (unique tuples), without an
+    unpartitioned window: rows are numbered inside their piece, and each piece adds the row
+    count of all earlier pieces. The counts table has one row per piece."""
+    cut = with_pieces(df, order_cols, pieces)
+    local = cut.withColumn("__local", F.row_number().over(
+        Window.partitionBy("__piece").orderBy(*order_cols)) - 1)
     counts = cut.groupBy("__piece").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select(
         "__piece",
         F.coalesce(F.sum("__n").over(Window.orderBy("__piece").rowsBetween(
             Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
-    return (local.join(F.broadcast(offsets), "__piece")
+    return (local.join(offsets, "__piece")
                  .withColumn(name, F.col("__off") + F.col("__local"))
                  .drop("__piece", "__local", "__off"))

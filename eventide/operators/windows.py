@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from eventide.operators.scan import join_null_safe, positions, with_pieces
+from eventide.operators.scan import as_key, positions, with_pieces
 
 _UNIT_MICROS = {
     "microsecond": 1,
@@ -115,18 +115,21 @@ def session_agg(df: DataFrame, keys: list[str], ts: str, gap: str, *aggs: Column
     """
     gap_us = duration_micros(gap)
     t = F.unix_micros(F.col(ts).cast("timestamp"))
-    base = with_pieces(df.withColumn("__t", t), ts)
-    w = Window.partitionBy(*keys, "__piece").orderBy("__t")
+    # rows of one instant lie in one session: any order among them will do, so the row's own
+    # columns need not break ties, but a hash of them spreads an instant over pieces
+    base = with_pieces(df.withColumns({"__t": t, "__key": as_key(keys),
+                                       "__h": F.xxhash64(*df.columns)}), ["__t", "__h"])
+    w = Window.partitionBy("__key", "__piece").orderBy("__t")
     loc = base.withColumn("__lprev", F.lag("__t").over(w))
     loc = loc.withColumn("__lopen", (F.col("__lprev").isNotNull() &
                                      (F.col("__t") >= F.col("__lprev") + F.lit(gap_us))).cast("int"))
     loc = loc.withColumn("__lcum", F.sum("__lopen").over(
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
 
-    summary = loc.groupBy(*keys, "__piece").agg(
+    summary = loc.groupBy("__key", "__piece").agg(
         F.min("__t").alias("__first"), F.max("__t").alias("__last"),
         F.sum("__lopen").alias("__nopen"))
-    earlier = Window.partitionBy(*keys).orderBy("__piece").rowsBetween(
+    earlier = Window.partitionBy("__key").orderBy("__piece").rowsBetween(
         Window.unboundedPreceding, -1)
     summary = summary.withColumn("__cprev", F.max("__last").over(earlier))
     summary = summary.withColumn("__fopen", (F.col("__cprev").isNull() | (
@@ -134,8 +137,8 @@ def session_agg(df: DataFrame, keys: list[str], ts: str, gap: str, *aggs: Column
     summary = summary.withColumn("__copens", F.coalesce(
         F.sum(F.col("__nopen") + F.col("__fopen")).over(earlier), F.lit(0)))
 
-    joined = join_null_safe(loc, summary.select(*keys, "__piece", "__fopen", "__copens"),
-                            [*keys, "__piece"])
+    joined = loc.join(summary.select("__key", "__piece", "__fopen", "__copens"),
+                      ["__key", "__piece"])
     sid = (F.col("__copens") + F.col("__fopen") + F.col("__lcum")).alias("__sid")
     out = joined.groupBy(*keys, sid).agg(
         F.min(ts).alias("window_start"), (F.max(ts) + interval(gap)).alias("window_end"), *aggs)
@@ -156,9 +159,7 @@ def count_window_agg(df: DataFrame, order_cols: list[str], n: int, *aggs: Column
     Returns one row per full window with ``window_id`` (0-based), ``window_rows`` and the given
     aggregates. A trailing group shorter than ``n`` never fires, so it is removed.
     """
-    if len(order_cols) != 1:
-        raise ValueError("count windows need one unique numeric/time order column")
-    pos = positions(df, order_cols[0], "__pos")
+    pos = positions(df, order_cols, "__pos")
     grouped = (pos.groupBy(F.expr(f"__pos div {int(n)}").alias(name))
                   .agg(F.count(F.lit(1)).alias("window_rows"), *aggs))
     return grouped.where(F.col("window_rows") == n)

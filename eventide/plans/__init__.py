@@ -1,17 +1,8 @@
 """Named queries over the test tables: each binds operators to tables and carries the
 equivalent oracle SQL. Importing this package registers all of them."""
 
-import importlib
-import importlib.util
-
-from eventide.plans import registry  # noqa: F401
-from eventide.plans import windowing  # noqa: F401
+from eventide.plans import (cdc, feeds, geo, joins, ranking, records, registry,  # noqa: F401
+                            streams, windowing)
 from eventide.plans.registry import REGISTRY
 
-_OPTIONAL = ["ranking", "joins", "geo", "records", "generated", "cdc", "streams"]
-
-for _m in _OPTIONAL:
-    if importlib.util.find_spec(f"eventide.plans.{_m}") is not None:
-        importlib.import_module(f"eventide.plans.{_m}")
-
 __all__ = ["REGISTRY"]

@@ -1,29 +1,28 @@
-"""CDC, changelog upsert and continuous-insert queries."""
+"""CDC, changelog upsert and continuous-insert queries: streams into keyed tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from eventide.operators import cdc, ranking as R, windows as W
-from eventide.operators.scan import prefix_scan
+from eventide.functions import codec as C
+from eventide.operators import cdc
 from eventide.plans.registry import bucket_us, query, ts_of
-from eventide.plans.windowing import _tumble_sql, events
-from eventide.session import scratch_path
+from eventide.plans.windowing import H, _tumble_sql, events
 from eventide.sources.tables import read_table_stream
-from eventide.streaming import sinks
+from eventide.streaming.replay import record_stream, upserted
 from eventide.streaming.windows import window_agg_stream
 
-H = 3_600_000_000
 D = 86_400_000_000
 
 
-def change_events(spark, d):
-    """Row-image change events keyed by user, built from events: every 10th event deletes
-    the user's row, events 1..3 of each ten create it, the rest update it."""
+def change_envelopes(spark, d):
+    """JSON change envelopes ``(op, seq, before, after)`` keyed by user, written from events:
+    every 10th event deletes the user's row, events 1..3 of each ten create it (``before`` is
+    null), the rest update it."""
     ev = events(spark, d)
     r = F.col("event_id") % 10
     op = F.when(r == 0, F.lit("d")).when(r <= 3, F.lit("c")).otherwise(F.lit("u"))
-    return cdc.envelope(ev, op, "event_id", ["user_id", "event_type", "value", "ts"])
+    return cdc.envelope(ev, op, "event_id", ["user_id"], ["user_id", "event_type", "value", "ts"])
 
 
 @query("cdc_materialize", """
@@ -31,40 +30,40 @@ SELECT user_id, event_type, value, ts, event_id AS seq FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events)
 WHERE rn = 1 AND event_id % 10 <> 0""")
 def cdc_materialize(spark, d):
-    """Snapshot + row changes folded into the current table per key; deletes remove it."""
-    ch = change_events(spark, d)
-    out = cdc.materialize(ch, ["user_id"], "seq")
-    return out.select("user_id", "event_type", "value", "ts", "seq")
+    """Row changes read as a stream of JSON envelopes and folded into a compacted table keyed by
+    user; the change with the highest position wins, whatever order they arrive in."""
+    ev = events(spark, d)
+    image = ev.select("user_id", "event_type", "value", "ts").schema
+    stream = record_stream(change_envelopes(spark, d), "cdc-envelopes")
+    rows = cdc.decode(stream, "value", image)
+    table = upserted(rows, "cdc-table", ["user_id"], version="seq", deleted="deleted",
+                     output_mode="append")
+    return table.select("user_id", "event_type", "value", "ts", "seq")
 
 
 @query("changelog_upsert", f"""
 SELECT user_id, {ts_of(f'max({bucket_us("ts", D)})')} AS last_day, count(*) AS total
 FROM events GROUP BY user_id""")
 def changelog_upsert(spark, d):
-    """An updating result (running event count per user, one update per user and day) kept
-    by an upsert sink keyed by user: the final table holds the latest update per key."""
-    daily = (W.tumble(events(spark, d), "ts", "1 day")
-             .groupBy("user_id", F.col("window_start").alias("day"))
-             .agg(F.count(F.lit(1)).alias("n")))
-    changelog = prefix_scan(daily, ["user_id"], ["day"], {"total": ("sum", F.col("n"))})
-    latest = R.dedup_last(changelog.select("user_id", "day", "total"), ["user_id"],
-                          [F.col("day")])
-    return latest.select("user_id", F.col("day").alias("last_day"), "total")
+    """An updating result (event count and last day per user) as a stream in update mode, kept
+    by an upsert sink keyed by user and read back: the latest update per key."""
+    src = read_table_stream(spark, d, "events")
+    running = src.groupBy("user_id").agg(F.max(F.window("ts", "1 day").start).alias("last_day"),
+                                         F.count(F.lit(1)).alias("total"))
+    table = upserted(running, "changelog", ["user_id"])
+    return table.select("user_id", F.col("last_day").cast("timestamp_ntz").alias("last_day"),
+                        "total")
 
 
 @query("continuous_insert", _tumble_sql(H))
 def continuous_insert(spark, d):
     """``INSERT INTO sink SELECT ...`` as a continuous query: the events table read as a
-    stream, 1 h buy counts in update mode, written by an idempotent upsert sink under the
-    shared checkpoint folder, then read back (runs to the end of the available input)."""
-    src = read_table_stream(spark, d, "events", max_files_per_trigger=1)
+    stream, 1 h buy counts in update mode, written by an upsert sink under the shared checkpoint
+    folder, then read back (runs to the end of the available input)."""
+    src = read_table_stream(spark, d, "events")
     buys = src.where(F.col("event_type") == "purchase")
     counts = window_agg_stream(buys, "ts", "1 hour", "1 hour", F.count(F.lit(1)).alias("buy_cnt"))
-    out = scratch_path(spark, "continuous-insert")
-    q = sinks.start(counts, "continuous_insert", output_mode="update",
-                    foreach_batch=sinks.upsert_log(out), trigger={"availableNow": True})
-    q.awaitTermination()
-    table = sinks.read_upserted(spark, out, ["window_start"])
+    table = upserted(counts, "continuous-insert", ["window_start"])
     return table.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                         F.col("window_end").cast("timestamp_ntz").alias("window_end"),
                         "buy_cnt")

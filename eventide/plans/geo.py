@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from eventide.functions import geo as G
 from eventide.plans.registry import query
 from eventide.plans.windowing import events
-from eventide.sources.tables import spread
 
 # SQL text of the DOUBLE coordinates (typed literals: untyped decimals are DECIMAL in SQL).
 _DBL = "CAST({} AS DOUBLE)"
@@ -74,50 +73,96 @@ def grid_cell_counts(spark, d):
 @query("ride_distance", f"""
 SELECT event_id,
   round({_DBL.format(G.DEG_LEN)} * sqrt((start_lat - end_lat) * (start_lat - end_lat)
-        + ((start_lon - end_lon) * cos(end_lat)) * ((start_lon - end_lon) * cos(end_lat))), 6)
+        + ((start_lon - end_lon) * cos(end_lat)) * ((start_lon - end_lon) * cos(end_lat))), 10)
     AS distance
 FROM ({_CLEAN_SQL})""")
 def ride_distance(spark, d):
     """Euclidean ride length in km (degree-based, ``cos`` of degrees as in the reference),
-    rounded to 6 decimals."""
+    rounded to 10 decimals: engines' cosines differ in the last bit."""
     r = rides(spark, d)
     dist = G.euclidean_distance("start_lon", "start_lat", "end_lon", "end_lat")
-    return r.select("event_id", F.round(dist, 6).alias("distance"))
+    return r.select("event_id", F.round(dist, 10).alias("distance"))
 
 
-@query("ride_direction", f"""
-SELECT event_id,
-  CAST(trunc(degrees(atan2(end_lat - start_lat, (end_lon - start_lon) * cos(start_lat))))
-       AS INTEGER) + 179 AS angle
-FROM ({_CLEAN_SQL}) WHERE NOT (start_lon = end_lon AND start_lat = end_lat)""")
-def ride_direction(spark, d):
-    """Direction angle 0..359 of each ride; coincident start/end points are left out (the
-    angle of a zero vector depends on the sign of zero)."""
-    r = rides(spark, d).where(~((F.col("start_lon") == F.col("end_lon")) &
-                                (F.col("start_lat") == F.col("end_lat"))))
-    return r.select("event_id", G.direction_angle("start_lon", "start_lat", "end_lon",
-                                                  "end_lat").alias("angle"))
+_FLOATS = ("event_id, CAST(start_lon AS FLOAT) AS a, CAST(start_lat AS FLOAT) AS b, "
+           "CAST(end_lon AS FLOAT) AS c, CAST(end_lat AS FLOAT) AS d")
 
 
-@query("route_cell_counts")
-def route_cell_counts(spark, d):
-    """Route density: every grid cell each cleansed ride passes (numpy walk over Arrow
-    batches), counted per cell. No SQL oracle: the walk is a loop per ride."""
-    clean = spread(ride_cleansing(spark, d))
-    cells = G.route_cells(clean, "event_id", "start_lon", "start_lat", "end_lon", "end_lat")
-    return cells.groupBy("cell_id").agg(F.count(F.lit(1)).alias("cnt"))
+def _distance_sql(lon1: str, lat1: str, lon2: str, lat2: str) -> str:
+    x, y = f"CAST({lat1} - {lat2} AS DOUBLE)", f"CAST({lon1} - {lon2} AS DOUBLE)"
+    y = f"({y} * cos(CAST({lat2} AS DOUBLE)))"
+    return f"round({_DBL.format(G.DEG_LEN)} * sqrt({x} * {x} + {y} * {y}), 10)"
+
+
+def float_rides(spark, d):
+    """The rides with FLOAT coordinates, as ride records carry them."""
+    r = rides(spark, d)
+    return r.select("event_id", *[F.col(c).cast("float").alias(c) for c in r.columns[1:]])
 
 
-def _unit_sql(stream: int) -> str:
-    return f"((event_id * 2654435761 + {stream * 40503}) % 4294967296) / 4294967296.0"
+@query("ride_distance_float", f"""
+SELECT event_id, {_distance_sql('a', 'b', 'c', 'd')} AS distance
+FROM (SELECT {_FLOATS} FROM ({_CLEAN_SQL}))""")
+def ride_distance_float(spark, d):
+    """Ride length of FLOAT coordinates: differences in FLOAT, the rest in DOUBLE."""
+    dist = G.euclidean_distance("start_lon", "start_lat", "end_lon", "end_lat")
+    return float_rides(spark, d).select("event_id", F.round(dist, 10).alias("distance"))
+
+
+@query("distance_to_point", f"""
+SELECT event_id, event_id % 2 = 0 AS is_start,
+  CASE WHEN event_id % 2 = 0
+       THEN {_distance_sql('a', 'b', 'CAST(-73.9 AS FLOAT)', 'CAST(40.75 AS FLOAT)')}
+       ELSE {_distance_sql('c', 'd', 'CAST(-73.9 AS FLOAT)', 'CAST(40.75 AS FLOAT)')} END
+    AS distance
+FROM (SELECT {_FLOATS} FROM ({_CLEAN_SQL}))""")
+def distance_to_point(spark, d):
+    """Distance of each ride event to a fixed point: from the start of a START event (even
+    ids), from the end of an END event."""
+    start = F.col("event_id") % 2 == 0
+    lon, lat = F.lit(-73.9).cast("float"), F.lit(40.75).cast("float")
+    dist = G.distance_to_point(start, "start_lon", "start_lat", "end_lon", "end_lat", lon, lat)
+    return float_rides(spark, d).select("event_id", start.alias("is_start"),
+                                        F.round(dist, 10).alias("distance"))
 
 
-@query("synth_points", f"""
+@query("ride_direction", f"""
 SELECT event_id,
-  {_DBL.format(G.LON_EAST)} - ({_DBL.format(74.05)} - {_DBL.format(73.7)}) * {_unit_sql(1)} AS lon,
-  {_DBL.format(G.LAT_SOUTH)} + ({_DBL.format(41.0)} - {_DBL.format(40.5)}) * {_unit_sql(2)} AS lat
-FROM events""")
-def synth_points(spark, d):
-    """A seeded pseudo-random point inside the box for every event."""
-    lon, lat = G.random_point(F.col("event_id"))
-    return events(spark, d).select("event_id", lon.alias("lon"), lat.alias("lat"))
+  CAST(trunc(degrees(atan2(end_lat - start_lat,
+                           CASE WHEN w = 0 THEN 0 ELSE w END))) AS INTEGER) + 179 AS angle
+FROM (SELECT *, (end_lon - start_lon) * cos(start_lat) AS w FROM ({_CLEAN_SQL}))""")
+def ride_direction(spark, d):
+    """Direction angle 0..359 of every ride; coincident start and end points have 179."""
+    return rides(spark, d).select(
+        "event_id", G.direction_angle("start_lon", "start_lat", "end_lon", "end_lat")
+        .alias("angle"))
+
+
+_ROUTE_CELLS_SQL = f"""
+WITH g AS (
+  SELECT event_id,
+    CAST(floor(({_DBL.format(74.05)} - abs(start_lon)) / {_DBL.format(G.DELTA_LON)}) AS BIGINT) xa,
+    CAST(floor(({_DBL.format(G.LAT_NORTH)} - start_lat) / {_DBL.format(G.DELTA_LAT)}) AS BIGINT) ya,
+    CAST(floor(({_DBL.format(74.05)} - abs(end_lon)) / {_DBL.format(G.DELTA_LON)}) AS BIGINT) xb,
+    CAST(floor(({_DBL.format(G.LAT_NORTH)} - end_lat) / {_DBL.format(G.DELTA_LAT)}) AS BIGINT) yb
+  FROM ({_CLEAN_SQL})
+  WHERE {_in_box_sql('start_lon', 'start_lat')} AND {_in_box_sql('end_lon', 'end_lat')}),
+e AS (SELECT event_id, least(xa, xb) AS x0, CASE WHEN xa <= xb THEN ya ELSE yb END AS y0,
+             abs(xb - xa) AS dx, CASE WHEN xa <= xb THEN yb - ya ELSE ya - yb END AS dy FROM g),
+i AS (SELECT *, unnest(generate_series(0, dx)) AS i FROM e),
+h AS (SELECT *, dy * greatest(2 * i - 1, 0) AS l, dy * least(2 * i + 1, 2 * dx) AS r FROM i),
+s AS (SELECT x0, y0, i,
+        CASE WHEN dx = 0 THEN least(dy, 0)
+             ELSE CAST(floor((least(l, r) + dx) / (2.0 * dx)) AS BIGINT) END AS j0,
+        CASE WHEN dx = 0 THEN greatest(dy, 0)
+             ELSE CAST(ceil((greatest(l, r) - dx) / (2.0 * dx)) AS BIGINT) END AS j1 FROM h),
+c AS (SELECT x0 + i AS x, y0 + unnest(generate_series(j0, greatest(j0, j1))) AS y FROM s)
+SELECT CAST(x + y * 250 AS INTEGER) AS cell_id, count(*) AS cnt FROM c GROUP BY 1"""
+
+
+@query("route_cell_counts", _ROUTE_CELLS_SQL)
+def route_cell_counts(spark, d):
+    """Route density: every grid cell each cleansed ride crosses, counted per cell."""
+    cells = G.route_cells(ride_cleansing(spark, d), "start_lon", "start_lat", "end_lon",
+                          "end_lat")
+    return cells.groupBy("cell_id").agg(F.count(F.lit(1)).alias("cnt"))

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from eventide.operators import joins as J
+from eventide.operators import ranking as R
 from eventide.plans.registry import query
 from eventide.plans.windowing import events
 from eventide.sources.tables import read_table
@@ -57,8 +58,8 @@ def temporal_join(spark, d):
 SELECT c.c_custkey, c.c_name, coalesce(n.n_name, 'Others') AS nation_name
 FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey""")
 def dim_lookup_join(spark, d):
-    """Customer -> nation name through a size-checked broadcast dimension, 'Others' when the
-    key has no entry."""
+    """Customer -> nation name through a dimension lookup, 'Others' when the key has no
+    entry."""
     c = read_table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
     n = read_table(spark, d, "nation").select(
         F.col("n_nationkey").alias("c_nationkey"), "n_name")
@@ -78,12 +79,15 @@ def rides_fares_join(spark, d):
     """1:1 keyed enrichment: each order (the START ride) with its first line item (the
     fare; line number, then ship date, then price); unmatched keys produce nothing."""
     o = read_table(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
-    li = read_table(spark, d, "lineitem")
-    first = li.groupBy("l_orderkey").agg(F.min_by(
-        F.struct("l_linenumber", "l_extendedprice", "l_shipdate"),
-        F.struct("l_linenumber", "l_shipdate", "l_extendedprice")).alias("f"))
-    first = first.select(F.col("l_orderkey").alias("o_orderkey"), "f.*")
-    return o.join(first, "o_orderkey", "inner")
+    li = read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber",
+                                                 "l_extendedprice", "l_shipdate")
+    # the first line number and ship date by hash aggregate; the price breaks what ties remain
+    first = (R.dedup_first(li, ["l_orderkey"], ["l_linenumber", "l_shipdate"])
+             .groupBy("l_orderkey", "l_linenumber", "l_shipdate")
+             .agg(F.min("l_extendedprice").alias("l_extendedprice")))
+    return (o.join(first.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey", "inner")
+             .select("o_orderkey", "o_orderdate", "o_totalprice", "l_linenumber",
+                     "l_extendedprice", "l_shipdate"))
 
 
 @query("long_ride_alerts", """

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from eventide.operators import ranking as R
 from eventide.plans.registry import bucket_us, query, ts_of
-from eventide.plans.windowing import CENTS_SQL, cents, events
+from eventide.plans.windowing import EXACT_SQL, as_double, as_double_sql, events, exact
 
 D = 86_400_000_000
 
@@ -26,13 +26,6 @@ def select_star(spark, d):
     return events(spark, d)
 
 
-@query("event_order", "SELECT event_id, ts, user_id, event_type FROM events")
-def event_order(spark, d):
-    """Events in event-time order, ties by id (a distributed range-partitioned sort)."""
-    return (events(spark, d).select("event_id", "ts", "user_id", "event_type")
-            .orderBy("ts", "event_id"))
-
-
 @query("latest_rows", "SELECT * FROM events ORDER BY event_id DESC LIMIT 10")
 def latest_rows(spark, d):
     """``ORDER BY id DESC LIMIT 10`` (top-k report: the limit is the feature)."""
@@ -49,7 +42,13 @@ def bounded_peek(spark, d):
 SELECT * FROM events WHERE user_id = 7 ORDER BY event_id LIMIT 5""")
 def run_filter_limit(spark, d):
     """Optional equality filter on the run key, then stop after N matches (N = 5)."""
-    return R.latest_rows(events(spark, d).where(F.col("user_id") == 7), [F.col("event_id")], 5)
+    return R.run_rows(events(spark, d), "user_id", "7", [F.col("event_id")], 5)
+
+
+@query("run_all_unbounded", "SELECT * FROM events")
+def run_all_unbounded(spark, d):
+    """A blank filter means all runs and N <= 0 means no stop: every record passes."""
+    return R.run_rows(events(spark, d), "user_id", " ", [F.col("event_id")], 0)
 
 
 @query("dedup_last", """
@@ -58,7 +57,7 @@ SELECT event_id, ts, user_id, event_type, value, props FROM (
   FROM events) WHERE rn = 1""")
 def dedup_last(spark, d):
     """Keep the latest event per user (``ROW_NUMBER() OVER (... ts DESC) = 1``)."""
-    return R.dedup_last(events(spark, d), ["user_id"], [F.col("ts"), F.col("event_id")])
+    return R.dedup_last(events(spark, d), ["user_id"], ["ts", "event_id"])
 
 
 @query("dedup_first", """
@@ -67,7 +66,7 @@ SELECT event_id, ts, user_id, event_type, value, props FROM (
   FROM events) WHERE rn = 1""")
 def dedup_first(spark, d):
     """Keep the first event per user."""
-    return R.dedup_first(events(spark, d), ["user_id"], [F.col("ts"), F.col("event_id")])
+    return R.dedup_first(events(spark, d), ["user_id"], ["ts", "event_id"])
 
 
 @query("top_n", """
@@ -83,16 +82,16 @@ def top_n(spark, d):
 
 
 @query("window_top_n", f"""
-SELECT window_start, window_end, user_id, total_cents, rn FROM (
-  SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY total_cents DESC, user_id) AS rn
+SELECT window_start, window_end, user_id, {as_double_sql('total')} AS total, rn FROM (
+  SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY total DESC, user_id) AS rn
   FROM (SELECT {ts_of(bucket_us('ts', D))} AS window_start,
                {ts_of(bucket_us('ts', D) + f' + {D}')} AS window_end,
-               user_id, CAST(sum({CENTS_SQL}) AS BIGINT) AS total_cents
+               user_id, sum({EXACT_SQL}) AS total
         FROM events GROUP BY 1, 2, 3)) WHERE rn <= 3""")
 def window_top_n(spark, d):
     """Top 3 users by value inside each 1-day window."""
-    out = R.window_top_n(events(spark, d), "ts", "1 day", "user_id", cents(), 3, "total_cents")
-    return out.withColumn("rn", F.col("rn").cast("long"))
+    out = R.window_top_n(events(spark, d), "ts", "1 day", "user_id", exact(), 3)
+    return out.withColumns({"total": as_double(F.col("total")), "rn": F.col("rn").cast("long")})
 
 
 @query("window_dedup", f"""
@@ -104,4 +103,4 @@ SELECT window_start, window_end, event_id, ts, user_id, event_type, value, props
 def window_dedup(spark, d):
     """First event per user inside each 1-day window."""
     return R.window_dedup(events(spark, d), "ts", "1 day", ["user_id"],
-                          [F.col("ts"), F.col("event_id")])
+                          ["ts", "event_id"])

@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 
 from eventide.functions import codec as C
 from eventide.plans.registry import bucket_us, query, ts_of
-from eventide.plans.windowing import CENTS_SQL, cents, events
-from eventide.sources.tables import read_table, spread
+from eventide.plans.windowing import EXACT_SQL, UNIT, events, exact
+from eventide.sources.tables import read_lines, read_table, spread
+from eventide.streaming.replay import land, record_stream, write_records
 
 S = 1_000_000
 
@@ -24,12 +25,13 @@ def wide_events(spark, d):
 
 # -- JSON click source / sink ------------------------------------------------------------
 
-def click_json(spark, d):
-    """Events rendered as click JSON records (``timestamp`` text, ``page``)."""
+def click_json(spark, d, *more: str):
+    """Events rendered as click JSON records (``timestamp`` text, ``page``, ``more`` columns)."""
     return wide_events(spark, d).select(
         "event_id",
         C.encode_json(C.click_ts_text("ts").alias("timestamp"),
-                      F.col("event_type").alias("page")).alias("value"))
+                      F.col("event_type").alias("page"), *[F.col(c) for c in more])
+         .alias("value"))
 
 
 @query("json_click_source", """
@@ -38,14 +40,14 @@ SELECT event_id, event_type AS page, strftime(ts, '%d-%m-%Y %I:%M:%S:%g') AS ts_
          - CASE WHEN hour(ts) >= 12 THEN INTERVAL 12 HOUR ELSE INTERVAL 0 HOUR END AS click_ts
 FROM events""")
 def json_click_source(spark, d):
-    """Decode JSON click records with a fixed schema (FAILFAST: a malformed record fails the
-    job, like the typed deserializer). The 12-hour pattern without a marker reads every
+    """JSON click records in files, read as a stream and decoded with a fixed schema (FAILFAST:
+    a malformed record fails the job, like the typed deserializer). The 12-hour pattern without a marker reads every
     hour as AM, so afternoon times come back 12 h early -- the reference's format."""
-    rec = click_json(spark, d).select(
-        "event_id", C.decode_json("value", C.CLICK_SCHEMA, failfast=True).alias("r"))
-    return rec.select("event_id", F.col("r.page").alias("page"),
-                      F.col("r.timestamp").alias("ts_text"),
-                      C.parse_click_ts("r.timestamp").alias("click_ts"))
+    schema = T.StructType([T.StructField("event_id", T.LongType()), *C.CLICK_SCHEMA.fields])
+    records = record_stream(click_json(spark, d, "event_id").select("value"), "click-records")
+    rec = records.select(C.decode_json("value", schema, failfast=True).alias("r"))
+    return land(rec.select("r.event_id", "r.page", F.col("r.timestamp").alias("ts_text"),
+                           C.parse_click_ts("r.timestamp").alias("click_ts")), "clicks")
 
 
 @query("json_click_sink", f"""
@@ -100,21 +102,43 @@ def behavior_json(spark, d):
         F.col("event_type").alias("behavior"), F.col("ts")), C.JSON_TS_OPTIONS).alias("value"))
 
 
-def json_table(df, value: str, schema: T.StructType):
-    """A declared table over JSON records: typed columns plus ``proctime`` (processing time,
-    one value per micro-batch / query)."""
+def json_table(df, value: str, schema: T.StructType, ts: str | None = None, delay: str = "",
+               start=None):
+    """A declared table over JSON records (a frame or a stream): typed columns plus ``proctime``
+    (processing time, one value per micro-batch / query). ``ts`` and ``delay`` declare its
+    watermark; ``start`` (a condition on the columns) is where reading begins."""
     rec = df.select(F.from_json(F.col(value), schema, C.JSON_TS_OPTIONS).alias("r")).select("r.*")
-    return rec.withColumn("proctime", F.current_timestamp())
+    if start is not None:
+        rec = rec.where(start)
+    rec = rec.withColumn("proctime", F.current_timestamp())
+    # a watermark needs TIMESTAMP; under a UTC session the wall clock stays
+    return rec.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay) if ts else rec
 
 
 @query("json_table_source", """
 SELECT user_id, event_id AS item_id, user_id % 50 + 1 AS category_id,
-       event_type AS behavior, ts
+       event_type AS behavior, ts, true AS has_proctime
 FROM events""")
 def json_table_source(spark, d):
-    """JSON records read through a declared schema (BIGINT ids, TIMESTAMP event time); the
-    processing-time column exists but is not part of the compared output."""
-    return json_table(behavior_json(spark, d), "value", BEHAVIOR_SCHEMA).drop("proctime")
+    """JSON records in files read as a stream through a declared schema (BIGINT ids, TIMESTAMP
+    event time with a 5 s watermark), from the beginning of the log; of the processing time only
+    its presence is defined."""
+    records = record_stream(behavior_json(spark, d), "behavior-records")
+    table = json_table(records, "value", BEHAVIOR_SCHEMA, "ts", "5 seconds", F.col("item_id") >= 0)
+    rows = table.withColumn("has_proctime", F.col("proctime").isNotNull()).drop("proctime")
+    return land(rows, "behavior").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query("user_behavior", """
+SELECT user_id, event_id AS item_id, user_id % 50 + 1 AS category_id,
+       CASE event_type WHEN 'purchase' THEN 'buy' WHEN 'click' THEN 'cart'
+            WHEN 'signup' THEN 'fav' ELSE 'pv' END AS behavior, ts
+FROM events""")
+def user_behavior(spark, d):
+    """The behaviour feed: user, item, category, one of four behaviours, event time."""
+    return events(spark, d).select(
+        "user_id", F.col("event_id").alias("item_id"),
+        (F.col("user_id") % 50 + 1).alias("category_id"), behavior().alias("behavior"), "ts")
 
 
 # -- behaviour-log replay ------------------------------------------------------------------
@@ -126,25 +150,32 @@ REPLAY_LINE = ('{"user_id": "%s", "item_id":"%s", "category_id": "%s", "behavior
                '"ts": "%s"}')
 
 
+def behavior():
+    """The behaviour an event stands for."""
+    return F.coalesce(*[F.when(F.col("event_type") == k, F.lit(v))
+                        for k, v in BEHAVIOR_NAMES.items()], F.lit("pv"))
+
+
 def behavior_csv(spark, d):
     """Events written as the CSV behaviour log ``user,item,category,behavior,epochSeconds``."""
     ev = wide_events(spark, d)
-    beh = F.coalesce(*[F.when(F.col("event_type") == k, F.lit(v))
-                       for k, v in BEHAVIOR_NAMES.items()], F.lit("pv"))
+    beh = behavior()
     secs = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / S).cast("long")
     return ev.select(C.csv_line(F.col("user_id"), F.col("event_id"),
                                 F.col("user_id") % 50 + 1, beh, secs).alias("line"))
 
 
 def replay(lines, cycles: int):
-    """Replay a CSV log ``cycles`` times: each cycle shifts time by the log's span + 1 s, and
-    each line becomes a JSON record with quoted values and zone-shifted timestamp text."""
+    """Replay a CSV log ``cycles`` times (0 or less: not at all): each cycle shifts time by the
+    log's span + 1 s, and each line becomes a JSON record with quoted values and zone-shifted
+    timestamp text."""
     rows = C.split_csv(lines, "line", ["user_id", "item_id", "category_id", "behavior", "sec"],
                        ["string", "string", "string", "string", "long"])
     # the cycle shift is one number (the log's time span): a global aggregate, read back
     span = rows.agg(((F.max("sec") - F.min("sec")) * 1000 + 1000).alias("shift_ms")).first()
     shift_ms = int(span["shift_ms"]) if span["shift_ms"] is not None else 0
-    shifted = (rows.withColumn("cycle", F.explode(F.sequence(F.lit(0), F.lit(cycles - 1))))
+    rounds = F.array(*[F.lit(i) for i in range(cycles)]).cast("array<int>")
+    shifted = (rows.withColumn("cycle", F.explode(rounds))
                    .withColumn("ts_ms", F.col("sec") * 1000 + F.col("cycle") * F.lit(shift_ms)))
     return shifted.select(
         "cycle", F.col("item_id").cast("long").alias("item_id"),
@@ -167,8 +198,10 @@ SELECT CAST(cycle AS INTEGER) AS cycle, event_id AS item_id,
                             '%Y-%m-%d %H:%M:%S')) AS json
 FROM c""")
 def replay_behavior_log(spark, d):
-    """Behaviour log (CSV) -> JSON lines, replayed twice with the time shift."""
-    return replay(behavior_csv(spark, d), 2)
+    """Behaviour log in CSV files, read whole -> JSON lines, replayed twice with the time
+    shift."""
+    folder = write_records(behavior_csv(spark, d), "behavior-log")
+    return replay(read_lines(spark, folder), 2)
 
 
 # -- headers --------------------------------------------------------------------------------
@@ -208,6 +241,7 @@ def header_decode(spark, d):
 
 # -- registry-style records -----------------------------------------------------------------
 
+# Fixed values (must equal the reference): field names of the sensor and machine records.
 SENSOR_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()),
     T.StructField("event_id", T.StringType()),
@@ -286,7 +320,8 @@ def machine_records(spark, d):
     ev = wide_events(spark, d)
     k = F.get_json_object("props", "$.k").cast("long")
     counters = F.array(
-        F.struct(F.lit("cents").alias("name"), cents().alias("value"), F.lit("cents").alias("unit")),
+        F.struct(F.lit("amount").alias("name"), (exact() * F.lit(UNIT)).cast("long").alias("value"),
+                 F.lit("1e-8").alias("unit")),
         F.struct(F.lit("k").alias("name"), k.alias("value"), F.lit("count").alias("unit")),
         F.struct(F.lit("user").alias("name"), F.col("user_id").alias("value"),
                  F.lit("id").alias("unit")))
@@ -314,7 +349,7 @@ def schema_evolution(spark, d):
 
 @query("explode_counters", f"""
 SELECT epoch_us(ts) // 1000 AS timestamp, 'host-' || CAST(user_id % 20 AS VARCHAR) AS hostname,
-       'cents' AS name, {CENTS_SQL} AS value, 'cents' AS unit FROM events
+       'amount' AS name, CAST({EXACT_SQL} * {UNIT} AS BIGINT) AS value, '1e-8' AS unit FROM events
 UNION ALL
 SELECT epoch_us(ts) // 1000, 'host-' || CAST(user_id % 20 AS VARCHAR), 'k',
        CAST(json_extract_string(props, '$.k') AS BIGINT), 'count' FROM events

@@ -1,46 +1,133 @@
-"""The click-count job as a registered query: a real stream from JSON files to a JSON sink."""
+"""Streaming jobs as registered queries: each reads given tables (or records written from them)
+as a stream, runs to the end of the input and returns what its sink holds. The watermark drops
+no row: a bounded replay is one micro-batch, and a lost row would fail the query."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventide.functions.codec import CLICK_PAGES, decode_json
-from eventide.plans.registry import query
-from eventide.plans.windowing import events
-from eventide.session import scratch_path
-from eventide.sources import generators as G
+from eventide.functions import codec as C
+from eventide.plans.records import click_json
+from eventide.plans.registry import bucket_us, query, ts_of
+from eventide.plans.windowing import (EXACT_SQL, H, as_double, as_double_sql, exact)
+from eventide.sources.tables import read_table_stream
 from eventide.streaming import clicks as K
-from eventide.streaming import sinks
+from eventide.streaming.replay import land, record_stream, upserted
+from eventide.streaming.stateful import long_interval_alerts_stream, pair_streams
+from eventide.streaming.windows import processing_time_window_stream, window_agg_stream
 
-_PAGES_SQL = "[" + ", ".join(f"'{p}'" for p in CLICK_PAGES) + "]"
 STATS_SCHEMA = T.StructType([
     T.StructField("windowStart", T.StringType()), T.StructField("windowEnd", T.StringType()),
     T.StructField("page", T.StringType()), T.StructField("count", T.LongType())])
 
+# The click record's 12-hour pattern has no marker: afternoon times come back 12 h earlier.
+_CLICK_TS = ("(date_trunc('millisecond', ts) - CASE WHEN hour(ts) >= 12 THEN INTERVAL 12 HOUR "
+             "ELSE INTERVAL 0 HOUR END)")
+_CLICK_START = bucket_us(_CLICK_TS, 15_000_000)
+
 
 @query("click_count_job", f"""
-WITH c AS (SELECT {_PAGES_SQL}[event_id % 6 + 1] AS page, (event_id // 6) * 15 AS ms FROM events),
-w AS (SELECT page, (ms // 15000) * 15000 AS s, count(*) AS n FROM c GROUP BY 1, 2)
-SELECT page, strftime(make_timestamp(s * 1000), '%d-%m-%Y %I:%M:%S:%g') AS window_start_text,
-       n AS click_count
-FROM w WHERE s + 15000 <= (SELECT max(ms) FROM c) - 200""")
+SELECT event_type AS page,
+       strftime({ts_of(_CLICK_START)}, '%d-%m-%Y %I:%M:%S:%g') AS window_start_text,
+       count(*) AS click_count
+FROM events GROUP BY event_type, {_CLICK_START}""")
 def click_count_job(spark, d):
-    """Clicks generated from the events table are written as JSON records to a folder under
-    the shared checkpoint folder; a stream reads them (FAILFAST decode, 200 ms watermark),
-    counts per page and 15 s window in append mode and writes JSON statistics; the query
-    returns the statistics read back. Windows still open at the end of the input (not yet
-    passed by the watermark) are not emitted, as in an unbounded run."""
-    values = K.click_json_values(G.clicks(events(spark, d), "event_id", CLICK_PAGES))
-    src_dir = scratch_path(spark, "click-source")
-    values.write.mode("overwrite").json(src_dir)
-    src = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).json(src_dir)
-    out_dir = scratch_path(spark, "click-stats")
-    q = sinks.start(K.statistics_json(K.click_statistics(src)), "click_count_job",
-                    sink="json", path=out_dir, trigger={"availableNow": True})
-    q.awaitTermination()
-    stats = spark.read.schema("value string").json(out_dir).select(
-        decode_json("value", STATS_SCHEMA).alias("s"))
-    return stats.select(F.col("s.page").alias("page"),
-                        F.col("s.windowStart").alias("window_start_text"),
-                        F.col("s.count").alias("click_count"))
+    """The click-count job: events as JSON click records in files, read as a stream (FAILFAST
+    decode, 200 ms watermark), counted per page and 15 s window, written as JSON statistics to
+    an upsert sink. Update mode: the window that is still open at the end is there as well."""
+    values = record_stream(click_json(spark, d).select("value"), "click-source")
+    stats = K.click_statistics(values)
+    out = stats.select("page", C.click_ts_text("window_start").alias("window_start_text"),
+                       K.statistics_value().alias("value"))
+    kept = upserted(out, "click-stats", ["page", "window_start_text"])
+    back = kept.select(C.decode_json("value", STATS_SCHEMA, failfast=True).alias("s"))
+    return back.select(F.col("s.page").alias("page"),
+                       F.col("s.windowStart").alias("window_start_text"),
+                       F.col("s.count").alias("click_count"))
+
+
+@query("hourly_tips_stream", f"""
+WITH per AS (
+  SELECT {bucket_us('ts', H)} AS s, user_id, sum({EXACT_SQL}) AS c FROM events GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY c DESC, user_id) AS rn FROM per)
+SELECT CAST((s + {H}) // 1000 AS BIGINT) AS window_end_ms, user_id AS driver_id,
+       {as_double_sql('c')} AS tips
+FROM r WHERE rn = 1""")
+def hourly_tips_stream(spark, d):
+    """Hourly tips on a stream: sums per driver and hour in update mode into an upsert table,
+    the best driver of each hour from the table."""
+    from eventide.operators import aggs
+    src = read_table_stream(spark, d, "events")
+    sums = window_agg_stream(src, "ts", "1 hour", "1 hour", F.sum(exact()).alias("total"),
+                             keys=["user_id"])
+    table = upserted(sums, "hourly-tips", ["window_start", "user_id"])
+    best = aggs.cascaded_window_argmax(table, "user_id", "total")
+    return best.select(F.unix_millis("window_end").alias("window_end_ms"),
+                       F.col("user_id").alias("driver_id"), as_double(F.col("total")).alias("tips"))
+
+
+def ride_events_stream(spark, d):
+    """STARTs (orders, at the order date) and ENDs (line items, at the ship date) of the same key
+    as one stream: key, is_start, ts."""
+    starts = read_table_stream(spark, d, "orders").select(
+        F.col("o_orderkey").alias("key"), F.lit(True).alias("is_start"),
+        F.col("o_orderdate").alias("ts"))
+    ends = read_table_stream(spark, d, "lineitem").select(
+        F.col("l_orderkey").alias("key"), F.lit(False).alias("is_start"),
+        F.col("l_shipdate").alias("ts"))
+    return starts.unionByName(ends)
+
+
+@query("long_ride_alerts_stream", """
+WITH e AS (SELECT l_orderkey, min(l_shipdate) AS t FROM lineitem GROUP BY l_orderkey),
+m AS (SELECT greatest((SELECT max(o_orderdate) FROM orders),
+                      (SELECT max(l_shipdate) FROM lineitem)) AS t),
+s AS (SELECT o_orderkey, min(o_orderdate) AS t FROM orders GROUP BY o_orderkey)
+SELECT s.o_orderkey AS key, CASE WHEN e.t IS NULL THEN 'no_end' ELSE 'too_long' END AS reason,
+       epoch_ms(s.t) AS start_ms, epoch_ms(e.t) AS end_ms
+FROM s LEFT JOIN e ON s.o_orderkey = e.l_orderkey, m
+WHERE e.t > s.t + INTERVAL 90 DAY OR (e.t IS NULL AND s.t + INTERVAL 90 DAY <= m.t - INTERVAL 1 HOUR)
+""")
+def long_ride_alerts_stream(spark, d):
+    """The stateful alert: keyed state with event-time timers over both event streams. A START
+    without END alerts when the watermark (latest event - 1 h) passes its limit; one that is
+    still within its limit at the end of the input does not."""
+    alerts = long_interval_alerts_stream(ride_events_stream(spark, d), "key", "is_start", "ts",
+                                         limit="90 days", delay="1 hour", retention="3650 days")
+    return land(alerts, "long-ride-alerts")
+
+
+@query("rides_fares_stream", """
+SELECT o.o_orderkey, o.o_orderdate, o.o_totalprice, l.l_linenumber, l.l_extendedprice,
+       l.l_shipdate
+FROM orders o JOIN (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey
+                   ORDER BY l_shipdate DESC, l_linenumber DESC) AS rn FROM lineitem)
+  WHERE rn = 1) l ON o.o_orderkey = l.l_orderkey""")
+def rides_fares_stream(spark, d):
+    """1:1 pairing of two streams that consumes on match: an order meets its line item; a line
+    item shipped later replaces an earlier one that waits."""
+    orders = read_table_stream(spark, d, "orders", utc_timestamps=False).select(
+        "o_orderkey", "o_orderdate", "o_totalprice",
+        F.unix_micros(F.col("o_orderdate").cast("timestamp")).alias("o_at"))
+    shipped = F.unix_micros(F.col("l_shipdate").cast("timestamp"))
+    items = read_table_stream(spark, d, "lineitem", utc_timestamps=False).select(
+        F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_extendedprice", "l_shipdate",
+        (shipped + F.col("l_linenumber")).alias("l_at"))  # ship dates are whole seconds
+    pairs = pair_streams(orders, items, "o_orderkey", "o_at", "l_at")
+    return land(pairs, "rides-fares").select(
+        "o_orderkey", "o_orderdate", "o_totalprice", "l_linenumber", "l_extendedprice",
+        "l_shipdate")
+
+
+@query("processing_time_totals", "SELECT count(*) AS total, count(*) > 0 AS windows FROM events")
+def processing_time_totals(spark, d):
+    """Windows over processing time: rows fall in the window of their arrival, so only the total
+    over all windows is defined."""
+    src = read_table_stream(spark, d, "events")
+    counts = processing_time_window_stream(src, "0 seconds", "15 seconds",
+                                           F.count(F.lit(1)).alias("cnt"))
+    table = upserted(counts, "processing-time", ["window_start"])
+    return table.agg(F.coalesce(F.sum("cnt"), F.lit(0)).alias("total"),
+                     (F.count(F.lit(1)) > 0).alias("windows"))

@@ -21,12 +21,23 @@ def purchases(spark, d):
     return events(spark, d).where(F.col("event_type") == "purchase")
 
 
-def cents(col: str = "value"):
-    """Money as integer cents: sums of them do not depend on the summation order."""
-    return F.round(F.col(col) * 100).cast("long")
+# Money is summed as DECIMAL, so sums are exact and do not depend on the order of rows.
+EXACT_SQL = "CAST(value AS DECIMAL(28, 8))"
+UNIT = 100_000_000
 
 
-CENTS_SQL = "CAST(round(value * 100) AS BIGINT)"
+def exact(col: str = "value"):
+    """A DOUBLE amount as DECIMAL(28, 8)."""
+    return F.col(col).cast("decimal(28,8)")
+
+
+def as_double(total):
+    """An exact sum as DOUBLE, through its integer number of 1e-8 units."""
+    return (total * F.lit(UNIT)).cast("long").cast("double") / F.lit(float(UNIT))
+
+
+def as_double_sql(total: str) -> str:
+    return f"CAST(CAST({total} * {UNIT} AS BIGINT) AS DOUBLE) / {float(UNIT)}"
 
 
 def _tumble_sql(size_us: int) -> str:
@@ -118,33 +129,32 @@ def click_count(spark, d):
 @query("hourly_tips_per_driver", f"""
 SELECT epoch_ms({ts_of(bucket_us('ts', H) + f' + {H}')}) AS window_end_ms,
        user_id AS driver_id,
-       CAST(sum({CENTS_SQL}) AS DOUBLE) / 100.0 AS tips
+       {as_double_sql(f'sum({EXACT_SQL})')} AS tips
 FROM events GROUP BY 1, 2""")
 def hourly_tips_per_driver(spark, d):
-    """Sum of tips per driver and hour (user = driver, value = tip, summed in cents)."""
-    per = aggs.window_sum(events(spark, d), "ts", "1 hour", "user_id", cents(), "tip_cents")
+    """Sum of tips per driver and hour (user = driver, value = tip)."""
+    per = aggs.window_sum(events(spark, d), "ts", "1 hour", "user_id", exact(), "total")
     return per.select(
         F.unix_millis(F.col("window_end").cast("timestamp")).alias("window_end_ms"),
         F.col("user_id").alias("driver_id"),
-        (F.col("tip_cents").cast("double") / 100.0).alias("tips"))
+        as_double(F.col("total")).alias("tips"))
 
 
 @query("hourly_tips", f"""
 WITH per AS (
-  SELECT {bucket_us('ts', H)} AS s, user_id, sum({CENTS_SQL}) AS c FROM events GROUP BY 1, 2),
+  SELECT {bucket_us('ts', H)} AS s, user_id, sum({EXACT_SQL}) AS c FROM events GROUP BY 1, 2),
 r AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY c DESC, user_id) AS rn FROM per)
 SELECT CAST((s + {H}) // 1000 AS BIGINT) AS window_end_ms, user_id AS driver_id,
-       CAST(c AS DOUBLE) / 100.0 AS tips
+       {as_double_sql('c')} AS tips
 FROM r WHERE rn = 1""")
 def hourly_tips(spark, d):
     """Cascaded windows: per hour, the driver with the largest tip sum (ties: lowest id)."""
-    # tips are exact multiples of 0.01: summed in cents, then ranked
-    per = aggs.window_sum(events(spark, d), "ts", "1 hour", "user_id", cents(), "tip_cents")
-    best = aggs.cascaded_window_argmax(per, "user_id", "tip_cents")
+    per = aggs.window_sum(events(spark, d), "ts", "1 hour", "user_id", exact(), "total")
+    best = aggs.cascaded_window_argmax(per, "user_id", "total")
     return best.select(
         F.unix_millis(F.col("window_end").cast("timestamp")).alias("window_end_ms"),
         F.col("user_id").alias("driver_id"),
-        (F.col("tip_cents").cast("double") / 100.0).alias("tips"))
+        as_double(F.col("total")).alias("tips"))
 
 
 @query("running_count", """
@@ -177,35 +187,38 @@ def running_argmax(spark, d):
 @query("global_time_window", f"""
 SELECT {ts_of(bucket_us('ts', H))} AS window_start,
        {ts_of(bucket_us('ts', H) + f' + {H}')} AS window_end,
-       count(*) AS cnt, CAST(sum({CENTS_SQL}) AS BIGINT) AS total_cents,
+       count(*) AS cnt, {as_double_sql(f'sum({EXACT_SQL})')} AS total,
        format('time-window [{{}}, {{}}) count={{}} sum={{}}',
               {bucket_us('ts', H)} // 1000, ({bucket_us('ts', H)} + {H}) // 1000,
-              count(*), CAST(sum({CENTS_SQL}) AS BIGINT)) AS summary
+              count(*), CAST(sum({EXACT_SQL}) AS VARCHAR)) AS summary
 FROM events GROUP BY {bucket_us('ts', H)}""")
 def global_time_window(spark, d):
-    """Unkeyed 1 h window over all events: count, sum (cents) and the formatted line."""
+    """Unkeyed 1 h window over all events: count, sum and the formatted line."""
     w = W.global_window(events(spark, d), "ts", "1 hour")
     agg = w.groupBy("window_start", "window_end").agg(
-        F.count(F.lit(1)).alias("cnt"), F.sum(cents()).alias("total_cents"))
+        F.count(F.lit(1)).alias("cnt"), F.sum(exact()).alias("__sum"))
     s_ms = F.unix_millis(F.col("window_start").cast("timestamp"))
     e_ms = F.unix_millis(F.col("window_end").cast("timestamp"))
-    return agg.withColumn("summary", F.format_string(
-        "time-window [%d, %d) count=%d sum=%d", s_ms, e_ms, F.col("cnt"), F.col("total_cents")))
+    line = F.format_string("time-window [%d, %d) count=%d sum=%s", s_ms, e_ms, F.col("cnt"),
+                           F.col("__sum").cast("string"))
+    return agg.select("window_start", "window_end", "cnt", as_double(F.col("__sum")).alias("total"),
+                      line.alias("summary"))
 
 
 @query("count_window", f"""
 SELECT w AS window_id, count(*) AS window_rows,
-       CAST(sum({CENTS_SQL}) AS BIGINT) AS total_cents,
-       'count-window sum=' || CAST(CAST(sum({CENTS_SQL}) AS BIGINT) AS VARCHAR) AS summary
+       {as_double_sql(f'sum({EXACT_SQL})')} AS total,
+       'count-window sum=' || CAST(sum({EXACT_SQL}) AS VARCHAR) AS summary
 FROM (SELECT *, (row_number() OVER (ORDER BY event_id) - 1) // 4 AS w FROM events)
 GROUP BY w HAVING count(*) = 4""")
 def count_window(spark, d):
     """Count windows of 4 events in event_id order: sum per window; the trailing partial
     window never fires."""
     ev = events(spark, d).select("event_id", "value")
-    out = W.count_window_agg(ev, ["event_id"], 4, F.sum(cents()).alias("total_cents"))
-    return out.withColumn("summary", F.concat(F.lit("count-window sum="),
-                                              F.col("total_cents").cast("string")))
+    out = W.count_window_agg(ev, ["event_id"], 4, F.sum(exact()).alias("__sum"))
+    return out.select("window_id", "window_rows", as_double(F.col("__sum")).alias("total"),
+                      F.concat(F.lit("count-window sum="), F.col("__sum").cast("string"))
+                       .alias("summary"))
 
 
 @query("session_window", f"""
@@ -228,9 +241,10 @@ def session_window(spark, d):
 
 @query("word_count", """
 SELECT word, count(*) AS cnt
-FROM (SELECT unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS word FROM documents)
+FROM (SELECT unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{M}\\p{N}_]+')) AS word FROM documents)
 WHERE word <> '' GROUP BY word""")
 def word_count(spark, d):
-    """Word frequencies over every document's full text."""
+    """Word frequencies over every document's full text; words are runs of letters, marks,
+    digits and underscores of any script."""
     docs = spread(read_table(spark, d, "documents").select("text"))
     return aggs.word_count(docs, "text")

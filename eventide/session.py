@@ -70,11 +70,10 @@ def tune_for_input(spark: SparkSession, input_bytes: int,
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin the per-session SQL settings the queries rely on, on a session built elsewhere:
-    UTC session time (event times are zone-less; epoch arithmetic must not shift) and a
-    checkpoint folder."""
+    UTC session time (event times are zone-less; epoch arithmetic must not shift). Queries that
+    write intermediate tables ask for the checkpoint folder themselves."""
     if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    checkpoint_dir(spark)
     return spark
 
 

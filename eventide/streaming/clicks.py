@@ -26,15 +26,14 @@ def click_statistics(values: DataFrame, value: str = "value", delay: str = "200
                              keys=["page"])
 
 
-def statistics_json(stats: DataFrame) -> DataFrame:
-    """``value`` = ``{"windowStart", "windowEnd", "page", "count"}`` with the click pattern."""
-    return stats.select(C.encode_json(
+def statistics_value():
+    """``{"windowStart", "windowEnd", "page", "count"}`` as JSON text, with the click pattern."""
+    return C.encode_json(
         C.click_ts_text("window_start").alias("windowStart"),
         C.click_ts_text("window_end").alias("windowEnd"),
-        F.col("page"), F.col("count")).alias("value"))
+        F.col("page"), F.col("count"))
 
 
-def click_json_values(clicks: DataFrame) -> DataFrame:
-    """Generated clicks (``page``, ``click_ts``) as JSON click records (the producer side)."""
-    return clicks.select(C.encode_json(C.click_ts_text("click_ts").alias("timestamp"),
-                                       F.col("page")).alias("value"))
+def statistics_json(stats: DataFrame) -> DataFrame:
+    """The statistics as one column ``value``: the shape a topic sink takes."""
+    return stats.select(statistics_value().alias("value"))

@@ -28,7 +28,7 @@ def dedup_first_stream(df: DataFrame, keys: list[str], ts: str, delay: str) -> D
 
 def dedup_last_stream(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """Use with ``outputMode("update")``."""
-    return R.dedup_last(df, keys, order)
+    return R.dedup_last_rows(df, keys, order)
 
 
 def window_top_n_stream(df: DataFrame, ts: str, delay: str, size: str, key: str,

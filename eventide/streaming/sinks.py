@@ -1,20 +1,23 @@
 """Stream sinks and a start/restart helper.
 
-* ``upsert_log`` -- an idempotent keyed upsert table on plain files: micro-batch ``b`` is written
-  to ``<path>/batch_id=b`` (overwritten if the batch is retried), and readers keep the row of
-  the highest batch per key. No table is rewritten per batch, and a replayed batch after a lost
-  executor or a restart replaces itself exactly.
+* ``UpsertTable`` -- a keyed table on plain files that a stream keeps up to date. A micro-batch
+  is reduced to one row per key and written to ``<path>/delta/batch_id=b`` (replaced if the batch
+  is retried); every ``compact_every`` batches the deltas are folded into a new base, and the
+  folded deltas are emptied, so what a reader has to fold stays bounded by the table itself.
 * ``json_value`` -- one JSON text column, the shape a topic sink takes.
-* ``start`` -- ``writeStream`` with a checkpoint folder under the shared checkpoint directory.
+* ``start`` / ``run_to_end`` -- ``writeStream`` with a checkpoint folder under the shared
+  checkpoint directory; the bounded form reports rows lost to the watermark as an error.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from eventide.operators.ranking import latest_per_key
 from eventide.session import scratch_path
 
 
@@ -26,27 +29,74 @@ def json_value(df: DataFrame, key: str | None = None) -> DataFrame:
     return df.select(*cols)
 
 
-def upsert_log(path: str) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` writer of the upsert table at ``path``."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-    return write
-
-
-def read_upserted(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Current state of an upsert table: the last written row per key (partial aggregate,
-    so a hot key ships one row per task)."""
-    raw = spark.read.parquet(path)
-    cols = [c for c in raw.columns if c != "batch_id"]
-    best = F.max_by(F.struct(*[F.col(c) for c in cols]), F.col("batch_id")).alias("__r")
-    return raw.groupBy(*keys).agg(best).select(*[F.col(f"__r.{c}").alias(c) for c in cols])
+class UpsertTable:
+    """The upsert table at ``path`` with rows of ``schema``, unique in ``keys``.
 
+    ``version`` names a column that orders the rows of a key (such as a log position); without
+    it the later micro-batch wins, and a batch must hold one row per key (as an aggregate in
+    update mode does). ``deleted`` names a boolean column that marks a key's removal.
+    """
 
-def jdbc_writer(url: str, table: str, properties: dict[str, str]) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` writer appending each micro-batch to a JDBC table (the driver jar must
-    be on the classpath). A retried batch appends again: at-least-once, like the connector."""
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType,
+                 keys: Sequence[str], version: str | None = None, deleted: str | None = None,
+                 compact_every: int = 16):
+        self.spark, self.path, self.schema = spark, path, schema
+        self.keys, self.version, self.deleted = list(keys), version, deleted
+        self.compact_every = compact_every
+        self.base, self.delta = f"{path}/base", f"{path}/delta"
+        empty = spark.createDataFrame([], schema)
+        # an empty first generation: a table nobody has written to yet can be read
+        empty.write.mode("ignore").parquet(f"{self.base}/upto=-1")
+        empty.write.mode("ignore").parquet(f"{self.delta}/batch_id=-1")
+
+    def write(self, batch: DataFrame, batch_id: int) -> None:
+        """``foreachBatch`` writer. Writing a batch again replaces it."""
+        if self.version:
+            batch = latest_per_key(batch, self.keys, self.version)
+        batch.write.mode("overwrite").parquet(f"{self.delta}/batch_id={batch_id}")
+        if (batch_id + 1) % self.compact_every == 0:
+            self.compact(batch_id)
+
+    def _stored(self, folder: str, number: str) -> DataFrame:
+        schema = T.StructType([*self.schema.fields, T.StructField(number, T.LongType())])
+        return self.spark.read.schema(schema).parquet(folder)
+
+    def _folded(self) -> DataFrame:
+        base = self._stored(self.base, "upto")
+        newest = base.select(F.max("upto")).first()[0]
+        newest = -1 if newest is None else newest
+        rows = (base.where(F.col("upto") == newest).withColumnRenamed("upto", "batch_id")
+                    .unionByName(self._stored(self.delta, "batch_id")
+                                 .where(F.col("batch_id") > newest)))
+        if self.version:  # a batch may hold an older version than the base does
+            return latest_per_key(rows, self.keys, self.version, "batch_id").drop("batch_id")
+        return latest_per_key(rows, self.keys, "batch_id").drop("batch_id")
+
+    def compact(self, batch_id: int) -> None:
+        """Fold everything up to ``batch_id`` into a base and empty the folded deltas. Removed
+        keys keep their marker, so that an older version arriving late stays removed."""
+        self._folded().write.mode("overwrite").parquet(f"{self.base}/upto={batch_id}")
+        empty = self.spark.createDataFrame([], self.schema)
+        for b in range(batch_id - self.compact_every + 1, batch_id + 1):
+            empty.write.mode("overwrite").parquet(f"{self.delta}/batch_id={b}")
+        if batch_id >= self.compact_every:
+            empty.write.mode("overwrite").parquet(
+                f"{self.base}/upto={batch_id - self.compact_every}")
+
+    def read(self) -> DataFrame:
+        """The current rows: the newest one of each key that is not removed."""
+        rows = self._folded()
+        return rows.where(~F.col(self.deleted)) if self.deleted else rows
+
+
+def jdbc_writer(url: str, table: str, properties: dict[str, str],
+                batch_column: str = "batch_id") -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` writer to a JDBC staging table (the driver jar must be on the classpath).
+    Every row carries its batch number: a retried batch appends its rows again under the same
+    number, and ``deduplicated`` readers (or a merge on the number) take them once."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("append").jdbc(url, table, properties=properties)
+        (batch.withColumn(batch_column, F.lit(batch_id))
+              .write.mode("append").jdbc(url, table, properties=properties))
     return write
 
 
@@ -69,3 +119,20 @@ def start(df: DataFrame, name: str, output_mode: str = "append", sink: str = "pa
         return w.foreachBatch(foreach_batch).start()
     w = w.format(sink)
     return w.start(path) if path else w.start()
+
+
+def rows_dropped(query) -> int:
+    """Rows a query has discarded as later than its watermark, over its kept progress."""
+    return sum(op.numRowsDroppedByWatermark or 0
+               for p in query.recentProgress for op in p.stateOperators)
+
+
+def run_to_end(df: DataFrame, name: str, **options):
+    """``start`` over all input there is, and wait. Fails if the watermark dropped a row: a
+    bounded replay has to be lossless."""
+    q = start(df, name, trigger={"availableNow": True}, **options)
+    q.awaitTermination()
+    lost = rows_dropped(q)
+    if lost:
+        raise RuntimeError(f"{name}: {lost} rows were later than the watermark")
+    return q

@@ -1,16 +1,11 @@
 """Keyed state with event-time timers (``transformWithStateInPandas``).
 
-``LongIntervalAlerts`` is the START/END alert: remember whichever event of a key comes first;
-a START arms a timer at ``start + limit``; the second event disarms it and alerts when the
-interval is longer than ``limit``; a timer that fires alerts for a START without END.
-
-Two state leaks of the classic formulation are closed with a second timer: an END that arrives
-first (or after its START already alerted) is evicted ``retention`` after its own time, so a key
-never keeps state forever. Choose ``retention`` to cover the expected lateness of STARTs.
-
-State lives in the RocksDB state store (``spark.sql.streaming.stateStore.providerClass``),
-partitioned by key across tasks like any shuffle; checkpoints make it survive restarts and lost
-executors.
+``LongIntervalAlerts`` is the START/END alert, ``PairOnMatch`` the 1:1 pairing of two streams and
+``CountWindowSum`` the count window. Each keeps a fixed number of values per key and reads a
+key's rows as an iterator of batches, of which it takes minima, maxima or sums: no key's rows
+are gathered. State lives in the RocksDB state store
+(``spark.sql.streaming.stateStore.providerClass``), partitioned by key across tasks like any
+shuffle; checkpoints make it survive restarts and lost executors.
 """
 
 from __future__ import annotations
@@ -33,15 +28,24 @@ ALERT_SCHEMA = T.StructType([
     T.StructField("end_ms", T.LongType()),
 ])
 
-_PENDING = T.StructType([
-    T.StructField("is_start", T.BooleanType()),
-    T.StructField("event_ms", T.LongType()),
+_SEEN = T.StructType([
+    T.StructField("start_ms", T.LongType()),
+    T.StructField("end_ms", T.LongType()),
+    T.StructField("done", T.BooleanType()),
+    T.StructField("timer_ms", T.LongType()),
 ])
 
 
 class LongIntervalAlerts(StatefulProcessor):
-    """Input columns: ``key`` (long), ``is_start`` (bool), ``event_ms`` (long epoch ms) and
-    optionally ``arrival`` (long, the order rows of one key arrived in)."""
+    """Input columns: ``key`` (long), ``is_start`` (bool), ``event_ms`` (long epoch ms).
+
+    Either event may come first and either may come again. Of repeated STARTs the earliest
+    counts, of repeated ENDs the earliest. When both are known the key is decided: it alerts
+    (``too_long``) if the END is more than the limit after the START. A START whose END has not
+    come when the watermark passes START + limit alerts (``no_end``). A decided key is remembered
+    for ``retention_ms``, so that redelivered events neither alert again nor arm a timer, and is
+    then forgotten, as is an END whose START never comes.
+    """
 
     def __init__(self, limit_ms: int, retention_ms: int, report_missing_start: bool = False):
         self.limit_ms = limit_ms
@@ -50,70 +54,153 @@ class LongIntervalAlerts(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getValueState("pending", _PENDING)
+        self.seen = handle.getValueState("seen", _SEEN)
 
     def _row(self, key, reason, start_ms, end_ms):
-        return {"key": key, "reason": reason, "start_ms": start_ms, "end_ms": end_ms}
+        return pd.DataFrame([{"key": key, "reason": reason, "start_ms": start_ms,
+                              "end_ms": end_ms}]).astype({"start_ms": "Int64",
+                                                          "end_ms": "Int64"})
 
-    def _timer_for(self, is_start: bool, event_ms: int) -> int:
-        return event_ms + (self.limit_ms if is_start else self.retention_ms)
+    def _set_timer(self, at: int, before: int | None) -> int:
+        if before is not None and before != at:
+            self.handle.deleteTimer(before)
+        if before != at:
+            self.handle.registerTimer(at)
+        return at
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        k = int(key[0])
-        batch = pd.concat(list(rows), ignore_index=True)
-        order = ["arrival"] if "arrival" in batch.columns else ["event_ms"]
-        batch = batch.sort_values(order, kind="stable")
-        out = []
-        for is_start, event_ms in zip(batch["is_start"].tolist(), batch["event_ms"].tolist()):
-            is_start, event_ms = bool(is_start), int(event_ms)
-            if not self.pending.exists():
-                self.pending.update((is_start, event_ms))
-                self.handle.registerTimer(self._timer_for(is_start, event_ms))
-                continue
-            first_start, first_ms = self.pending.get()
-            self.handle.deleteTimer(self._timer_for(bool(first_start), int(first_ms)))
-            start_ms, end_ms = (first_ms, event_ms) if first_start else (event_ms, first_ms)
-            if end_ms - start_ms > self.limit_ms:
-                out.append(self._row(k, "too_long", start_ms, end_ms))
-            self.pending.clear()
-        if out:
-            yield pd.DataFrame(out)
+        start = end = before = None
+        done = False
+        if self.seen.exists():
+            start, end, done, before = self.seen.get()
+        if done:
+            return  # decided; whatever comes now is a redelivery
+        for batch in rows:
+            is_start = batch["is_start"].astype(bool)
+            for ms in batch.loc[is_start, "event_ms"].agg(["min"]).dropna():
+                start = int(ms) if start is None else min(int(start), int(ms))
+            for ms in batch.loc[~is_start, "event_ms"].agg(["min"]).dropna():
+                end = int(ms) if end is None else min(int(end), int(ms))
+        if start is not None and end is not None:
+            if end - start > self.limit_ms:
+                yield self._row(int(key[0]), "too_long", start, end)
+            done, at = True, max(start, end) + self.retention_ms
+        elif start is not None:
+            at = start + self.limit_ms
+        elif end is not None:
+            at = end + self.retention_ms
+        else:
+            return
+        self.seen.update((start, end, done, self._set_timer(at, before)))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if not self.pending.exists():
+        if not self.seen.exists():
             return
-        is_start, event_ms = self.pending.get()
-        self.pending.clear()
-        if is_start:
-            # no END within the limit: alert, and keep nothing
-            yield pd.DataFrame([self._row(int(key[0]), "no_end", int(event_ms), None)])
-        elif self.report_missing_start:
-            yield pd.DataFrame([self._row(int(key[0]), "missing_start", None, int(event_ms))])
+        start, end, done, timer = self.seen.get()
+        if expiredTimerInfo.getExpiryTimeInMs() != timer:
+            return  # replaced by a later decision
+        if start is not None and not done:
+            yield self._row(int(key[0]), "no_end", int(start), None)
+            at = int(timer) + self.retention_ms
+            self.handle.registerTimer(at)
+            self.seen.update((start, end, True, at))
+            return
+        if start is None and self.report_missing_start:
+            yield self._row(int(key[0]), "missing_start", None, int(end))
+        self.seen.clear()
 
     def close(self) -> None:
         pass
 
 
 def long_interval_alerts_stream(events: DataFrame, key: str, is_start: str, ts: str,
-                                limit: str, delay: str, retention: str | None = None,
-                                arrival: str | None = None,
+                                limit: str, delay: str, retention: str,
                                 report_missing_start: bool = False) -> DataFrame:
     """Stream form of the alert. ``ts`` must be a TIMESTAMP column; the watermark is
     ``max(ts) - delay``. Timers fire at micro-batch boundaries once the watermark passes them,
-    so a missing-END alert can come one batch after the reference's."""
+    so a missing-END alert can come one batch after the reference's. ``retention`` is how long
+    an END waits for its START, and a decided key is remembered: longer than events are late."""
     limit_ms = duration_micros(limit) // 1000
-    retention_ms = duration_micros(retention or limit) // 1000
-    cols = [F.col(key).cast("long").alias("key"), F.col(is_start).alias("is_start"),
-            F.unix_millis(F.col(ts)).alias("event_ms"), F.col(ts).alias("__ts")]
-    if arrival:
-        cols.append(F.col(arrival).cast("long").alias("arrival"))
-    src = events.withWatermark(ts, delay).select(*cols)
+    retention_ms = duration_micros(retention) // 1000
+    src = events.withWatermark(ts, delay).select(
+        F.col(key).cast("long").alias("key"), F.col(is_start).alias("is_start"),
+        F.unix_millis(F.col(ts)).alias("event_ms"), F.col(ts).alias("__ts"))
     use_rocksdb_state(events.sparkSession)
     return src.groupBy("key").transformWithStateInPandas(
         statefulProcessor=LongIntervalAlerts(limit_ms, retention_ms, report_missing_start),
         outputStructType=ALERT_SCHEMA, outputMode="Append", timeMode="EventTime")
 
 
+# -- 1:1 pairing that consumes on match ------------------------------------------------------
+
+class PairOnMatch(StatefulProcessor):
+    """Input columns: ``key``, ``side`` (0 or 1), ``arrival`` (long), ``payload`` (JSON text).
+
+    One row per side is kept; a row that arrives later replaces an unmatched one of its side
+    (rows with the same ``arrival`` are ordered by payload). As soon as both sides are there the
+    pair is emitted and both rows are consumed. Rows of one micro-batch count as one arrival per
+    side, its last."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        kept = T.StructType([T.StructField("arrival", T.LongType()),
+                             T.StructField("payload", T.StringType())])
+        self.sides = [handle.getValueState("left", kept), handle.getValueState("right", kept)]
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        last: list = [None, None]
+        for batch in rows:
+            for side, arrival, payload in zip(batch["side"], batch["arrival"], batch["payload"],
+                                              strict=True):
+                new = (int(arrival), payload)
+                if last[side] is None or new > last[side]:
+                    last[side] = new
+        for side in (0, 1):
+            if last[side] is None and self.sides[side].exists():
+                last[side] = tuple(self.sides[side].get())
+        if last[0] is not None and last[1] is not None:
+            for state in self.sides:
+                state.clear()
+            yield pd.DataFrame([{"key": key[0], "left": last[0][1], "right": last[1][1]}])
+            return
+        for side in (0, 1):
+            if last[side] is not None:
+                self.sides[side].update(last[side])
+
+    def close(self) -> None:
+        pass
+
+
+def pair_streams(left: DataFrame, right: DataFrame, key: str, l_arrival: str,
+                 r_arrival: str) -> DataFrame:
+    """1:1 pairing of two streams on ``key``, whichever side comes first: rows are consumed when
+    they meet, a repeated row of one side replaces the one that waits. Returns the key and all
+    other columns of both sides (their names must differ). An unmatched row waits for ever, as
+    in the reference; the state is one row per side and key."""
+    l_cols = [c for c in left.columns if c != key]
+    r_cols = [c for c in right.columns if c != key]
+    if clash := set(l_cols) & set(r_cols):
+        raise ValueError(f"rename one side's {sorted(clash)}")
+    options = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+               "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+    def side(df: DataFrame, number: int, arrival: str, cols: list[str]) -> DataFrame:
+        return df.select(F.col(key).cast("long").alias("key"), F.lit(number).alias("side"),
+                         F.col(arrival).cast("long").alias("arrival"),
+                         F.to_json(F.struct(*cols), options).alias("payload"))
+
+    both = side(left, 0, l_arrival, l_cols).unionByName(side(right, 1, r_arrival, r_cols))
+    use_rocksdb_state(left.sparkSession)
+    out = T.StructType([T.StructField("key", T.LongType()), T.StructField("left", T.StringType()),
+                        T.StructField("right", T.StringType())])
+    pairs = both.groupBy("key").transformWithStateInPandas(
+        statefulProcessor=PairOnMatch(), outputStructType=out, outputMode="Append",
+        timeMode="None")
+    l_type, r_type = left.select(*l_cols).schema, right.select(*r_cols).schema
+    return (pairs.withColumn("__l", F.from_json("left", l_type, options))
+                 .withColumn("__r", F.from_json("right", r_type, options))
+                 .select(F.col("key").alias(key), "__l.*", "__r.*"))
+
+
 # -- count windows on a stream ---------------------------------------------------------------
 
 COUNT_WINDOW_SCHEMA = T.StructType([
@@ -123,47 +210,42 @@ COUNT_WINDOW_SCHEMA = T.StructType([
 
 
 class CountWindowSum(StatefulProcessor):
-    """Sum of every ``n`` consecutive values of one key; the trailing partial window stays in
-    state (at most ``n - 1`` values) and is never emitted."""
+    """Sum of the values of one window; emitted and forgotten when its ``n`` rows are there."""
 
     def __init__(self, n: int):
         self.n = n
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.buf = handle.getListState("buf", T.StructType([
-            T.StructField("seq", T.LongType()), T.StructField("value", T.LongType())]))
-        self.emitted = handle.getValueState("emitted", T.StructType([
-            T.StructField("windows", T.LongType())]))
+        self.part = handle.getValueState("part", T.StructType([
+            T.StructField("rows", T.LongType()), T.StructField("total", T.LongType())]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable")
-        held = list(self.buf.get()) if self.buf.exists() else []
-        vals = [(int(s), int(v)) for s, v in held] + list(
-            zip(batch["seq"].astype("int64").tolist(), batch["value"].astype("int64").tolist()))
-        done = self.emitted.get()[0] if self.emitted.exists() else 0
-        full = len(vals) // self.n
-        out = [{"window_id": done + i, "total": sum(v for _, v in vals[i * self.n:(i + 1) * self.n])}
-               for i in range(full)]
-        rest = vals[full * self.n:]
-        self.buf.clear()
-        if rest:
-            self.buf.put(rest)
-        self.emitted.update((done + full,))
-        if out:
-            yield pd.DataFrame(out)
+        count, total = self.part.get() if self.part.exists() else (0, 0)
+        for batch in rows:
+            count += len(batch)
+            total += int(batch["value"].sum())
+        if count < self.n:
+            self.part.update((count, total))
+            return
+        self.part.clear()
+        yield pd.DataFrame([{"window_id": int(key[-1]), "total": total}])
 
     def close(self) -> None:
         pass
 
 
-def count_window_stream(df: DataFrame, seq: str, value: str, n: int,
-                        key: str | None = None) -> DataFrame:
-    """Count windows over a stream, per ``key`` (or over the whole stream when ``key`` is
-    None: one logical sequence, so one task holds its at most ``n - 1`` buffered values)."""
+def count_window_stream(df: DataFrame, seq: str, value: str, n: int, key: str | None = None,
+                        first: int = 0) -> DataFrame:
+    """Count windows of ``n`` consecutive rows of a stream whose rows are numbered without gaps
+    from ``first`` on in ``seq`` (a log's offsets), per ``key`` if given. A row's window follows
+    from its number, so windows are independent: rows may come in any order, windows are spread
+    over tasks whatever the key, and the state of a window is two numbers. A trailing window
+    that is never filled is never emitted."""
     k = F.col(key) if key else F.lit(0)
-    src = df.select(k.alias("__key"), F.col(seq).cast("long").alias("seq"),
+    window = F.expr(f"(CAST({seq} AS BIGINT) - {int(first)}) DIV {int(n)}")
+    src = df.select(k.alias("__key"), window.alias("__window"),
                     F.col(value).cast("long").alias("value"))
     use_rocksdb_state(df.sparkSession)
-    return src.groupBy("__key").transformWithStateInPandas(
+    return src.groupBy("__key", "__window").transformWithStateInPandas(
         statefulProcessor=CountWindowSum(n), outputStructType=COUNT_WINDOW_SCHEMA,
         outputMode="Append", timeMode="None")

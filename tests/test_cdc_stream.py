@@ -1,103 +1,116 @@
-"""CDC fold, upsert sink with restart, count windows and cascaded windows on streams."""
+"""CDC fold, upsert table with restart and compaction, count windows and cascaded windows."""
 
 import datetime as dt
-import os
-import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from eventide.operators import aggs, cdc
 from eventide.streaming import sinks
 from eventide.streaming.stateful import count_window_stream
-from eventide.streaming.windows import cascaded_argmax_stream, window_agg_stream
+from eventide.streaming.windows import cascaded_argmax_stream
 from tests.streamutil import run_to_end, write_batches
 
+IMAGE = "id int, name string, place string"
 
-def test_cdc_inserts_updates_deletes(spark):
-    rows = [("c", 1, 1, "Alice Rossi", "Milano"), ("c", 2, 2, "Bruno Verdi", "Roma"),
-            ("c", 3, 3, "Chiara Neri", "Torino"), ("u", 4, 2, "Bruno Verdi", "Napoli"),
-            ("d", 5, 3, None, None)]
-    ch = spark.createDataFrame(rows, "op string, seq long, id int, full_name string, city string")
-    ch = ch.select("op", "seq", "id", F.when(F.col("op") == "d", None).otherwise(
-        F.struct("id", "full_name", "city")).alias("after"))
-    out = cdc.materialize(ch, ["id"], "seq")
-    assert sorted((r.id, r.city) for r in out.collect()) == [(1, "Milano"), (2, "Napoli")]
-
-
-def test_upsert_sink_survives_restart(spark):
-    base = dt.datetime(2024, 1, 1)
-    rows = [{"k": i % 3, "ts": (base + dt.timedelta(minutes=7 * i)).isoformat() + "Z"}
-            for i in range(60)]
-    indir = write_batches([rows[:30]])
-    out = tempfile.mkdtemp(prefix="eventide-upsert-")
-    ck = tempfile.mkdtemp(prefix="eventide-upsert-ck-")
-
-    def run():
-        src = spark.readStream.schema("k long, ts timestamp").json(indir)
-        agg = window_agg_stream(src, "ts", "1 hour", "1 hour", F.count(F.lit(1)).alias("n"),
-                                keys=["k"])
-        q = sinks.start(agg, "restart_test", output_mode="update",
-                        foreach_batch=sinks.upsert_log(out), trigger={"availableNow": True},
-                        checkpoint=ck)
-        q.awaitTermination()
-
-    run()
-    # more input arrives while the query is down; restart from the same checkpoint
-    p = os.path.join(indir, "part-99999.json")
-    import json
-    with open(p, "w") as f:
-        for r in rows[30:]:
-            f.write(json.dumps(r) + "\n")
-    run()
-    got = sorted((r.k, r.window_start.replace(tzinfo=None), r.n)
-                 for r in sinks.read_upserted(spark, out, ["k", "window_start"]).collect())
-    batch = spark.createDataFrame([(r["k"], base + dt.timedelta(minutes=7 * i))
-                                   for i, r in enumerate(rows)], "k long, ts timestamp_ntz")
-    want = sorted((r.k, r.ws, r.n) for r in batch.groupBy(
-        "k", F.window("ts", "1 hour").start.alias("ws")).agg(F.count(F.lit(1)).alias("n")).collect())
-    assert got == want
-
-
-def test_count_window_stream(spark):
-    batches = [[{"seq": i, "v": i} for i in (1, 2, 3)], [{"seq": i, "v": i} for i in (4, 5, 6, 7)],
-               [{"seq": i, "v": i} for i in (8, 9, 10)]]
+
+def changes(spark, rows):
+    """(op, seq, id, name, place) as JSON envelopes, decoded again."""
+    df = spark.createDataFrame(rows, "op string, seq long, " + IMAGE)
+    sent = cdc.envelope(df, F.col("op"), "seq", ["id"], ["id", "name", "place"])
+    return cdc.decode(sent, "value", df.select("id", "name", "place").schema)
+
+
+LOG = [("r", 1, 1, "Ada", "Oslo"), ("r", 2, 2, "Bo", "Turku"), ("c", 3, 3, "Cy", "Graz"),
+       ("u", 4, 2, "Bo", "Lund"), ("d", 5, 3, None, None), ("u", 6, 1, "Ada", None),
+       ("d", 7, 2, None, None), ("c", 8, 2, "Di", "Brno")]
+NOW = [(1, "Ada", None), (2, "Di", "Brno")]
+
+
+def test_envelopes_name_before_and_after(spark):
+    df = spark.createDataFrame(LOG, "op string, seq long, " + IMAGE)
+    sent = [r.value for r in cdc.envelope(df, F.col("op"), "seq", ["id"],
+                                          ["id", "name", "place"]).collect()]
+    assert sent[2] == '{"op":"c","seq":3,"before":null,"after":{"id":3,"name":"Cy","place":"Graz"}}'
+    assert sent[4] == '{"op":"d","seq":5,"before":{"id":3},"after":null}'
+
+
+def test_batch_fold(spark):
+    got = cdc.materialize(changes(spark, LOG[::-1]), ["id"])
+    assert sorted((r.id, r.name, r.place) for r in got.collect()) == NOW
+
+
+def test_a_record_that_is_no_envelope_fails(spark):
+    bad = spark.createDataFrame([("{nonsense",)], "value string")
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        cdc.decode(bad, "value", spark.createDataFrame([], IMAGE).schema).collect()
+
+
+@pytest.mark.parametrize("order", [range(8), reversed(range(8)), [7, 2, 4, 0, 6, 1, 5, 3]])
+def test_table_in_any_batch_order_with_compaction(spark, tmp_path, order):
+    rows = changes(spark, LOG)
+    table = sinks.UpsertTable(spark, str(tmp_path), rows.schema, ["id"], "seq", "deleted",
+                              compact_every=3)
+    assert table.read().collect() == []
+    for b, i in enumerate(order):
+        batch = changes(spark, [LOG[i], LOG[i]])  # delivered twice
+        table.write(batch, b)
+        table.write(batch, b)                     # and the batch is retried
+    assert sorted((r.id, r.name, r.place) for r in table.read().collect()) == NOW
+    # what a reader folds is one base and the deltas after it
+    stored = spark.read.parquet(table.delta)
+    assert stored.where("batch_id <= 5").count() == 0 and stored.count() <= 2
+
+
+def test_table_without_versions_takes_the_latest_batch(spark, tmp_path):
+    schema = "k int, n int"
+    table = sinks.UpsertTable(spark, str(tmp_path), spark.createDataFrame([], schema).schema,
+                              ["k"], compact_every=2)
+    for b, rows in enumerate([[(1, 1), (2, 1)], [(1, 2)], [(3, 5)], [(2, 9)], [(1, 7)]]):
+        table.write(spark.createDataFrame(rows, schema), b)
+    assert sorted(map(tuple, table.read().collect())) == [(1, 7), (2, 9), (3, 5)]
+
+
+@pytest.mark.parametrize("sizes", [(3, 4, 3), (10,), (1,) * 10])
+def test_count_window_stream_in_any_order(spark, sizes):
+    import random
+    seq = list(range(1, 11))
+    random.Random(len(sizes)).shuffle(seq)
+    batches, at = [], 0
+    for n in sizes:
+        batches.append([{"seq": i, "v": i} for i in seq[at:at + n]])
+        at += n
     src = spark.readStream.schema("seq long, v long").option("maxFilesPerTrigger", 1).json(
         write_batches(batches))
-    got = sorted((r.window_id, r.total) for r in run_to_end(count_window_stream(src, "seq", "v", 4)))
+    got = sorted((r.window_id, r.total)
+                 for r in run_to_end(count_window_stream(src, "seq", "v", 4, first=1)))
     assert got == [(0, 10), (1, 26)]
 
 
-T0 = dt.datetime(2020, 1, 1, 12, 0)
-TIPS = {  # (driver, minute, tip) -> expected (window end, driver, tips)
-    "one_driver_one_tip": ([(1, 0, 1.0)], [(T0 + dt.timedelta(minutes=60), 1, 1.0)]),
-    "summed_by_hour": ([(1, 0, 1.0), (1, 15, 5.0), (1, 90, 10.0)],
-                       [(T0 + dt.timedelta(minutes=60), 1, 6.0),
-                        (T0 + dt.timedelta(minutes=120), 1, 10.0)]),
-    "max_across_drivers": ([(1, 0, 1.0), (1, 15, 5.0), (1, 90, 10.0), (2, 90, 20.0),
-                            (3, 70, 0.0), (4, 70, 0.0), (4, 80, 1.0), (5, 100, 10.0)],
-                           [(T0 + dt.timedelta(minutes=60), 1, 6.0),
-                            (T0 + dt.timedelta(minutes=120), 2, 20.0)]),
-}
-
-
-def test_hourly_tips_batch_cases(spark):
-    for name, (fares, want) in TIPS.items():
-        df = spark.createDataFrame([(d, T0 + dt.timedelta(minutes=m), t) for d, m, t in fares],
-                                   "driverId long, ts timestamp_ntz, tip float")
-        per = aggs.window_sum(df, "ts", "1 hour", "driverId", F.col("tip"), "tips")
-        best = aggs.cascaded_window_argmax(per, "driverId", "tips")
-        got = sorted((r.window_end, r.driverId, float(r.tips)) for r in best.collect())
-        assert got == want, name
-
-
-def test_hourly_tips_stream_case(spark):
-    fares, want = TIPS["max_across_drivers"]
-    rows = [{"driverId": d, "ts": (T0 + dt.timedelta(minutes=m)).isoformat() + "Z", "tip": t}
-            for d, m, t in fares]
+T0 = dt.datetime(2023, 5, 4, 6, 0)
+# (driver, minute, tip): two drivers tie in the second hour, a third hour stays empty, and the
+# best driver of the fourth hour has two tips that only together are the largest
+FARES = [(7, 5, 2.5), (8, 59, 2.25), (8, 60, 4.0), (9, 61, 4.0), (7, 119, 3.75),
+         (5, 181, 1.5), (6, 200, 2.0), (5, 239, 1.0)]
+BEST = [(60, 7, 2.5), (120, 8, 4.0), (240, 5, 2.5)]
+WANT = [(T0 + dt.timedelta(minutes=m), d, t) for m, d, t in BEST]
+
+
+def test_hourly_best_batch(spark):
+    df = spark.createDataFrame([(d, T0 + dt.timedelta(minutes=m), t) for d, m, t in FARES],
+                               "driver long, ts timestamp_ntz, tip float")
+    per = aggs.window_sum(df, "ts", "1 hour", "driver", F.col("tip"), "tips")
+    best = aggs.cascaded_window_argmax(per, "driver", "tips")
+    assert sorted((r.window_end, r.driver, float(r.tips)) for r in best.collect()) == WANT
+
+
+def test_hourly_best_stream(spark):
+    rows = [{"driver": d, "ts": (T0 + dt.timedelta(minutes=m)).isoformat() + "Z", "tip": t}
+            for d, m, t in FARES]
     # a late sentinel far ahead closes every window (a finite source's final watermark)
-    rows.append({"driverId": 99, "ts": (T0 + dt.timedelta(hours=10)).isoformat() + "Z", "tip": 0.0})
-    src = spark.readStream.schema("driverId long, ts timestamp, tip double").option(
+    rows.append({"driver": 99, "ts": (T0 + dt.timedelta(hours=10)).isoformat() + "Z", "tip": 0.0})
+    src = spark.readStream.schema("driver long, ts timestamp, tip double").option(
         "maxFilesPerTrigger", 1).json(write_batches([[r] for r in rows]))
-    out = cascaded_argmax_stream(src, "ts", "0 seconds", "1 hour", "driverId", F.col("tip"), "tips")
-    got = sorted((r.window_end.replace(tzinfo=None), r.driverId, r.tips) for r in run_to_end(out))
-    assert got == want
+    out = cascaded_argmax_stream(src, "ts", "0 seconds", "1 hour", "driver", F.col("tip"), "tips")
+    got = sorted((r.window_end.replace(tzinfo=None), r.driver, r.tips) for r in run_to_end(out))
+    assert got == WANT

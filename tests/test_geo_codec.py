@@ -1,4 +1,4 @@
-"""Geo predicates and grid, record codecs: the reference's hand-written cases."""
+"""Geo predicates and grid, record codecs."""
 
 import json
 import math
@@ -11,10 +11,11 @@ from eventide.functions import geo as G
 from eventide.plans import records as R
 
 CLEANSING = [  # (start lon, start lat, end lon, end lat, kept)
-    (-73.9947, 40.750626, -73.9947, 40.750626, True),   # at Penn Station
-    (-73.9947, 40.750626, 0.0, 90.0, False),            # to the pole
-    (0.0, 90.0, -73.9947, 40.750626, False),            # from the pole
-    (0.0, 90.0, 0.0, 90.0, False),                      # at the north pole
+    (-73.85, 40.62, -73.91, 40.88, True),
+    (-73.85, 40.62, -73.40, 40.88, False),              # leaves to the east
+    (-73.85, 40.62, -73.91, 40.20, False),              # leaves to the south
+    (-74.60, 40.62, -73.91, 40.88, False),              # comes from the west
+    (-73.85, 41.75, 10.0, -20.0, False),
     # the corner longitudes are not exact as FLOAT: -74.05f < -74.05 and -73.7f > -73.7,
     # so as in the reference the float corners fall outside
     (-74.05, 40.5, -73.7, 41.0, False),
@@ -36,26 +37,76 @@ def test_double_corners_are_inside(spark):
 
 
 def test_grid_cell_and_centre(spark):
-    df = spark.createDataFrame([(-73.9947, 40.750626)], "lon float, lat float")
+    df = spark.createDataFrame([(-73.8712, 40.613407)], "lon float, lat float")
     r = df.select(G.grid_cell("lon", "lat").alias("c")).first()
-    x = math.floor((74.05 - abs(float(__import__("numpy").float32(-73.9947)))) / 0.0014)
-    y = math.floor((41.0 - float(__import__("numpy").float32(40.750626))) / 0.00125)
+    x = math.floor((74.05 - abs(float(__import__("numpy").float32(-73.8712)))) / 0.0014)
+    y = math.floor((41.0 - float(__import__("numpy").float32(40.613407))) / 0.00125)
     assert r.c == x + y * 250
     cen = spark.createDataFrame([(r.c,)], "c int").select(
         G.cell_center_lon("c").alias("lon"), G.cell_center_lat("c").alias("lat")).first()
-    assert abs(cen.lon - (-73.9947)) < 0.0014 and abs(cen.lat - 40.750626) < 0.00125
+    assert abs(cen.lon - (-73.8712)) < 0.0014 and abs(cen.lat - 40.613407) < 0.00125
+
+
+def crossed(x1, y1, x2, y2):
+    """Cells whose inside the segment between two cell centres meets, from exact fractions."""
+    from fractions import Fraction as Q
+    out = set()
+    for x in range(min(x1, x2), max(x1, x2) + 1):
+        for y in range(min(y1, y2), max(y1, y2) + 1):
+            lo, hi = Q(0), Q(1)  # the part of the segment inside the open cell
+            for a, b, c in ((x1, x2, x), (y1, y2, y)):
+                if a == b:
+                    if not abs(a - c) < Q(1, 2):
+                        hi = lo
+                    continue
+                t = sorted([(c - Q(1, 2) - a) / (b - a), (c + Q(1, 2) - a) / (b - a)])
+                lo, hi = max(lo, t[0]), min(hi, t[1])
+            if lo < hi or (x1, y1) == (x2, y2):
+                out.add(x + y * 250)
+    return sorted(out)
+
+
+def test_route_cells_are_the_crossed_ones(spark):
+    import random
+    r = random.Random(5)
+    ends = [(10, 10, 10, 10), (10, 10, 15, 15), (15, 15, 10, 10), (10, 20, 10, 5), (5, 9, 20, 9),
+            (10, 10, 13, 11), (10, 10, 11, 13)]
+    ends += [tuple(r.randrange(60) for _ in range(4)) for _ in range(60)]
+
+    def centre(x, y):
+        return 74.05 * -1 + (x + 0.5) * 0.0014, 41.0 - (y + 0.5) * 0.00125
+    rows = [(i, *centre(a, b), *centre(c, d)) for i, (a, b, c, d) in enumerate(ends)]
+    df = spark.createDataFrame(rows, "id int, a double, b double, c double, d double")
+    got = {}
+    for x in G.route_cells(df, "a", "b", "c", "d").collect():
+        got.setdefault(x.id, []).append(x.cell_id)
+    assert {i: sorted(v) for i, v in got.items()} == {
+        i: crossed(*e) for i, e in enumerate(ends)}
+
+
+def test_routes_with_nan_end(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1, nan, 40.9, -73.9, 40.9), (2, nan, nan, nan, nan)],
+                               "id int, a float, b float, c float, d float")
+    got = [x.cell_id for x in G.route_cells(df, "a", "b", "c", "d").where("id = 2").collect()]
+    assert got == [0]
+    assert G.route_cells(df, "a", "b", "c", "d").where("id = 1").count() > 1
+
+
+def test_distance_of_float_columns_widens_the_differences(spark):
+    import numpy as np
+    df = spark.createDataFrame([(-73.871234, 40.613407, -73.9123, 40.7771)],
+                               "a float, b float, c float, d float")
+    got = df.select(G.euclidean_distance("a", "b", "c", "d").alias("x")).first().x
+    a, b, c, d = (np.float32(v) for v in (-73.871234, 40.613407, -73.9123, 40.7771))
+    x, y = float(b - d), float(a - c) * math.cos(float(d))
+    assert got == 110.25 * math.sqrt(x * x + y * y)
 
 
-def test_route_walk_overshoot_is_kept():
-    # a non-positive slope can end one column past the end cell (reference behaviour)
-    over = 0
-    for dx in range(0, 30):
-        for dy in range(-30, 1):
-            cells = G._cells_on_way(10, 100, 10 + dx, 100 + dy)
-            assert cells[0] == 10 + 100 * 250
-            if cells[-1] != (10 + dx) + (100 + dy) * 250:
-                over += 1
-    assert over > 0
+def test_direction_of_equal_points_is_defined(spark):
+    df = spark.createDataFrame([(-73.9, 40.7), (-73.9, 47.2)], "a double, b double")
+    assert [r.x for r in df.select(G.direction_angle("a", "b", "a", "b").alias("x")).collect()] \
+        == [179, 179]
 
 
 def test_header_text_rule(spark):
@@ -76,15 +127,12 @@ def test_click_timestamp_pattern_is_12_hour(spark):
 
 
 def test_jdbc_sink_rows_cast_quoted_age(spark):
-    recs = [{"Name": "Jim", "Role": "Developer", "Age": "23"},
-            {"Name": "Mary", "Role": "Data Engineer", "Age": "42"},
-            {"Name": "Jane", "Role": "Developer", "Age": "37"},
-            {"Name": "Timo", "Role": "Architect", "Age": "19"}]
-    df = spark.createDataFrame([(json.dumps(r),) for r in recs], "value string")
+    recs = [{"Name": "Nora", "Role": "Pilot", "Age": "31"},
+            {"Name": "Ivo", "Role": "Baker", "Age": "58"}, {"Name": "Lu", "Role": None, "Age": ""}]
+    df = spark.createDataFrame([(json.dumps(r),) for r in recs[:2]], "value string")
     out = R.demo_rows(df)
     assert dict(out.dtypes)["Age"] == "int"
-    assert sorted((r.Name, r.Age) for r in out.collect()) == [
-        ("Jane", 37), ("Jim", 23), ("Mary", 42), ("Timo", 19)]
+    assert sorted((r.Name, r.Age) for r in out.collect()) == [("Ivo", 58), ("Nora", 31)]
 
 
 def test_sensor_record_round_trip(spark):
@@ -134,16 +182,21 @@ def test_instant_text_fraction_groups(spark):
                    "2020-01-01T12:00:00.000123Z", "1969-12-31T23:59:59.500Z"]
 
 
-def test_cells_on_way_udf_matches_the_walk(spark):
-    import numpy as np
-    rows = [(-73.99, 40.75, -73.90, 40.70), (-73.95, 40.60, -73.95, 40.90),
-            (-73.80, 40.80, -74.00, 40.55)]
-    df = spark.createDataFrame(rows, "a float, b float, c float, d float")
-    got = [r.cells for r in df.select(G.cells_on_way("a", "b", "c", "d").alias("cells")).collect()]
-    for (a, b, c, d), cells in zip(rows, got):
-        x1, y1 = G._grid_index_np(np.array([a], np.float32), np.array([b], np.float32))
-        x2, y2 = G._grid_index_np(np.array([c], np.float32), np.array([d], np.float32))
-        assert cells == G._cells_on_way(int(x1[0]), int(y1[0]), int(x2[0]), int(y2[0]))
+def test_replay_of_no_cycles_is_empty(spark):
+    lines = spark.createDataFrame([("1,2,3,pv,1511658000",)], "line string")
+    assert R.replay(lines, 0).count() == 0 and R.replay(lines, -1).count() == 0
+
+
+def test_lines_of_a_log_by_number(spark, tmp_path):
+    from eventide.sources.tables import read_lines
+    for n, (lo, hi) in enumerate([(0, 40), (40, 41), (41, 90)]):
+        (tmp_path / f"part-{n}.csv").write_text("".join(f"line {i}\n" for i in range(lo, hi)))
+
+    def got(*bounds):
+        return sorted(int(r.line.split()[1]) for r in read_lines(spark, str(tmp_path), *bounds).collect())
+    assert got() == list(range(90))
+    assert got(38, 45) == list(range(38, 46))
+    assert got(85) == list(range(85, 90)) and got(0, 0) == [0] and got(200) == []
 
 
 def test_run_ids_are_unique():
