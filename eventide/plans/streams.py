@@ -103,7 +103,8 @@ SELECT o.o_orderkey, o.o_orderdate, o.o_totalprice, l.l_linenumber, l.l_extended
        l.l_shipdate
 FROM orders o JOIN (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey
-                   ORDER BY l_shipdate DESC, l_linenumber DESC) AS rn FROM lineitem)
+                   ORDER BY l_shipdate DESC, l_linenumber DESC,
+                            l_extendedprice DESC) AS rn FROM lineitem)
   WHERE rn = 1) l ON o.o_orderkey = l.l_orderkey""")
 def rides_fares_stream(spark, d):
     """1:1 pairing of two streams that consumes on match: an order meets its line item; a line
@@ -111,10 +112,13 @@ def rides_fares_stream(spark, d):
     orders = read_table_stream(spark, d, "orders", utc_timestamps=False).select(
         "o_orderkey", "o_orderdate", "o_totalprice",
         F.unix_micros(F.col("o_orderdate").cast("timestamp")).alias("o_at"))
+    # arrival: the ship date (whole days), then line number and price, in one number
     shipped = F.unix_micros(F.col("l_shipdate").cast("timestamp"))
+    nth = F.col("l_linenumber").cast("long") * 1_000_000_000
+    price = F.round(F.col("l_extendedprice") * 100).cast("long")
     items = read_table_stream(spark, d, "lineitem", utc_timestamps=False).select(
         F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_extendedprice", "l_shipdate",
-        (shipped + F.col("l_linenumber")).alias("l_at"))  # ship dates are whole seconds
+        (shipped + nth + price).alias("l_at"))
     pairs = pair_streams(orders, items, "o_orderkey", "o_at", "l_at")
     return land(pairs, "rides-fares").select(
         "o_orderkey", "o_orderdate", "o_totalprice", "l_linenumber", "l_extendedprice",
