@@ -24,7 +24,7 @@ def bounded_sample(rows: DataFrame, class_col: str, by: Sequence[str],
         share = F.when(F.col(class_col) == F.lit(label), min(1.0, per_class / n)).otherwise(share)
     at = hash_fraction(*[F.col(c) for c in by], seed=17)
     return (rows.withColumn("_share", share).withColumn("_h", at).where("_h < _share")
-                .withColumn("_weight", 1 / F.col("_share"))
+                .withColumn("_weight", F.lit(1.0) / F.nullif(F.col("_share"), F.lit(0.0)))
                 .withColumn("_at", F.col("_h") / F.col("_share")).drop("_share", "_h"))
 
 

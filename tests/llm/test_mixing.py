@@ -93,15 +93,21 @@ def test_demand_time_inverts_the_integral(spark):
         M.demand_time(F.lit(0.5), ((0.0, 1.0), (0.0, 1.0)))
 
 
-def test_early_sources_come_first(spark):
-    rows = rows_of({"a": 200, "b": 200, "c": 200})
-    got = M.mix(docs(spark, rows)).where("taken > 0")
-    mean = {r.source: r.m for r in got.groupBy("source").agg(F.avg("position").alias("m")).collect()}
-    assert mean["a"] < mean["b"] < mean["c"]  # weights 1, 2, 3: early, flat, late
+def test_schedules_move_sources_in_time(spark):
+    df = docs(spark, rows_of({"a": 200, "b": 200, "c": 200}))
+
+    def at(**options):
+        return {r.doc_id: (r.source, r.position) for r in M.mix(df, **options).where("taken > 0").collect()}
+    flat, used = at(schedules=lambda w: [(F.lit(True), M.FLAT)]), at()
+    assert flat.keys() == used.keys()
+    for i, (source, t) in used.items():  # weights 1, 2, 3: early, flat, late
+        before = flat[i][1]
+        assert {"a": t <= before, "b": t == pytest.approx(before), "c": t >= before}[source]
+    assert sum(used[i][1] < flat[i][1] - 0.05 for i in used) > 20
 
 
 def test_mixed_documents(spark):
-    rows = rows_of({"a": 30, "b": 6, "c": 1}) + [(9, None, None, "c"), (9, "", None, None)]
+    rows = rows_of({"a": 30, "b": 6, "c": 1}) + [(9999, None, None, "c"), (9999, "", None, None)]
     df = docs(spark, rows, CLASH)
     mixed = M.mix(df).where("taken > 0")
     want = {r.doc_id: -(-r.taken // r["size"]) for r in mixed.collect()}
