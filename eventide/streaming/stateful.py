@@ -1,9 +1,9 @@
-"""Keyed state with event-time timers (``transformWithStateInPandas``).
+"""Keyed state with event-time timers (``transformWithState``).
 
 ``LongIntervalAlerts`` is the START/END alert, ``PairOnMatch`` the 1:1 pairing of two streams and
 ``CountWindowSum`` the count window. Each keeps a fixed number of values per key and reads a
-key's rows as an iterator of batches, of which it takes minima, maxima or sums: no key's rows
-are gathered. State lives in the RocksDB state store
+key's rows as an iterator, of which it takes minima, maxima or sums: no key's rows are
+gathered. Keys with a handful of rows are the rule, so rows come as rows and not as frames. State lives in the RocksDB state store
 (``spark.sql.streaming.stateStore.providerClass``), partitioned by key across tasks like any
 shuffle; checkpoints make it survive restarts and lost executors.
 """
@@ -12,8 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -56,10 +55,8 @@ class LongIntervalAlerts(StatefulProcessor):
         self.handle = handle
         self.seen = handle.getValueState("seen", _SEEN)
 
-    def _row(self, key, reason, start_ms, end_ms):
-        return pd.DataFrame([{"key": key, "reason": reason, "start_ms": start_ms,
-                              "end_ms": end_ms}]).astype({"start_ms": "Int64",
-                                                          "end_ms": "Int64"})
+    def _row(self, key, reason, start_ms, end_ms) -> Row:
+        return Row(key=key, reason=reason, start_ms=start_ms, end_ms=end_ms)
 
     def _set_timer(self, at: int, before: int | None) -> int:
         if before is not None and before != at:
@@ -68,19 +65,17 @@ class LongIntervalAlerts(StatefulProcessor):
             self.handle.registerTimer(at)
         return at
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        start = end = before = None
-        done = False
-        if self.seen.exists():
-            start, end, done, before = self.seen.get()
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        start, end, done, before = self.seen.get() or (None, None, False, None)
         if done:
             return  # decided; whatever comes now is a redelivery
-        for batch in rows:
-            is_start = batch["is_start"].astype(bool)
-            for ms in batch.loc[is_start, "event_ms"].agg(["min"]).dropna():
-                start = int(ms) if start is None else min(int(start), int(ms))
-            for ms in batch.loc[~is_start, "event_ms"].agg(["min"]).dropna():
-                end = int(ms) if end is None else min(int(end), int(ms))
+        for r in rows:
+            if r.event_ms is None:
+                continue
+            if r.is_start:
+                start = r.event_ms if start is None else min(start, r.event_ms)
+            else:
+                end = r.event_ms if end is None else min(end, r.event_ms)
         if start is not None and end is not None:
             if end - start > self.limit_ms:
                 yield self._row(int(key[0]), "too_long", start, end)
@@ -93,10 +88,11 @@ class LongIntervalAlerts(StatefulProcessor):
             return
         self.seen.update((start, end, done, self._set_timer(at, before)))
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if not self.seen.exists():
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        kept = self.seen.get()
+        if kept is None:
             return
-        start, end, done, timer = self.seen.get()
+        start, end, done, timer = kept
         if expiredTimerInfo.getExpiryTimeInMs() != timer:
             return  # replaced by a later decision
         if start is not None and not done:
@@ -126,7 +122,7 @@ def long_interval_alerts_stream(events: DataFrame, key: str, is_start: str, ts:
         F.col(key).cast("long").alias("key"), F.col(is_start).alias("is_start"),
         F.unix_millis(F.col(ts)).alias("event_ms"), F.col(ts).alias("__ts"))
     use_rocksdb_state(events.sparkSession)
-    return src.groupBy("key").transformWithStateInPandas(
+    return src.groupBy("key").transformWithState(
         statefulProcessor=LongIntervalAlerts(limit_ms, retention_ms, report_missing_start),
         outputStructType=ALERT_SCHEMA, outputMode="Append", timeMode="EventTime")
 
@@ -146,25 +142,23 @@ class PairOnMatch(StatefulProcessor):
                              T.StructField("payload", T.StringType())])
         self.sides = [handle.getValueState("left", kept), handle.getValueState("right", kept)]
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         last: list = [None, None]
-        for batch in rows:
-            for side, arrival, payload in zip(batch["side"], batch["arrival"], batch["payload"],
-                                              strict=True):
-                new = (int(arrival), payload)
-                if last[side] is None or new > last[side]:
-                    last[side] = new
+        for r in rows:
+            new = (r.arrival, r.payload)
+            if last[r.side] is None or new > last[r.side]:
+                last[r.side] = new
         for side in (0, 1):
-            if last[side] is None and self.sides[side].exists():
-                last[side] = tuple(self.sides[side].get())
+            if last[side] is None:
+                last[side] = self.sides[side].get()
         if last[0] is not None and last[1] is not None:
             for state in self.sides:
                 state.clear()
-            yield pd.DataFrame([{"key": key[0], "left": last[0][1], "right": last[1][1]}])
+            yield Row(key=key[0], left=last[0][1], right=last[1][1])
             return
         for side in (0, 1):
             if last[side] is not None:
-                self.sides[side].update(last[side])
+                self.sides[side].update(tuple(last[side]))
 
     def close(self) -> None:
         pass
@@ -192,7 +186,7 @@ def pair_streams(left: DataFrame, right: DataFrame, key: str, l_arrival: str,
     use_rocksdb_state(left.sparkSession)
     out = T.StructType([T.StructField("key", T.LongType()), T.StructField("left", T.StringType()),
                         T.StructField("right", T.StringType())])
-    pairs = both.groupBy("key").transformWithStateInPandas(
+    pairs = both.groupBy("key").transformWithState(
         statefulProcessor=PairOnMatch(), outputStructType=out, outputMode="Append",
         timeMode="None")
     l_type, r_type = left.select(*l_cols).schema, right.select(*r_cols).schema
@@ -219,16 +213,16 @@ class CountWindowSum(StatefulProcessor):
         self.part = handle.getValueState("part", T.StructType([
             T.StructField("rows", T.LongType()), T.StructField("total", T.LongType())]))
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        count, total = self.part.get() if self.part.exists() else (0, 0)
-        for batch in rows:
-            count += len(batch)
-            total += int(batch["value"].sum())
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        count, total = self.part.get() or (0, 0)
+        for r in rows:
+            count += 1
+            total += r.value or 0
         if count < self.n:
             self.part.update((count, total))
             return
         self.part.clear()
-        yield pd.DataFrame([{"window_id": int(key[-1]), "total": total}])
+        yield Row(window_id=key[-1], total=total)
 
     def close(self) -> None:
         pass
@@ -246,6 +240,6 @@ def count_window_stream(df: DataFrame, seq: str, value: str, n: int, key: str |
     src = df.select(k.alias("__key"), window.alias("__window"),
                     F.col(value).cast("long").alias("value"))
     use_rocksdb_state(df.sparkSession)
-    return src.groupBy("__key", "__window").transformWithStateInPandas(
+    return src.groupBy("__key", "__window").transformWithState(
         statefulProcessor=CountWindowSum(n), outputStructType=COUNT_WINDOW_SCHEMA,
         outputMode="Append", timeMode="None")
