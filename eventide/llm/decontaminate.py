@@ -6,9 +6,10 @@ fewer words is one shingle of all its words). A document is contaminated by an i
 of as many words as the item has (the whole document if it is shorter) has similarity of at least
 ``SIMILARITY`` to it: the sum over shingles of the smaller count over the sum of the larger.
 
-1. Windows. A window can only reach the threshold if it shares a shingle with some item, so
-   windows are laid where a shingle of the benchmark occurs, at the offset it has in an item of
-   that size. Whose shingle it was is forgotten; only document, start and size go on.
+1. Windows. A window of n words can only reach the threshold if enough of its places hold a
+   shingle of some item of n words, in whatever order, so a window is laid at every start with
+   that many (``_with_starts``). Whose shingles they were is forgotten; only document, start and size
+   go on.
 2. Fingerprints. A bit is 1 if it is set in more than half of the window's shingle hashes. The 64
    bit counts of a window are summed in 16 packed words of four counters.
 3. Lookup. Item fingerprints are indexed in ``BLOCKS`` blocks, under every value within
@@ -151,10 +152,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     return reduce(DataFrame.union, out)
 
 
-def _anchors(rows: DataFrame, places: DataFrame, width: int) -> DataFrame:
-    """Where shingles of the benchmark stand: doc_key, n_words, pos, h. ``places`` (h, ...) is
+def _anchors(rows: DataFrame, shingles: DataFrame, width: int) -> DataFrame:
+    """Where shingles of the benchmark stand: doc_key, n_words, pos, h. ``shingles`` (h, ...) is
     taken in blocks that are small enough to broadcast."""
-    known = materialise(places.select("h").distinct(), "benchmark-shingles")
+    known = materialise(shingles.select("h").distinct(), "benchmark-shingles")
     blocks = max(1, -(-known.count() // BROADCAST_ROWS))
     found = []
     for b in range(blocks):
@@ -172,23 +173,46 @@ def _anchors(rows: DataFrame, places: DataFrame, width: int) -> DataFrame:
     return materialise(reduce(DataFrame.union, found), "benchmark-anchors")
 
 
+def _with_starts(at: DataFrame, threshold: float, width: int) -> DataFrame:
+    """``at`` (doc_key, n_words, n, places: the sorted positions of shingles of items of n words)
+    with starts: every start whose window could reach the threshold. Of a and b shingles, c in
+    common are a similarity of c / (a + b - c), so c is at least threshold * (a + b) /
+    (1 + threshold), and the window has no fewer places. A start is found from the first place at
+    or after it; a document shorter than the item is one window."""
+    both = (F.col("n") - width + 1) + (F.col("span") + 1)
+    # what rounding puts on the border is let in
+    need = F.ceil(both * (threshold / (1 + threshold)) - 1e-6).cast("int")
+
+    def own(p: Column, i: Column) -> Column:
+        before = F.when(i > 0, F.get("places", i - 1)).otherwise(F.lit(-1))
+        reach = F.get("places", i + F.col("need") - 1)
+        low = F.greatest(before + 1, reach - F.col("span"))
+        high = F.least(p, F.col("last"))
+        return F.when(reach.isNotNull() & (low <= high), F.sequence(low, high)).otherwise(
+            F.array().cast("array<int>"))
+
+    return (at.withColumn("span", F.least("n", "n_words") - width)
+              .withColumn("last", F.greatest(F.col("n_words") - F.col("n"), F.lit(0)))
+              .withColumn("need", F.greatest(need, F.lit(1)))
+              .withColumn("starts", F.flatten(F.transform("places", own))))
+
+
 def _matches_of_width(rows: DataFrame, items: DataFrame, width: int, threshold: float,
                       radius: int) -> DataFrame:
     hashed = items.withColumn("hashes", shingle_hashes("words", width))
-    places = hashed.select("n", F.posexplode("hashes").alias("offset", "h")).distinct()
-    anchors = _anchors(rows, places, width)
-    # a document shorter than the item is one window
-    start = F.greatest(F.least(F.col("pos") - F.col("offset"), F.col("n_words") - F.col("n")),
-                       F.lit(0))
-    laid = (anchors.join(bounded_broadcast(places), "h")
-                   .select("doc_key", "n", start.alias("start")).distinct()
-                   .groupBy("doc_key").agg(F.collect_list(F.struct("start", "n")).alias("at")))
+    known = hashed.select("n", F.explode("hashes").alias("h")).distinct()
+    laid = (_anchors(rows, known, width).join(bounded_broadcast(known), "h")
+            .groupBy("doc_key", "n_words", "n")
+            .agg(F.array_sort(F.collect_set("pos")).alias("places")))
+    laid = (_with_starts(laid, threshold, width).where(F.size("starts") > 0)
+            .groupBy("doc_key").agg(F.collect_list(F.struct("n", "starts")).alias("at")))
     laid = materialise(laid, "benchmark-windows")
-    cut = F.slice("words", F.col("w.start") + 1, F.col("w.n"))
+    cut = F.slice("words", F.col("start") + 1, F.col("w.n"))
     windows = (rows.join(bounded_broadcast(laid), "doc_key")
                    .select("doc_key", "doc_id", words_of(F.col("text")).alias("words"), "at")
                    .select("doc_key", "doc_id", "words", F.explode("at").alias("w"))
-                   .select("doc_key", "doc_id", "w.start", "w.n", cut.alias("words"))
+                   .select("doc_key", "doc_id", "words", "w", F.explode("w.starts").alias("start"))
+                   .select("doc_key", "doc_id", "start", "w.n", cut.alias("words"))
                    .dropDuplicates(["doc_key", "start", "n"])
                    .withColumn("fp", simhash_of_words("words", width)))
     index = multi_index(hashed.withColumn("fp", simhash("hashes")), radius)

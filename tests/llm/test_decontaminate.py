@@ -77,6 +77,59 @@ def test_same_as_scanning_every_window(spark):
     assert len(got) == len(want)
 
 
+def moved():
+    """Items of 40 to 70 words, planted with two parts swapped or a part moved elsewhere."""
+    r = random.Random(5)
+    items = [(k, prose(2000 + k, 40 + 6 * k)) for k in range(6)] + [(9, prose(2059, 59))]
+    rows = []
+    for n in range(42):
+        k, text = items[n % 7]
+        w = text.split()
+        if n < 7:
+            cut = len(w) // 2
+            w = w[cut:] + w[:cut]
+        elif n < 28:
+            size = r.randrange(7, len(w) - 6)
+            w = w[size:] + w[:size]
+        else:
+            size, at = r.randrange(7, 15), r.randrange(10)
+            part = w[at:at + size]
+            del w[at:at + size]
+            to = r.randrange(20, len(w) + 1)
+            w[to:to] = part
+        rest = prose(n, 90).split()
+        at = r.randrange(90) if n % 5 else 0
+        rest[at:at] = w
+        rows.append((100 + n, " ".join(rest)))
+    rows += [(200, " ".join(items[6][1].split()[30:] + items[6][1].split()[:30])),
+             (201, " ".join(items[6][1].split()[30:] + items[6][1].split()[:28]))]
+    return rows, items
+
+
+def test_swapped_and_moved_parts(spark):
+    rows, items = moved()
+    got = D.matches(docs(spark, rows), bench(spark, items)).collect()
+    want = brute(rows, items)
+    assert len(want) > 25 and {(r.doc_id, r.item_id) for r in got} == set(want)
+    assert all(r.similarity == pytest.approx(want[r.doc_id, r.item_id]) for r in got)
+
+
+def test_every_start_that_could_reach_the_threshold(spark):
+    r = random.Random(3)
+    at = []
+    for k in range(300):
+        n, n_words = r.randrange(5, 40), r.randrange(5, 120)
+        p = r.choice((0.5, 0.9, 0.97))
+        at.append((str(k), n_words, n, [x for x in range(n_words - 4) if r.random() < p]))
+    df = spark.createDataFrame(at, "doc_key string, n_words int, n int, places array<int>")
+    for row in D._with_starts(df, 0.8, 5).collect():
+        m = min(row.n, row.n_words) - 4
+        want = [s for s in range(max(row.n_words - row.n, 0) + 1)
+                if (c := sum(s <= x < s + m for x in row.places)) and
+                9 * c >= 4 * (row.n - 4 + m)]
+        assert row.starts == want
+
+
 def test_clean_documents_stay(spark):
     rows, items = planted()
     df = docs(spark, rows, CLASH)
