@@ -106,15 +106,18 @@ def _block(fp: str, k: int) -> Column:
 
 
 def _items(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
-    """Items with words: item_id, words, n (their number), width (of a shingle)."""
+    """Texts of items with words, each once: item (its number; materialise it), item_id, words, n
+    (their number), width (of a shingle)."""
     return (id_and_text(benchmark, item_col, text_col)
             .select(F.col("doc_id").alias("item_id"), words_of(F.col("text")).alias("words"))
+            .distinct()
             .withColumn("n", F.size("words")).where("n > 0")
-            .withColumn("width", F.least(F.lit(SHINGLE), F.col("n"))))
+            .withColumn("width", F.least(F.lit(SHINGLE), F.col("n")))
+            .withColumn("item", F.monotonically_increasing_id()))
 
 
-def multi_index(items: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(n, block, value) under which an item (item_id, fp, n) is found: every value of a block
+def multi_index(items: DataFrame, radius: int = RADIUS, key: str = "item_id") -> DataFrame:
+    """(n, block, value) under which a row (``key``, fp, n) is found: every value of a block
     within ``radius // BLOCKS`` bits of the item's."""
     width = 64 // BLOCKS
     flips = [sum(1 << b for b in c) for r in range(radius // BLOCKS + 1)
@@ -126,8 +129,8 @@ def multi_index(items: DataFrame, radius: int = RADIUS) -> DataFrame:
         return F.struct(F.lit(k).alias("block"), values.alias("values"))
 
     entries = F.array(*[entry(k) for k in range(BLOCKS)])
-    return (items.select("item_id", "n", "fp", F.explode(entries).alias("e"))
-                 .select("item_id", "n", F.col("fp").alias("item_fp"), "e.block",
+    return (items.select(key, "n", "fp", F.explode(entries).alias("e"))
+                 .select(key, "n", F.col("fp").alias("item_fp"), "e.block",
                          F.explode("e.values").alias("value")))
 
 
@@ -139,7 +142,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     of equals; words counted from 0), windows (how many reach the threshold).
 
     Null texts count as empty; documents and items without words match nothing; repeated rows
-    (same id and text) share one set of rows; a null id is a document like any other; an empty
+    (same id and text) share one set of rows; a null id is a document, or an item, like any other;
+    benchmark rows with one item_id are texts of one item, each looked for by itself; an empty
     table gives no rows; texts of any length are read whole; other columns are not read.
     """
     rows = id_and_text(docs, id_col, text_col).select(
@@ -149,7 +153,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
            for w in sorted(r[0] for r in items.select("width").distinct().collect())]
     if not out:
         out = [_matches_of_width(rows, items, SHINGLE, threshold, radius)]
-    return reduce(DataFrame.union, out)
+    return _best(reduce(DataFrame.union, out))
 
 
 def _anchors(rows: DataFrame, shingles: DataFrame, width: int) -> DataFrame:
@@ -215,7 +219,7 @@ def _matches_of_width(rows: DataFrame, items: DataFrame, width: int, threshold:
                    .select("doc_key", "doc_id", "start", "w.n", cut.alias("words"))
                    .dropDuplicates(["doc_key", "start", "n"])
                    .withColumn("fp", simhash_of_words("words", width)))
-    index = multi_index(hashed.withColumn("fp", simhash("hashes")), radius)
+    index = multi_index(hashed.withColumn("fp", simhash("hashes")), radius, "item")
     blocks = F.array(*[F.struct(F.lit(k).alias("block"), _block("fp", k).alias("value"))
                        for k in range(BLOCKS)])
     near = (windows.withColumn("e", F.explode(blocks))
@@ -227,15 +231,23 @@ def _matches_of_width(rows: DataFrame, items: DataFrame, width: int, threshold:
         F.when(F.bit_count(_block("fp", k).bitwiseXOR(_block("item_fp", k)))
                <= radius // BLOCKS, F.lit(k)) for k in range(BLOCKS)]))
     candidates = near.where((distance <= radius) & (F.col("block") == first)).select(
-        "doc_key", "doc_id", "start", "n", "words", "item_id", distance.alias("distance"))
-    texts_of = items.select("item_id", F.col("words").alias("item_words")).distinct()
-    scored = candidates.join(texts_of, "item_id").withColumn(
+        "doc_key", "doc_id", "start", "n", "words", "item", distance.alias("distance"))
+    texts_of = items.select("item", "item_id", F.col("words").alias("item_words"))
+    scored = candidates.join(texts_of, "item").withColumn(
         "similarity", weighted_similarity("words", "item_words", width))
     best = F.struct((-F.col("similarity")).alias("s"), "start", F.size("words").alias("words"),
                     "distance")
     return (scored.where(F.col("similarity") >= threshold)
+                  .select("doc_key", "doc_id", "item_id", "start", "n", best.alias("b")))
+
+
+def _best(scored: DataFrame) -> DataFrame:
+    """The best window of each document and item, and how many windows there are (one that
+    reaches several texts of an item counts once)."""
+    return (scored.groupBy("doc_key", "doc_id", "item_id", "start", "n")
+                  .agg(F.min("b").alias("b"))
                   .groupBy("doc_key", "doc_id", "item_id")
-                  .agg(F.min(best).alias("b"), F.count(F.lit(1)).alias("windows"))
+                  .agg(F.min("b").alias("b"), F.count(F.lit(1)).alias("windows"))
                   .select("doc_key", "doc_id", "item_id", (-F.col("b.s")).alias("similarity"),
                           "b.distance", "b.start", "b.words", "windows"))
 

@@ -130,6 +130,22 @@ def test_every_start_that_could_reach_the_threshold(spark):
         assert row.starts == want
 
 
+def test_null_and_repeated_item_ids(spark):
+    a, b, c, d = (prose(3000 + k, 30) for k in range(4))
+    e = prose(3009, 3)
+    items = [(None, a), (7, b), (7, c), (7, c), (8, d), (7, e)]
+    rows = [(k, prose(10 + k, 40) + " " + t + " " + prose(20 + k, 40))
+            for k, t in enumerate([a, b, c, d, b + " " + c, c + " " + e, ""])]
+    got = D.matches(docs(spark, rows), bench(spark, items)).collect()
+    assert Counter((r.doc_id, r.item_id) for r in got) == Counter(
+        [(0, None), (1, 7), (2, 7), (3, 8), (4, 7), (5, 7)])
+    assert all(r.similarity == 1.0 for r in got)
+    one = {r.doc_id: r.windows for r in D.matches(docs(spark, rows), bench(spark, [(7, c)])).collect()}
+    assert one[2] == next(r.windows for r in got if r.doc_id == 2)
+    clean = D.clean_documents(docs(spark, rows), bench(spark, items))
+    assert [r.doc_id for r in clean.collect()] == [6]
+
+
 def test_clean_documents_stay(spark):
     rows, items = planted()
     df = docs(spark, rows, CLASH)
