@@ -1,16 +1,18 @@
 """Toxicity: a linear-chain conditional random field tags toxic spans.
 
-Tokens are runs of letters, digits, marks and underscores. The text's tokens are cut into chains
-of ``CHAIN`` tokens; each token is clean (O) or toxic (T), with features of its lower-cased form
-(the form, its prefixes and suffixes) and weights for the change between neighbours. Before a
-chain and after it the state is O.
+Tokens are runs of letters, digits, marks and underscores. Each token is clean (O) or toxic (T),
+with features of its lower-cased form (the form, its prefixes and suffixes) and weights for the
+change between neighbours. A text's tokens are one chain; before it and after it the state is O.
 
 Labels come per document, so training tokens are labelled first: a feature whose documents are
 toxic far more often than the others marks, in a toxic document, its tokens T; every other token
-is O. The field is then trained on these chains by gradient ascent on the log likelihood.
+is O. The field is then trained by gradient ascent on the log likelihood. Training, other than
+scoring, cuts the tokens into chains of ``CHAIN`` with state O around each.
 
-Scoring runs forward-backward over the chains that hold a token with a weighted feature (in all
-others every marginal equals that of a chain without any). A document's score is a logistic
+Scoring runs forward-backward over the whole chain of every text that holds a token with a
+weighted feature: the transfer of each block of ``CHAIN`` tokens gives the state at its borders,
+then all blocks go through one pass. (All other texts count as one token without a feature.) A
+document's score is a logistic
 function, fitted on the labelled sample, of its largest marginal and of the expected number of
 toxic tokens; offending offsets are the tokens with a marginal of at least one half.
 """
@@ -88,16 +90,19 @@ class Field:
         return np.array(out, dtype=np.float64)
 
 
-def forward_backward(e: np.ndarray, moves: np.ndarray):
+def forward_backward(e: np.ndarray, moves: np.ndarray, before: np.ndarray | None = None,
+                     after: np.ndarray | None = None):
     """Odds of T at each place of chains ``e`` (places x chains: log weight of T over O; minus
     infinity beyond a chain's end), the odds of the forward and backward parts, and the log of
-    each chain's sum over all taggings. Odds stay in range as weights are clipped."""
+    each chain's sum over all taggings. Odds stay in range as weights are clipped. ``before`` and
+    ``after`` are the forward odds ahead of the chains and the backward odds at their last places,
+    if they are parts of longer ones."""
     oo, ot, to, tt = np.exp(moves)
     w = np.exp(np.clip(e, -30, 30))
     w[np.isneginf(e)] = 0.0
     n = len(e)
     fwd, bwd = np.empty_like(w), np.empty_like(w)
-    r = np.zeros(w.shape[1])          # state O before the chain
+    r = np.zeros(w.shape[1]) if before is None else before  # state O before the chain
     log_z = np.zeros(w.shape[1])
     for t in range(n):
         down = oo + r * to
@@ -105,7 +110,7 @@ def forward_backward(e: np.ndarray, moves: np.ndarray):
         r = w[t] * (ot + r * tt) / down
         fwd[t] = r
     log_z += np.log(oo + r * to)      # and O after it
-    s = np.full(w.shape[1], to / oo)
+    s = np.full(w.shape[1], to / oo) if after is None else after
     for t in range(n - 1, -1, -1):
         bwd[t] = s
         up = w[t] * s
@@ -119,36 +124,81 @@ def marginals(e: np.ndarray, moves: np.ndarray) -> np.ndarray:
 
 
 def chains(values: np.ndarray) -> np.ndarray:
-    """A sequence cut into chains of CHAIN places, as places x chains; the last is padded with
-    minus infinity."""
-    n = -(-len(values) // CHAIN)
-    out = np.full(n * CHAIN, -np.inf)
-    out[:len(values)] = values
-    return out.reshape(n, CHAIN).T
-
-
-def tag(docs: Iterable[list[str]], model: Field) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """For each document its number of tokens, the places of the tokens in chains with a weighted
-    feature, and their marginals. All chains go through one forward-backward pass."""
-    lengths, at, columns = [], [], []
+    """A sequence as one chain, whatever its length: places x 1."""
+    return values.reshape(-1, 1)
+
+
+def transfers(e: np.ndarray, moves: np.ndarray) -> np.ndarray:
+    """What each part of a chain (places x parts) makes of the weights of O and T before it:
+    (O to O, O to T, T to O, T to T) x parts, up to a factor."""
+    oo, ot, to, tt = np.exp(moves)
+    w = np.exp(np.clip(e, -30, 30))
+    w[np.isneginf(e)] = 0.0
+    a, b = np.ones(e.shape[1]), np.zeros(e.shape[1])
+    c, d = b.copy(), a.copy()
+    for x in w:
+        a, b = oo * a + to * b, x * (ot * a + tt * b)
+        c, d = oo * c + to * d, x * (ot * c + tt * d)
+        z = a + b + c + d
+        a, b, c, d = a / z, b / z, c / z, d / z
+    return np.array([a, b, c, d])
+
+
+def tag(docs: Iterable[list[str]], model: Field,
+        at_once: int = 8192) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each document its number of tokens, and, if any has a weighted feature, the places of
+    all its tokens and their marginals in the chain of the whole document. Documents go through
+    one pass together until they have ``at_once`` blocks."""
+    held, blocks = [], 0
     for tokens in docs:
-        e = model.emissions(tokens)
-        hit = np.unique(np.flatnonzero(e) // CHAIN)
-        lengths.append(len(e))
-        at.append(hit)
-        for c in hit:
-            x = np.full(CHAIN, -np.inf)
-            part = e[c * CHAIN:(c + 1) * CHAIN]
-            x[:len(part)] = part + model.bias
-            columns.append(x)
-    p = marginals(np.array(columns).T, model.moves).T if columns else np.empty((0, CHAIN))
-    out, used = [], 0
-    for n, hit in zip(lengths, at, strict=True):
-        places = (hit[:, None] * CHAIN + np.arange(CHAIN)).ravel()
-        inside = places < n
-        out.append((n, places[inside], p[used:used + len(hit)].ravel()[inside]))
-        used += len(hit)
-    return out
+        held.append(model.emissions(tokens))
+        blocks += -(-len(tokens) // CHAIN) if held[-1].any() else 0
+        if blocks >= at_once:
+            yield from _tag(held, model)
+            held, blocks = [], 0
+    yield from _tag(held, model)
+
+
+def _tag(docs: list[np.ndarray], model: Field) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    oo, _, to, _ = np.exp(model.moves)
+    # column 0 is a block without a feature; all such blocks share its transfer, and those with
+    # the same states around them their marginals
+    columns, of_doc = [np.full(CHAIN, model.bias)], []
+    for e in docs:
+        of_doc.append([])
+        if e.any():
+            n = -(-len(e) // CHAIN)
+            x = np.full(n * CHAIN, -np.inf)
+            x[:len(e)] = e + model.bias
+            x = x.reshape(n, CHAIN)
+            own = np.add.reduceat(e != 0, np.arange(0, len(e), CHAIN)) > 0
+            own[-1] = True
+            for k in range(n):
+                of_doc[-1].append(len(columns) if own[k] else 0)
+                if own[k]:
+                    columns.append(x[k])
+    e = np.array(columns).T
+    step = transfers(e, model.moves).T.tolist()
+    parts: dict[tuple, int] = {}
+    of_part = []
+    for blocks in of_doc:
+        before, after = [0.0], [to / oo]
+        for k in blocks[:-1]:
+            a, b, c, d = step[k]
+            before.append((b + d * before[-1]) / (a + c * before[-1]))
+        for k in blocks[:0:-1]:
+            a, b, c, d = step[k]
+            after.append((c + d * after[-1]) / (a + b * after[-1]))
+        of_part.append([parts.setdefault(x, len(parts))
+                        for x in zip(blocks, before, reversed(after))])
+    if parts:
+        column, before, after = (np.array(x) for x in zip(*parts))
+        odds = forward_backward(e[:, column], model.moves, before, after)[0]
+        p = (odds / (1 + odds)).T
+    for x, part in zip(docs, of_part, strict=True):
+        n = len(x)
+        yield (n, np.arange(n), p[part].ravel()[:n]) if part else (
+            n, np.arange(0), np.empty(0))
 
 
 def summary(p: np.ndarray, model: Field, tokens: int) -> tuple[float, float]:
@@ -376,7 +426,8 @@ def score(docs: DataFrame, model: Field | float | None) -> DataFrame:
 
     def some(texts: list[str], m) -> Iterator[tuple[float, list[dict]]]:
         for text, (n, marked, p) in zip(texts, tag(_tokens(texts), m), strict=True):
-            bad = {int(i): float(v) for i, v in zip(marked, p, strict=True) if v >= SPAN_CUT}
+            over = p >= SPAN_CUT
+            bad = dict(zip(marked[over].tolist(), p[over].tolist(), strict=True))
             yield document_score(p, m, n), [
                 {"start": x.start(), "end": x.end(), "marginal": bad[i]}
                 for i, x in enumerate(TOKEN.finditer(text)) if i in bad] if bad else []

@@ -144,6 +144,34 @@ def test_chains_without_features_need_no_pass():
     assert (again == places).all() and (p == q).all()
 
 
+def test_spans_and_states_cross_block_borders():
+    m = toxicity.Field({"=bad": 3.0, "=vile": 6.0}, -4.0, np.array([0.0, -2.0, -2.5, 2.0]))
+
+    def whole(tokens):
+        return toxicity.marginals((m.emissions(tokens) + m.bias)[:, None], m.moves)[:, 0]
+
+    found = []
+    for at in (10, 60, 62, 63, 64, 126, 128):
+        tokens = ["fine"] * 300
+        tokens[at:at + 4] = ["bad", "bad", "bad", "bad"]
+        tokens[250] = "vile"
+        (n, places, p), = toxicity.tag([tokens], m)
+        assert n == 300 and list(places) == list(range(300))
+        assert p == pytest.approx(whole(tokens), rel=1e-9)
+        found.append((p[at:at + 4] >= 0.5).tolist())
+    assert all(x == found[0] for x in found)
+    r = np.random.default_rng(7)
+    texts = [list(r.choice(["fine", "bad", "vile"], n, p=[0.97, 0.02, 0.01]))
+             for n in (0, 1, 63, 64, 65, 128, 500, 5000)] + [["fine"] * 70]
+    for at_once in (1, 5, 8192):
+        for tokens, (n, places, p) in zip(texts, toxicity.tag(texts, m, at_once), strict=True):
+            assert n == len(tokens) and len(places) in (0, n)
+            if len(places):
+                assert p == pytest.approx(whole(tokens), rel=1e-9)
+            else:
+                assert set(tokens) <= {"fine"}
+
+
 def toxic_rows():
     rows = [(i, prose(i, 40)) for i in range(160)]
     bad = {i for i in range(160) if i % 4 == 0}
