@@ -45,10 +45,12 @@ def id_and_text(docs: DataFrame, id_col: str, text_col: str, *more: str) -> Data
 
 
 def doc_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
-    """A name for a row by its content, for joining decisions back: id (padded, so that names
-    of ids from 0 on sort as they do; a null id sorts last), hash and length of the text. Rows
-    that repeat id and text share it."""
-    written = F.coalesce(F.lpad(F.col(id_col).cast("string"), 20, "0"), F.lit("~"))
+    """A name for a row by its content, for joining decisions back: id (padded if shorter than 20
+    characters, so that names of ids from 0 on sort as they do; a null id sorts last), hash and
+    length of the text. Rows that repeat id and text share it."""
+    own = F.col(id_col).cast("string")
+    written = F.coalesce(F.when(F.length(own) < 20, F.lpad(own, 20, "0")).otherwise(own),
+                         F.lit("~"))
     text = text_or_empty(text_col)
     return F.concat_ws(":", written, F.hex(F.xxhash64(text)), F.length(text).cast("string"))
 
@@ -63,6 +65,28 @@ def bounded_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def join_split(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
+               per: int = 256, counted: DataFrame | None = None) -> DataFrame:
+    """``left`` joined with ``right`` (one row per ``key``) on ``key``, where one key may hold a
+    large share of the left rows: beyond ``per`` rows a key's rows are dealt to several parts,
+    each with a copy of the right row. Only names and part counts of such keys are gathered.
+    ``left`` is read twice, so pass a materialised or cheap frame, or in ``counted`` a cheaper
+    one with the same keys."""
+    hubs = ((counted or left).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") > per)
+            .select(key, F.ceil(F.col("_n") / per).cast("int").alias("_parts")))
+    hubs = materialise(hubs, "hubs")
+    if hubs.isEmpty():
+        return left.join(right, key, how)
+    few = bounded_broadcast(hubs)
+    other = [c for c, kind in left.dtypes if c != key and kind in ("bigint", "int")]
+    part = F.coalesce(F.pmod(F.xxhash64(*other), F.col("_parts")), F.lit(0)).cast("int")
+    copies = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
+    dealt = left.join(few, key, "left").withColumn("_part", part).drop("_parts")
+    copied = right.join(few, key, "left").withColumn("_part", F.explode(copies)).drop("_parts")
+    return dealt.join(copied, [key, "_part"], how).drop("_part")
+
+
 def slots_within(df: DataFrame, group: Sequence[str], spread_on: Sequence[str],
                  order: Sequence[str], out: str, buckets: int = 1024) -> DataFrame:
     """Gapless numbers from 0 within each group, without sorting a group in one task.
