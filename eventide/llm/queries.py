@@ -184,7 +184,7 @@ t AS (SELECT r, r AS far FROM d UNION SELECT t.r, e.b FROM t JOIN e ON t.far = e
 m AS (SELECT t.r, min(d.doc_id) AS component_id FROM t JOIN d ON d.r = t.far GROUP BY t.r)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id,
        doc_id IS NOT DISTINCT FROM component_id AS kept
-FROM d JOIN m USING (r) LEFT JOIN n USING (r)""".replace("\\\\", "\\")
+FROM d JOIN m USING (r) LEFT JOIN n USING (r)"""
 
 
 @query
