@@ -13,10 +13,11 @@ linked with nothing). Documents with equal sets are one node. Two nodes link if
    posterior probability of a similarity of at least t is P(Binomial(n + 1, t) <= m). A pair is
    pruned as soon as that falls below ``MISS``; what is left is compared on its full sets.
 3. Which pairs are looked at. Only components are wanted, so pairs inside a known component need
-   no look. In every bucket each member first meets one leader (another one in each bucket). Of
-   what survives, each node's most promising pair is verified exactly, then those of the other
-   pairs whose ends are still in different components. Then, in every bucket that holds more than
-   one component, members outside its largest component meet all members of other components.
+   no look. In every bucket each member meets the bucket's leader, its least node. A node first
+   takes the leader it shares most buckets with through step 2; then come those of its other
+   leaders that are still in another component. Then, in every bucket that holds more than one
+   component, members outside its largest component meet all members of other components, the
+   pairs with most shared buckets first again.
 4. Crowded buckets, with more than ``CROWD`` members outside the largest component, would make
    many pairs; their members are signed again with twice the rows (``LEVELS``), where unlike sets
    part. At the last level every pair of step 3 is made, whatever the bucket's size.
@@ -156,25 +157,28 @@ def identify(prints: DataFrame) -> DataFrame:
 # -- candidates -----------------------------------------------------------------------------
 
 def buckets(signed: DataFrame, level: int) -> DataFrame:
-    """``signed`` (node, sig) to the members of buckets with several nodes: bucket, node, leader.
-    A bucket's leader is its least node under a mask of the bucket's own, so that large groups
-    have many leaders."""
+    """``signed`` (node, sig) to the members of buckets with several nodes: bucket, node, leader
+    (the bucket's least node)."""
     r, b = LEVELS[level]
     band = F.transform(F.sequence(F.lit(0), F.lit(b - 1)), lambda k: F.xxhash64(
         F.substr("sig", k * (2 * r) + 1, F.lit(2 * r)), k))
-    met = signed.select("node", F.explode(band).alias("bucket")).select(
-        "bucket", "node", F.col("node").bitwiseXOR(F.xxhash64("bucket")).alias("masked"))
-    shared = (met.groupBy("bucket").agg(F.min("masked").alias("lo"), F.max("masked").alias("hi"))
-                 .where("lo < hi")
-                 .select("bucket", F.col("lo").bitwiseXOR(F.xxhash64("bucket")).alias("leader")))
+    met = signed.select("node", F.explode(band).alias("bucket"))
+    shared = (met.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("hi"))
+                 .where("leader < hi").select("bucket", "leader"))
     shared = materialise(shared, "minhash-buckets")
-    return materialise(met.select("bucket", "node").join(bounded_broadcast(shared), "bucket")
-                          .distinct(), "minhash-members")
+    return materialise(met.join(bounded_broadcast(shared), "bucket").distinct(),
+                       "minhash-members")
+
+
+def star_pairs(members: DataFrame) -> DataFrame:
+    """Every member with the leaders it meets: a (leader), b, m (shared buckets)."""
+    return members.where("node <> leader").groupBy(
+        F.col("leader").alias("a"), F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("m"))
 
 
 def _other_pairs(members: DataFrame, roots: DataFrame, crowd: int | None):
-    """For buckets with several components: the pairs between them that have not met (a, b), and
-    the nodes of crowded buckets (None: no bucket is)."""
+    """For buckets with several components: the pairs between them that have not met (a, b, m:
+    shared buckets), and the nodes of crowded buckets (None: no bucket is)."""
     rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = (rooted.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
                    .where("lo < hi").select("bucket"))
@@ -189,8 +193,8 @@ def _other_pairs(members: DataFrame, roots: DataFrame, crowd: int | None):
         "bucket", F.col("node").alias("x"), F.col("root").alias("x_root"))
     pairs = (outside.join(all_of, "bucket")
                     .where("x_root <> root and (root = major or x < node)")
-                    .select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
-                    .distinct())
+                    .groupBy(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
+                    .agg(F.count(F.lit(1)).alias("m")))
     crowded = None if crowd is None else rooted.join(
         sizes.where(F.col("minor") > crowd), "bucket", "left_semi").select("node").distinct()
     return pairs, crowded
@@ -210,8 +214,8 @@ def least_matches(n: int, t: float, miss: float) -> int:
 
 
 def survivors(pairs: DataFrame, signed: DataFrame, percent: int, miss: float) -> DataFrame:
-    """Pairs (a, b) that the signatures do not rule out, with their matches m. Sets whose sizes
-    alone keep them below the threshold go first."""
+    """The pairs (a, b) that the signatures do not rule out. Sets whose sizes alone keep them
+    below the threshold go first."""
     k = LEVELS[0][0] * LEVELS[0][1]
     ends = [min(e, k) for e in range(BATCH, k + BATCH, BATCH)]
     need = [least_matches(e, percent / 100, miss) for e in ends]
@@ -227,18 +231,16 @@ def survivors(pairs: DataFrame, signed: DataFrame, percent: int, miss: float) ->
                 alive, seen = alive[matches[alive] >= least], end
             rows = pa.array(alive)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(rows), batch.column(1).take(rows),
-                 pa.array(matches[alive])], ["a", "b", "m"])
+                [batch.column(0).take(rows), batch.column(1).take(rows)], ["a", "b"])
 
     def side(name: str) -> DataFrame:
         return signed.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"),
                              F.col("sig").alias(f"sig_{name}"))
 
     size_fits = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    pairs = materialise(pairs, "minhash-pairs")
     both = join_split(pairs, side("a"), "a").join(side("b"), "b").where(size_fits)
     return materialise(both.select("a", "b", "sig_a", "sig_b")
-                           .mapInArrow(run, "a long, b long, m long"), "minhash-survivors")
+                           .mapInArrow(run, "a long, b long"), "minhash-survivors")
 
 
 def exact_links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -291,23 +293,6 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
             .where(F.coalesce("r_a", "a") != F.coalesce("r_b", "b")).select("a", "b", "m"))
 
 
-def _verified(found: DataFrame, texts: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """``roots`` (node, root) after the links among the pairs ``found`` (a, b, m): each node's
-    most promising pair first, then those that still lie in different components."""
-    ends = found.select("m", "b", F.col("a").alias("node"), F.col("b").alias("other")).union(
-        found.select("m", "b", F.col("b"), F.col("a")))
-    best = materialise(
-        ends.groupBy("node").agg(F.max(F.struct("m", "other")).alias("p"))
-            .select(F.least("node", "p.other").alias("a"), F.greatest("node", "p.other").alias("b"))
-            .distinct(), "minhash-best")
-    ordered = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "m")
-    roots = _joined(roots, exact_links(best, texts, percent))
-    rest = materialise(_apart(ordered.join(best, ["a", "b"], "left_anti"), roots),
-                       "minhash-rest")
-    return roots if rest.isEmpty() else _joined(
-        roots, exact_links(rest.select("a", "b"), texts, percent))
-
-
 def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
     """Components of known components and further links."""
     known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
@@ -338,11 +323,9 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
             candidates = materialise(
                 filled.join(bounded_broadcast(nodes), "node", "left_semi")
                       .select("node", "n", "sig").dropDuplicates(["node"]), "minhash-candidates")
-        star = members.where("node <> leader").select(
-            F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+        star = star_pairs(members)
         if level > 0:
-            star = _apart(materialise(star.withColumn("m", F.lit(0)), "minhash-star"),
-                          roots).drop("m")
+            star = _apart(materialise(star, "minhash-star"), roots)
         roots = _look(star, candidates, rows, filled, roots, percent, miss)
         pairs, crowded = _other_pairs(members, roots, None if last else crowd)
         roots = _look(pairs, candidates, rows, filled, roots, percent, miss)
@@ -358,12 +341,22 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
 def _look(pairs: DataFrame, candidates: DataFrame, rows: DataFrame, prints: DataFrame,
           roots: DataFrame, percent: int, miss: float) -> DataFrame:
-    """Components after looking at ``pairs``: signatures, then full sets."""
-    found = survivors(pairs, candidates, percent, miss)
-    if found.isEmpty():
-        return roots
-    texts = materialise(_texts(rows, prints, _both_ends(found)), "minhash-texts")
-    return _verified(found, texts, roots, percent)
+    """Components after looking at ``pairs`` (a, b, m): each b's pair of largest m first, then
+    those whose ends are still in different components."""
+    pairs = materialise(pairs, "minhash-pairs")
+    best = materialise(pairs.groupBy("b").agg(F.max_by("a", F.struct("m", F.col("a"))).alias("a"))
+                            .select("a", "b"), "minhash-best")
+    for part in (best, None):
+        if part is None:
+            part = materialise(_apart(pairs.join(best, ["a", "b"], "left_anti"), roots),
+                               "minhash-rest").select("a", "b")
+        if part.isEmpty():
+            continue
+        found = survivors(part, candidates, percent, miss)
+        if not found.isEmpty():
+            texts = materialise(_texts(rows, prints, _both_ends(found)), "minhash-texts")
+            roots = _joined(roots, exact_links(found, texts, percent))
+    return roots
 
 
 def _components(prints: DataFrame, roots: DataFrame) -> DataFrame:
