@@ -16,15 +16,15 @@ linked with nothing). Documents with equal sets are one node. Two nodes link if
    no look. In every bucket each member meets the bucket's leader, its least node. A node first
    takes the leader it shares most buckets with through step 2; then come those of its other
    leaders that are still in another component. Then, in every bucket that holds more than one
-   component, members outside its largest component meet all members of other components, the
-   pairs with most shared buckets first again.
-4. Crowded buckets, with more than ``CROWD`` members outside the largest component, would make
-   many pairs; their members are signed again with twice the rows (``LEVELS``), where unlike sets
-   part. At the last level every pair of step 3 is made, whatever the bucket's size.
+   component, members outside its largest component meet all members of other components.
+4. The pairs of that last step are compared inside the task that holds the bucket, in cells of at
+   most ``2 * CELL`` members, on signatures of ``WIDE`` hashes; each pair in the first band it
+   shares. Only survivors leave the task, and they are verified on their full sets as before.
 
 No pair is dropped but by the two stated chances: not to meet (below 1e-6) and the posterior
-bound. Pairs of a bucket grow with its members, not with their square. Texts move only for nodes
-of surviving pairs.
+bound. Rows grow with the members of buckets, not with their square; comparisons in step 4 with
+the members outside the largest component times all members, a row of a cell costing about 50 ns.
+Texts move only for nodes of surviving pairs.
 """
 
 from __future__ import annotations
@@ -42,13 +42,14 @@ from eventide.llm.common import (bounded_broadcast, doc_key, id_and_text, join_s
 from eventide.llm.components import connected_components
 
 PERCENT = 80
-#: (rows, bands): 0.8 ** 5 and 0.8 ** 10 are the chances of a band; none of the bands meets at a
-#: similarity of 0.8 with a chance of 1.2e-7 and 5e-7.
-LEVELS = ((5, 40), (10, 128))
+#: At a similarity of 0.8 a band meets with a chance of 0.8 ** 5, none of 40 with one of 1.2e-7.
+ROWS, BANDS = 5, 40
 MISS = 1e-6
 #: Hashes compared at a time.
 BATCH = 40
-CROWD = 64
+#: Hashes of 8 bits for step 4, and members on either side of a cell.
+WIDE = 1280
+CELL = 2048
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _U = np.uint64
@@ -100,24 +101,25 @@ def _family(k: int) -> tuple[np.ndarray, np.ndarray]:
     return low[:k, None], low[k:, None] | np.uint32(1)
 
 
-def signature(hashes: np.ndarray, family: tuple[np.ndarray, np.ndarray]) -> bytes:
-    """The least hash under each member of the family, 16 bits of each kept."""
+def signature(hashes: np.ndarray, family: tuple[np.ndarray, np.ndarray], bits: int = 16) -> bytes:
+    """The least hash under each member of the family, ``bits`` (8 or 16) of each kept."""
     masks, factors = family
     x = (hashes >> _U(32)).astype(np.uint32)
     least = np.full(len(masks), 0xFFFFFFFF, dtype=np.uint32)
     for lo in range(0, len(x), _BLOCK):
         np.minimum(least, ((x[None, lo:lo + _BLOCK] ^ masks) * factors).min(axis=1), out=least)
-    return ((least * np.uint32(0x9E3779B1)) >> np.uint32(16)).astype("<u2").tobytes()
+    kept = (least * np.uint32(0x9E3779B1)) >> np.uint32(32 - bits)
+    return kept.astype(f"<u{bits // 8}").tobytes()
 
 
-def signatures(rows: DataFrame, keep: list[str], level: int = 0) -> DataFrame:
+def signatures(rows: DataFrame, keep: list[str], k: int = ROWS * BANDS,
+               bits: int = 16) -> DataFrame:
     """``rows`` (text and the columns ``keep``) to ``keep``, n (size of the set), k1, k2 (128 bits
-    that name the set; null for an empty set) and sig."""
-    r, b = LEVELS[level]
+    that name the set; null for an empty set) and sig (``k`` hashes)."""
     kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        family = _family(r * b)
+        family = _family(k)
         for batch in batches:
             n, k1, k2, sig = [], [], [], []
             for t in batch.column(len(keep)):
@@ -126,7 +128,7 @@ def signatures(rows: DataFrame, keep: list[str], level: int = 0) -> DataFrame:
                 name = xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None
                 k1.append(name and int.from_bytes(name[:8], "little", signed=True))
                 k2.append(name and int.from_bytes(name[8:], "little", signed=True))
-                sig.append(signature(h, family) if len(h) else None)
+                sig.append(signature(h, family, bits) if len(h) else None)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:len(keep)], pa.array(n, pa.int64()), pa.array(k1, pa.int64()),
                  pa.array(k2, pa.int64()), pa.array(sig, pa.binary())],
@@ -156,13 +158,16 @@ def identify(prints: DataFrame) -> DataFrame:
 
 # -- candidates -----------------------------------------------------------------------------
 
-def buckets(signed: DataFrame, level: int) -> DataFrame:
+def band_keys(sig: str = "sig") -> Column:
+    """The bucket of each band."""
+    return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(
+        F.substr(sig, k * (2 * ROWS) + 1, F.lit(2 * ROWS)), k))
+
+
+def buckets(signed: DataFrame) -> DataFrame:
     """``signed`` (node, sig) to the members of buckets with several nodes: bucket, node, leader
     (the bucket's least node)."""
-    r, b = LEVELS[level]
-    band = F.transform(F.sequence(F.lit(0), F.lit(b - 1)), lambda k: F.xxhash64(
-        F.substr("sig", k * (2 * r) + 1, F.lit(2 * r)), k))
-    met = signed.select("node", F.explode(band).alias("bucket"))
+    met = signed.select("node", F.explode(band_keys()).alias("bucket"))
     shared = (met.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("hi"))
                  .where("leader < hi").select("bucket", "leader"))
     shared = materialise(shared, "minhash-buckets")
@@ -176,28 +181,92 @@ def star_pairs(members: DataFrame) -> DataFrame:
         F.col("leader").alias("a"), F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("m"))
 
 
-def _other_pairs(members: DataFrame, roots: DataFrame, crowd: int | None):
-    """For buckets with several components: the pairs between them that have not met (a, b, m:
-    shared buckets), and the nodes of crowded buckets (None: no bucket is)."""
+def mixed_buckets(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several components: bucket, node, leader, root, major
+    (the bucket's largest component), size."""
     rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = (rooted.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
                    .where("lo < hi").select("bucket"))
     rooted = materialise(rooted.join(mixed, "bucket", "left_semi"), "minhash-mixed")
     sizes = (rooted.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
                    .groupBy("bucket").agg(F.max_by("root", "n").alias("major"),
-                                          (F.sum("n") - F.max("n")).alias("minor")))
-    sizes = materialise(sizes, "minhash-sizes")
-    few = sizes if crowd is None else sizes.where(F.col("minor") <= crowd)
-    all_of = rooted.join(few.select("bucket", "major"), "bucket").where("node <> leader")
-    outside = all_of.where("root <> major").select(
-        "bucket", F.col("node").alias("x"), F.col("root").alias("x_root"))
-    pairs = (outside.join(all_of, "bucket")
-                    .where("x_root <> root and (root = major or x < node)")
-                    .groupBy(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
-                    .agg(F.count(F.lit(1)).alias("m")))
-    crowded = None if crowd is None else rooted.join(
-        sizes.where(F.col("minor") > crowd), "bucket", "left_semi").select("node").distinct()
-    return pairs, crowded
+                                          F.sum("n").alias("size")))
+    return join_split(rooted, materialise(sizes, "minhash-sizes"), "bucket")
+
+
+def cell_survivors(mixed: DataFrame, signed: DataFrame, percent: int, miss: float,
+                   best: bool = False, cell: int = CELL) -> DataFrame:
+    """Pairs (a, b, m: matches) of different components that share a bucket and that the wide
+    signatures of ``signed`` (node, n, bands, sig) do not rule out; with ``best`` only the one
+    with most matches of each b in a cell. A bucket of more than ``cell`` members is dealt to
+    chunks, and any two chunks meet in a cell of their own."""
+    need = _needs(WIDE, 4 * BATCH, percent, miss)
+    chunks = F.ceil(F.col("size") / cell).cast("int")
+    chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
+    dealt = (mixed.withColumn("chunks", chunks).withColumn("chunk", chunk)
+                  .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+                  .select("bucket", F.least("chunk", "other").alias("i"),
+                          F.greatest("chunk", "other").alias("j"), "chunk", "node", "root",
+                          (F.col("root") == F.col("major")).alias("main"),
+                          (F.col("node") == F.col("leader")).alias("leads"))
+                  .join(signed, "node"))
+    cells = dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _groups(batches):
+            out = _compare_cell(rows, need, percent, best)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out],
+                                             ["a", "b", "m"])
+
+    return cells.select("bucket", "i", "j", "chunk", "node", "root", "main", "leads", "n",
+                        "bands", "sig").mapInArrow(run, "a long, b long, m long")
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Runs of rows that are equal in the first three columns."""
+    held, key = [], None
+    for batch in batches:
+        keys = list(zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True))
+        lo = 0
+        for hi in range(1, len(keys) + 1):
+            if hi < len(keys) and keys[hi] == keys[lo]:
+                continue
+            if key is not None and keys[lo] != key:
+                yield pa.Table.from_batches(held)
+                held = []
+            key = keys[lo]
+            held.append(batch.slice(lo, hi - lo))
+            lo = hi
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _compare_cell(rows: pa.Table, need: list[tuple[int, int]], percent: int, best: bool):
+    """Members outside the largest component against members of other components."""
+    bucket, i, j = (rows.column(c)[0].as_py() for c in range(3))
+    chunk, node, root, main, leads, n = (rows.column(c).to_numpy() for c in range(3, 9))
+    bands = np.array(rows.column(9).to_pylist(), dtype=np.int64)
+    sig = np.frombuffer(b"".join(rows.column(10).to_pylist()), dtype=np.uint8).reshape(-1, WIDE)
+    out: list[list[int]] = [[], [], []]
+    for x in np.flatnonzero(~main & ~leads):
+        # a pair of two such members is looked at once: from the lower chunk, or the lower node
+        once = main | ((node > node[x]) if i == j else (chunk > chunk[x]))
+        fits = once & ~leads & (root != root[x]) & ((chunk != chunk[x]) | (i == j))
+        fits &= 100 * np.minimum(n, n[x]) >= percent * np.maximum(n, n[x])
+        y = np.flatnonzero(fits)
+        same = bands[y] == bands[x]
+        y = y[bands[x][same.argmax(axis=1)] == bucket]  # the first band that the pair shares
+        matches, seen = np.zeros(len(y), dtype=np.int64), 0
+        for end, least in need:
+            matches += (sig[y, seen:end] == sig[x, seen:end]).sum(axis=1)
+            alive = matches >= least
+            y, matches, seen = y[alive], matches[alive], end
+        if best and len(y):
+            y, matches = y[[matches.argmax()]], matches[[matches.argmax()]]
+        out[0] += node[y].tolist()
+        out[1] += [int(node[x])] * len(y)
+        out[2] += matches.tolist()
+    return out
 
 
 # -- verification ---------------------------------------------------------------------------
@@ -205,20 +274,26 @@ def _other_pairs(members: DataFrame, roots: DataFrame, crowd: int | None):
 def least_matches(n: int, t: float, miss: float) -> int:
     """The fewest matches among n hashes with a posterior of at least ``miss`` for a similarity
     of t or more, under a uniform prior: the least m with P(Binomial(n + 1, t) <= m) >= miss."""
-    total = 0.0
+    total, whole = 0.0, math.lgamma(n + 2)
     for m in range(n + 1):
-        total += math.comb(n + 1, m) * t ** m * (1 - t) ** (n + 1 - m)
+        total += math.exp(whole - math.lgamma(m + 1) - math.lgamma(n + 2 - m)
+                          + m * math.log(t) + (n + 1 - m) * math.log(1 - t))
         if total >= miss:
             return m
     return n
 
 
+def _needs(k: int, batch: int, percent: int, miss: float) -> list[tuple[int, int]]:
+    """Where each batch of ``k`` hashes ends, and the fewest matches up to there."""
+    ends = [min(e, k) for e in range(batch, k + batch, batch)]
+    return [(e, least_matches(e, percent / 100, miss)) for e in ends]
+
+
 def survivors(pairs: DataFrame, signed: DataFrame, percent: int, miss: float) -> DataFrame:
     """The pairs (a, b) that the signatures do not rule out. Sets whose sizes alone keep them
     below the threshold go first."""
-    k = LEVELS[0][0] * LEVELS[0][1]
-    ends = [min(e, k) for e in range(BATCH, k + BATCH, BATCH)]
-    need = [least_matches(e, percent / 100, miss) for e in ends]
+    k = ROWS * BANDS
+    need = _needs(k, BATCH, percent, miss)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -226,7 +301,7 @@ def survivors(pairs: DataFrame, signed: DataFrame, percent: int, miss: float) ->
                     .reshape(-1, k) for c in (2, 3))
             alive, seen = np.arange(batch.num_rows), 0
             matches = np.zeros(batch.num_rows, dtype=np.int64)
-            for end, least in zip(ends, need, strict=True):
+            for end, least in need:
                 matches[alive] += (x[alive, seen:end] == y[alive, seen:end]).sum(axis=1)
                 alive, seen = alive[matches[alive] >= least], end
             rows = pa.array(alive)
@@ -301,7 +376,7 @@ def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
 
 def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                           percent: int = PERCENT, miss: float = MISS,
-                          crowd: int = CROWD) -> DataFrame:
+                          cell: int = CELL) -> DataFrame:
     """One row per input row: doc_id, n_shingles (size of the set), component_id (smallest doc_id
     reachable over links, its own included) and kept (doc_id = component_id).
 
@@ -313,50 +388,47 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     rows = id_and_text(docs, id_col, text_col).select(doc_key().alias("name"), "doc_id", "text")
     prints = identify(materialise(signatures(rows, ["name", "doc_id"]), "minhash"))
     filled = prints.where("node is not null")
-    spark = docs.sparkSession
-    roots = spark.createDataFrame([], "node long, root long")
-    members, candidates = buckets(filled.select("node", "sig"), 0), None
-    for level in range(len(LEVELS)):
-        last = level == len(LEVELS) - 1
-        nodes = materialise(members.select("node").distinct(), "minhash-nodes")
-        if candidates is None:  # members of later levels are among those of the first
-            candidates = materialise(
-                filled.join(bounded_broadcast(nodes), "node", "left_semi")
-                      .select("node", "n", "sig").dropDuplicates(["node"]), "minhash-candidates")
-        star = star_pairs(members)
-        if level > 0:
-            star = _apart(materialise(star, "minhash-star"), roots)
-        roots = _look(star, candidates, rows, filled, roots, percent, miss)
-        pairs, crowded = _other_pairs(members, roots, None if last else crowd)
-        roots = _look(pairs, candidates, rows, filled, roots, percent, miss)
-        if last:
-            break
-        crowded = materialise(crowded, "minhash-crowded")
-        if crowded.isEmpty():
+    members = buckets(filled.select("node", "sig"))
+    nodes = materialise(members.select("node").distinct(), "minhash-nodes")
+    known = materialise(filled.join(bounded_broadcast(nodes), "node", "left_semi")
+                              .select("node", "n", "sig").dropDuplicates(["node"]),
+                        "minhash-candidates")
+    roots = docs.sparkSession.createDataFrame([], "node long, root long")
+
+    def verified(found: DataFrame, roots: DataFrame) -> DataFrame:
+        if found.isEmpty():
+            return roots
+        texts = materialise(_texts(rows, filled, _both_ends(found)), "minhash-texts")
+        return _joined(roots, exact_links(found.select("a", "b"), texts, percent))
+
+    pairs = materialise(star_pairs(members), "minhash-pairs")
+    best = _most_promising(pairs)
+    roots = verified(survivors(best, known, percent, miss), roots)
+    rest = materialise(_apart(pairs.join(best, ["a", "b"], "left_anti"), roots), "minhash-rest")
+    roots = verified(survivors(rest.select("a", "b"), known, percent, miss), roots)
+
+    wide = None
+    for first in (True, False):
+        mixed = materialise(mixed_buckets(members, roots), "minhash-mixed-sizes")
+        if mixed.isEmpty():
             break
-        wide = signatures(_texts(rows, filled, crowded), ["node"], level + 1)
-        members = buckets(wide.select("node", "sig"), level + 1)
+        if wide is None:
+            inside = materialise(mixed.select("node").distinct(), "minhash-inside")
+            wide = (signatures(_texts(rows, filled, inside), ["node"], WIDE, 8)
+                    .select("node", "n", F.col("sig").alias("wide"))
+                    .join(known.select("node", band_keys().alias("bands")), "node")
+                    .select("node", "n", "bands", F.col("wide").alias("sig")))
+            wide = materialise(wide, "minhash-wide")
+        pairs = materialise(cell_survivors(mixed, wide, percent, miss, first, cell),
+                            "minhash-cells")
+        roots = verified(_most_promising(pairs) if first else pairs, roots)
     return _components(prints, roots)
 
 
-def _look(pairs: DataFrame, candidates: DataFrame, rows: DataFrame, prints: DataFrame,
-          roots: DataFrame, percent: int, miss: float) -> DataFrame:
-    """Components after looking at ``pairs`` (a, b, m): each b's pair of largest m first, then
-    those whose ends are still in different components."""
-    pairs = materialise(pairs, "minhash-pairs")
-    best = materialise(pairs.groupBy("b").agg(F.max_by("a", F.struct("m", F.col("a"))).alias("a"))
-                            .select("a", "b"), "minhash-best")
-    for part in (best, None):
-        if part is None:
-            part = materialise(_apart(pairs.join(best, ["a", "b"], "left_anti"), roots),
-                               "minhash-rest").select("a", "b")
-        if part.isEmpty():
-            continue
-        found = survivors(part, candidates, percent, miss)
-        if not found.isEmpty():
-            texts = materialise(_texts(rows, prints, _both_ends(found)), "minhash-texts")
-            roots = _joined(roots, exact_links(found, texts, percent))
-    return roots
+def _most_promising(pairs: DataFrame) -> DataFrame:
+    """Of the pairs (a, b, m) of each b, the one with the largest m."""
+    best = pairs.groupBy("b").agg(F.max_by("a", F.struct("m", F.col("a"))).alias("a"))
+    return materialise(best.select("a", "b"), "minhash-best")
 
 
 def _components(prints: DataFrame, roots: DataFrame) -> DataFrame:

@@ -63,13 +63,13 @@ def test_components_are_those_of_all_pairs(spark):
     assert run(docs(spark, rows)) == brute(rows)
 
 
-def test_crowded_buckets_are_signed_again(spark):
+def test_many_members_of_other_components_in_small_cells(spark):
     # near copies of one text, many of them short of the threshold to each other
     r = random.Random(5)
     text = prose(7, 150)
     rows = [(i, edited(text, r, r.choice([0.03, 0.06, 0.12]))) for i in range(60)]
     rows += [(100 + i, prose(500 + i, 40)) for i in range(10)]
-    assert run(docs(spark, rows), crowd=0) == brute(rows)
+    assert run(docs(spark, rows), cell=7) == brute(rows)
 
 
 def test_border_of_the_threshold(spark):
