@@ -43,14 +43,25 @@ def position(df: DataFrame, order: list[str]) -> Column:
     return (parts[0].cast("decimal(38,0)") * step + parts[1]).cast("decimal(38,0)")
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A number from all columns of a row (maps as text: Spark does not hash them)."""
+    return F.xxhash64(*[F.to_json(f.name) if "map<" in f.dataType.simpleString()
+                        else F.col(f.name) for f in df.schema.fields])
+
+
 def _pick(df: DataFrame, keys: list[str], order: list[str], last: bool) -> DataFrame:
+    """One row per key, as ``ROW_NUMBER() = 1`` gives: of rows with equal positions the one with
+    the least hash. Only rows that hold their key's position reach the last shuffle, at most one
+    per key and task (the rank filter runs below it as well)."""
     best = (F.max if last else F.min)("__pos").alias("__best")
     rows = df.withColumn("__key", F.struct(*[F.col(k) for k in keys])).withColumn(
         "__pos", position(df, order))
     picked = rows.groupBy("__key").agg(best).withColumnRenamed("__key", "__k")
     same = (F.col("__key") == F.col("__k")) & (F.col("__pos") == F.col("__best"))
-    # rows that repeat key and position are deliveries of one row: distinct takes one
-    return (rows.join(picked, same, "left_semi").select(*df.columns).distinct())
+    tied = Window.partitionBy("__key").orderBy("__hash")
+    return (rows.withColumn("__hash", row_hash(df)).join(picked, same, "left_semi")
+                .withColumn("__rn", F.row_number().over(tied)).where("__rn = 1")
+                .select(*df.columns))
 
 
 def latest_per_key(df: DataFrame, keys: list[str], version: str,

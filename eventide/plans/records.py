@@ -11,11 +11,13 @@ from pyspark.sql import types as T
 
 from eventide.functions import codec as C
 from eventide.plans.registry import bucket_us, query, ts_of
-from eventide.plans.windowing import EXACT_SQL, UNIT, events, exact
+from eventide.plans.windowing import EXACT_SQL, events, exact
 from eventide.sources.tables import read_lines, read_table, spread
 from eventide.streaming.replay import land, record_stream, write_records
 
 S = 1_000_000
+#: Counters are whole numbers (BIGINT), amounts in steps of 1e-8: one amount is below 9.2e10.
+UNIT = 100_000_000
 
 
 def wide_events(spark, d):

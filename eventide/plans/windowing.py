@@ -21,23 +21,23 @@ def purchases(spark, d):
     return events(spark, d).where(F.col("event_type") == "purchase")
 
 
-# Money is summed as DECIMAL, so sums are exact and do not depend on the order of rows.
+# Amounts are taken to 1e-8 and summed as DECIMAL, so sums do not depend on the order of rows and
+# hold up to 1e30.
 EXACT_SQL = "CAST(value AS DECIMAL(28, 8))"
-UNIT = 100_000_000
 
 
 def exact(col: str = "value"):
-    """A DOUBLE amount as DECIMAL(28, 8)."""
+    """A DOUBLE amount as DECIMAL(28, 8): rounded to 1e-8; 1e20 and more is an error."""
     return F.col(col).cast("decimal(28,8)")
 
 
 def as_double(total):
-    """An exact sum as DOUBLE, through its integer number of 1e-8 units."""
-    return (total * F.lit(UNIT)).cast("long").cast("double") / F.lit(float(UNIT))
+    """A DECIMAL sum as the nearest DOUBLE."""
+    return total.cast("double")
 
 
 def as_double_sql(total: str) -> str:
-    return f"CAST(CAST({total} * {UNIT} AS BIGINT) AS DOUBLE) / {float(UNIT)}"
+    return f"CAST({total} AS DOUBLE)"
 
 
 def _tumble_sql(size_us: int) -> str:

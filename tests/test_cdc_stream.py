@@ -58,8 +58,75 @@ def test_table_in_any_batch_order_with_compaction(spark, tmp_path, order):
         table.write(batch, b)                     # and the batch is retried
     assert sorted((r.id, r.name, r.place) for r in table.read().collect()) == NOW
     # what a reader folds is one base and the deltas after it
-    stored = spark.read.parquet(table.delta)
-    assert stored.where("batch_id <= 5").count() == 0 and stored.count() <= 2
+    now = table.manifest.latest()[1]
+    assert now["upto"] == 4 and sorted(now["deltas"]) == ["5", "6", "7"]
+    assert len(table.manifest.numbers()) <= table.keep + 2 * table.compact_every
+
+
+class Stopped(Exception):
+    pass
+
+
+def test_a_writer_stopped_after_any_step_loses_nothing(spark, tmp_path):
+    """Every step of every write is the last one once; the batch is then retried."""
+    schema = spark.createDataFrame([], "k int, n int").schema
+    batches = [[(1, 1), (2, 1)], [(1, 2)], [(3, 5)], [(2, 9), (4, 4)]]
+    states, want = [{}], [(1, 2), (2, 9), (3, 5), (4, 4)]
+    for batch in batches:
+        states.append(states[-1] | dict(batch))
+
+    def rows(table):
+        return sorted(map(tuple, table.read().collect()))
+
+    def run(path, stop_at=None):
+        table = sinks.UpsertTable(spark, str(path), schema, ["k"], compact_every=2, keep=2)
+        steps = []
+
+        def done(step):
+            steps.append(step)
+            if len(steps) == stop_at:
+                raise Stopped(step)
+        table._done = done
+        for b, batch in enumerate(batches):
+            try:
+                table.write(spark.createDataFrame(batch, schema).coalesce(1), b)
+            except Stopped:
+                # readers see the table before the batch or after it, never a part
+                assert rows(table) in [sorted(s.items()) for s in states[b:b + 2]]
+                table.write(spark.createDataFrame(batch, schema).coalesce(1), b)
+        return steps, rows(table)
+
+    steps, end = run(tmp_path / "whole")
+    assert end == want
+    assert {"base stored", "manifest prepared", "manifest swapped", "folder removed"} <= set(steps)
+    for stop in range(1, len(steps) + 1):
+        assert run(tmp_path / f"stop-{stop}", stop)[1] == want, steps[stop - 1]
+
+
+def test_a_half_written_folder_is_never_read(spark, tmp_path):
+    schema = spark.createDataFrame([], "k int, n int").schema
+    table = sinks.UpsertTable(spark, str(tmp_path), schema, ["k"], compact_every=2)
+    rows = [(k, k) for k in range(200)]
+    table.write(spark.createDataFrame(rows[:100], schema), 0)
+    spark.createDataFrame(rows[:20], schema).write.parquet(f"{tmp_path}/data/base-half")
+    table.write(spark.createDataFrame(rows[100:], schema), 1)
+    table.write(spark.createDataFrame(rows[100:], schema), 1)
+    assert table.read().count() == 200
+
+
+def test_two_writers_do_not_both_commit(spark, tmp_path):
+    schema = spark.createDataFrame([], "k int").schema
+    one = sinks.UpsertTable(spark, str(tmp_path), schema, ["k"])
+    name = one.manifest.prepare({"base": None, "upto": -1, "deltas": {}})
+    one.write(spark.createDataFrame([(1,)], schema), 0)
+    with pytest.raises(RuntimeError, match="another writer"):
+        one.manifest.swap(name, 0)
+
+
+def test_staged_batches_are_read_once(spark):
+    staged = spark.createDataFrame([(0, "a", 1), (0, "b", 1), (0, "b", 2), (1, "c", 3)],
+                                   "batch_id long, attempt string, v int")
+    assert sorted(r.v for r in sinks.last_attempt(staged).collect()) == [1, 2, 3]
 
 
 def test_table_without_versions_takes_the_latest_batch(spark, tmp_path):
