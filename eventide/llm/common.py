@@ -55,6 +55,14 @@ def doc_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     return F.concat_ws(":", written, F.hex(F.xxhash64(text)), F.length(text).cast("string"))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 #: Rows that are broadcast at once: a few numbers, or a document's key and some.
 BROADCAST_ROWS = 500_000
 

@@ -25,13 +25,14 @@ are DataFrame functions.
 from __future__ import annotations
 
 import itertools
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import (BROADCAST_ROWS, bounded_broadcast, doc_key, id_and_text,
-                                 materialise)
+from eventide.llm.common import (BROADCAST_ROWS, bounded_broadcast, doc_key, free_name,
+                                 id_and_text, materialise)
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -68,31 +69,50 @@ def shingle_texts(words: str, width: Column) -> Column:
     return F.transform(at, lambda i: F.array_join(F.slice(F.col(words), i, width), " "))
 
 
+#: A packed counter has 16 bits, the topmost a sign.
+RUN = 32_767
+
+
 def simhash(hashes: str | Column) -> Column:
-    """64 majority bits of an array of 64-bit hashes (fewer than 32768 of them); empty: 0. Packed
-    word k counts bits k, k + 16, k + 32 and k + 48 side by side. Hashes and packed words are
-    lambda variables, so neither is made again for every bit that is read from it."""
+    """64 majority bits of an array of 64-bit hashes; empty: 0. Packed word k counts bits k,
+    k + 16, k + 32 and k + 48 side by side; of a longer array than ``RUN`` the words of each run
+    are unpacked and added. Hashes and packed words are lambda variables, so neither is made again
+    for every bit that is read from it."""
     one = F.lit(0x0001000100010001)
+    zero = F.lit(0).cast("long")
 
     def packed(h: Column) -> Column:
         return F.transform(F.sequence(F.lit(0), F.lit(15)), lambda k: F.aggregate(
-            h, F.lit(0).cast("long"), lambda acc, x: acc + F.call_function(
+            h, zero, lambda acc, x: acc + F.call_function(
                 "shiftrightunsigned", x, k).bitwiseAND(one)))
 
-    def majority(counts: Column, n: Column) -> Column:
-        fp = F.lit(0).cast("long")
+    def counter(words: Column, bit: int) -> Column:
+        return F.shiftrightunsigned(F.get(words, F.lit(bit % 16)), 16 * (bit // 16)) \
+                .bitwiseAND(F.lit(0xFFFF))
+
+    def majority(counts: Callable[[int], Column], n: Column) -> Column:
+        fp = zero
         for bit in range(64):
-            count = F.shiftrightunsigned(F.get(counts, F.lit(bit % 16)), 16 * (bit // 16)) \
-                     .bitwiseAND(F.lit(0xFFFF))
             value = (1 << bit) - (1 << 64 if bit == 63 else 0)
-            fp = fp.bitwiseOR(F.when(count * 2 > n, F.lit(value).cast("long"))
-                              .otherwise(F.lit(0).cast("long")))
+            fp = fp.bitwiseOR(F.when(counts(bit) * 2 > n, F.lit(value).cast("long"))
+                              .otherwise(zero))
         return fp
 
+    def of_runs(h: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(h), F.lit(1)), F.lit(RUN))
+        runs = F.transform(starts, lambda at: packed(F.slice(h, at, RUN)))
+        added = F.aggregate(
+            runs, F.array_repeat(zero, 64), lambda acc, words: F.zip_with(
+                acc, F.array(*[counter(words, b) for b in range(64)]), lambda x, y: x + y))
+        return F.transform(F.array(F.struct(added.alias("c"), F.size(h).alias("n"))),
+                           lambda p: majority(lambda b: F.get(p.c, F.lit(b)), p.n))
+
+    def of_one(h: Column) -> Column:
+        return F.transform(F.array(F.struct(packed(h).alias("c"), F.size(h).alias("n"))),
+                           lambda p: majority(lambda b: counter(p.c, b), p.n))
+
     hs = F.col(hashes) if isinstance(hashes, str) else hashes
-    both = F.transform(F.array(hs), lambda h: F.struct(packed(h).alias("c"),
-                                                       F.size(h).alias("n")))
-    return F.element_at(F.transform(both, lambda p: majority(p.c, p.n)), 1)
+    return F.element_at(F.when(F.size(hs) <= RUN, of_one(hs)).otherwise(of_runs(hs)), 1)
 
 
 def simhash_of_words(words: str, width: int) -> Column:
@@ -270,7 +290,8 @@ def weighted_similarity(a: str, b: str, width: int) -> Column:
 def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                     text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the contaminated ones; all columns and all other rows stay."""
+    key = free_name(docs, "_hit")
     hit = matches(docs, benchmark, id_col, text_col, **options)
-    hit = materialise(hit.select(F.col("doc_key").alias("_hit")).distinct(), "contaminated")
-    return docs.join(bounded_broadcast(hit), doc_key(id_col, text_col) == F.col("_hit"),
-                     "left_anti")
+    hit = materialise(hit.select(F.col("doc_key").alias(key)).distinct(), "contaminated")
+    return docs.withColumn(key, doc_key(id_col, text_col)).join(
+        bounded_broadcast(hit), key, "left_anti").select(docs.columns)

@@ -35,10 +35,13 @@ _TABLE: dict[str, np.ndarray] = {}  # made where it is needed, not sent with the
 
 
 def _letters(cp: np.ndarray) -> np.ndarray:
-    """Which code points are letters; all of the supplementary ideographic planes are."""
+    """Which code points are letters."""
     if not _TABLE:
-        _TABLE["alpha"] = np.array([chr(c).isalpha() for c in range(0x20000)] + [True])
-    return _TABLE["alpha"][np.minimum(cp, 0x20000)]
+        _TABLE["alpha"] = np.array([chr(c).isalpha() for c in range(0x20000)] + [False])
+    out = _TABLE["alpha"][np.minimum(cp, 0x20000)]
+    beyond = np.flatnonzero(cp >= 0x20000)  # ideographs, tags, private use: rare, one by one
+    out[beyond] = [chr(c).isalpha() for c in cp[beyond].tolist()]
+    return out
 
 
 def ngrams(text: str) -> tuple[np.ndarray, np.ndarray]:

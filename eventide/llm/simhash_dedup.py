@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import bounded_broadcast, doc_key, id_and_text, materialise
+from eventide.llm.common import bounded_broadcast, doc_key, free_name, id_and_text, materialise
 from eventide.llm.components import connected_components
 
 SHINGLE = 3
@@ -310,16 +310,17 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     last), then the smallest text hash; of rows that repeat id and text any one. Only names of
     dropped rows are joined back; texts are not shuffled while those are few enough to
     broadcast."""
-    named = docs.withColumn("_key", doc_key(id_col, text_col))
-    groups = materialise(near_duplicate_groups(named, "_key", text_col, shingle, radius)
-                         .select(F.col("doc_id").alias("_key"), "component_id"), "components")
-    drop = materialise(groups.where("_key <> component_id").select("_key").distinct(),
+    key = free_name(docs, "_key")
+    named = docs.withColumn(key, doc_key(id_col, text_col))
+    groups = materialise(near_duplicate_groups(named, key, text_col, shingle, radius)
+                         .select(F.col("doc_id").alias(key), "component_id"), "components")
+    drop = materialise(groups.where(F.col(key) != F.col("component_id")).select(key).distinct(),
                        "dropped-copies")
-    left = named.join(bounded_broadcast(drop), "_key", "left_anti")
-    twice = materialise(groups.where("_key = component_id").groupBy("_key").count()
-                        .where("count > 1").select("_key"), "repeated-rows")
+    left = named.join(bounded_broadcast(drop), key, "left_anti")
+    twice = materialise(groups.where(F.col(key) == F.col("component_id")).groupBy(key).count()
+                        .where("count > 1").select(key), "repeated-rows")
     if not twice.isEmpty():
         some = bounded_broadcast(twice)
-        left = left.join(some, "_key", "left_anti").unionByName(
-            left.join(some, "_key", "left_semi").dropDuplicates(["_key"]))
+        left = left.join(some, key, "left_anti").unionByName(
+            left.join(some, key, "left_semi").dropDuplicates([key]))
     return left.select(docs.columns)

@@ -34,4 +34,6 @@ def odd_rows(long=60_000):
 CLASH = [("score", "string"), ("kept", "string"), ("shard", "string"), ("fp", "string"),
          ("size", "string"), ("taken", "string"), ("position", "string"), ("word", "string"),
          ("key", "string"), ("h", "string"), ("held_out", "string"), ("label", "string"),
-         ("spans", "string"), ("item_id", "string"), ("component_id", "string")]
+         ("spans", "string"), ("item_id", "string"), ("component_id", "string"), ("_key", "string"),
+         ("_hit", "string"), ("_at", "string"), ("doc_key", "string"), ("name", "string"),
+         ("node", "string"), ("n", "string"), ("row_no", "string"), ("words", "string")]

@@ -206,3 +206,30 @@ def test_words(spark):
     got = docs(spark, [(1, "It's 4G, naïve_café! é सु")]).select(
         D.words_of(F.col("text")).alias("w")).first().w
     assert got == ["it", "s", "4g", "naïve", "café", "é", "सु"]
+
+
+def test_long_ids_are_kept_apart(spark):
+    text = prose(5, 60)
+    df = docs(spark, [(1, text), (2, text), (3, prose(6, 60))]).withColumn(
+        "doc_id", F.concat(F.lit("https://example.org/documents/"), F.col("doc_id").cast("string")))
+    bench = spark.createDataFrame([(1, prose(5, 60))], "item_id long, text string")
+    assert sorted(r.doc_id[-1] for r in D.matches(df, bench).collect()) == ["1", "2"]
+    assert [r.doc_id[-1] for r in D.clean_documents(df, bench).collect()] == ["3"]
+
+
+def test_caller_columns_stay_as_they_are(spark):
+    df = docs(spark, [(1, prose(5, 60)), (2, prose(6, 60))]).withColumns(
+        {"_hit": F.lit("mine"), "_hit_": F.lit("too")})
+    bench = spark.createDataFrame([(1, prose(5, 60))], "item_id long, text string")
+    got = D.clean_documents(df, bench)
+    assert got.columns == df.columns
+    assert [(r.doc_id, r._hit, r._hit_) for r in got.collect()] == [(2, "mine", "too")]
+
+
+def test_more_hashes_than_a_packed_counter_holds(spark):
+    """70,000 hashes that all have the top bit."""
+    made = F.transform(F.sequence(F.lit(1), F.lit(70_000)),
+                       lambda i: F.xxhash64(i).bitwiseOR(F.lit(-(1 << 63))))
+    row = spark.range(1).select(made.alias("h")).select("h", D.simhash("h").alias("fp")).first()
+    want = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in row.h) > len(row.h))
+    assert row.fp == want - (1 << 64)

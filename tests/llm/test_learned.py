@@ -260,3 +260,10 @@ def test_flat_trees_are_the_trees():
     assert ((m.score(x) > 0.5) == y).mean() > 0.97
     one = quality.fit_trees(np.ones((5, 2)), np.ones(5))
     assert (one.score(np.zeros((2, 2))) > 0.5).all()
+
+
+def test_tags_and_private_use_are_no_letters():
+    from eventide.llm import langid
+    assert not len(langid.ngrams("\U0001F3F4\U000E0067\U000E0062\U000E007F")[0])
+    assert not len(langid.ngrams("\U000F0000 \U0010FFFD")[0])
+    assert len(langid.ngrams("\U00020000")[0])

@@ -81,3 +81,27 @@ def test_unusable_templates():
 
 def test_empty_table(spark):
     assert L.scan_licenses(docs(spark, [])).collect() == []
+
+
+def test_every_copy_gives_a_span(spark):
+    line, grant = "Released under the MIT License.", L.TEMPLATES["ISC (grant)"]
+    rows = [(1, f"{line} {prose(1, 3)} {line}\n{line}"), (2, f"{prose(2, 50)} {grant}{grant}"),
+            (3, " ".join([line] * 40))]
+    got = {}
+    for r in L.scan_licenses(docs(spark, rows)).collect():
+        got.setdefault((r.doc_id, r.license), []).append((r.start, r.end, r.containment))
+    assert {k: len(v) for k, v in got.items()} == {
+        (1, "MIT (line)"): 3, (2, "ISC (grant)"): 2, (3, "MIT (line)"): 40}
+    texts = dict(rows)
+    for (i, name), spans in got.items():
+        spans.sort()
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:], strict=False))
+        for start, end, v in spans:
+            assert v == 1.0 and words(texts[i][start:end]) == words(L.TEMPLATES[name])
+
+
+def test_every_template_finds_itself():
+    index = L.Index(L.TEMPLATES)
+    for name, text in L.TEMPLATES.items():
+        assert [m["containment"] for m in index.scan(f"{prose(3, 20)} {text} {prose(4, 20)}")
+                if m["license"] == name] == [1.0]

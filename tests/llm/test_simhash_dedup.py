@@ -196,3 +196,11 @@ def test_components(spark, links):
     want = roots(300, links)
     touched = {x for a, b in links if a != b for x in (a, b)}
     assert got == {i: want[i] for i in touched}
+
+
+def test_keep_one_leaves_caller_columns_alone(spark):
+    df = docs(spark, [(1, prose(1, 50)), (2, prose(1, 50)), (3, prose(2, 50)),
+                      (3, prose(2, 50))]).withColumn("_key", F.lit("mine"))
+    got = H.keep_one(df)
+    assert got.columns == df.columns
+    assert sorted((r.doc_id, r["_key"]) for r in got.collect()) == [(1, "mine"), (3, "mine")]
