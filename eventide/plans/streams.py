@@ -1,6 +1,7 @@
 """Streaming jobs as registered queries: each reads given tables (or records written from them)
 as a stream, runs to the end of the input and returns what its sink holds. The watermark drops
-no row: a bounded replay is one micro-batch, and a lost row would fail the query."""
+no row: a replay is one micro-batch, or several in order of event time, and a lost row would fail
+the query."""
 
 from __future__ import annotations
 
@@ -10,10 +11,13 @@ from pyspark.sql import types as T
 from eventide.functions import codec as C
 from eventide.plans.records import click_json
 from eventide.plans.registry import bucket_us, query, ts_of
-from eventide.plans.windowing import (EXACT_SQL, H, as_double, as_double_sql, exact)
-from eventide.sources.tables import read_table_stream
+from eventide.plans.windowing import (EXACT_SQL, H, _tumble_sql, as_double, as_double_sql, events,
+                                      exact, purchases)
+from eventide.session import scratch_path
+from eventide.sources.tables import as_utc, read_table_stream
 from eventide.streaming import clicks as K
-from eventide.streaming.replay import land, record_stream, upserted
+from eventide.streaming.late import CorrectedCounts
+from eventide.streaming.replay import TimedReplay, land, upserted, upserted_in_order
 from eventide.streaming.stateful import long_interval_alerts_stream, pair_streams
 from eventide.streaming.windows import processing_time_window_stream, window_agg_stream
 
@@ -34,13 +38,18 @@ SELECT event_type AS page,
 FROM events GROUP BY event_type, {_CLICK_START}""")
 def click_count_job(spark, d):
     """The click-count job: events as JSON click records in files, read as a stream (FAILFAST
-    decode, 200 ms watermark), counted per page and 15 s window, written as JSON statistics to
-    an upsert sink. Update mode: the window that is still open at the end is there as well."""
-    values = record_stream(click_json(spark, d).select("value"), "click-source")
-    stats = K.click_statistics(values)
-    out = stats.select("page", C.click_ts_text("window_start").alias("window_start_text"),
-                       K.statistics_value().alias("value"))
-    kept = upserted(out, "click-stats", ["page", "window_start_text"])
+    decode, 200 ms watermark) in several micro-batches by event time, counted per page and 15 s
+    window, written as JSON statistics to an upsert sink. Update mode: the window that is still open at the end is there as well."""
+    records = click_json(spark, d).select("value")
+    records = records.withColumn("at", C.parse_click_ts(F.get_json_object(
+        "value", "$.timestamp")).cast("timestamp"))
+
+    def job(values):
+        return K.click_statistics(values).select(
+            "page", C.click_ts_text("window_start").alias("window_start_text"),
+            K.statistics_value().alias("value"))
+
+    kept = upserted_in_order(records, "at", "click-stats", job, ["page", "window_start_text"])
     back = kept.select(C.decode_json("value", STATS_SCHEMA, failfast=True).alias("s"))
     return back.select(F.col("s.page").alias("page"),
                        F.col("s.windowStart").alias("window_start_text"),
@@ -55,18 +64,34 @@ SELECT CAST((s + {H}) // 1000 AS BIGINT) AS window_end_ms, user_id AS driver_id,
        {as_double_sql('c')} AS tips
 FROM r WHERE rn = 1""")
 def hourly_tips_stream(spark, d):
-    """Hourly tips on a stream: sums per driver and hour in update mode into an upsert table,
-    the best driver of each hour from the table."""
+    """Hourly tips on a stream in several micro-batches by event time: sums per driver and hour
+    in update mode into an upsert table, the best driver of each hour from the table. The watermark
+    follows the events without delay, so state is evicted behind it."""
     from eventide.operators import aggs
-    src = read_table_stream(spark, d, "events")
-    sums = window_agg_stream(src, "ts", "1 hour", "1 hour", F.sum(exact()).alias("total"),
-                             keys=["user_id"])
-    table = upserted(sums, "hourly-tips", ["window_start", "user_id"])
+    ev = as_utc(events(spark, d).select("ts", "user_id", "value"))
+    table = upserted_in_order(
+        ev, "ts", "hourly-tips", lambda src: window_agg_stream(
+            src, "ts", "0 seconds", "1 hour", F.sum(exact()).alias("total"), keys=["user_id"]),
+        ["window_start", "user_id"])
     best = aggs.cascaded_window_argmax(table, "user_id", "total")
     return best.select(F.unix_millis("window_end").alias("window_end_ms"),
                        F.col("user_id").alias("driver_id"), as_double(F.col("total")).alias("tips"))
 
 
+@query("late_corrections", _tumble_sql(H))
+def late_corrections(spark, d):
+    """Buy counts per hour of a stream that delivers the newest events first: rows of closed
+    windows are not dropped but correct them, so the totals are those of the batch."""
+    ev = as_utc(purchases(spark, d).select("ts"))
+    replay = TimedReplay(ev, "ts", "late-events", newest_first=True)
+    counts = CorrectedCounts(spark, scratch_path(spark, "late-counts"), ev.schema, "ts", "1 hour",
+                             "5 minutes")
+    replay.run(replay.stream(), counts.write, output_mode="append")
+    return counts.read().select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                                F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+                                F.col("cnt").alias("buy_cnt"))
+
+
 def ride_events_stream(spark, d):
     """STARTs (orders, at the order date) and ENDs (line items, at the ship date) of the same key
     as one stream: key, is_start, ts."""

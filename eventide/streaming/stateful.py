@@ -115,10 +115,12 @@ def long_interval_alerts_stream(events: DataFrame, key: str, is_start: str, ts:
     """Stream form of the alert. ``ts`` must be a TIMESTAMP column; the watermark is
     ``max(ts) - delay``. Timers fire at micro-batch boundaries once the watermark passes them,
     so a missing-END alert can come one batch after the reference's. ``retention`` is how long
-    an END waits for its START, and a decided key is remembered: longer than events are late."""
+    an END waits for its START, and a decided key is remembered: longer than events are late.
+    Events without a key or time belong to no interval and are left out."""
     limit_ms = duration_micros(limit) // 1000
     retention_ms = duration_micros(retention) // 1000
-    src = events.withWatermark(ts, delay).select(
+    known = events.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
+    src = known.withWatermark(ts, delay).select(
         F.col(key).cast("long").alias("key"), F.col(is_start).alias("is_start"),
         F.unix_millis(F.col(ts)).alias("event_ms"), F.col(ts).alias("__ts"))
     use_rocksdb_state(events.sparkSession)
@@ -178,6 +180,8 @@ def pair_streams(left: DataFrame, right: DataFrame, key: str, l_arrival: str,
                "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
     def side(df: DataFrame, number: int, arrival: str, cols: list[str]) -> DataFrame:
+        # a null key equals none, as in a join
+        df = df.where(F.col(key).isNotNull())
         return df.select(F.col(key).cast("long").alias("key"), F.lit(number).alias("side"),
                          F.col(arrival).cast("long").alias("arrival"),
                          F.to_json(F.struct(*cols), options).alias("payload"))
