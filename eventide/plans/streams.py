@@ -17,6 +17,7 @@ from eventide.session import scratch_path
 from eventide.sources.tables import as_utc, read_table_stream
 from eventide.streaming import clicks as K
 from eventide.streaming.late import CorrectedCounts
+from eventide.streaming.ordered import RankedChanges, RunningResults, TemporalJoin
 from eventide.streaming.replay import TimedReplay, land, upserted, upserted_in_order
 from eventide.streaming.stateful import long_interval_alerts_stream, pair_streams
 from eventide.streaming.windows import processing_time_window_stream, window_agg_stream
@@ -92,6 +93,75 @@ def late_corrections(spark, d):
                                 F.col("cnt").alias("buy_cnt"))
 
 
+def _arriving(records, ts: str, row_id: str):
+    """``records`` with an arrival time up to 2 days after ``ts``, so that a replay by arrival
+    brings the events of 2 days in any order."""
+    spread = F.expr("INTERVAL 1 SECOND") * F.pmod(F.xxhash64(F.col(row_id), F.lit(1)), 172_800)
+    return records.withColumn("arrival", F.col(ts).cast("timestamp") + spread)
+
+
+@query("temporal_join_stream", """
+SELECT p.event_id, p.user_id, p.ts, v.event_id AS view_id, v.ts AS view_ts
+FROM (SELECT * FROM events WHERE event_type = 'purchase') p
+ASOF LEFT JOIN (SELECT event_id, user_id, ts FROM events WHERE event_type = 'view') v
+  ON p.user_id = v.user_id AND p.ts >= v.ts""")
+def temporal_join_stream(spark, d):
+    """The temporal join on two streams that arrive out of order over several micro-batches: a
+    purchase waits until the watermark has passed it, and gets the latest view before it."""
+    ev = events(spark, d)
+    p = ev.where(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
+    v = ev.where(F.col("event_type") == "view").select(
+        F.col("event_id").alias("view_id"), "user_id", F.col("ts").alias("view_ts"))
+    both = TemporalJoin.merge(p, v, "user_id", "ts", "view_ts", "event_id", "view_id")
+    replay = TimedReplay(_arriving(both, "at", "id"), "arrival", "temporal-join-feed")
+    join = TemporalJoin(spark, scratch_path(spark, "temporal-join"), both.schema, "2 days")
+    replay.run(replay.stream(), join.write, output_mode="append")
+    join.finish()
+    return join.read()
+
+
+@query("running_results_stream", """
+WITH w AS (
+  SELECT event_id, user_id,
+         count(*) OVER (PARTITION BY user_id ORDER BY ts, event_id
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_count,
+         max({'v': value, 'neg_id': -event_id}) OVER (
+           PARTITION BY user_id ORDER BY ts, event_id
+           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS b
+  FROM events)
+SELECT event_id, user_id, running_count, b.v AS best_value, -b.neg_id AS best_id FROM w""")
+def running_results_stream(spark, d):
+    """Running count and arg-max per user on a stream that arrives out of order over several
+    micro-batches: one output row per input row, in the order of the events' times."""
+    ev = as_utc(events(spark, d).select("event_id", "user_id", "ts", "value"))
+    replay = TimedReplay(_arriving(ev, "ts", "event_id"), "arrival", "running-feed")
+    best = F.struct(F.col("value").alias("v"), (-F.col("event_id")).alias("neg_id"))
+    running = RunningResults(
+        spark, scratch_path(spark, "running"), ev.schema, "ts", "2 days", ["user_id"], "event_id",
+        {"running_count": ("sum", F.lit(1).cast("long")), "best": ("max", best)})
+    replay.run(replay.stream(), running.write, output_mode="append")
+    running.finish()
+    return running.read().select("event_id", "user_id", "running_count",
+                                 F.col("best.v").alias("best_value"),
+                                 (-F.col("best.neg_id")).alias("best_id"))
+
+
+@query("top_n_stream", """
+SELECT event_id, user_id, value, rn FROM (
+  SELECT event_id, user_id, value,
+         row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS rn
+  FROM events) WHERE rn <= 3""")
+def top_n_stream(spark, d):
+    """Top 3 events per user by value on a stream: each micro-batch retracts the rows that its
+    own beat; the changelog, folded by the upsert table, is the ranking."""
+    ev = as_utc(events(spark, d).select("event_id", "user_id", "value", "ts"))
+    replay = TimedReplay(ev, "ts", "top-n-feed", newest_first=True)
+    ranked = RankedChanges(spark, scratch_path(spark, "top-n"), ev.drop("ts").schema, ["user_id"],
+                           [F.col("value").desc(), F.col("event_id")], 3)
+    replay.run(replay.stream(), ranked.write, output_mode="append")
+    return ranked.read()
+
+
 def ride_events_stream(spark, d):
     """STARTs (orders, at the order date) and ENDs (line items, at the ship date) of the same key
     as one stream: key, is_start, ts."""

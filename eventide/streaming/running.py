@@ -1,7 +1,7 @@
 """Running (non-windowed) aggregates on streams.
 
-Spark emits one row per key per micro-batch in update mode (the batch forms in
-``operators.aggs`` keep the one-output-per-input-row meaning). The state is one row per key,
+Spark emits one row per key per micro-batch in update mode (``ordered.RunningResults``, and the
+batch forms in ``operators.aggs``, emit one output row per input row). The state is one row per key,
 which grows with the number of keys: pair these with a watermark-bounded source or accept the
 documented unbounded key space of the running count.
 """

@@ -153,6 +153,11 @@ class UpsertTable:
         order = [self.version, "__batch"] if self.version else ["__batch"]
         return latest_per_key(rows, self.keys, *order).drop("__batch")
 
+    def before(self, batch_id: int) -> DataFrame:
+        """The newest row of each key, removal markers included, as the table was when batch
+        ``batch_id`` came first: what a batch that is run again has to start from."""
+        return self._folded(self.manifest.latest()[1], batch_id)
+
     def compact(self, batch_id: int) -> None:
         """Fold everything before ``batch_id`` into a new base. Removed keys keep their marker,
         so that an older version arriving late stays removed."""
