@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventide.session import scratch_path
@@ -22,6 +23,15 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished steps. Spark removes them once the driver's garbage
+    collector finds that no plan refers to them, which it runs for that purpose only every
+    ``spark.cleaner.periodicGC.interval`` (30 minutes): until then an operator of many
+    materialised steps holds the files of all of them on the executors' disks."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_or_empty(text_col: str = "text") -> Column:
     return F.coalesce(F.col(text_col).cast("string"), F.lit(""))
 

@@ -38,7 +38,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import (bounded_broadcast, doc_key, id_and_text, join_split, materialise)
+from eventide.llm.common import (bounded_broadcast, doc_key, id_and_text, join_split, materialise,
+                                 release_shuffles)
 from eventide.llm.components import connected_components
 
 PERCENT = 80
@@ -393,13 +394,19 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     known = materialise(filled.join(bounded_broadcast(nodes), "node", "left_semi")
                               .select("node", "n", "sig").dropDuplicates(["node"]),
                         "minhash-candidates")
+    release_shuffles(docs.sparkSession)
     roots = docs.sparkSession.createDataFrame([], "node long, root long")
 
     def verified(found: DataFrame, roots: DataFrame) -> DataFrame:
+        release_shuffles(docs.sparkSession)
         if found.isEmpty():
             return roots
         texts = materialise(_texts(rows, filled, _both_ends(found)), "minhash-texts")
-        return _joined(roots, exact_links(found.select("a", "b"), texts, percent))
+        links = exact_links(found.select("a", "b"), texts, percent)
+        release_shuffles(docs.sparkSession)
+        roots = _joined(roots, links)
+        release_shuffles(docs.sparkSession)
+        return roots
 
     pairs = materialise(star_pairs(members), "minhash-pairs")
     best = _most_promising(pairs)
@@ -419,6 +426,7 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
                     .join(known.select("node", band_keys().alias("bands")), "node")
                     .select("node", "n", "bands", F.col("wide").alias("sig")))
             wide = materialise(wide, "minhash-wide")
+            release_shuffles(docs.sparkSession)
         pairs = materialise(cell_survivors(mixed, wide, percent, miss, first, cell),
                             "minhash-cells")
         roots = verified(_most_promising(pairs) if first else pairs, roots)
