@@ -357,7 +357,9 @@ def _texts(rows: DataFrame, prints: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _both_ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    # each end reduced by itself: pairs are many more than nodes
+    ends = [pairs.select(F.col(end).alias("node")).distinct() for end in ("a", "b")]
+    return ends[0].union(ends[1]).distinct()
 
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
