@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventide.functions import codec as C
 from eventide.operators import cdc
 from eventide.plans.registry import bucket_us, query, ts_of
 from eventide.plans.windowing import H, _tumble_sql, events
-from eventide.sources.tables import read_table_stream
+from eventide.session import scratch_path
+from eventide.sources.tables import read_table, read_table_stream
+from eventide.streaming import sinks
 from eventide.streaming.replay import record_stream, upserted
+from eventide.streaming.snapshot import Snapshot, in_range, key_ranges
 from eventide.streaming.windows import window_agg_stream
 
 D = 86_400_000_000
@@ -67,3 +71,71 @@ def continuous_insert(spark, d):
     return table.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                         F.col("window_end").cast("timestamp_ntz").alias("window_end"),
                         "buy_cnt")
+
+
+#: Changes of an order in the log of accounts: step ``i`` stands at ``i * STEP + o_orderkey``.
+STEP = 1 << 40
+
+
+def account_log(spark, d):
+    """Change envelopes (``seq``, ``value``) of a table of accounts: an order changes four times,
+    the steps of all orders one after the other; a step may remove the account (and the next one
+    creates it anew), and every other step also changes its key."""
+    steps = read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice").withColumn(
+        "i", F.explode(F.sequence(F.lit(1), F.lit(4))))
+
+    def account(i):
+        return (F.col("o_orderkey") * 8 + F.floor(i / 2)).cast("long").alias("account")
+
+    def removed(i):
+        return (F.col("o_orderkey") + i) % 5 == 0
+    i = F.col("i")
+    gone = removed(i)
+    fresh = (i == 1) | removed(i - 1)
+    before = F.struct(account(i - 1))
+    after = F.struct(account(i), F.col("o_custkey").alias("owner"), i.cast("long").alias("step"),
+                     F.col("o_totalprice").alias("amount"))
+    op = F.when(gone, F.lit("d")).when(fresh, F.lit("c")).otherwise(F.lit("u"))
+    seq = (i * F.lit(STEP) + F.col("o_orderkey")).alias("seq")
+    body = F.struct(op.alias("op"), seq,
+                    F.when(fresh & ~gone, F.lit(None)).otherwise(before).alias("before"),
+                    F.when(gone, F.lit(None)).otherwise(after).alias("after"))
+    return steps.select(seq, F.to_json(body, {"ignoreNullFields": "false"}).alias("value"))
+
+
+@query("cdc_snapshot_merge", f"""
+SELECT o_orderkey * 8 + 2 AS account, o_custkey AS owner, CAST(4 AS BIGINT) AS step,
+       o_totalprice AS amount, 4 * {STEP} + o_orderkey AS seq
+FROM orders WHERE (o_orderkey + 4) % 5 <> 0""")
+def cdc_snapshot_merge(spark, d):
+    """Initial snapshot and change log merged: the table is read in four ranges of its key while
+    the log goes on (each range at its own, later position), the log is only kept from the
+    snapshot's begin on and is read as a stream into an upsert table that starts with the chunks.
+    Changes during a read override what it saw; changed keys leave nothing behind."""
+    log = account_log(spark, d)
+    image = T.StructType.fromDDL("account long, owner long, step long, amount double")
+    top = read_table(spark, d, "orders").agg(F.max("o_orderkey")).first()[0] or 1
+
+    def pos(quarter):  # of a step, from the second one on
+        step, rest = divmod(quarter, 4)
+        return (2 + step) * STEP + rest * top // 4
+
+    def table(at):
+        return cdc.materialize(cdc.decode_changes(log.where(F.col("seq") <= at), "value", image,
+                                                  ["account"]), ["account"], "at")
+    quarters = iter(range(1, 9))
+    snapshot = Snapshot(spark, scratch_path(spark, "accounts-snapshot"), image)
+    reads = iter(range(2, 10, 2))
+    orders = read_table(spark, d, "orders").select((F.col("o_orderkey") * 8).alias("account"))
+    snapshot.take(key_ranges(orders, "account", max(1, -(-orders.count() // 4))),
+                  lambda within: table(pos(next(reads)) - top // 8).where(
+                      in_range("account", within)),
+                  lambda: pos(next(quarters)))
+    kept = log.where(F.col("seq") > snapshot.fences()[0]).select("value")
+    changes = cdc.decode_changes(record_stream(kept, "accounts-log"), "value", image, ["account"])
+    live = sinks.UpsertTable(spark, scratch_path(spark, "accounts"), snapshot.schema, ["account"],
+                             version="at", deleted="deleted")
+    live.write(snapshot.read(), 0)
+    sinks.run_to_end(changes, "accounts",
+                     foreach_batch=lambda rows, batch: live.write(rows, batch + 1))
+    return live.read().select("account", "owner", "step", "amount", "seq")
