@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventide.functions import codec as C
+from eventide.functions import schemas
 from eventide.plans.registry import bucket_us, query, ts_of
 from eventide.plans.windowing import EXACT_SQL, events, exact
 from eventide.sources.tables import read_lines, read_table, spread
@@ -349,6 +350,95 @@ def schema_evolution(spark, d):
                       F.coalesce(F.col("r.os_type"), F.lit(OS_TYPE_DEFAULT)).alias("os_type"))
 
 
+def machine_schema(version: int) -> schemas.Type:
+    """Three versions of the machine record. The second renames ``host``, adds ``os_type``,
+    ``load`` and units of counters; the third widens numbers, knows more kinds of events and
+    nests the place."""
+    # Fixed values (must equal the reference): the second version's os_type and unit defaults.
+    counter = [{"name": "name", "type": "string"},
+               {"name": "value", "type": "int" if version == 1 else "long"}]
+    if version > 1:
+        counter.append({"name": "unit", "type": ["string", "null"], "default": "null"})
+    fields = [
+        {"name": "id", "type": "long"}, {"name": "timestamp", "type": "long"},
+        {"name": "host", "type": "string"} if version == 1 else
+        {"name": "hostname", "aliases": ["host"], "type": "string"},
+        {"name": "counters", "type": {"type": "array", "items": {
+            "type": "record", "name": "Counter", "fields": counter}}}]
+    if version > 1:
+        fields += [
+            {"name": "os_type", "type": "string", "default": OS_TYPE_DEFAULT},
+            {"name": "load", "type": "float" if version == 2 else "double", "default": -1},
+            {"name": "kind", "default": "other", "type": {
+                "type": "enum", "name": "Kind", "default": "other",
+                "symbols": ["click", "view", "other"] + ["purchase"] * (version > 2)}}]
+    if version > 2:
+        fields.append({"name": "place", "default": {"rack": 0}, "type": {
+            "type": "record", "name": "Place", "fields": [
+                {"name": "rack", "type": "long"},
+                {"name": "site", "type": ["null", "string"], "default": None}]}})
+    return schemas.parse({"type": "record", "name": "MachineData", "fields": fields})
+
+
+def versioned_records(spark, d):
+    """Machine records from events, written with schema version 1, 2 or 3 in turn: lines of the
+    version and the JSON record."""
+    ev = wide_events(spark, d)
+    user, kind = F.col("user_id"), F.col("event_type")
+
+    def counters(unit, size):
+        return F.array(F.struct(F.lit("user").alias("name"), (user % 1000).cast(size).alias("value"),
+                                *unit)).alias("counters")
+    first = [F.col("event_id").alias("id"),
+             F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp")]
+    host = F.concat(F.lit("host-"), (user % 20).cast("string"))
+    os_type = F.when(user % 2 == 0, F.lit("linux")).otherwise(F.lit("windows")).alias("os_type")
+    unit = [F.when(user % 3 == 0, F.lit("id")).alias("unit")]
+    later = [*first, host.alias("hostname"), counters(unit, "long"), os_type]
+
+    def symbol(*known):
+        return F.when(kind.isin(*known), kind).otherwise(F.lit("other")).alias("kind")
+    place = F.struct((user % 7).alias("rack"),
+                     F.when(user % 2 == 0, F.lit("north")).alias("site")).alias("place")
+    bodies = {
+        1: C.encode_json(*first, host.alias("host"), counters([], "int")),
+        2: C.encode_json(*later, F.col("value").cast("float").alias("load"),
+                         symbol("click", "view")),
+        3: C.encode_json(*later, F.col("value").alias("load"),
+                         symbol("click", "view", "purchase"), place)}
+    version = F.col("event_id") % 3 + 1
+    body = F.when(version == 1, bodies[1]).when(version == 2, bodies[2]).otherwise(bodies[3])
+    return ev.select(F.concat_ws(" ", version.cast("string"), body).alias("value"))
+
+
+@query("schema_resolution", f"""
+SELECT event_id AS id, epoch_us(ts) // 1000 AS timestamp,
+  'host-' || CAST(user_id % 20 AS VARCHAR) AS hostname,
+  CASE WHEN v = 1 THEN '{OS_TYPE_DEFAULT}' WHEN user_id % 2 = 0 THEN 'linux' ELSE 'windows' END
+    AS os_type,
+  CASE v WHEN 1 THEN -1.0::DOUBLE WHEN 2 THEN value::FLOAT::DOUBLE ELSE value END AS load,
+  CASE WHEN v = 1 THEN 'other' WHEN event_type IN ('click', 'view') THEN event_type
+       WHEN v = 3 AND event_type = 'purchase' THEN 'purchase' ELSE 'other' END AS kind,
+  CASE WHEN v = 3 THEN user_id % 7 ELSE 0 END AS rack,
+  CASE WHEN v = 3 AND user_id % 2 = 0 THEN 'north' END AS site,
+  user_id % 1000 AS counter,
+  CASE WHEN v = 1 THEN 'null' WHEN user_id % 3 = 0 THEN 'id' END AS unit
+FROM (SELECT *, event_id % 3 + 1 AS v FROM events)""")
+def schema_resolution(spark, d):
+    """Stored records of three schema versions read as a stream and resolved to the third:
+    renamed, added, widened and nested fields, optional units, symbols that are not known."""
+    lines = record_stream(versioned_records(spark, d), "versioned-records")
+    records = lines.select(F.substring_index("value", " ", 1).cast("int").alias("version"),
+                           F.expr("substr(value, instr(value, ' ') + 1)").alias("body"))
+    read = schemas.read_versions(records, "body", "version",
+                                 {v: machine_schema(v) for v in (1, 2, 3)}, machine_schema(3))
+    r = read.select("record.*")
+    return land(r.select("id", "timestamp", "hostname", "os_type", "load", "kind",
+                         F.col("place.rack").alias("rack"), F.col("place.site").alias("site"),
+                         F.col("counters")[0]["value"].alias("counter"),
+                         F.col("counters")[0]["unit"].alias("unit")), "resolved-records")
+
+
 @query("explode_counters", f"""
 SELECT epoch_us(ts) // 1000 AS timestamp, 'host-' || CAST(user_id % 20 AS VARCHAR) AS hostname,
        'amount' AS name, CAST({EXACT_SQL} * {UNIT} AS BIGINT) AS value, '1e-8' AS unit FROM events
