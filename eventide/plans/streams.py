@@ -14,11 +14,14 @@ from eventide.plans.registry import bucket_us, query, ts_of
 from eventide.plans.windowing import (EXACT_SQL, H, _tumble_sql, as_double, as_double_sql, events,
                                       exact, purchases)
 from eventide.session import scratch_path
-from eventide.sources.tables import as_utc, read_table_stream
+from eventide.sources.tables import as_utc, read_table, read_table_stream
 from eventide.streaming import clicks as K
 from eventide.streaming.late import CorrectedCounts
+from eventide.streaming.lookup import Dimension, LookupJoin
 from eventide.streaming.ordered import RankedChanges, RunningResults, TemporalJoin
-from eventide.streaming.replay import TimedReplay, land, upserted, upserted_in_order
+from eventide.streaming.replay import (StagedReplay, TimedReplay, land, upserted,
+                                       upserted_in_order)
+from eventide.streaming.sessions import Sessions
 from eventide.streaming.stateful import long_interval_alerts_stream, pair_streams
 from eventide.streaming.windows import processing_time_window_stream, window_agg_stream
 
@@ -162,6 +165,63 @@ def top_n_stream(spark, d):
     return ranked.read()
 
 
+@query("session_window_stream", """
+WITH e AS (SELECT CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS k, ts, value, event_id
+           FROM events),
+g AS (SELECT *, lag(ts) OVER (PARTITION BY k ORDER BY ts, event_id) AS prev_ts FROM e),
+s AS (SELECT *, sum(CASE WHEN prev_ts IS NULL OR ts >= prev_ts + INTERVAL 20 MINUTE THEN 1 ELSE 0 END)
+        OVER (PARTITION BY k ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS sid FROM g)
+SELECT k, min(ts) AS window_start, max(ts) + INTERVAL 20 MINUTE AS window_end, count(*) AS cnt,
+       max(value) AS best
+FROM s GROUP BY k, sid""")
+def session_window_stream(spark, d):
+    """Sessions with a gap of 20 minutes on a stream that arrives out of order over several
+    micro-batches, of keys one of which holds a third of the rows."""
+    k = F.when(F.col("event_id") % 3 == 0, F.lit(0).cast("long")).otherwise(F.col("user_id"))
+    ev = as_utc(events(spark, d).select("event_id", k.alias("k"), "ts", "value"))
+    replay = TimedReplay(_arriving(ev, "ts", "event_id"), "arrival", "session-feed")
+    sessions = Sessions(spark, scratch_path(spark, "sessions"), ev.schema, ["k"], "ts",
+                        "20 minutes", "2 days", {"cnt": ("sum", F.lit(1).cast("long")),
+                                                 "best": ("max", F.col("value"))})
+    replay.run(replay.stream(), sessions.write, output_mode="append")
+    sessions.finish()
+    return sessions.read().select("k", F.col("window_start").cast("timestamp_ntz").alias(
+        "window_start"), F.col("window_end").cast("timestamp_ntz").alias("window_end"), "cnt",
+        "best")
+
+
+@query("dim_lookup_stream", """
+SELECT c.c_custkey, c.c_name, coalesce(
+  CASE WHEN (n.n_nationkey + c.c_custkey % 4) % 3 = 0
+       THEN n.n_name || '*' || CAST(c.c_custkey % 4 AS VARCHAR) ELSE n.n_name END, 'Others')
+  AS nation_name
+FROM customer c LEFT JOIN nation n
+  ON c.c_nationkey = n.n_nationkey AND n.n_nationkey % 5 <> c.c_custkey % 4""")
+def dim_lookup_stream(spark, d):
+    """Customers as a stream in four micro-batches, looked up in a dimension that is refreshed
+    for each of them and has changed meanwhile: names are new, and entries missing."""
+    customers = read_table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
+    replay = StagedReplay(customers.withColumn("stage", (F.col("c_custkey") % 4).cast("int")),
+                          "stage", "customer-feed")
+    stages = [int(name[8:]) for name in replay.ranges]
+    key = F.col("n_nationkey")
+
+    def nations(batch):
+        b = stages[batch]
+        name = F.when((key + b) % 3 == 0, F.concat("n_name", F.lit(f"*{b}"))).otherwise(
+            F.col("n_name"))
+        return read_table(spark, d, "nation").where(key % 5 != b).select(
+            key.cast("long").alias("c_nationkey"), name.alias("nation"))
+
+    dimension = Dimension(spark, scratch_path(spark, "nations"), T.StructType(
+        [T.StructField("c_nationkey", T.LongType()), T.StructField("nation", T.StringType())]))
+    join = LookupJoin(spark, scratch_path(spark, "customer-lookup"), customers.schema, dimension,
+                      ["c_nationkey"], refresh=nations)
+    replay.run(replay.stream(), join.write, output_mode="append")
+    return join.read().select("c_custkey", "c_name",
+                              F.coalesce("nation", F.lit("Others")).alias("nation_name"))
+
+
 def ride_events_stream(spark, d):
     """STARTs (orders, at the order date) and ENDs (line items, at the ship date) of the same key
     as one stream: key, is_start, ts."""

@@ -4,7 +4,7 @@ A topic's records are text files below the shared checkpoint folder, written by
 the table has partitions, so the files are in no particular event order. ``record_stream`` reads
 all of them in one micro-batch (see ``sources.tables.read_table_stream``).
 
-``TimedReplay`` replays in many micro-batches without losing a row: records are staged once by
+``StagedReplay`` admits records in stages, one micro-batch each. ``TimedReplay`` replays in many micro-batches without losing a row: records are staged once by
 ranges of event time (ranges hold about equally many rows, as many ranges as keep a batch below a
 number of bytes), and a range is admitted to the stream's folder by one rename when the one before
 has been processed. All rows of a batch are later than those of the batches before, so a
@@ -56,30 +56,15 @@ def upserted(stream: DataFrame, name: str, keys: list[str], version: str | None
     return table.read()
 
 
-class TimedReplay:
-    """``records`` as a stream in order of ``ts`` (a TIMESTAMP column), in at least ``batches``
-    micro-batches; ``newest_first`` turns the order of the batches round. Rows without a time
-    come with the earliest. ``ts`` itself is part of the stream."""
+class StagedReplay:
+    """``records`` as a stream of one micro-batch for each value of the column ``stage`` (INT,
+    never null, not part of the stream), in its order; ``newest_first`` turns the order round."""
 
-    def __init__(self, records: DataFrame, ts: str, name: str, batches: int = 5,
-                 batch_bytes: int = BATCH_BYTES, newest_first: bool = False):
+    def __init__(self, records: DataFrame, stage: str, name: str, newest_first: bool = False):
         self.spark, self.name = records.sparkSession, name
-        self.schema = records.schema
+        self.schema = records.drop(stage).schema
         self.folder, staged = scratch_path(self.spark, name), scratch_path(self.spark, name)
-        size = int(str(records._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        wanted = max(batches, -(-size // batch_bytes) if size < 1 << 60 else batches)
-        at = records.withColumn("__at", F.unix_micros(F.col(ts)).cast("double"))
-        cuts = at.where("__at is not null").approxQuantile(
-            "__at", [i / wanted for i in range(1, wanted)], 0.25 / wanted)
-        splits = [-float("inf"), *sorted(set(cuts)), float("inf")]
-        if len(splits) > 2:
-            at = Bucketizer(splits=splits, inputCol="__at", outputCol="__b",
-                            handleInvalid="keep").transform(
-                at.withColumn("__at", F.coalesce("__at", F.lit(splits[1] - 1))))
-        else:
-            at = at.withColumn("__b", F.lit(0.0))
-        at = at.withColumn("__batch", F.col("__b").cast("int")).drop("__at", "__b")
-        at.write.partitionBy("__batch").parquet(staged)
+        records.withColumnRenamed(stage, "__batch").write.partitionBy("__batch").parquet(staged)
         self.staged = sinks.Manifest(self.spark, staged)
         self.ranges = sorted((n for n in self.staged.names(staged) if n.startswith("__batch=")),
                              key=lambda n: int(n[8:]), reverse=newest_first)
@@ -128,6 +113,29 @@ class TimedReplay:
         return self.progress
 
 
+class TimedReplay(StagedReplay):
+    """``records`` as a stream in order of ``ts`` (a TIMESTAMP column), in at least ``batches``
+    micro-batches; ``newest_first`` turns the order of the batches round. Rows without a time
+    come with the earliest. ``ts`` itself is part of the stream."""
+
+    def __init__(self, records: DataFrame, ts: str, name: str, batches: int = 5,
+                 batch_bytes: int = BATCH_BYTES, newest_first: bool = False):
+        size = int(str(records._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        wanted = max(batches, -(-size // batch_bytes) if size < 1 << 60 else batches)
+        at = records.select(F.unix_micros(F.col(ts)).cast("double").alias("__at"))
+        cuts = at.where("__at is not null").approxQuantile(
+            "__at", [i / wanted for i in range(1, wanted)], 0.25 / wanted)
+        splits = [-float("inf"), *sorted(set(cuts)), float("inf")]
+        if len(splits) > 2:
+            ranged = Bucketizer(splits=splits, inputCol="__at", outputCol="__b",
+                                handleInvalid="keep").transform(records.withColumn(
+                "__at", F.coalesce(F.unix_micros(F.col(ts)).cast("double"), F.lit(splits[1] - 1))))
+        else:
+            ranged = records.withColumns({"__at": F.lit(0.0), "__b": F.lit(0.0)})
+        super().__init__(ranged.drop("__at").withColumn("__b", F.col("__b").cast("int")), "__b",
+                         name, newest_first)
+
+
 def upserted_in_order(records: DataFrame, ts: str, name: str,
                       make: Callable[[DataFrame], DataFrame], keys: list[str],
                       **options) -> DataFrame:
