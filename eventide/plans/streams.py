@@ -22,7 +22,7 @@ from eventide.streaming.ordered import RankedChanges, RunningResults, TemporalJo
 from eventide.streaming.replay import (StagedReplay, TimedReplay, land, upserted,
                                        upserted_in_order)
 from eventide.streaming.sessions import Sessions
-from eventide.streaming.stateful import long_interval_alerts_stream, pair_streams
+from eventide.streaming.stateful import BUCKETS, long_interval_alerts_stream, pair_streams
 from eventide.streaming.windows import processing_time_window_stream, window_agg_stream
 
 STATS_SCHEMA = T.StructType([
@@ -249,7 +249,8 @@ def long_ride_alerts_stream(spark, d):
     without END alerts when the watermark (latest event - 1 h) passes its limit; one that is
     still within its limit at the end of the input does not."""
     alerts = long_interval_alerts_stream(ride_events_stream(spark, d), "key", "is_start", "ts",
-                                         limit="90 days", delay="1 hour", retention="3650 days")
+                                         limit="90 days", delay="1 hour", retention="3650 days",
+                                         buckets=BUCKETS)
     return land(alerts, "long-ride-alerts")
 
 

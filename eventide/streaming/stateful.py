@@ -1,25 +1,38 @@
 """Keyed state with event-time timers (``transformWithState``).
 
 ``LongIntervalAlerts`` is the START/END alert, ``PairOnMatch`` the 1:1 pairing of two streams and
-``CountWindowSum`` the count window. Each keeps a fixed number of values per key and reads a
-key's rows as an iterator, of which it takes minima, maxima or sums: no key's rows are
-gathered. Keys with a handful of rows are the rule, so rows come as rows and not as frames. State lives in the RocksDB state store
+``CountWindowSum`` the count window. Each keeps a fixed number of values per key and reads a key's rows as an iterator, of which it takes minima,
+maxima or sums: no key's rows are gathered. Keys with a handful of rows are the rule, so rows come
+as rows and not as frames. State lives in the RocksDB state store
 (``spark.sql.streaming.stateStore.providerClass``), partitioned by key across tasks like any
 shuffle; checkpoints make it survive restarts and lost executors.
+
+A key costs several calls between Python and the JVM, more than all else where most keys have a
+handful of rows once. ``alerts_by_bucket`` (the same alert) therefore keeps the keys of a bucket,
+which a hash of the key names, as one value (``applyInPandasWithState``), and takes minima over
+all of a bucket's keys at once. A micro-batch reads and writes the state of the buckets that it touches, and a task holds
+one bucket's keys; the number of buckets bounds both and is fixed for a checkpoint's life.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from eventide.operators.windows import duration_micros
 from eventide.session import use_rocksdb_state
 
+#: Buckets of keys: 50 million keys are about 25,000 a bucket.
+BUCKETS = 2048
+
 ALERT_SCHEMA = T.StructType([
     T.StructField("key", T.LongType()),
     T.StructField("reason", T.StringType()),
@@ -109,14 +122,104 @@ class LongIntervalAlerts(StatefulProcessor):
         pass
 
 
+def _bucket(buckets: int):
+    return F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int").alias("bucket")
+
+
+_PACKED = T.StructType([T.StructField("rows", T.BinaryType())])
+
+
+def _keep(state: GroupState, packed: bytes) -> None:
+    """Keep a bucket's rows; a bucket without rows is forgotten."""
+    if packed:
+        state.update((packed,))
+    elif state.exists:
+        state.remove()
+
+
+#: Stands for an event that has not come.
+_NEVER = np.iinfo(np.int64).max
+#: What is kept of a key: its events, whether it is decided, and when its timer fires.
+_KEPT = np.dtype([("key", "<i8"), ("start", "<i8"), ("end", "<i8"), ("done", "?"),
+                  ("timer", "<i8")])
+
+
+def _earliest(rows: np.ndarray) -> np.ndarray:
+    """One row per key, with the least start and end."""
+    if not len(rows):
+        return rows
+    rows = rows[np.argsort(rows["key"], kind="stable")]
+    first = np.flatnonzero(np.concatenate([[True], rows["key"][1:] != rows["key"][:-1]]))
+    out = rows[first]
+    for name in ("start", "end"):
+        out[name] = np.minimum.reduceat(rows[name], first)
+    return out
+
+
+def _alerts(rows: np.ndarray, reason: str) -> pd.DataFrame:
+    def at(name: str) -> pd.arrays.IntegerArray:
+        return pd.arrays.IntegerArray(rows[name].copy(), rows[name] == _NEVER)
+    return pd.DataFrame({"key": rows["key"], "reason": reason, "start_ms": at("start"),
+                         "end_ms": at("end")})
+
+
+def alerts_by_bucket(limit_ms: int, retention_ms: int, report_missing_start: bool) -> Callable:
+    """``LongIntervalAlerts`` over all keys of a bucket at once."""
+    def run(_, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        old = np.frombuffer(state.get[0] if state.exists else b"", dtype=_KEPT)
+        decided, parts = old[old["done"]], [old[~old["done"]]]
+        for rows in frames:
+            rows = rows[rows["event_ms"].notna()]
+            at, is_start = rows["event_ms"].to_numpy(np.int64), rows["is_start"].to_numpy(bool)
+            new = np.zeros(len(rows), dtype=_KEPT)
+            new["key"] = rows["key"].to_numpy(np.int64)
+            new["start"] = np.where(is_start, at, _NEVER)
+            new["end"] = np.where(is_start, _NEVER, at)
+            if len(decided):  # what comes for a decided key is a redelivery
+                new = new[~np.isin(new["key"], decided["key"])]
+            parts.append(_earliest(new))
+        now = _earliest(np.concatenate(parts)) if len(parts) > 1 else parts[0].copy()
+        started = now["start"] != _NEVER
+        both = started & (now["end"] != _NEVER)
+        now["done"] = both
+        for rows, at, after in ((both, np.maximum(now["start"], now["end"]), retention_ms),
+                                (started & ~both, now["start"], limit_ms),
+                                (~started, now["end"], retention_ms)):
+            now["timer"][rows] = at[rows] + after
+        long = now[both]
+        long = long[long["end"] - long["start"] > limit_ms]
+        if len(long):
+            yield _alerts(long, "too_long")
+        now = np.concatenate([decided, now])
+        watermark = state.getCurrentWatermarkMs()
+        due = now["timer"] <= watermark
+        alone = due & (now["start"] == _NEVER)
+        ended = due & ~alone & ~now["done"]
+        if ended.any():
+            yield _alerts(now[ended], "no_end")
+        if report_missing_start and alone.any():
+            yield _alerts(now[alone], "missing_start")
+        now["timer"][ended] += retention_ms
+        now["done"][ended] = True
+        now = now[now["timer"] > watermark]
+        _keep(state, now.tobytes())
+        if len(now):  # a timeout comes when the watermark is past it, a timer when it is at it
+            state.setTimeoutTimestamp(max(1, int(now["timer"].min()) - 1))
+
+    return run
+
+
 def long_interval_alerts_stream(events: DataFrame, key: str, is_start: str, ts: str,
                                 limit: str, delay: str, retention: str,
-                                report_missing_start: bool = False) -> DataFrame:
+                                report_missing_start: bool = False,
+                                buckets: int | None = None) -> DataFrame:
     """Stream form of the alert. ``ts`` must be a TIMESTAMP column; the watermark is
     ``max(ts) - delay``. Timers fire at micro-batch boundaries once the watermark passes them,
     so a missing-END alert can come one batch after the reference's. ``retention`` is how long
     an END waits for its START, and a decided key is remembered: longer than events are late.
-    Events without a key or time belong to no interval and are left out."""
+    Events without a key or time belong to no interval and are left out. State and timers are
+    kept for every key, or for the keys of each of ``buckets`` buckets: for micro-batches that
+    bring many keys."""
     limit_ms = duration_micros(limit) // 1000
     retention_ms = duration_micros(retention) // 1000
     known = events.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
@@ -124,6 +227,11 @@ def long_interval_alerts_stream(events: DataFrame, key: str, is_start: str, ts:
         F.col(key).cast("long").alias("key"), F.col(is_start).alias("is_start"),
         F.unix_millis(F.col(ts)).alias("event_ms"), F.col(ts).alias("__ts"))
     use_rocksdb_state(events.sparkSession)
+    if buckets:
+        src = src.withColumn("is_start", F.coalesce("is_start", F.lit(False)))
+        return src.select("*", _bucket(buckets)).groupBy("bucket").applyInPandasWithState(
+            alerts_by_bucket(limit_ms, retention_ms, report_missing_start), ALERT_SCHEMA, _PACKED,
+            "append", GroupStateTimeout.EventTimeTimeout)
     return src.groupBy("key").transformWithState(
         statefulProcessor=LongIntervalAlerts(limit_ms, retention_ms, report_missing_start),
         outputStructType=ALERT_SCHEMA, outputMode="Append", timeMode="EventTime")

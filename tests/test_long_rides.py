@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventide.operators import joins as J
-from eventide.streaming.stateful import long_interval_alerts_stream, pair_streams
+from eventide.streaming.stateful import BUCKETS, long_interval_alerts_stream, pair_streams
 from tests.streamutil import run_to_end, write_batches
 
 T0 = dt.datetime(2022, 3, 5, 8, 0, 0)
@@ -172,3 +172,71 @@ def test_pairs_refuse_clashing_names(spark):
     df = spark.createDataFrame([(1, 1, "a")], "k long, at long, v string")
     with pytest.raises(ValueError):
         pair_streams(df, df, "k", "at", "at")
+
+
+# -- the same by buckets of keys ---------------------------------------------------------------
+
+def bucket_alerts(spark, folder, buckets=2, delay="4 hours", retention="30 days", ck=None):
+    src = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).json(folder)
+    out = long_interval_alerts_stream(src, "ride", "is_start", "at", "2 hours", delay, retention,
+                                      buckets=buckets)
+    got: list = []
+    q = (out.writeStream.option("checkpointLocation", ck or tempfile.mkdtemp())
+         .foreachBatch(lambda b, _: got.extend(b.collect())).trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    return sorted((r.key, r.reason) for r in got)
+
+
+@pytest.mark.parametrize("per_batch", [1, 100])
+def test_buckets_give_the_alerts_of_every_case(spark, per_batch):
+    # every case on keys of its own, all in two buckets
+    arrivals, want = [], []
+    for n, name in enumerate(sorted(CASES)):
+        events, expected = CASES[name]
+        arrivals += [e | {"ride": 100 * n + e["ride"]} for e in events]
+        want += [(100 * n + ride, reason) for ride, reason in expected]
+    batches = [arrivals[i:i + per_batch] for i in range(0, len(arrivals), per_batch)]
+    assert bucket_alerts(spark, write_batches([*batches, [SENTINEL]]), delay="24 hours") == want
+
+
+def test_buckets_wait_for_the_watermark_and_alert_once(spark):
+    assert bucket_alerts(spark, write_batches([[S(4, 0), S(5, 180)]]), delay="1 minute") == [
+        (4, "no_end")]
+    late = [[S(4, 0)], [S(5, 200)], [E(5, 210)], [E(4, 150)], [S(4, 230)]]
+    assert bucket_alerts(spark, write_batches(late), delay="1 minute") == [(4, "no_end")]
+
+
+def test_buckets_remember_over_a_restart_then_forget(spark):
+    folder, ck = write_batches([[S(4, 0)], [S(6, 0)]]), tempfile.mkdtemp()
+
+    def run(name, *events):
+        with open(os.path.join(folder, name), "w") as f:
+            f.writelines(json.dumps(e) + "\n" for e in events)
+        got = bucket_alerts(spark, folder, 1, retention="3 hours", ck=ck)
+        state = spark.read.format("statestore").load(ck).count()
+        return got, state
+
+    assert run("a.json", E(4, 150)) == ([(4, "too_long")], 1)
+    assert run("b.json", E(4, 150), S(4, 0)) == ([], 1)             # a redelivery
+    assert run("c.json", SENTINEL) == ([(6, "no_end")], 1)
+    assert run("d.json", E(-1, 200 * 60)) == ([], 0)                # of repeated ENDs the earliest
+
+
+def test_the_query_keeps_state_by_bucket(spark):
+    """A state value per key costs several calls each: 150,000 keys took most of the bench."""
+    from eventide.plans import REGISTRY
+    from eventide.streaming import sinks
+    seen = []
+    run = sinks.run_to_end
+
+    def watched(df, name, **options):
+        q = run(df, name, **options)
+        seen.append(max(o.numRowsTotal for p in q.recentProgress for o in p.stateOperators))
+        return q
+    sinks.run_to_end = watched
+    try:
+        for name in ("long_ride_alerts_stream",):
+            REGISTRY[name].fn(spark, "/root/testdata/sf0.01").count()
+    finally:
+        sinks.run_to_end = run
+    assert 0 < seen[0] <= BUCKETS
