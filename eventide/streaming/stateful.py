@@ -1,16 +1,17 @@
 """Keyed state with event-time timers (``transformWithState``).
 
-``LongIntervalAlerts`` is the START/END alert, ``PairOnMatch`` the 1:1 pairing of two streams and
-``CountWindowSum`` the count window. Each keeps a fixed number of values per key and reads a key's rows as an iterator, of which it takes minima,
+``LongIntervalAlerts`` is the START/END alert and ``CountWindowSum`` the count window. Each keeps
+a fixed number of values per key and reads a key's rows as an iterator, of which it takes minima,
 maxima or sums: no key's rows are gathered. Keys with a handful of rows are the rule, so rows come
 as rows and not as frames. State lives in the RocksDB state store
 (``spark.sql.streaming.stateStore.providerClass``), partitioned by key across tasks like any
 shuffle; checkpoints make it survive restarts and lost executors.
 
 A key costs several calls between Python and the JVM, more than all else where most keys have a
-handful of rows once. ``alerts_by_bucket`` (the same alert) therefore keeps the keys of a bucket,
-which a hash of the key names, as one value (``applyInPandasWithState``), and takes minima over
-all of a bucket's keys at once. A micro-batch reads and writes the state of the buckets that it touches, and a task holds
+handful of rows once. ``alerts_by_bucket`` (the same alert) and ``pairs_by_bucket`` (the 1:1
+pairing of two streams) therefore keep the keys of a bucket, which a hash of the key names, as one
+value (``applyInPandasWithState``), and take minima and maxima over all of a bucket's keys at
+once. A micro-batch reads and writes the state of the buckets that it touches, and a task holds
 one bucket's keys; the number of buckets bounds both and is fixed for a checkpoint's life.
 """
 
@@ -239,47 +240,47 @@ def long_interval_alerts_stream(events: DataFrame, key: str, is_start: str, ts:
 
 # -- 1:1 pairing that consumes on match ------------------------------------------------------
 
-class PairOnMatch(StatefulProcessor):
-    """Input columns: ``key``, ``side`` (0 or 1), ``arrival`` (long), ``payload`` (JSON text).
-
-    One row per side is kept; a row that arrives later replaces an unmatched one of its side
-    (rows with the same ``arrival`` are ordered by payload). As soon as both sides are there the
-    pair is emitted and both rows are consumed. Rows of one micro-batch count as one arrival per
-    side, its last."""
+def _last_rows(rows: pd.DataFrame) -> pd.DataFrame:
+    """The last row per key and side, by arrival and then by payload."""
+    rows = rows[rows["arrival"] == rows.groupby(["key", "side"])["arrival"].transform("max")]
+    if rows.duplicated(["key", "side"]).any():
+        rows = rows.sort_values("payload").drop_duplicates(["key", "side"], keep="last")
+    return rows
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        kept = T.StructType([T.StructField("arrival", T.LongType()),
-                             T.StructField("payload", T.StringType())])
-        self.sides = [handle.getValueState("left", kept), handle.getValueState("right", kept)]
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        last: list = [None, None]
-        for r in rows:
-            new = (r.arrival, r.payload)
-            if last[r.side] is None or new > last[r.side]:
-                last[r.side] = new
-        for side in (0, 1):
-            if last[side] is None:
-                last[side] = self.sides[side].get()
-        if last[0] is not None and last[1] is not None:
-            for state in self.sides:
-                state.clear()
-            yield Row(key=key[0], left=last[0][1], right=last[1][1])
-            return
-        for side in (0, 1):
-            if last[side] is not None:
-                self.sides[side].update(tuple(last[side]))
+def pairs_by_bucket(_, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Input columns: ``key``, ``side`` (0 or 1), ``arrival`` (long), ``payload`` (JSON text).
 
-    def close(self) -> None:
-        pass
+    One row per key and side is kept; a row that arrives later replaces an unmatched one of its
+    side (rows with the same ``arrival`` are ordered by payload). As soon as both sides are there
+    the pair is emitted and both rows are consumed. Rows of one micro-batch count as one arrival
+    per side, its last."""
+    columns = ["key", "side", "arrival", "payload"]
+    parts = [_last_rows(f[columns]) for f in frames]
+    rows = _last_rows(pd.concat(parts)) if len(parts) > 1 else parts[0]
+    if state.exists:
+        waiting = pa.ipc.open_stream(state.get[0]).read_pandas()
+        rows = pd.concat([waiting, rows]).drop_duplicates(["key", "side"], keep="last")
+    pairs = rows[rows["side"] == 0].merge(rows[rows["side"] == 1], on="key")
+    rest = rows[~rows["key"].isin(pairs["key"])]
+    packed = pa.BufferOutputStream()
+    if len(rest):
+        table = pa.Table.from_pandas(rest, preserve_index=False)
+        with pa.ipc.new_stream(packed, table.schema) as writer:
+            writer.write_table(table)
+    _keep(state, packed.getvalue().to_pybytes())
+    if len(pairs):
+        yield pd.DataFrame({"key": pairs["key"], "left": pairs["payload_x"],
+                            "right": pairs["payload_y"]})
 
 
 def pair_streams(left: DataFrame, right: DataFrame, key: str, l_arrival: str,
-                 r_arrival: str) -> DataFrame:
+                 r_arrival: str, buckets: int = BUCKETS) -> DataFrame:
     """1:1 pairing of two streams on ``key``, whichever side comes first: rows are consumed when
     they meet, a repeated row of one side replaces the one that waits. Returns the key and all
     other columns of both sides (their names must differ). An unmatched row waits for ever, as
-    in the reference; the state is one row per side and key."""
+    in the reference; the state is one row per side and key, kept by bucket. A row without an
+    arrival is before all others of its side."""
     l_cols = [c for c in left.columns if c != key]
     r_cols = [c for c in right.columns if c != key]
     if clash := set(l_cols) & set(r_cols):
@@ -290,17 +291,17 @@ def pair_streams(left: DataFrame, right: DataFrame, key: str, l_arrival: str,
     def side(df: DataFrame, number: int, arrival: str, cols: list[str]) -> DataFrame:
         # a null key equals none, as in a join
         df = df.where(F.col(key).isNotNull())
+        first = F.lit(-(1 << 63)).cast("long")
         return df.select(F.col(key).cast("long").alias("key"), F.lit(number).alias("side"),
-                         F.col(arrival).cast("long").alias("arrival"),
+                         F.coalesce(F.col(arrival).cast("long"), first).alias("arrival"),
                          F.to_json(F.struct(*cols), options).alias("payload"))
 
     both = side(left, 0, l_arrival, l_cols).unionByName(side(right, 1, r_arrival, r_cols))
     use_rocksdb_state(left.sparkSession)
     out = T.StructType([T.StructField("key", T.LongType()), T.StructField("left", T.StringType()),
                         T.StructField("right", T.StringType())])
-    pairs = both.groupBy("key").transformWithState(
-        statefulProcessor=PairOnMatch(), outputStructType=out, outputMode="Append",
-        timeMode="None")
+    pairs = both.select("*", _bucket(buckets)).groupBy("bucket").applyInPandasWithState(
+        pairs_by_bucket, out, _PACKED, "append", GroupStateTimeout.NoTimeout)
     l_type, r_type = left.select(*l_cols).schema, right.select(*r_cols).schema
     return (pairs.withColumn("__l", F.from_json("left", l_type, options))
                  .withColumn("__r", F.from_json("right", r_type, options))

@@ -235,8 +235,14 @@ def test_the_query_keeps_state_by_bucket(spark):
         return q
     sinks.run_to_end = watched
     try:
-        for name in ("long_ride_alerts_stream",):
+        for name in ("long_ride_alerts_stream", "rides_fares_stream"):
             REGISTRY[name].fn(spark, "/root/testdata/sf0.01").count()
     finally:
         sinks.run_to_end = run
-    assert 0 < seen[0] <= BUCKETS
+    assert 0 < seen[0] <= BUCKETS and seen[1] <= BUCKETS
+
+
+def test_pairs_without_an_arrival_come_first_and_ties_go_by_payload(spark):
+    batch = [(0, 1, None, "z"), (0, 1, 5, "a"), (0, 1, 5, "b"), (1, 1, None, "x"), (1, 2, 1, "w")]
+    assert pairs(spark, [batch, [(1, 2, 0, "v")], [(0, 2, 9, "c")]]) == [
+        (1, "b", "x"), (2, "c", "v")]
