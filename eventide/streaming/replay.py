@@ -26,16 +26,17 @@ from eventide.streaming import sinks
 BATCH_BYTES = 64 << 30
 
 
-def write_records(values: DataFrame, name: str) -> str:
+def write_records(values: DataFrame, name: str, compression: str = "none") -> str:
     """Write a frame of one text column, one record a line; returns the folder."""
     path = scratch_path(values.sparkSession, name)
-    values.write.text(path)
+    values.write.text(path, compression=compression)
     return path
 
 
 def record_stream(values: DataFrame, name: str) -> DataFrame:
-    """The records as a stream with a column ``value``."""
-    return values.sparkSession.readStream.text(write_records(values, name))
+    """The records as a stream with a column ``value``. They are kept compressed, as a topic's
+    are: JSON repeats its names in every record. A file is read by the task that takes it."""
+    return values.sparkSession.readStream.text(write_records(values, name, "gzip"))
 
 
 def land(stream: DataFrame, name: str) -> DataFrame:

@@ -135,3 +135,38 @@ def test_a_position_that_goes_back_is_refused(spark, tmp_path):
     with pytest.raises(ValueError, match="went back"):
         Snapshot(spark, str(tmp_path), IMAGE).take(
             [(None, None)], lambda _: rows_of(spark, {1: "x"}), lambda: next(at))
+
+
+def test_the_latest_rows_are_shuffled_once_and_a_range_reaches_them(spark):
+    """The rows, their positions and the picked positions were shuffled one by one."""
+    from eventide.operators.ranking import latest_per_key
+    df = spark.range(100).selectExpr("id % 10 AS k", "id AS at", "id AS v").repartition(2, "v")
+    with_plan = latest_per_key(df, ["k"], "at").where("k < 3")
+    tree = with_plan._jdf.queryExecution().executedPlan().toString()
+    assert tree.count("Exchange hashpartitioning") == 2 and "WindowGroupLimit" in tree
+    logical = with_plan._jdf.queryExecution().optimizedPlan().toString()
+    assert logical.index("Window [row_number") < logical.rindex("< 3)")
+    assert sorted(r.v for r in with_plan.collect()) == [90, 91, 92]
+
+
+def test_the_latest_row_of_null_keys_nulls_and_ties(spark):
+    from eventide.operators.ranking import latest_per_key, row_hash
+    rows = [(None, None, "a"), (None, 1, "b"), (1, None, "c"), (2, 5, "d"), (2, 5, "e"), (2, 4, "f")]
+    df = spark.createDataFrame(rows, "k int, at long, v string")
+    least = df.where("k = 2 AND at = 5").orderBy(row_hash(df)).first().v
+    got = latest_per_key(df.union(df), ["k"], "at").collect()
+    assert sorted(r.v for r in got) == sorted(["b", "c", least])
+
+
+def test_records_of_a_stream_are_kept_compressed(spark):
+    from eventide.streaming.replay import record_stream
+    values = spark.range(5000).selectExpr("concat('{\"op\": \"u\", \"seq\": ', id, '}') AS value")
+    record_stream(values, "packed")
+    files = spark.read.text(_folder_of(spark, "packed"))
+    assert all(f.endswith(".gz") for f in files.inputFiles())
+    assert files.exceptAll(values).isEmpty() and files.count() == 5000
+
+
+def _folder_of(spark, name):
+    import glob
+    return max(glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/{name}-*"))
