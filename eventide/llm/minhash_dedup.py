@@ -18,11 +18,15 @@ linked with nothing). Documents with equal sets are one node. Two nodes link if
    leaders that are still in another component. Then, in every bucket that holds more than one
    component, members outside its largest component meet all members of other components.
 4. The pairs of that last step are compared inside the task that holds the bucket, in cells of at
-   most ``2 * CELL`` members, on signatures of ``WIDE`` hashes; each pair in the first band it
-   shares. Only survivors leave the task, and they are verified on their full sets as before.
+   most ``2 * CELL`` members, on signatures of ``WIDE`` hashes and then on all hashes of their
+   shingles; each pair in the first band it shares. A cell joins the components that a link
+   connects and looks at no further pair between them, so the links that leave the task are fewer
+   than its members; they are verified on their full sets as before. Sets of more than ``HELD``
+   shingles do not travel as hashes: their pairs that the signatures cannot rule out all leave.
 
 No pair is dropped but by the two stated chances: not to meet (below 1e-6) and the posterior
-bound. Rows grow with the members of buckets, not with their square; comparisons in step 4 with
+bound; that shingles of equal 64-bit hashes make a link which the full sets refute, and which
+stood for another one, is rarer by far. Rows grow with the members of buckets, not with their square; comparisons in step 4 with
 the members outside the largest component times all members, a row of a cell costing about 50 ns.
 Texts move only for nodes of surviving pairs.
 """
@@ -48,9 +52,11 @@ ROWS, BANDS = 5, 40
 MISS = 1e-6
 #: Hashes compared at a time.
 BATCH = 40
-#: Hashes of 8 bits for step 4, and members on either side of a cell.
-WIDE = 1280
+#: Hashes of 8 bits for step 4, members on either side of a cell, and shingles of the largest
+#: set whose hashes travel.
+WIDE = 640
 CELL = 2048
+HELD = 4096
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _U = np.uint64
@@ -139,6 +145,23 @@ def signatures(rows: DataFrame, keep: list[str], k: int = ROWS * BANDS,
         run, f"{kinds}, n long, k1 long, k2 long, sig binary")
 
 
+def hashed_sets(rows: DataFrame) -> DataFrame:
+    """``rows`` (node, text) to node, n, wide (the signature of step 4) and hashes: those of all
+    shingles in order, null beyond ``HELD`` of them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        family = _family(WIDE)
+        for batch in batches:
+            sets = [shingle_hashes(t.as_py()) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(h) for h in sets], pa.int64()),
+                 pa.array([signature(h, family, 8) for h in sets], pa.binary()),
+                 pa.array([h.astype("<u8").tobytes() if len(h) <= HELD else None for h in sets],
+                          pa.binary())], ["node", "n", "wide", "hashes"])
+
+    return rows.select("node", "text").mapInArrow(
+        run, "node long, n long, wide binary, hashes binary")
+
+
 def identify(prints: DataFrame) -> DataFrame:
     """``prints`` with node, a verified 64-bit name of the set (k1, k2): k1, or for the sets that
     share it with another one a new hash of both, until no two sets share a name."""
@@ -196,11 +219,11 @@ def mixed_buckets(members: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def cell_survivors(mixed: DataFrame, signed: DataFrame, percent: int, miss: float,
-                   best: bool = False, cell: int = CELL) -> DataFrame:
-    """Pairs (a, b, m: matches) of different components that share a bucket and that the wide
-    signatures of ``signed`` (node, n, bands, sig) do not rule out; with ``best`` only the one
-    with most matches of each b in a cell. A bucket of more than ``cell`` members is dealt to
-    chunks, and any two chunks meet in a cell of their own."""
+                   cell: int = CELL) -> DataFrame:
+    """Pairs (a, b) of different components that share a bucket, link by the hashes of ``signed``
+    (node, n, bands, sig, hashes) and join components that no other pair of their cell has joined;
+    and those that the signatures do not rule out, if one side has no hashes. A bucket of more
+    than ``cell`` members is dealt to chunks, and any two chunks meet in a cell of their own."""
     need = _needs(WIDE, 4 * BATCH, percent, miss)
     chunks = F.ceil(F.col("size") / cell).cast("int")
     chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
@@ -215,12 +238,11 @@ def cell_survivors(mixed: DataFrame, signed: DataFrame, percent: int, miss: floa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _groups(batches):
-            out = _compare_cell(rows, need, percent, best)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out],
-                                             ["a", "b", "m"])
+            out = _compare_cell(rows, need, percent)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["a", "b"])
 
     return cells.select("bucket", "i", "j", "chunk", "node", "root", "main", "leads", "n",
-                        "bands", "sig").mapInArrow(run, "a long, b long, m long")
+                        "bands", "sig", "hashes").mapInArrow(run, "a long, b long")
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -242,13 +264,20 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _compare_cell(rows: pa.Table, need: list[tuple[int, int]], percent: int, best: bool):
+def _compare_cell(rows: pa.Table, need: list[tuple[int, int]], percent: int):
     """Members outside the largest component against members of other components."""
     bucket, i, j = (rows.column(c)[0].as_py() for c in range(3))
     chunk, node, root, main, leads, n = (rows.column(c).to_numpy() for c in range(3, 9))
     bands = np.array(rows.column(9).to_pylist(), dtype=np.int64)
     sig = np.frombuffer(b"".join(rows.column(10).to_pylist()), dtype=np.uint8).reshape(-1, WIDE)
-    out: list[list[int]] = [[], [], []]
+    hashes = [h and np.frombuffer(h, dtype="<u8") for h in rows.column(11).to_pylist()]
+    held, root = np.array([h is not None for h in hashes]), root.copy()
+    out: list[list[int]] = [[], []]
+
+    def emit(x: int, y: np.ndarray) -> None:
+        out[0].extend(node[y].tolist())
+        out[1].extend([int(node[x])] * len(y))
+
     for x in np.flatnonzero(~main & ~leads):
         # a pair of two such members is looked at once: from the lower chunk, or the lower node
         once = main | ((node > node[x]) if i == j else (chunk > chunk[x]))
@@ -262,14 +291,36 @@ def _compare_cell(rows: pa.Table, need: list[tuple[int, int]], percent: int, bes
             matches += (sig[y, seen:end] == sig[x, seen:end]).sum(axis=1)
             alive = matches >= least
             y, matches, seen = y[alive], matches[alive], end
-        if best and len(y):
-            y, matches = y[[matches.argmax()]], matches[[matches.argmax()]]
-        out[0] += node[y].tolist()
-        out[1] += [int(node[x])] * len(y)
-        out[2] += matches.tolist()
+        known = held[y] & held[x]
+        emit(x, y[~known])
+        y = y[known]
+        if not len(y):
+            continue
+        both = _shared(hashes[x], [hashes[k] for k in y])
+        y = y[100 * both >= percent * (n[y] + n[x] - both)]
+        y = y[np.unique(root[y], return_index=True)[1]]  # one link to a component is enough
+        emit(x, y)
+        root[np.isin(root, root[y])] = root[x]
     return out
 
 
+def _shared(one: np.ndarray, others: list[np.ndarray], at_once: int = 1 << 20) -> np.ndarray:
+    """How many hashes of each of ``others`` (sorted, not empty) are in ``one``."""
+    counts, lo = [], 0
+    while lo < len(others):
+        hi, size = lo, 0
+        while hi < len(others) and (hi == lo or size + len(others[hi]) <= at_once):
+            size += len(others[hi])
+            hi += 1
+        part = others[lo:hi]
+        flat = np.concatenate(part)
+        found = one[np.minimum(np.searchsorted(one, flat), len(one) - 1)] == flat
+        starts = np.cumsum([0, *map(len, part[:-1])])
+        counts.append(np.add.reduceat(found.astype(np.int64), starts))
+        lo = hi
+    return np.concatenate(counts)
+
+
 # -- verification ---------------------------------------------------------------------------
 
 def least_matches(n: int, t: float, miss: float) -> int:
@@ -416,22 +467,16 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     rest = materialise(_apart(pairs.join(best, ["a", "b"], "left_anti"), roots), "minhash-rest")
     roots = verified(survivors(rest.select("a", "b"), known, percent, miss), roots)
 
-    wide = None
-    for first in (True, False):
-        mixed = materialise(mixed_buckets(members, roots), "minhash-mixed-sizes")
-        if mixed.isEmpty():
-            break
-        if wide is None:
-            inside = materialise(mixed.select("node").distinct(), "minhash-inside")
-            wide = (signatures(_texts(rows, filled, inside), ["node"], WIDE, 8)
-                    .select("node", "n", F.col("sig").alias("wide"))
-                    .join(known.select("node", band_keys().alias("bands")), "node")
-                    .select("node", "n", "bands", F.col("wide").alias("sig")))
-            wide = materialise(wide, "minhash-wide")
-            release_shuffles(docs.sparkSession)
-        pairs = materialise(cell_survivors(mixed, wide, percent, miss, first, cell),
-                            "minhash-cells")
-        roots = verified(_most_promising(pairs) if first else pairs, roots)
+    mixed = materialise(mixed_buckets(members, roots), "minhash-mixed-sizes")
+    if not mixed.isEmpty():
+        inside = materialise(mixed.select("node").distinct(), "minhash-inside")
+        wide = (hashed_sets(_texts(rows, filled, inside))
+                .join(known.select("node", band_keys().alias("bands")), "node")
+                .select("node", "n", "bands", F.col("wide").alias("sig"), "hashes"))
+        wide = materialise(wide, "minhash-wide")
+        release_shuffles(docs.sparkSession)
+        pairs = materialise(cell_survivors(mixed, wide, percent, miss, cell), "minhash-cells")
+        roots = verified(pairs, roots)
     return _components(prints, roots)
 
 

@@ -149,3 +149,41 @@ def test_every_document_of_the_table(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
     assert run(df) == brute(rows)
+
+
+def test_pairs_short_of_the_threshold_do_not_leave_their_cell(spark, monkeypatch):
+    """Texts that are each just short of the threshold to all others: the signatures rule none of
+    the pairs out, and all of them were verified one by one."""
+    r = random.Random(11)
+    rows = []
+    for i in range(70):  # 50 of 1,500 words changed: any two have a similarity of about 0.77
+        words = [f"w{k}" for k in range(1500)]
+        for k in r.sample(range(1500), 50):
+            words[k] = f"x{i}-{k}"
+        rows.append((i, " ".join(words)))
+    seen, links = [], M.exact_links
+
+    def counted(pairs, texts, percent):
+        seen.append(pairs.count())
+        return links(pairs, texts, percent)
+    monkeypatch.setattr(M, "exact_links", counted)
+    assert run(docs(spark, rows)) == brute(rows)
+    assert sum(seen[2:]) < 2 * len(rows)  # after the leaders' two rounds
+
+
+def test_sets_too_large_to_travel_as_hashes(spark, monkeypatch):
+    monkeypatch.setattr(M, "HELD", 100)
+    r = random.Random(5)
+    rows = []
+    for base, length in enumerate((90, 112, 150)):  # below, around and above it
+        text = prose(70 + base, length)
+        rows += [(100 * base + i, edited(text, r, r.choice([0.03, 0.06, 0.12]))) for i in range(25)]
+    assert run(docs(spark, rows), cell=7) == brute(rows)
+
+
+def test_shared_hashes_are_counted_in_parts():
+    r = np.random.default_rng(1)
+    one = np.unique(r.integers(0, 50, 20)).astype(np.uint64)
+    others = [np.unique(r.integers(0, 60, n)).astype(np.uint64) for n in (1, 5, 30, 2, 40)]
+    want = [len(np.intersect1d(one, o)) for o in others]
+    assert M._shared(one, others).tolist() == M._shared(one, others, 7).tolist() == want
