@@ -11,23 +11,28 @@ linked with nothing). Documents with equal sets are one node. Two nodes link if
 2. Sequential Bayesian verification. The signatures of a candidate pair are compared in batches.
    After n hashes with m matches (a binomial draw, with a uniform prior of the similarity), the
    posterior probability of a similarity of at least t is P(Binomial(n + 1, t) <= m). A pair is
-   pruned as soon as that falls below ``MISS``; what is left is compared on its full sets.
+   pruned as soon as that falls below ``MISS``; what is left is compared on its full sets. Sketches
+   go first: one bit of each hash, which agrees at a similarity of s with a chance of (1 + s) / 2,
+   under the same bound. They are all that travels for most pairs.
 3. Which pairs are looked at. Only components are wanted, so pairs inside a known component need
    no look. In every bucket each member meets the bucket's leader, its least node. A node first
    takes the leader it shares most buckets with through step 2; then come those of its other
-   leaders that are still in another component. Then, in every bucket that holds more than one
-   component, members outside its largest component meet all members of other components.
+   other leaders that are still in another component. The leaders are done then: in every bucket
+   whose other members are of more than one component, members outside its largest component meet
+   all members of other components.
 4. The pairs of that last step are compared inside the task that holds the bucket, in cells of at
-   most ``2 * CELL`` members, on signatures of ``WIDE`` hashes and then on all hashes of their
-   shingles; each pair in the first band it shares. A cell joins the components that a link
-   connects and looks at no further pair between them, so the links that leave the task are fewer
-   than its members; they are verified on their full sets as before. Sets of more than ``HELD``
-   shingles do not travel as hashes: their pairs that the signatures cannot rule out all leave.
+   most ``2 * CELL`` members. What travels to a cell grows as members drop out: sketches first; for
+   members that may link with another one of the cell, sketches of ``WIDE`` hashes and the bands,
+   as each pair is compared in the first band it shares; for those left, all hashes of their
+   shingles. A cell then joins the components that a link connects and looks at no further pair
+   between them, so the links that leave the task are fewer than its members; they are verified on
+   their full sets as before. Sets of more than ``HELD`` shingles do not travel as hashes: their
+   pairs that the sketches cannot rule out all leave.
 
 No pair is dropped but by the two stated chances: not to meet (below 1e-6) and the posterior
 bound; that shingles of equal 64-bit hashes make a link which the full sets refute, and which
-stood for another one, is rarer by far. Rows grow with the members of buckets, not with their square; comparisons in step 4 with
-the members outside the largest component times all members, a row of a cell costing about 50 ns.
+stood for another one, is rarer by far. Rows grow with the members of buckets, not with their
+square; comparisons in step 4 with the members outside the largest component times all members.
 Texts move only for nodes of surviving pairs.
 """
 
@@ -52,9 +57,9 @@ ROWS, BANDS = 5, 40
 MISS = 1e-6
 #: Hashes compared at a time.
 BATCH = 40
-#: Hashes of 8 bits for step 4, members on either side of a cell, and shingles of the largest
-#: set whose hashes travel.
-WIDE = 640
+#: Hashes of the larger sketch of step 4, members on either side of a cell, and shingles of the
+#: largest set whose hashes travel.
+WIDE = 1024
 CELL = 2048
 HELD = 4096
 
@@ -145,21 +150,47 @@ def signatures(rows: DataFrame, keep: list[str], k: int = ROWS * BANDS,
         run, f"{kinds}, n long, k1 long, k2 long, sig binary")
 
 
+def sketches(sigs: list[bytes], bits: int = 16) -> pa.Array:
+    """The highest bit of each hash of the signatures, as 64-bit words."""
+    high = np.frombuffer(b"".join(sigs), f"<u{bits // 8}").reshape(len(sigs), -1) >> (bits - 1)
+    words = -(-high.shape[1] // 64)
+    flags = np.zeros((len(sigs), 64 * words), dtype=np.uint8)
+    flags[:, :high.shape[1]] = high
+    flat = np.packbits(flags, axis=1).view(np.int64).ravel()
+    ends = np.arange(len(sigs) + 1, dtype=np.int32) * words
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+
+
+def sketched(signed: DataFrame) -> DataFrame:
+    """``signed`` (node, n, sig) with the sketch of the signature."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, sketches(batch.column(2).to_pylist())],
+                    ["node", "n", "sig", "sketch"])
+
+    return signed.select("node", "n", "sig").mapInArrow(
+        run, "node long, n long, sig binary, sketch array<long>")
+
+
 def hashed_sets(rows: DataFrame) -> DataFrame:
-    """``rows`` (node, text) to node, n, wide (the signature of step 4) and hashes: those of all
+    """``rows`` (node, text) to node, n, sketch (of ``WIDE`` hashes) and hashes: those of all
     shingles in order, null beyond ``HELD`` of them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         family = _family(WIDE)
         for batch in batches:
+            if not batch.num_rows:
+                continue
             sets = [shingle_hashes(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(h) for h in sets], pa.int64()),
-                 pa.array([signature(h, family, 8) for h in sets], pa.binary()),
+                 sketches([signature(h, family, 8) for h in sets], 8),
                  pa.array([h.astype("<u8").tobytes() if len(h) <= HELD else None for h in sets],
-                          pa.binary())], ["node", "n", "wide", "hashes"])
+                          pa.binary())], ["node", "n", "sketch", "hashes"])
 
     return rows.select("node", "text").mapInArrow(
-        run, "node long, n long, wide binary, hashes binary")
+        run, "node long, n long, sketch array<long>, hashes binary")
 
 
 def identify(prints: DataFrame) -> DataFrame:
@@ -206,43 +237,79 @@ def star_pairs(members: DataFrame) -> DataFrame:
 
 
 def mixed_buckets(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members of the buckets that hold several components: bucket, node, leader, root, major
-    (the bucket's largest component), size."""
-    rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    """Members of the buckets that hold several components, besides their leaders, which have met
+    every member: bucket, node, root, major (the bucket's largest component), size, most (how many
+    are of that component)."""
+    rooted = (members.where("node <> leader").select("bucket", "node")
+                     .join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
     mixed = (rooted.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
                    .where("lo < hi").select("bucket"))
     rooted = materialise(rooted.join(mixed, "bucket", "left_semi"), "minhash-mixed")
     sizes = (rooted.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
                    .groupBy("bucket").agg(F.max_by("root", "n").alias("major"),
-                                          F.sum("n").alias("size")))
+                                          F.sum("n").alias("size"), F.max("n").alias("most")))
     return join_split(rooted, materialise(sizes, "minhash-sizes"), "bucket")
 
 
-def cell_survivors(mixed: DataFrame, signed: DataFrame, percent: int, miss: float,
-                   cell: int = CELL) -> DataFrame:
+def dealt_cells(mixed: DataFrame, cell: int = CELL) -> DataFrame:
+    """The rows of ``mixed`` by cell: bucket, i, j, chunk, node, root, main (of the largest
+    component). A bucket of at most ``cell`` members is one cell. Of a larger one, members of the
+    largest component and others are dealt to chunks of their own, and each chunk of others meets
+    every chunk in a cell: the largest component is not copied for meeting itself."""
+    mains, others = (F.ceil(n / cell).cast("int")
+                     for n in (F.col("most"), F.col("size") - F.col("most")))
+    small, hashed = F.col("size") <= cell, F.xxhash64("node")
+    chunk = (F.when(small, 0).when(F.col("main"), F.pmod(hashed, mains))
+              .otherwise(mains + F.pmod(hashed, others)).cast("int"))
+    met = F.when(small, F.array(F.lit(0))).otherwise(F.sequence(
+        F.when(F.col("main"), mains).otherwise(0), mains + others - 1))
+    return (mixed.withColumn("main", F.col("root") == F.col("major"))
+                 .withColumn("chunk", chunk).withColumn("other", F.explode(met))
+                 .select("bucket", F.least("chunk", "other").alias("i"),
+                         F.greatest("chunk", "other").alias("j"), "chunk", "node", "root", "main"))
+
+
+_DEALT = "bucket long, i int, j int, chunk int, node long, root long, main boolean"
+
+
+def _by_cell(dealt: DataFrame, more: DataFrame) -> DataFrame:
+    columns = [*dealt.columns, *(c for c in more.columns if c != "node")]
+    return (dealt.join(more, "node").select(*columns)
+                 .repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j"))
+
+
+def cell_candidates(dealt: DataFrame, prints: DataFrame, k: int, percent: int,
+                    miss: float) -> DataFrame:
+    """The rows of ``dealt`` that the sketches of ``k`` hashes in ``prints`` (node, n, sketch and,
+    if known, bands) do not rule out: those which may link with a row of their cell that is of
+    another component."""
+    most = most_apart(k, percent, miss)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _groups(batches):
+            kept = np.flatnonzero(_may_link(_Cell(rows, most, percent)))
+            if len(kept):
+                yield from rows.select(range(7)).take(pa.array(kept)).to_batches()
+
+    return materialise(_by_cell(dealt, prints).mapInArrow(run, _DEALT), "minhash-cell-members")
+
+
+def cell_survivors(dealt: DataFrame, signed: DataFrame, percent: int, miss: float) -> DataFrame:
     """Pairs (a, b) of different components that share a bucket, link by the hashes of ``signed``
-    (node, n, bands, sig, hashes) and join components that no other pair of their cell has joined;
-    and those that the signatures do not rule out, if one side has no hashes. A bucket of more
-    than ``cell`` members is dealt to chunks, and any two chunks meet in a cell of their own."""
-    need = _needs(WIDE, 4 * BATCH, percent, miss)
-    chunks = F.ceil(F.col("size") / cell).cast("int")
-    chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
-    dealt = (mixed.withColumn("chunks", chunks).withColumn("chunk", chunk)
-                  .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-                  .select("bucket", F.least("chunk", "other").alias("i"),
-                          F.greatest("chunk", "other").alias("j"), "chunk", "node", "root",
-                          (F.col("root") == F.col("major")).alias("main"),
-                          (F.col("node") == F.col("leader")).alias("leads"))
-                  .join(signed, "node"))
-    cells = dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    (node, n, sketch, bands, hashes) and join components that no other pair of their cell has
+    joined; and those that the sketches do not rule out, if one side has no hashes."""
+    most = most_apart(WIDE, percent, miss)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _groups(batches):
-            out = _compare_cell(rows, need, percent)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["a", "b"])
+            hashes = [h and np.frombuffer(h, dtype="<u8") for h in rows.column(10).to_pylist()]
+            out = _compare_cell(_Cell(rows, most, percent), hashes)
+            if out[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out],
+                                                 ["a", "b"])
 
-    return cells.select("bucket", "i", "j", "chunk", "node", "root", "main", "leads", "n",
-                        "bands", "sig", "hashes").mapInArrow(run, "a long, b long")
+    return _by_cell(dealt, signed.select("node", "n", "sketch", "bands", "hashes")).mapInArrow(
+        run, "a long, b long")
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -264,33 +331,59 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _compare_cell(rows: pa.Table, need: list[tuple[int, int]], percent: int):
+class _Cell:
+    """The rows of a cell as arrays."""
+
+    def __init__(self, rows: pa.Table, most: int, percent: int):
+        self.bucket, self.i, self.j = (rows.column(c)[0].as_py() for c in range(3))
+        self.chunk, self.node, root, self.main, self.n = (
+            rows.column(c).to_numpy() for c in range(3, 8))
+        self.root, self.most, self.percent = root.copy(), most, percent
+        words = rows.column(8).combine_chunks().flatten().to_numpy()
+        self.sketch = words.view(np.uint64).reshape(len(root), -1)
+        self.bands = (rows.column(9).combine_chunks().flatten().to_numpy()
+                      .reshape(len(root), -1) if rows.num_columns > 9 else None)
+
+    def partners(self, x: int, among: np.ndarray | bool = True) -> np.ndarray:
+        """The rows (of ``among``) of other components that x, which is not of the largest one,
+        has to meet here, and which sizes and sketches do not rule out."""
+        chunk, node, n = self.chunk, self.node, self.n
+        # a pair of two such members is looked at once: from the lower chunk, or the lower node
+        once = self.main | ((node > node[x]) if self.i == self.j else (chunk > chunk[x]))
+        fits = among & once & (self.root != self.root[x])
+        fits &= (chunk != chunk[x]) | (self.i == self.j)
+        fits &= 100 * np.minimum(n, n[x]) >= self.percent * np.maximum(n, n[x])
+        y = np.flatnonzero(fits)
+        y = y[np.bitwise_count(self.sketch[y] ^ self.sketch[x]).sum(axis=1) <= self.most]
+        if self.bands is None:
+            return y
+        same = self.bands[y] == self.bands[x]
+        # the first band that the pair shares
+        return y[self.bands[x][same.argmax(axis=1)] == self.bucket]
+
+
+def _may_link(cell: _Cell) -> np.ndarray:
+    """Which rows of a cell have partners. Two that have one need no look at each other."""
+    stays = np.zeros(len(cell.node), dtype=bool)
+    for x in np.flatnonzero(~cell.main):
+        y = cell.partners(x, ~stays if stays[x] else True)
+        stays[y] = True
+        stays[x] |= len(y) > 0
+    return stays
+
+
+def _compare_cell(cell: _Cell, hashes: list[np.ndarray | None]) -> list[list[int]]:
     """Members outside the largest component against members of other components."""
-    bucket, i, j = (rows.column(c)[0].as_py() for c in range(3))
-    chunk, node, root, main, leads, n = (rows.column(c).to_numpy() for c in range(3, 9))
-    bands = np.array(rows.column(9).to_pylist(), dtype=np.int64)
-    sig = np.frombuffer(b"".join(rows.column(10).to_pylist()), dtype=np.uint8).reshape(-1, WIDE)
-    hashes = [h and np.frombuffer(h, dtype="<u8") for h in rows.column(11).to_pylist()]
-    held, root = np.array([h is not None for h in hashes]), root.copy()
+    node, n, root, percent = cell.node, cell.n, cell.root, cell.percent
+    held = np.array([h is not None for h in hashes])
     out: list[list[int]] = [[], []]
 
     def emit(x: int, y: np.ndarray) -> None:
         out[0].extend(node[y].tolist())
         out[1].extend([int(node[x])] * len(y))
 
-    for x in np.flatnonzero(~main & ~leads):
-        # a pair of two such members is looked at once: from the lower chunk, or the lower node
-        once = main | ((node > node[x]) if i == j else (chunk > chunk[x]))
-        fits = once & ~leads & (root != root[x]) & ((chunk != chunk[x]) | (i == j))
-        fits &= 100 * np.minimum(n, n[x]) >= percent * np.maximum(n, n[x])
-        y = np.flatnonzero(fits)
-        same = bands[y] == bands[x]
-        y = y[bands[x][same.argmax(axis=1)] == bucket]  # the first band that the pair shares
-        matches, seen = np.zeros(len(y), dtype=np.int64), 0
-        for end, least in need:
-            matches += (sig[y, seen:end] == sig[x, seen:end]).sum(axis=1)
-            alive = matches >= least
-            y, matches, seen = y[alive], matches[alive], end
+    for x in np.flatnonzero(~cell.main):
+        y = cell.partners(x)
         known = held[y] & held[x]
         emit(x, y[~known])
         y = y[known]
@@ -341,9 +434,29 @@ def _needs(k: int, batch: int, percent: int, miss: float) -> list[tuple[int, int
     return [(e, least_matches(e, percent / 100, miss)) for e in ends]
 
 
+def most_apart(k: int, percent: int, miss: float) -> int:
+    """How many of the ``k`` bits of two sketches may differ. At a similarity of s a bit agrees
+    with a chance of (1 + s) / 2: the least hashes are the same, or their bits are by chance."""
+    return k - least_matches(k, (1 + percent / 100) / 2, miss)
+
+
+def promising(pairs: DataFrame, signed: DataFrame, percent: int, miss: float) -> DataFrame:
+    """The pairs (a, b) that neither the sizes of the sets nor their sketches rule out."""
+    def side(name: str) -> DataFrame:
+        return signed.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"),
+                             F.col("sketch").alias(f"sketch_{name}"))
+
+    size_fits = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    apart = F.aggregate(F.zip_with("sketch_a", "sketch_b",
+                                   lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+                        F.lit(0), lambda total, bits: total + bits)
+    both = join_split(pairs, side("a"), "a").join(side("b"), "b")
+    return materialise(both.where(size_fits & (apart <= most_apart(ROWS * BANDS, percent, miss)))
+                           .select("a", "b"), "minhash-promising")
+
+
 def survivors(pairs: DataFrame, signed: DataFrame, percent: int, miss: float) -> DataFrame:
-    """The pairs (a, b) that the signatures do not rule out. Sets whose sizes alone keep them
-    below the threshold go first."""
+    """The pairs (a, b) that the sketches and signatures do not rule out."""
     k = ROWS * BANDS
     need = _needs(k, BATCH, percent, miss)
 
@@ -361,11 +474,10 @@ def survivors(pairs: DataFrame, signed: DataFrame, percent: int, miss: float) ->
                 [batch.column(0).take(rows), batch.column(1).take(rows)], ["a", "b"])
 
     def side(name: str) -> DataFrame:
-        return signed.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"),
-                             F.col("sig").alias(f"sig_{name}"))
+        return signed.select(F.col("node").alias(name), F.col("sig").alias(f"sig_{name}"))
 
-    size_fits = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    both = join_split(pairs, side("a"), "a").join(side("b"), "b").where(size_fits)
+    few = promising(pairs, signed, percent, miss)
+    both = join_split(few, side("a"), "a").join(side("b"), "b")
     return materialise(both.select("a", "b", "sig_a", "sig_b")
                            .mapInArrow(run, "a long, b long"), "minhash-survivors")
 
@@ -444,9 +556,8 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     filled = prints.where("node is not null")
     members = buckets(filled.select("node", "sig"))
     nodes = materialise(members.select("node").distinct(), "minhash-nodes")
-    known = materialise(filled.join(bounded_broadcast(nodes), "node", "left_semi")
-                              .select("node", "n", "sig").dropDuplicates(["node"]),
-                        "minhash-candidates")
+    known = filled.join(bounded_broadcast(nodes), "node", "left_semi").select("node", "n", "sig")
+    known = materialise(sketched(known.dropDuplicates(["node"])), "minhash-candidates")
     release_shuffles(docs.sparkSession)
     roots = docs.sparkSession.createDataFrame([], "node long, root long")
 
@@ -468,14 +579,20 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     roots = verified(survivors(rest.select("a", "b"), known, percent, miss), roots)
 
     mixed = materialise(mixed_buckets(members, roots), "minhash-mixed-sizes")
-    if not mixed.isEmpty():
-        inside = materialise(mixed.select("node").distinct(), "minhash-inside")
+    release_shuffles(docs.sparkSession)
+    dealt = cell_candidates(dealt_cells(mixed, cell), known.select("node", "n", "sketch"),
+                            ROWS * BANDS, percent, miss)
+    release_shuffles(docs.sparkSession)
+    if not dealt.isEmpty():
+        inside = materialise(dealt.select("node").distinct(), "minhash-inside")
         wide = (hashed_sets(_texts(rows, filled, inside))
                 .join(known.select("node", band_keys().alias("bands")), "node")
-                .select("node", "n", "bands", F.col("wide").alias("sig"), "hashes"))
+                .select("node", "n", "sketch", "bands", "hashes"))
         wide = materialise(wide, "minhash-wide")
         release_shuffles(docs.sparkSession)
-        pairs = materialise(cell_survivors(mixed, wide, percent, miss, cell), "minhash-cells")
+        dealt = cell_candidates(dealt, wide.drop("hashes"), WIDE, percent, miss)
+        release_shuffles(docs.sparkSession)
+        pairs = materialise(cell_survivors(dealt, wide, percent, miss), "minhash-cells")
         roots = verified(pairs, roots)
     return _components(prints, roots)
 

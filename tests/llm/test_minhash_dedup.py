@@ -187,3 +187,74 @@ def test_shared_hashes_are_counted_in_parts():
     others = [np.unique(r.integers(0, 60, n)).astype(np.uint64) for n in (1, 5, 30, 2, 40)]
     want = [len(np.intersect1d(one, o)) for o in others]
     assert M._shared(one, others).tolist() == M._shared(one, others, 7).tolist() == want
+
+
+def test_sets_travel_only_to_cells_where_they_may_link(spark, monkeypatch):
+    """Texts that share many buckets well below the threshold: the hashes of all their sets went
+    to every one of those buckets."""
+    r = random.Random(4)
+    rows = []
+    for base in range(6):
+        for i in range(12):  # 45 of 400 words changed: any two have a similarity of about 0.47
+            words = [f"w{base}-{k}" for k in range(400)]
+            for k in r.sample(range(400), 45):
+                words[k] = f"x{base}-{i}-{k}"
+            rows.append((100 * base + i, " ".join(words)))
+    rows.append((1000, edited(rows[0][1], r, 0.02)))  # and one link
+    sent, compare = [], M.cell_survivors
+
+    def counted(dealt, *args):
+        sent.append(dealt.count())
+        return compare(dealt, *args)
+    monkeypatch.setattr(M, "cell_survivors", counted)
+    assert run(docs(spark, rows)) == brute(rows)
+    assert sum(sent) < len(rows)
+
+
+@pytest.mark.parametrize("most,others", [(5, 1), (7, 0), (40, 3), (40, 30), (9, 9)])
+def test_each_pair_of_components_meets_in_one_cell(spark, most, others):
+    roots = {k: 1000 if k < most else 2000 + k % 3 for k in range(most + others + 2)}
+    rows = [(7, k, root, 1000, len(roots), most) for k, root in roots.items()]
+    mixed = spark.createDataFrame(rows, "bucket long, node long, root long, major long, "
+                                        "size long, most long")
+    cells, copies = {}, 0
+    for d in M.dealt_cells(mixed, 10).collect():
+        cells.setdefault((d.i, d.j), []).append(d)
+        copies += d.main
+    met = []
+    for (i, j), members in cells.items():
+        sides = [{m.node for m in members if m.chunk == c} for c in (i, j)]
+        assert len(sides[0]) + (len(sides[1]) if i != j else 0) == len(members)
+        met += [(min(x, y), max(x, y)) for x in sides[0] for y in sides[1]
+                if (x < y or i != j) and roots[x] != roots[y]]
+    want = [(x, y) for x in roots for y in roots if x < y and roots[x] != roots[y]]
+    assert sorted(met) == sorted(want)
+    if len(roots) > 10:  # the largest component is sent once a chunk of others, not to itself
+        assert copies == most * -(-(others + 2) // 10)
+
+
+@pytest.mark.parametrize("share", [0.0, 0.8])
+def test_bits_of_sketches_agree_by_similarity(share):
+    r = np.random.default_rng(2)
+    for k, bits in ((M.ROWS * M.BANDS, 16), (M.WIDE, 8)):
+        family, apart = M._family(k), []
+        for size in (40, 400, 30_000):
+            for _ in range(20 if size < 1000 else 2):
+                both = r.integers(0, 1 << 63, int(size * share), dtype=np.uint64) * np.uint64(2)
+                rest = r.integers(0, 1 << 63, size - len(both), dtype=np.uint64) * np.uint64(2)
+                half = len(rest) // 2
+                sigs = [M.signature(np.sort(np.concatenate([both, x])), family, bits)
+                        for x in (rest[:half], rest[half:])]
+                a, b = (np.array(w).view(np.uint64) for w in M.sketches(sigs, bits).to_pylist())
+                apart.append(int(np.bitwise_count(a ^ b).sum()))
+        assert abs(np.mean(apart) / k - (1 - share) / 2) < 0.03
+        assert share or min(apart) > M.most_apart(k, 80, 1e-6)
+        assert not share or max(apart) <= M.most_apart(k, 80, 1e-6)
+
+
+def test_sketches_prune_within_the_bound():
+    for k in (M.ROWS * M.BANDS, M.WIDE):
+        most = M.most_apart(k, 80, 1e-6)
+        assert M.least_matches(k, 0.9, 1e-6) == k - most
+        # a similarity of 0.8 leaves a tenth of the bits apart
+        assert k / 10 < most < k / 4
