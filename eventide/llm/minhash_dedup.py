@@ -13,7 +13,7 @@ linked with nothing). Documents with equal sets are one node. Two nodes link if
    posterior probability of a similarity of at least t is P(Binomial(n + 1, t) <= m). A pair is
    pruned as soon as that falls below ``MISS``; what is left is compared on its full sets. Sketches
    go first: one bit of each hash, which agrees at a similarity of s with a chance of (1 + s) / 2,
-   under the same bound. They are all that travels for most pairs.
+   under the same bound; they are all that travels for most pairs if those are many.
 3. Which pairs are looked at. Only components are wanted, so pairs inside a known component need
    no look. In every bucket each member meets the bucket's leader, its least node. A node first
    takes the leader it shares most buckets with through step 2; then come those of its other
@@ -62,6 +62,8 @@ BATCH = 40
 WIDE = 1024
 CELL = 2048
 HELD = 4096
+#: Pairs with leaders whose signatures travel at once; of more pairs, sketches travel first.
+PAIRS = 500_000
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _U = np.uint64
@@ -456,7 +458,8 @@ def promising(pairs: DataFrame, signed: DataFrame, percent: int, miss: float) ->
 
 
 def survivors(pairs: DataFrame, signed: DataFrame, percent: int, miss: float) -> DataFrame:
-    """The pairs (a, b) that the sketches and signatures do not rule out."""
+    """The pairs (a, b) that the signatures do not rule out. Sets whose sizes alone keep them
+    below the threshold go first, and of more than ``PAIRS`` pairs those that sketches rule out."""
     k = ROWS * BANDS
     need = _needs(k, BATCH, percent, miss)
 
@@ -474,10 +477,13 @@ def survivors(pairs: DataFrame, signed: DataFrame, percent: int, miss: float) ->
                 [batch.column(0).take(rows), batch.column(1).take(rows)], ["a", "b"])
 
     def side(name: str) -> DataFrame:
-        return signed.select(F.col("node").alias(name), F.col("sig").alias(f"sig_{name}"))
+        return signed.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"),
+                             F.col("sig").alias(f"sig_{name}"))
 
-    few = promising(pairs, signed, percent, miss)
-    both = join_split(few, side("a"), "a").join(side("b"), "b")
+    if pairs.limit(PAIRS + 1).count() > PAIRS:
+        pairs = promising(pairs, signed, percent, miss)
+    size_fits = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    both = join_split(pairs, side("a"), "a").join(side("b"), "b").where(size_fits)
     return materialise(both.select("a", "b", "sig_a", "sig_b")
                            .mapInArrow(run, "a long, b long"), "minhash-survivors")
 
